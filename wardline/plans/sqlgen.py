@@ -1,0 +1,55 @@
+"""SQL text for the oracle queries, built from the same fixed rule lists.
+
+Only used to state the DuckDB oracles; the Spark side never parses SQL.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def word(expr: str, words: Sequence[str]) -> str:
+    return f"([{', '.join(q(w) for w in words)}])[({expr}) % {len(words)} + 1]"
+
+
+def like_any(expr: str, patterns: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"lower({expr}) LIKE {q(p.lower())}" for p in patterns) + ")"
+
+
+def keyword_class(expr: str, rules, default: str | None) -> str:
+    parts = [f"WHEN {like_any(expr, pats)} THEN {q(label)}" for label, pats in rules]
+    tail = f" ELSE {q(default)}" if default is not None else ""
+    return "CASE " + " ".join(parts) + tail + " END"
+
+
+def bucketize(expr: str, bounds, default: str) -> str:
+    parts = [f"WHEN {expr} <= {b} THEN {q(label)}" for b, label in bounds]
+    return "CASE " + " ".join(parts) + f" ELSE {q(default)} END"
+
+
+def map_values(expr: str, mapping, default=None) -> str:
+    def lit(v):
+        return q(v) if isinstance(v, str) else f"CAST({v} AS DOUBLE)" if isinstance(v, float) else str(v)
+    parts = [f"WHEN {expr} = {q(k)} THEN {lit(v)}" for k, v in mapping]
+    tail = f" ELSE {lit(default)}" if default is not None else ""
+    return "CASE " + " ".join(parts) + tail + " END"
+
+
+def order_rank(expr: str, order: Sequence[str]) -> str:
+    return map_values(expr, [(v, i + 1) for i, v in enumerate(order)], len(order) + 1)
+
+
+def hundredths(expr: str) -> str:
+    return f"CAST(round(({expr}) * 100) AS BIGINT)"
+
+
+def avg_round2(sum_h: str, n: str) -> str:
+    return f"CASE WHEN ({n}) > 0 THEN CAST((2 * ({sum_h}) + ({n})) // (2 * ({n})) AS DOUBLE) / 100.0 END"
+
+
+def div_round_half_up(num: str, den: int) -> str:
+    return f"CAST((2 * ({num}) + {den}) // {2 * den} AS BIGINT)"
