@@ -1,21 +1,45 @@
 """Query catalog: one callable per query key, ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables in full (through the adapters) and then
-runs the operators of the package on them.
+runs the operators of the package on them. Parameters (as-of times, ecosystem
+lists, caps) are the fixed fixture values of ``wardline.sources.adapters``.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import rules as R
+from ..operators import brief as B
+from ..operators import drift as D
+from ..operators import history as N
+from ..operators import ingest as I
 from ..operators import marts as M
+from ..operators import outliers as Z
+from ..operators import quality as K
+from ..operators import security as SEC
 from ..operators import staging as T
+from ..operators import upsert as U
 from ..sources import adapters as A
+from ..sources import landing as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ORDERS_AS_OF_TS = _dt.datetime.combine(A.ORDERS_AS_OF, _dt.time())
+Z_DIGITS = 6
+# Fetch settings of the ingest run: ecosystems in list order, severities, pages.
+FETCH_SEVERITIES = ["critical", "high"]
+FETCH_PAGES = 2
+WINDOW_LO = _dt.date(1997, 1, 1)
+WINDOW_HI = _dt.date(1997, 12, 31)
+AS_OF_READ = _dt.date(2001, 1, 15)
+
+
+# ------------------------------------------------------------------ advisories
 
 def staged(spark: SparkSession, d: str) -> DataFrame:
     return T.stage_advisories(A.raw_advisories(spark, d), A.ORDERS_AS_OF)
@@ -25,6 +49,10 @@ def enriched(spark: SparkSession, d: str) -> DataFrame:
     return T.enrich_vulnerabilities(staged(spark, d))
 
 
+def critical(spark: SparkSession, d: str) -> DataFrame:
+    return M.mart_critical(enriched(spark, d))
+
+
 def summary(spark: SparkSession, d: str) -> DataFrame:
     return M.mart_summary(enriched(spark, d))
 
@@ -33,12 +61,279 @@ def ecosystem_risk(spark: SparkSession, d: str) -> DataFrame:
     return M.mart_ecosystem_risk(enriched(spark, d), A.advisory_packages(spark, d))
 
 
+def advisory_health(spark: SparkSession, d: str) -> DataFrame:
+    return M.pipeline_health(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at",
+                             ORDERS_AS_OF_TS)
+
+
+def events_health(spark: SparkSession, d: str) -> DataFrame:
+    return M.pipeline_health(A.table(spark, d, "events"), "events", "ts", A.EVENTS_AS_OF)
+
+
+# ------------------------------------------------------------------ landing
+
+def flattened(spark: SparkSession, d: str) -> DataFrame:
+    return L.flatten_advisories(A.advisory_json(spark, d), ORDERS_AS_OF_TS)
+
+
+def flatten_view(spark: SparkSession, d: str) -> DataFrame:
+    f = flattened(spark, d)
+    return f.select(
+        "ghsa_id", "cve_id", "summary", "description", "severity", "cvss_score", "cvss_vector_string",
+        F.size(F.from_json("cwes", "array<string>")).cast("long").alias("cwe_count"),
+        F.size(F.from_json("affected_packages", "array<string>")).cast("long").alias("package_count"),
+        "published_at", "updated_at", "withdrawn_at", "html_url", "credits_count", "source_api",
+        "ingested_at")
+
+
+def exploded_packages(spark: SparkSession, d: str) -> DataFrame:
+    e = M.explode_packages(flattened(spark, d))
+    return e.where(F.col("ecosystem").isNotNull() & (F.col("ecosystem") != ""))
+
+
+def typed_view(spark: SparkSession, d: str) -> DataFrame:
+    t = L.type_raw(flattened(spark, d))
+    return t.select(
+        "ghsa_id", "published_at", "updated_at", "withdrawn_at", "ingested_at",
+        F.variant_get("affected_packages", "$[0].package.ecosystem", "string").alias("first_ecosystem"),
+        F.variant_get("cwes", "$[0].cwe_id", "string").alias("first_cwe"),
+        F.variant_get("raw_json", "$.cvss.score", "double").alias("raw_cvss_score"))
+
+
+def cve_items(spark: SparkSession, d: str) -> DataFrame:
+    return L.unwrap_cves(A.cve_page_json(spark, d))
+
+
+def cve_item_view(spark: SparkSession, d: str) -> DataFrame:
+    return cve_items(spark, d).select(
+        "cve_id", F.get_json_object("record", "$.published").alias("published"),
+        F.get_json_object("record", "$.vulnStatus").alias("vuln_status"), "fetched_at")
+
+
+# ------------------------------------------------------------------ ingest
+
+def listing(spark: SparkSession, d: str) -> DataFrame:
+    return I.ecosystem_listing(A.advisory_listing(spark, d), A.EVENT_ECOSYSTEMS)
+
+
+def severity_filtered(spark: SparkSession, d: str) -> DataFrame:
+    return I.filter_in_ci(listing(spark, d), "severity", FETCH_SEVERITIES)
+
+
+def capped(spark: SparkSession, d: str) -> DataFrame:
+    return I.cap_per_group(listing(spark, d), "ecosystem", ["position"], FETCH_PAGES * R.PAGE_SIZE)
+
+
+def fetched(spark: SparkSession, d: str) -> DataFrame:
+    return I.fetch_advisories(A.advisory_listing(spark, d), A.EVENT_ECOSYSTEMS, FETCH_SEVERITIES,
+                              FETCH_PAGES, R.PAGE_SIZE)
+
+
+def upsert_target(spark: SparkSession, d: str) -> DataFrame:
+    raw = A.raw_advisories(spark, d)
+    return raw.where(F.col("updated_at") < F.lit(A.TARGET_LOADED_BEFORE.isoformat()).cast("timestamp_ntz"))
+
+
+def upsert_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Re-fetched advisories: everything updated since a date, with new scores."""
+    raw = I.since(A.raw_advisories(spark, d), "updated_at", A.BATCH_UPDATED_SINCE)
+    return (raw.withColumn("cvss_score", F.least(F.col("cvss_score") + 1.0, F.lit(10.0)))
+            .withColumn("ingested_at", F.lit(ORDERS_AS_OF_TS.isoformat(" ")).cast("timestamp_ntz")))
+
+
+def upsert_merged(spark: SparkSession, d: str) -> DataFrame:
+    return U.upsert(upsert_target(spark, d), upsert_batch(spark, d), "ghsa_id",
+                    dedupe_order=["updated_at", "ingested_at"])
+
+
+def records_merged(spark: SparkSession, d: str) -> DataFrame:
+    pages = A.cve_page_json(spark, d)
+    cutoff = F.lit(A.TARGET_LOADED_BEFORE.isoformat()).cast("timestamp_ntz")
+    since = F.lit(A.BATCH_UPDATED_SINCE.isoformat()).cast("timestamp_ntz")
+    target = (L.unwrap_cves(pages.where(F.col("fetched_at") < cutoff))
+              .select("cve_id", "record", "fetched_at", F.col("fetched_at").alias("loaded_at")))
+    batch = L.unwrap_cves(pages.where(F.col("fetched_at") >= since))
+    merged = U.upsert_records(target, batch, "cve_id", ORDERS_AS_OF_TS)
+    return merged.select("cve_id", F.get_json_object("record", "$.vulnStatus").alias("vuln_status"),
+                         "fetched_at", "loaded_at")
+
+
+# ------------------------------------------------------------------ security
+
+def anomalous(spark: SparkSession, d: str) -> DataFrame:
+    return SEC.anomalous_queries(A.query_history(spark, d), A.EVENTS_AS_OF)
+
+
+def roles(spark: SparkSession, d: str) -> DataFrame:
+    return SEC.role_audit(A.grants_to_users(spark, d), A.login_history(spark, d), A.ORDERS_AS_OF)
+
+
+def exposure(spark: SparkSession, d: str) -> DataFrame:
+    return SEC.pii_exposure(A.column_listing(spark, d), A.EVENTS_AS_OF)
+
+
+def sec_summary(spark: SparkSession, d: str) -> DataFrame:
+    return SEC.security_summary(anomalous(spark, d), roles(spark, d), exposure(spark, d), A.EVENTS_AS_OF)
+
+
+# ------------------------------------------------------------------ outliers
+
+def summary_outliers(spark: SparkSession, d: str) -> DataFrame:
+    return Z.summary_anomalies(summary(spark, d), ORDERS_AS_OF_TS, digits=Z_DIGITS)
+
+
+# ------------------------------------------------------------------ brief
+
+def brief_facts(spark: SparkSession, d: str) -> DataFrame:
+    e = enriched(spark, d)
+    return B.brief_facts(M.mart_summary(e), M.mart_critical(e),
+                         M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)), advisory_health(spark, d))
+
+
+def threat_brief(spark: SparkSession, d: str) -> DataFrame:
+    e = enriched(spark, d)
+    return B.threat_brief(M.mart_summary(e), M.mart_critical(e),
+                          M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
+                          advisory_health(spark, d), ORDERS_AS_OF_TS)
+
+
+# ------------------------------------------------------------------ drift
+
+def drift(spark: SparkSession, d: str) -> DataFrame:
+    return D.drift_records(A.plan_logs(spark, d))
+
+
+# ------------------------------------------------------------------ history
+
+HISTORY_KEY = "custkey"
+HISTORY_CHECKS = ["order_count", "max_price"]
+
+
+def history(spark: SparkSession, d: str) -> DataFrame:
+    first = A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF)
+    h0 = N.scd2_initial(first, HISTORY_KEY, A.HISTORY_FIRST_AS_OF)
+    now = A.customer_order_stats(spark, d, None)
+    return N.scd2_check(h0, now, HISTORY_KEY, HISTORY_CHECKS, A.ORDERS_AS_OF)
+
+
+# ------------------------------------------------------------------ quality
+
+NOT_NULL_TESTS = {
+    "stg_github_advisories": ["advisory_id", "severity", "published_at"],
+    "int_vulnerabilities_enriched": ["advisory_id", "age_bucket", "age_risk_multiplier",
+                                     "vulnerability_category", "composite_risk_score"],
+    "mart_vulnerability_summary": ["severity", "age_bucket", "vulnerability_category", "total_count"],
+    "mart_ecosystem_risk": ["ecosystem_name", "total_vulnerabilities"],
+    "mart_critical_vulnerabilities": ["advisory_id", "severity", "cvss_score", "composite_risk_score"],
+    "mart_pipeline_health": ["source_table", "last_ingested_at", "pipeline_status"],
+}
+UNIQUE_TESTS = {
+    "stg_github_advisories": "advisory_id",
+    "int_vulnerabilities_enriched": "advisory_id",
+    "mart_ecosystem_risk": "ecosystem_name",
+    "mart_critical_vulnerabilities": "advisory_id",
+}
+ACCEPTED_TESTS = {
+    "stg_github_advisories": ("severity", R.SEVERITIES),
+    "int_vulnerabilities_enriched": ("age_bucket", R.AGE_LABELS),
+    "mart_pipeline_health": ("pipeline_status", R.HEALTH_STATUSES),
+}
+
+
+def models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    s = staged(spark, d)
+    e = T.enrich_vulnerabilities(s)
+    return {
+        "stg_github_advisories": s,
+        "int_vulnerabilities_enriched": e,
+        "mart_vulnerability_summary": M.mart_summary(e),
+        "mart_ecosystem_risk": M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
+        "mart_critical_vulnerabilities": M.mart_critical(e),
+        "mart_pipeline_health": advisory_health(spark, d),
+    }
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
+    m = models(spark, d)
+    return _union([K.expect_not_null(m[name], cols, name) for name, cols in NOT_NULL_TESTS.items()])
+
+
+def dq_unique(spark: SparkSession, d: str) -> DataFrame:
+    m = models(spark, d)
+    return _union([K.expect_unique(m[name], key, name) for name, key in UNIQUE_TESTS.items()])
+
+
+def dq_accepted(spark: SparkSession, d: str) -> DataFrame:
+    m = models(spark, d)
+    return _union([K.expect_in(m[name], col, vals, name) for name, (col, vals) in ACCEPTED_TESTS.items()])
+
+
+def dq_freshness(spark: SparkSession, d: str) -> DataFrame:
+    return K.freshness(A.table(spark, d, "events"), "events", "ts", A.EVENTS_AS_OF).unionByName(
+        K.freshness(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at", ORDERS_AS_OF_TS))
+
+
+# ------------------------------------------------------------------ registry
+
 QUERIES: dict[str, Query] = {
+    # sources
+    "flatten_advisory_json": flatten_view,
+    "explode_packages": exploded_packages,
+    "unwrap_cve_pages": cve_item_view,
+    "typed_load": typed_view,
+    # ingest
+    "severity_filter": severity_filtered,
+    "cap_per_ecosystem": capped,
+    "first_seen_dedupe": fetched,
+    "incremental_since": lambda s, d: I.since(A.raw_advisories(s, d), "updated_at", A.BATCH_UPDATED_SINCE),
+    "incremental_window": lambda s, d: I.between_optional(A.raw_advisories(s, d), "published_at",
+                                                          WINDOW_LO, WINDOW_HI),
+    "upsert_merge": upsert_merged,
+    "upsert_records": records_merged,
+    # staging and marts
     "stage_advisories": staged,
     "enrich_vulnerabilities": enriched,
-    "mart_critical": lambda s, d: M.mart_critical(enriched(s, d)),
+    "mart_critical": critical,
     "mart_summary": summary,
     "mart_ecosystem_risk": ecosystem_risk,
-    "pipeline_health": lambda s, d: M.pipeline_health(
-        A.table(s, d, "events"), "events", "ts", A.EVENTS_AS_OF),
+    "pipeline_health": events_health,
+    # security audit
+    "anomalous_queries": anomalous,
+    "role_audit": roles,
+    "pii_exposure": exposure,
+    "masked_customers": lambda s, d: SEC.masked_view(A.customers(s, d), "REPORTER"),
+    "security_summary": sec_summary,
+    # outliers
+    "zscore_outliers": lambda s, d: Z.group_value_outliers(A.table(s, d, "events"), "event_type", "user_id",
+                                                           "value", digits=Z_DIGITS),
+    "summary_anomalies": summary_outliers,
+    "anomaly_counts": lambda s, d: Z.anomaly_counts(summary_outliers(s, d)),
+    "advisory_outliers": lambda s, d: Z.advisory_outliers(enriched(s, d), A.advisory_packages(s, d),
+                                                          ORDERS_AS_OF_TS, digits=Z_DIGITS),
+    # brief
+    "brief_top_threats": lambda s, d: B.top_threats(critical(s, d)),
+    "brief_top_ecosystems": lambda s, d: B.top_ecosystems(ecosystem_risk(s, d)),
+    "brief_severity": lambda s, d: B.severity_rollup(summary(s, d)),
+    "brief_age": lambda s, d: B.age_rollup(summary(s, d)),
+    "brief_facts": brief_facts,
+    "brief_actions": lambda s, d: B.brief_actions(brief_facts(s, d)),
+    "threat_brief": threat_brief,
+    # drift
+    "drift_records": drift,
+    "drift_episodes": lambda s, d: D.drift_episodes(drift(s, d)),
+    # history
+    "scd2_snapshot": history,
+    "scd2_as_of": lambda s, d: N.as_of_view(history(s, d), AS_OF_READ),
+    # quality
+    "dq_not_null": dq_not_null,
+    "dq_unique": dq_unique,
+    "dq_accepted_values": dq_accepted,
+    "dq_freshness": dq_freshness,
 }

@@ -122,7 +122,8 @@ def advisory_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 4 == 0, F.array(F.struct(F.lit("finder").alias("login")),
                                      F.struct(F.lit("fixer").alias("login")))).alias("credits"),
         F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_at"),
-        F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        F.when(key % 13 == 0, F.lit("unknown"))
+        .otherwise(F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("updated_at"),
         F.date_format("withdrawn_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("withdrawn_at"),
         F.col("html_url"),
     )
