@@ -137,7 +137,8 @@ def upsert_target(spark: SparkSession, d: str) -> DataFrame:
 def upsert_batch(spark: SparkSession, d: str) -> DataFrame:
     """Re-fetched advisories: everything updated since a date, with new scores."""
     raw = I.since(A.raw_advisories(spark, d), "updated_at", A.BATCH_UPDATED_SINCE)
-    return (raw.withColumn("cvss_score", F.least(F.col("cvss_score") + 1.0, F.lit(10.0)))
+    bumped = F.when(F.col("cvss_score").isNotNull(), F.least(F.col("cvss_score") + 1.0, F.lit(10.0)))
+    return (raw.withColumn("cvss_score", bumped)
             .withColumn("ingested_at", F.lit(ORDERS_AS_OF_TS.isoformat(" ")).cast("timestamp_ntz")))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from ..functions import rules as R
 from ..sources import adapters as A
+from . import catalog as C
 from . import sqlgen as S
 
 ORDERS_AS_OF = f"DATE '{A.ORDERS_AS_OF.isoformat()}'"
@@ -18,7 +19,7 @@ EVENTS_AS_OF = f"TIMESTAMP '{A.EVENTS_AS_OF.strftime('%Y-%m-%d %H:%M:%S')}'"
 
 # ------------------------------------------------------------------ shared CTEs
 
-RAW_COLUMNS = f"""
+RAW_FULL = f"""
     'ADV-' || o_orderkey AS ghsa_id,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL
          ELSE 'CVE-' || year(o_orderdate) || '-' || o_orderkey END AS cve_id,
@@ -28,12 +29,16 @@ RAW_COLUMNS = f"""
          WHEN '3-MEDIUM' THEN 'MEDIUM' ELSE 'LOW' END AS severity,
     CASE WHEN o_orderkey % 11 = 0 THEN NULL
          ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 101 AS DOUBLE) / 10.0 END AS cvss_score,
+    CAST(NULL AS VARCHAR) AS cvss_vector_string,
     o_orderdate AS published_at,
     o_orderdate AS updated_at,
     CASE WHEN o_orderkey % 29 = 0 THEN o_orderdate END AS withdrawn_at,
+    'https://advisories.example/ADV-' || o_orderkey AS html_url,
+    CAST(0 AS BIGINT) AS credits_count,
+    'github_rest' AS source_api,
     o_orderdate AS ingested_at"""
 
-RAW = f"raw AS (SELECT {RAW_COLUMNS} FROM orders)"
+RAW = f"raw AS (SELECT {RAW_FULL} FROM orders)"
 
 STG = f"""stg AS (
   SELECT ghsa_id AS advisory_id, cve_id, summary, description, lower(severity) AS severity,
@@ -117,3 +122,371 @@ ORACLES["mart_summary"] = f"{ADVISORY_BASE},\n{SUMMARY}\nSELECT * FROM summ"
 ORACLES["mart_ecosystem_risk"] = f"{ADVISORY_BASE},\n{PACKAGES},\n{ECO}\nSELECT * FROM eco"
 ORACLES["pipeline_health"] = (
     f"WITH {health_sql('events', 'events', 'ts', EVENTS_AS_OF)}\nSELECT * FROM health")
+
+
+# ------------------------------------------------------------------ more CTEs
+
+def ts(value) -> str:
+    if hasattr(value, "hour"):
+        return f"TIMESTAMP '{value.strftime('%Y-%m-%d %H:%M:%S')}'"
+    return f"TIMESTAMP '{value.isoformat()} 00:00:00'"
+
+
+ISO = "'%Y-%m-%dT%H:%M:%SZ'"
+
+LISTING = f"""lst AS (
+  SELECT event_type AS ecosystem, event_id AS position, 'ADV-' || user_id AS ghsa_id,
+         CASE WHEN contains(props, '"k": 0}}') THEN NULL
+              WHEN value >= 300 THEN 'CRITICAL' WHEN value >= 100 THEN 'High'
+              WHEN value >= 20 THEN 'moderate' ELSE 'low' END AS severity,
+         ts AS updated_at,
+         CAST({S.order_rank('event_type', A.EVENT_ECOSYSTEMS)} AS INTEGER) AS ecosystem_rank
+  FROM events WHERE event_type IN ({', '.join(S.q(e) for e in A.EVENT_ECOSYSTEMS)}))"""
+
+SEVERITY_IN = "lower(coalesce(severity, '')) IN ('critical', 'high')"
+
+CAPPED = """capped AS (
+  SELECT ecosystem, position, ghsa_id, severity, updated_at, ecosystem_rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY ecosystem ORDER BY position) AS rn FROM lst)
+  WHERE rn <= 200)"""
+
+QLOG = f"""qlog AS (
+  SELECT event_id AS query_id, CAST(user_id AS VARCHAR) AS user_name, upper(event_type) AS role_name,
+         {S.word('user_id', A.QUERY_TEXTS)} AS query_text,
+         CAST(floor(value * 20000000) AS BIGINT) AS bytes_scanned,
+         CAST(floor(value * 5000) AS BIGINT) AS rows_produced,
+         ts AS start_time, 'SUCCESS' AS execution_status
+  FROM events WHERE ts >= {EVENTS_AS_OF} - INTERVAL {R.QUERY_LOOKBACK_DAYS} DAY),
+anom AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN bytes_scanned > {R.LARGE_SCAN_BYTES} THEN 'large_scan_over_5gb'
+                   WHEN hour(start_time) NOT BETWEEN {R.WORK_HOURS[0]} AND {R.WORK_HOURS[1]} THEN 'off_hours_access'
+                   WHEN {S.like_any('query_text', R.SENSITIVE_QUERY_PATTERNS)} THEN 'sensitive_column_access'
+                   WHEN rows_produced > {R.LARGE_EXPORT_ROWS} THEN 'large_export' END AS flag_reason
+    FROM qlog) WHERE flag_reason IS NOT NULL)"""
+
+ROLES = f"""grants AS (
+  SELECT c_name AS grantee_name, {S.word('c_nationkey', A.GRANT_ROLES)} AS role FROM customer),
+logins AS (
+  SELECT c_name AS user_name, o_orderdate AS event_timestamp,
+         CASE WHEN o_orderstatus = 'P' THEN 'NO' ELSE 'YES' END AS is_success
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+last_login AS (
+  SELECT user_name, max(event_timestamp) AS last_login FROM logins WHERE is_success = 'YES' GROUP BY user_name),
+audit AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN granted_role IN ({', '.join(S.q(r) for r in R.ADMIN_ROLES)})
+                        AND days_since_login > {R.ADMIN_UNUSED_DAYS} THEN 'admin_role_unused_30_days'
+                   WHEN days_since_login > {R.USER_INACTIVE_DAYS} THEN 'user_inactive_90_days'
+                   WHEN granted_role = {S.q(R.REVIEW_ROLE)} THEN 'accountadmin_flag_review' END AS risk_flag
+    FROM (SELECT g.grantee_name AS user_name, g.role AS granted_role, l.last_login,
+                 CAST(date_diff('day', CAST(l.last_login AS DATE), {ORDERS_AS_OF}) AS BIGINT) AS days_since_login
+          FROM grants g LEFT JOIN last_login l ON g.grantee_name = l.user_name))
+  WHERE risk_flag IS NOT NULL)"""
+
+EXPOSURE = f"""cols AS (
+  SELECT 'ANALYTICS' AS table_catalog, {S.word('p_size', A.COLUMN_SCHEMAS)} AS table_schema,
+         p_type AS table_name, {S.word('p_partkey', A.COLUMN_NAMES)} || '_' || p_partkey AS column_name,
+         {S.word('p_partkey', A.DATA_TYPES)} AS data_type
+  FROM part),
+expo AS (
+  SELECT *, CASE WHEN pii_classification = {S.q(R.NOT_SENSITIVE)} THEN NULL
+                 WHEN {S.like_any('column_name', R.PROTECTED_COLUMN_PATTERNS)} THEN {S.q(R.PROTECTED)}
+                 ELSE {S.q(R.EXPOSED)} END AS exposure_status,
+         {EVENTS_AS_OF} AS checked_at
+  FROM (SELECT table_catalog AS database_name, table_schema AS schema_name, table_name, column_name, data_type,
+               {S.keyword_class('column_name', R.SENSITIVE_COLUMN_RULES, R.NOT_SENSITIVE)} AS pii_classification
+        FROM cols WHERE table_schema <> {S.q(R.EXCLUDED_SCHEMA)})
+  WHERE pii_classification <> {S.q(R.NOT_SENSITIVE)})"""
+
+
+def zscore_sql(src: str, part: str, value: str, mean: str, sd: str) -> str:
+    """Window form of the z-score (the oracle states the reference's formulation)."""
+    return f"""(SELECT *, CASE WHEN {sd} IS NULL OR {sd} = 0 THEN 0.0 ELSE ({value} - {mean}) / {sd} END AS z_score
+  FROM (SELECT *, avg({value}) OVER (PARTITION BY {part}) AS {mean},
+               stddev_samp({value}) OVER (PARTITION BY {part}) AS {sd} FROM {src}))"""
+
+
+ORDERS_TS = ts(A.ORDERS_AS_OF)
+
+SUMMARY_ANOM = f"""sanom AS (
+  SELECT severity || '_' || age_bucket || '_' || vulnerability_category AS advisory_id,
+         vulnerability_category AS ecosystem, avg_composite_risk_score AS composite_risk_score,
+         round(ecosystem_mean, 6) AS ecosystem_mean, round(ecosystem_stddev, 6) AS ecosystem_stddev,
+         round(z_score, 6) AS z_score, {S.q(R.OUTLIER_LABEL)} AS anomaly_type, {ORDERS_TS} AS detected_at
+  FROM {zscore_sql('summ', 'vulnerability_category', 'avg_composite_risk_score', 'ecosystem_mean', 'ecosystem_stddev')}
+  WHERE abs(z_score) > {R.Z_THRESHOLD})"""
+
+ADV_HEALTH = health_sql("RAW_GITHUB_ADVISORIES", "raw", "ingested_at", ORDERS_TS)
+
+FACTS = f"""topeco AS (
+  SELECT ecosystem_name, critical_count FROM eco
+  ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT 1),
+facts AS (
+  SELECT s.*, e.eco_count,
+         coalesce((SELECT ecosystem_name FROM topeco), 'N/A') AS top_ecosystem,
+         CAST(coalesce((SELECT critical_count FROM topeco), 0) AS BIGINT) AS top_ecosystem_critical,
+         c.max_score, h.pipeline_status, h.total_rows, h.last_ingested_at
+  FROM (SELECT CAST(coalesce(sum(total_count), 0) AS BIGINT) AS total_cves,
+               CAST(coalesce(sum(critical_count), 0) AS BIGINT) AS critical_count,
+               {', '.join(f"CAST(coalesce(sum(CASE WHEN age_bucket = {S.q(a)} THEN total_count END), 0) AS BIGINT) AS {a}_count" for a in R.AGE_LABELS)}
+        FROM summ) s,
+       (SELECT count(DISTINCT ecosystem_name) AS eco_count FROM eco) e,
+       (SELECT coalesce(max(composite_risk_score), 0.0) AS max_score FROM crit) c,
+       health h)"""
+
+BRIEF_BASE = f"{ADVISORY_BASE},\n{CRITICAL},\n{SUMMARY},\n{PACKAGES},\n{ECO},\n{ADV_HEALTH},\n{FACTS}"
+
+PLAN_TEXT = """CASE WHEN o_orderstatus = 'F' THEN 'No changes. Your infrastructure matches the configuration.'
+       ELSE 'Terraform will perform the following actions:' || chr(10) || chr(10)
+            || '  # m.t' || o_custkey || ' will be created' || chr(10)
+            || '  ~ m.u' || (o_orderkey % 4) || ' will be updated in-place' || chr(10)
+            || '  # m.q["k' || (o_orderkey % 3) || '"] will be destroyed' || chr(10)
+            || '  # m.t' || o_custkey || ' will be created' || chr(10) || chr(10)
+            || 'Plan: ' || (o_custkey % 5) || ' to add, ' || (o_orderkey % 4) || ' to change, '
+            || (o_orderkey % 2) || ' to destroy.' END"""
+
+DRIFT = f"""plans AS (
+  SELECT o_orderkey AS run_id, CAST(o_orderkey % 3 AS INTEGER) AS exit_code, {PLAN_TEXT} AS stdout,
+         o_orderdate AS checked_at, CAST(o_custkey % 10 AS VARCHAR) AS environment
+  FROM orders),
+parsed AS (
+  SELECT *, list_filter(list_transform(string_split_regex(stdout, '\\r\\n|\\r|\\n'),
+                                       lambda l: regexp_extract(l, {S.q(R.PLAN_RESOURCE_PATTERN)}, 1)),
+                        lambda x: x <> '') AS names
+  FROM plans WHERE exit_code <> {R.PLAN_EXIT_ERROR}),
+drift AS (
+  SELECT run_id, environment, checked_at, exit_code = {R.PLAN_EXIT_DRIFT} AS drift_detected,
+         {', '.join(f"CAST(coalesce(TRY_CAST(regexp_extract(stdout, {S.q(R.PLAN_SUMMARY_PATTERN)}, {i}) AS BIGINT), 0) AS BIGINT) AS resources_to_{n}" for i, n in ((1, 'add'), (2, 'change'), (3, 'destroy')))},
+         to_json({{'changed_resources': list_filter(names, lambda x, i: NOT list_contains(names[1:i-1], x))}}) AS drift_details,
+         substring(stdout, 1, {R.PLAN_TEXT_LIMIT}) AS raw_plan_output
+  FROM parsed)"""
+
+SNAP = f"""first_snap AS (
+  SELECT o_custkey AS custkey, count(*) AS order_count, max(o_totalprice) AS max_price,
+         max(o_orderdate) AS last_order_date
+  FROM orders WHERE o_orderdate <= {ts(A.HISTORY_FIRST_AS_OF)} GROUP BY o_custkey),
+now_snap AS (
+  SELECT o_custkey AS custkey, count(*) AS order_count, max(o_totalprice) AS max_price,
+         max(o_orderdate) AS last_order_date
+  FROM orders GROUP BY o_custkey),
+j AS (
+  SELECT h.custkey, h.order_count, h.max_price, h.last_order_date,
+         n.custkey AS n_key, n.order_count AS n_count, n.max_price AS n_max, n.last_order_date AS n_last,
+         CASE WHEN h.custkey IS NOT NULL AND n.custkey IS NOT NULL
+                   AND (h.order_count IS DISTINCT FROM n.order_count OR h.max_price IS DISTINCT FROM n.max_price)
+                   THEN 'changed'
+              WHEN h.custkey IS NOT NULL AND n.custkey IS NOT NULL THEN 'unchanged'
+              WHEN n.custkey IS NOT NULL THEN 'new' ELSE 'vanished' END AS state
+  FROM first_snap h FULL OUTER JOIN now_snap n ON h.custkey = n.custkey),
+snap_rows AS (
+  SELECT custkey, order_count, max_price, last_order_date, {ts(A.HISTORY_FIRST_AS_OF)} AS valid_from,
+         CASE WHEN state = 'changed' THEN {ORDERS_TS} END AS valid_to
+  FROM j WHERE state IN ('changed', 'unchanged', 'vanished')
+  UNION ALL
+  SELECT n_key, n_count, n_max, n_last, {ORDERS_TS}, CAST(NULL AS TIMESTAMP)
+  FROM j WHERE state IN ('changed', 'new')),
+snap AS (
+  SELECT *, md5(CAST(custkey AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR)) AS scd_id FROM snap_rows)"""
+
+MODEL_CTES = {
+    "stg_github_advisories": "stg",
+    "int_vulnerabilities_enriched": "enr",
+    "mart_vulnerability_summary": "summ",
+    "mart_ecosystem_risk": "eco",
+    "mart_critical_vulnerabilities": "crit",
+    "mart_pipeline_health": "health",
+}
+MODELS_BASE = f"{ADVISORY_BASE},\n{CRITICAL},\n{SUMMARY},\n{PACKAGES},\n{ECO},\n{ADV_HEALTH}"
+
+
+def _dq_not_null() -> str:
+    parts = [f"SELECT {S.q(m)} AS model, {S.q(c)} AS column_name, 'not_null' AS test, "
+             f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {MODEL_CTES[m]}"
+             for m, cols in C.NOT_NULL_TESTS.items() for c in cols]
+    return f"{MODELS_BASE}\n" + "\nUNION ALL\n".join(parts)
+
+
+def _dq_unique() -> str:
+    parts = [f"SELECT {S.q(m)} AS model, {S.q(k)} AS column_name, 'unique' AS test, "
+             f"(SELECT count(*) FROM (SELECT {k} FROM {MODEL_CTES[m]} WHERE {k} IS NOT NULL "
+             f"GROUP BY {k} HAVING count(*) > 1)) AS failures"
+             for m, k in C.UNIQUE_TESTS.items()]
+    return f"{MODELS_BASE}\n" + "\nUNION ALL\n".join(parts)
+
+
+def _dq_accepted() -> str:
+    parts = [f"SELECT {S.q(m)} AS model, {S.q(c)} AS column_name, 'accepted_values' AS test, "
+             f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(S.q(v) for v in vals)})) "
+             f"AS BIGINT) AS failures FROM {MODEL_CTES[m]}"
+             for m, (c, vals) in C.ACCEPTED_TESTS.items()]
+    return f"{MODELS_BASE}\n" + "\nUNION ALL\n".join(parts)
+
+
+def _freshness(source: str, table_sql: str, col: str, as_of: str) -> str:
+    return f"""SELECT {S.q(source)} AS source_table, max_loaded_at, age_seconds,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN age_seconds > {R.FRESHNESS_ERROR_HOURS * 3600} THEN 'error'
+            WHEN age_seconds > {R.FRESHNESS_WARN_HOURS * 3600} THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT max({col}) AS max_loaded_at,
+             CAST(date_sub('second', max({col}), {as_of}) AS BIGINT) AS age_seconds FROM {table_sql})"""
+
+
+def _brief_actions() -> str:
+    from ..operators import brief as BR
+    eco = " || ".join("top_ecosystem" if p == "{eco}" else "CAST(top_ecosystem_critical AS VARCHAR)"
+                      if p == "{n}" else S.q(p) for p in BR.ACTION_ECOSYSTEM)
+    return f"""{BRIEF_BASE},
+acts AS (
+  SELECT 1 AS n, CAST(chronic_count AS VARCHAR) || {S.q(BR.ACTION_CHRONIC)} AS action
+  FROM facts WHERE chronic_count > {R.CHRONIC_ACTION_MIN}
+  UNION ALL SELECT 2, {eco} FROM facts WHERE top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN}
+  UNION ALL SELECT 3, {S.q(BR.ACTION_PIPELINE)} FROM facts WHERE pipeline_status <> 'healthy'
+  UNION ALL SELECT 4, {S.q(BR.ACTION_REMINDER)} FROM facts)
+SELECT CAST(row_number() OVER (ORDER BY n) AS BIGINT) AS action_no, action FROM acts"""
+
+
+ORACLES.update({
+    # ---------------------------------------------------------------- sources
+    "flatten_advisory_json": f"""SELECT ghsa_id, cve_id, substring(coalesce(summary, ''), 1, {R.SUMMARY_LIMIT}) AS summary,
+       description, severity, cvss_score,
+       CASE WHEN cvss_score IS NOT NULL THEN 'CVSS:3.1/AV:N/S:' || severity END AS cvss_vector_string,
+       CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS cwe_count,
+       CAST(CASE WHEN o_orderkey % 5 <> 0 THEN 2 ELSE 0 END AS BIGINT) AS package_count,
+       strftime(published_at, {ISO}) AS published_at,
+       CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE strftime(updated_at, {ISO}) END AS updated_at,
+       strftime(withdrawn_at, {ISO}) AS withdrawn_at, html_url,
+       CAST(CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 0 END AS BIGINT) AS credits_count,
+       {S.q(R.REST_SOURCE)} AS source_api, {ORDERS_TS} AS ingested_at
+FROM (SELECT {RAW_FULL}, o_orderkey, o_custkey FROM orders)""",
+    "explode_packages": f"""WITH d AS (SELECT 'ADV-' || o_orderkey AS ghsa_id, o_orderkey, o_custkey FROM orders
+           WHERE o_orderkey % 5 <> 0),
+p AS (SELECT ghsa_id, {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} AS ecosystem, 'pkg' || o_custkey AS package_name FROM d
+      UNION ALL
+      SELECT ghsa_id, {S.word('o_orderkey', A.PACKAGE_ECOSYSTEMS)}, 'lib' || o_orderkey FROM d)
+SELECT * FROM p WHERE ecosystem IS NOT NULL AND ecosystem <> ''""",
+    "unwrap_cve_pages": """SELECT 'CVE-' || year(o_orderdate) || '-' || o_orderkey || sfx AS cve_id,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS published, o_orderstatus AS vuln_status,
+       o_orderdate AS fetched_at
+FROM (SELECT *, '' AS sfx FROM orders UNION ALL SELECT *, '-R' AS sfx FROM orders)""",
+    "typed_load": f"""SELECT ghsa_id, published_at, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE updated_at END AS updated_at,
+       withdrawn_at, {ORDERS_TS} AS ingested_at,
+       CASE WHEN o_orderkey % 5 <> 0 THEN {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS first_ecosystem,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'CWE-79' END AS first_cwe,
+       cvss_score AS raw_cvss_score
+FROM (SELECT {RAW_FULL}, o_orderkey, o_custkey FROM orders)""",
+    # ---------------------------------------------------------------- ingest
+    "severity_filter": f"WITH {LISTING}\nSELECT * FROM lst WHERE {SEVERITY_IN}",
+    "cap_per_ecosystem": f"WITH {LISTING},\n{CAPPED}\nSELECT * FROM capped",
+    "first_seen_dedupe": f"""WITH {LISTING},
+{CAPPED}
+SELECT ecosystem, position, ghsa_id, severity, updated_at, ecosystem_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY ghsa_id ORDER BY ecosystem_rank, position) AS rn
+  FROM capped WHERE {SEVERITY_IN}) WHERE rn = 1""",
+    "incremental_since": f"SELECT * FROM (SELECT {RAW_FULL} FROM orders) WHERE updated_at >= {ts(A.BATCH_UPDATED_SINCE)}",
+    "incremental_window": f"""SELECT * FROM (SELECT {RAW_FULL} FROM orders)
+WHERE published_at >= {ts(C.WINDOW_LO)} AND published_at <= {ts(C.WINDOW_HI)}""",
+    "upsert_merge": f"""WITH raw AS (SELECT {RAW_FULL} FROM orders),
+tgt AS (SELECT * FROM raw WHERE updated_at < {ts(A.TARGET_LOADED_BEFORE)}),
+src AS (SELECT * REPLACE (CASE WHEN cvss_score IS NULL THEN NULL ELSE least(cvss_score + 1.0, 10.0) END AS cvss_score,
+                          {ORDERS_TS} AS ingested_at)
+        FROM raw WHERE updated_at >= {ts(A.BATCH_UPDATED_SINCE)})
+SELECT * FROM src
+UNION ALL
+SELECT * FROM tgt WHERE ghsa_id NOT IN (SELECT ghsa_id FROM src)""",
+    "upsert_records": f"""WITH items AS (
+  SELECT 'CVE-' || year(o_orderdate) || '-' || o_orderkey || sfx AS cve_id, o_orderstatus AS vuln_status,
+         o_orderdate AS fetched_at
+  FROM (SELECT *, '' AS sfx FROM orders UNION ALL SELECT *, '-R' AS sfx FROM orders)),
+tgt AS (SELECT *, fetched_at AS loaded_at FROM items WHERE fetched_at < {ts(A.TARGET_LOADED_BEFORE)}),
+src AS (SELECT *, {ORDERS_TS} AS loaded_at FROM items WHERE fetched_at >= {ts(A.BATCH_UPDATED_SINCE)})
+SELECT * FROM src UNION ALL SELECT * FROM tgt WHERE cve_id NOT IN (SELECT cve_id FROM src)""",
+    # ---------------------------------------------------------------- security
+    "anomalous_queries": f"WITH {QLOG}\nSELECT * FROM anom",
+    "role_audit": f"WITH {ROLES}\nSELECT * FROM audit",
+    "pii_exposure": f"WITH {EXPOSURE}\nSELECT * FROM expo",
+    "masked_customers": """SELECT c_custkey AS customer_id, c_name AS full_name, '***MASKED***' AS email,
+       repeat('X', greatest(length(phone) - 4, 0)) || right(phone, 4) AS phone,
+       '[REDACTED]' AS ssn, '[REDACTED]' AS address
+FROM (SELECT *, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS phone FROM customer)""",
+    "security_summary": f"""WITH {QLOG},
+{ROLES},
+{EXPOSURE}
+SELECT {EVENTS_AS_OF} AS report_generated_at, a.total_anomalies, r.total_role_risks,
+       p.total_exposed_columns, p.total_protected_columns,
+       CASE WHEN a.total_anomalies = 0 AND r.total_role_risks = 0 AND p.total_exposed_columns = 0
+                 THEN {S.q(R.HEALTH_GREEN)}
+            WHEN p.total_exposed_columns > 0 OR r.total_role_risks > 0 THEN {S.q(R.HEALTH_AMBER)}
+            ELSE {S.q(R.HEALTH_RED)} END AS security_health_status
+FROM (SELECT count(*) AS total_anomalies FROM anom) a,
+     (SELECT count(*) AS total_role_risks FROM audit) r,
+     (SELECT count(*) FILTER (WHERE exposure_status = {S.q(R.EXPOSED)}) AS total_exposed_columns,
+             count(*) FILTER (WHERE exposure_status = {S.q(R.PROTECTED)}) AS total_protected_columns FROM expo) p""",
+    # ---------------------------------------------------------------- outliers
+    "zscore_outliers": f"""WITH g AS (
+  SELECT event_type, user_id,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (count(value) * CAST(100.0 AS DOUBLE)) AS avg_value
+  FROM events GROUP BY event_type, user_id HAVING count(value) > 0)
+SELECT event_type, user_id, avg_value, round(mean_value, 6) AS mean_value,
+       round(stddev_value, 6) AS stddev_value, round(z_score, 6) AS z_score
+FROM {zscore_sql('g', 'event_type', 'avg_value', 'mean_value', 'stddev_value')}
+WHERE abs(z_score) > {R.Z_THRESHOLD}""",
+    "summary_anomalies": f"{ADVISORY_BASE},\n{SUMMARY},\n{SUMMARY_ANOM}\nSELECT * FROM sanom",
+    "anomaly_counts": f"""{ADVISORY_BASE},\n{SUMMARY},\n{SUMMARY_ANOM}
+SELECT ecosystem, count(*) AS anomaly_count FROM sanom GROUP BY ecosystem""",
+    "advisory_outliers": f"""{ADVISORY_BASE},\n{PACKAGES},
+pairs AS (SELECT DISTINCT ghsa_id, ecosystem AS ecosystem_name FROM pkg WHERE ecosystem IS NOT NULL AND ecosystem <> ''),
+aj AS (SELECT e.advisory_id, e.composite_risk_score, p.ecosystem_name FROM enr e JOIN pairs p ON p.ghsa_id = e.advisory_id)
+SELECT advisory_id, ecosystem_name AS ecosystem, composite_risk_score, round(ecosystem_mean, 6) AS ecosystem_mean,
+       round(ecosystem_stddev, 6) AS ecosystem_stddev, round(z_score, 6) AS z_score,
+       {S.q(R.OUTLIER_LABEL)} AS anomaly_type, {ORDERS_TS} AS detected_at
+FROM {zscore_sql('aj', 'ecosystem_name', 'composite_risk_score', 'ecosystem_mean', 'ecosystem_stddev')}
+WHERE abs(z_score) > {R.Z_THRESHOLD}""",
+    # ---------------------------------------------------------------- brief
+    "brief_top_threats": f"""{ADVISORY_BASE},\n{CRITICAL}
+SELECT advisory_id, cve_id, summary, severity, cvss_score, composite_risk_score, age_bucket,
+       days_since_published, vulnerability_category
+FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT {R.TOP_THREATS}""",
+    "brief_top_ecosystems": f"""{ADVISORY_BASE},\n{PACKAGES},\n{ECO}
+SELECT ecosystem_name, avg_risk_score, critical_count, total_vulnerabilities
+FROM eco ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT {R.TOP_ECOSYSTEMS}""",
+    "brief_severity": f"""{ADVISORY_BASE},\n{SUMMARY}
+SELECT severity, CAST(sum(total_count) AS BIGINT) AS total, CAST(sum(critical_count) AS BIGINT) AS critical_sum
+FROM summ GROUP BY severity""",
+    "brief_age": f"""{ADVISORY_BASE},\n{SUMMARY}
+SELECT age_bucket, CAST(sum(total_count) AS BIGINT) AS total FROM summ GROUP BY age_bucket""",
+    "brief_facts": f"""{BRIEF_BASE}
+SELECT total_cves, critical_count, eco_count, top_ecosystem, top_ecosystem_critical, max_score,
+       {', '.join(f'{a}_count' for a in R.AGE_LABELS)}, pipeline_status, total_rows, last_ingested_at
+FROM facts""",
+    "brief_actions": _brief_actions(),
+    # ---------------------------------------------------------------- drift
+    "drift_records": f"WITH {DRIFT}\nSELECT * FROM drift",
+    "drift_episodes": f"""WITH {DRIFT},
+w AS (
+  SELECT environment, checked_at, run_id, drift_detected,
+         lag(drift_detected) OVER (PARTITION BY environment ORDER BY checked_at, run_id) AS prev,
+         lead(drift_detected) OVER (PARTITION BY environment ORDER BY checked_at, run_id) AS nxt,
+         lead(checked_at) OVER (PARTITION BY environment ORDER BY checked_at, run_id) AS next_at
+  FROM drift),
+s AS (
+  SELECT *, sum(CASE WHEN drift_detected AND coalesce(NOT prev, true) THEN 1 ELSE 0 END)
+              OVER (PARTITION BY environment ORDER BY checked_at, run_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
+  FROM w)
+SELECT environment, CAST(island AS BIGINT) AS episode_no, min(checked_at) AS drift_started_at,
+       max(checked_at) AS last_drift_at, count(*) AS drifted_checks,
+       max(CASE WHEN coalesce(NOT nxt, true) THEN next_at END) AS resolved_at
+FROM s WHERE drift_detected GROUP BY environment, island""",
+    # ---------------------------------------------------------------- history
+    "scd2_snapshot": f"WITH {SNAP}\nSELECT * FROM snap",
+    "scd2_as_of": f"""WITH {SNAP}
+SELECT * FROM snap WHERE valid_from <= {ts(C.AS_OF_READ)}
+  AND (valid_to IS NULL OR {ts(C.AS_OF_READ)} < valid_to)""",
+    # ---------------------------------------------------------------- quality
+    "dq_not_null": _dq_not_null(),
+    "dq_unique": _dq_unique(),
+    "dq_accepted_values": _dq_accepted(),
+    "dq_freshness": _freshness("events", "events", "ts", EVENTS_AS_OF) + "\nUNION ALL\n"
+    + _freshness("RAW_GITHUB_ADVISORIES", f"(SELECT {RAW_FULL} FROM orders)", "ingested_at", ORDERS_TS),
+})
