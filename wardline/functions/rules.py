@@ -101,3 +101,16 @@ SUMMARY_LIMIT = 2000
 REST_SOURCE = "github_rest"
 UNKNOWN_ID = "UNKNOWN"
 PAGE_SIZE = 100
+
+# --- Fixed values: history snapshots (key, checked columns) -----------------
+
+SNAP_ECOSYSTEM_KEY = "ecosystem_name"
+SNAP_ECOSYSTEM_CHECKS = ["total_vulnerabilities", "critical_count", "avg_risk_score", "max_risk_score"]
+SNAP_ECOSYSTEM_COLUMNS = ["ecosystem_name", "total_vulnerabilities", "critical_count", "high_count",
+                          "avg_risk_score", "max_risk_score"]
+SNAP_HEALTH_KEY = "source_table"
+SNAP_HEALTH_CHECKS = ["pipeline_status", "total_rows", "hours_since_last_load"]
+SNAP_HEALTH_COLUMNS = ["source_table", "pipeline_status", "total_rows", "rows_last_24h", "rows_last_7d",
+                       "hours_since_last_load", "is_fresh", "is_row_count_normal", "last_ingested_at"]
+SNAP_PII_CHECKS = ["exposure_status", "pii_classification"]
+SNAP_PII_COLUMNS = ["table_name", "column_name", "pii_classification", "exposure_status", "checked_at"]

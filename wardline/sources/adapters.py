@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import word
+from ..plans.layout import spread
 
 # Fixture vocabularies (our own test inputs, not rules of the workload).
 SUMMARY_WORDS = ["SQL Injection", "Remote code", "Resource use", "Privilege gain",
@@ -101,7 +102,7 @@ def advisory_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each document carries two affected packages taken from the order's own
     columns, so the nested arrays exist without any grouping.
     """
-    o = table(spark, sf_dir, "orders").select(*_raw_advisory_columns(), "o_orderkey", "o_custkey")
+    o = spread(table(spark, sf_dir, "orders")).select(*_raw_advisory_columns(), "o_orderkey", "o_custkey")
     key = F.col("o_orderkey")
     vulns = F.array(
         F.struct(F.struct(word("o_custkey", PACKAGE_ECOSYSTEMS).alias("ecosystem"),
@@ -136,7 +137,7 @@ def cve_page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     Pages of even orders wrap each item as ``{"cve": {...}}``; odd ones hold
     bare items. The second item of every page carries a ``-R`` id suffix.
     """
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
 
     def item(suffix: str):
         return F.struct(
@@ -242,7 +243,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terraform-plan outputs, one run per order; exit code = orderkey % 3."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey")
     c = F.col("o_custkey")
     nl = F.lit("\n")

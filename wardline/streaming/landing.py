@@ -1,0 +1,51 @@
+"""Continuous landing of advisory documents into the RAW table.
+
+The batch ingest (flatten → type → upsert by id) expressed as Structured
+Streaming: a file source over the landing folder (one JSON document per
+line), and ``foreachBatch`` applying the upsert to the versioned RAW table.
+Progress lives in the checkpoint location, so a restarted query resumes
+after the last committed batch; a batch that is retried after a failure
+re-applies the same upsert, which yields the same table (upsert twice =
+upsert once), except for the ingest stamp, which is the batch's own time.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.upsert import newest_per_key, upsert
+from ..sources.landing import flatten_advisories, type_raw
+from ..sources.tables import commit_version, current_version
+
+
+def upsert_landed_batch(batch: DataFrame, table: str, ingested_at: _dt.datetime) -> int:
+    """Flatten, dedupe (newest update per id), type, and upsert one batch; returns the version."""
+    spark = batch.sparkSession
+    flat = flatten_advisories(batch.select(F.col("value").alias("json")), ingested_at)
+    flat = newest_per_key(flat, "ghsa_id", ["updated_at"])        # dedupe while JSON is still text
+    typed = type_raw(flat)
+    if current_version(spark, table) is None:
+        return commit_version(typed, table)
+    return commit_version(upsert(spark.table(table), typed, "ghsa_id"), table)
+
+
+def start_advisory_landing(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
+                           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the landing stream (``availableNow`` processes what is there and stops)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(landing_dir)
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():
+            return
+        upsert_landed_batch(df, table, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
