@@ -50,27 +50,67 @@ def drift_records(plans: DataFrame) -> DataFrame:
 
 
 def drift_episodes(records: DataFrame, partition: str = "environment",
-                   order: tuple[str, ...] = ("checked_at", "run_id")) -> DataFrame:
+                   order: tuple[str, ...] = ("checked_at", "run_id"),
+                   buckets: int | None = None) -> DataFrame:
     """Maximal runs of consecutive drifted checks per environment.
 
-    Gaps and islands: a new island starts where drift turns on; the island id
-    is the running count of starts. One row per episode with its first and
-    last drifted check, the number of drifted checks, and when it ended (the
-    first clean check after it, NULL while it lasts).
+    One row per episode: its first and last drifted check, the number of
+    drifted checks, and when it ended (the first clean check after it; NULL
+    while it lasts). Episodes are numbered per environment in time order.
+
+    Gaps and islands without a window over a whole environment (one hot
+    environment would land in one task):
+
+    1. range-partition the records by (environment, time) into ``buckets``
+       balanced slices — a hot environment is spread over many slices — and
+       checkpoint them so the slice ids stay fixed if a task is retried;
+    2. inside each slice, number the local islands with a running count of
+       island starts (a window over one slice only);
+    3. per slice keep a one-row summary (first/last row, local starts); a
+       window over these few summary rows per environment gives each slice
+       its island offset and whether its first island continues the
+       previous slice's last one;
+    4. global island = offset + local island − continuation; the episodes are
+       a grouped aggregate over (environment, island), combined map-side.
     """
-    w = Window.partitionBy(partition).orderBy(*order)
-    prev = F.lag("drift_detected").over(w)
-    nxt_clean = F.lead("checked_at").over(w)
+    from ..session import checkpoint_dir
+
+    spark = records.sparkSession
+    checkpoint_dir(spark)
+    n = buckets or max(8, spark.sparkContext.defaultParallelism * 2)
+    drift = F.col("drift_detected")
     r = (records.select(partition, *order, "drift_detected")
-         .withColumn("_start", (F.col("drift_detected") & F.coalesce(~prev, F.lit(True))).cast("int"))
-         .withColumn("_island", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("_next_at", nxt_clean))
-    d = r.where(F.col("drift_detected"))
+         .repartitionByRange(n, partition, *order)
+         .withColumn("_b", F.spark_partition_id())
+         .checkpoint())
+
+    w = Window.partitionBy(partition, "_b").orderBy(*order)
+    local = (r.withColumn("_prev", F.lag("drift_detected").over(w))
+             .withColumn("_next_at", F.lead("checked_at").over(w))
+             .withColumn("_start", (drift & F.coalesce(~F.col("_prev"), F.lit(True))).cast("long"))
+             .withColumn("_li", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+
+    row = F.struct(*[F.col(c) for c in order], drift.alias("d"), F.col("checked_at").alias("at"))
+    summ = local.groupBy(partition, "_b").agg(F.min(row).alias("_first"), F.max(row).alias("_last"),
+                                               F.sum("_start").alias("_starts"))
+    ws = Window.partitionBy(partition).orderBy("_b")
+    cont = (F.col("_first.d") & F.coalesce(F.lag("_last.d").over(ws), F.lit(False))).cast("long")
+    summ = (summ.withColumn("_cont", cont)
+            .withColumn("_next_first_at", F.lead("_first.at").over(ws))
+            .withColumn("_gstarts", F.col("_starts") - F.col("_cont")))
+    summ = summ.withColumn(
+        "_offset", F.coalesce(F.sum("_gstarts").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    summ = summ.select(partition, "_b", "_cont", "_offset", "_next_first_at")
+
+    j = local.where(drift).join(summ, [partition, "_b"])
+    island = F.col("_offset") + F.col("_li") - F.col("_cont")
+    next_at = F.coalesce(F.col("_next_at"), F.col("_next_first_at"))
+    d = j.select(partition, *order, island.alias("_island"), next_at.alias("_next"))
     ep = d.groupBy(partition, "_island").agg(
         F.min("checked_at").alias("drift_started_at"),
         F.max("checked_at").alias("last_drift_at"),
         F.count(F.lit(1)).alias("drifted_checks"),
-        F.max(F.struct(*[F.col(c) for c in order], F.col("_next_at").alias("n"))).alias("_last"))
+        F.max(F.struct(*[F.col(c) for c in order], F.col("_next").alias("n"))).alias("_last"))
     return ep.select(
         partition,
         F.col("_island").cast("long").alias("episode_no"),
