@@ -242,3 +242,51 @@ def test_type_raw_parses_or_nulls(spark):
     assert r.updated_at == dt.datetime(2024, 1, 2, 1, 4, 5, 123000)
     assert r.withdrawn_at is None
     assert isinstance(type_raw(df).schema["cwes"].dataType, T.VariantType)
+
+
+def test_unwrap_nodes_and_cves(spark):
+    from wardline.sources.landing import unwrap_cves, unwrap_nodes
+    pages = spark.createDataFrame(
+        [('{"pageInfo":{"hasNextPage":true,"endCursor":"c1"},"nodes":[{"ghsaId":"G1"},{"ghsaId":"G2"}]}',
+          dt.datetime(2024, 1, 1)),
+         ('{"pageInfo":{"hasNextPage":false},"nodes":[]}', dt.datetime(2024, 1, 2))],
+        "json string, fetched_at timestamp_ntz")
+    assert [r.ghsa_id for r in unwrap_nodes(pages).collect()] == ["G1", "G2"]
+    cves = spark.createDataFrame(
+        [('{"totalResults":2,"vulnerabilities":[{"cve":{"id":"C1"}},{"id":"C2"}]}', dt.datetime(2024, 1, 1))],
+        "json string, fetched_at timestamp_ntz")
+    assert [r.cve_id for r in unwrap_cves(cves).collect()] == ["C1", "C2"]
+
+
+def test_flatten_defaults(spark):
+    from wardline.sources.landing import flatten_advisories
+    docs = spark.createDataFrame([('{"ghsa_id":"G1","summary":null,"credits":[{"login":"a"}]}',)], "json string")
+    r = flatten_advisories(docs, dt.datetime(2024, 1, 1)).first()
+    assert r.summary == "" and r.cwes == "[]" and r.affected_packages == "[]" and r.credits_count == 1
+    assert r.cvss_score is None and r.source_api == R.REST_SOURCE
+
+
+def test_masked_view_roles(spark):
+    c = spark.createDataFrame([(1, "n", "a@b.c", "5551234567", "123456789", "1 Main")],
+                              "customer_id long, full_name string, email string, phone string, ssn string, address string")
+    rep = SEC.masked_view(c, "REPORTER").first()
+    assert rep.email == "***MASKED***" and rep.phone == "XXXXXX4567" and rep.ssn == "[REDACTED]"
+    adm = SEC.masked_view(c, "ACCOUNTADMIN").first()
+    assert adm.email == "a@b.c" and adm.ssn == "123456789" and adm.address == "1 Main"
+
+
+def test_catalog_inventory_and_ensure_table(spark):
+    from wardline.sources import tables as TB
+    TB.ensure_schema(spark, "security")
+    TB.ensure_table(spark, "security.inv_probe", T.StructType([T.StructField("user_email", T.StringType())]))
+    TB.ensure_table(spark, "security.inv_probe", T.StructType([T.StructField("other", T.StringType())]))
+    inv = TB.column_inventory(spark).where("table_name = 'inv_probe'")
+    assert [(r.table_schema, r.column_name) for r in inv.collect()] == [("security", "user_email")]
+    exp = SEC.pii_exposure(inv, dt.datetime(2024, 1, 1)).first()
+    assert exp.pii_classification == "PII_EMAIL" and exp.exposure_status == R.PROTECTED
+
+
+def test_contract_rejects_wrong_types(spark):
+    df = spark.createDataFrame([("x",)], "advisory_id string")
+    with pytest.raises(K.ContractError):
+        K.enforce_contract(df, K.CRITICAL_CONTRACT, "m")

@@ -58,3 +58,28 @@ def test_versioned_commit_reads_old_while_writing_new(spark):
     assert (v1, v2) == (1, 2)
     assert sorted(r.k for r in TB.read_versioned(spark, name).collect()) == ["a", "b"]
     assert [r.k for r in TB.read_versioned(spark, name, 1).collect()] == ["a"]
+
+
+def test_upsert_table_versions_and_bucketed_layout(spark):
+    from wardline.sources.tables import upsert_table
+    name = "upsert_tbl"
+    a = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    b = spark.createDataFrame([("b", 3), ("c", 4), ("c", 5)], "k string, v long")
+    assert upsert_table(spark, name, a, "k", buckets=4) == 1
+    assert upsert_table(spark, name, b, "k", dedupe_order=["v"], buckets=4) == 2
+    assert upsert_table(spark, name, b, "k", dedupe_order=["v"], buckets=4) == 3
+    assert {r.k: r.v for r in spark.table(name).collect()} == {"a": 1, "b": 3, "c": 5}
+    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}__v3").collect()}
+    assert desc.get("Num Buckets") == "4"
+
+
+def test_snapshot_rejects_duplicate_keys(spark):
+    import datetime as _dt
+
+    import pytest
+
+    from wardline.operators.quality import ContractError
+    from wardline.plans.cycle import _snapshot
+    dup = spark.createDataFrame([("x", 1), ("x", 2)], "k string, a long")
+    with pytest.raises(ContractError):
+        _snapshot(spark, "dup_hist", dup, "k", ["a"], _dt.datetime(2024, 1, 1))

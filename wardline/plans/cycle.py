@@ -33,11 +33,19 @@ log = logging.getLogger(__name__)
 
 def _snapshot(spark: SparkSession, name: str, current: DataFrame, key: str, checks: list[str],
               as_of: _dt.datetime) -> int:
-    """Apply a check-strategy snapshot to the versioned history ``name``."""
+    """Apply a check-strategy snapshot to the versioned history ``name``.
+
+    The snapshot must be unique on its key (checked first: a duplicate key
+    would open two versions at once). History versions are bucketed by key.
+    """
+    dups = K.expect_unique(current, key, name).first().failures
+    if dups:
+        raise K.ContractError(f"{name}: {dups} duplicate values of {key} in the snapshot")
+    bucket = (int(spark.conf.get("spark.sql.shuffle.partitions")), key)
     if TB.current_version(spark, name) is None:
-        return TB.commit_version(N.scd2_initial(current, key, as_of), name)
+        return TB.commit_version(N.scd2_initial(current, key, as_of), name, bucket_by=bucket)
     hist = spark.table(name)
-    return TB.commit_version(N.scd2_check(hist, current, key, checks, as_of), name)
+    return TB.commit_version(N.scd2_check(hist, current, key, checks, as_of), name, bucket_by=bucket)
 
 
 def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,

@@ -17,20 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import newest_per_key, upsert
+from ..operators.upsert import newest_per_key
 from ..sources.landing import flatten_advisories, type_raw
-from ..sources.tables import commit_version, current_version
+from ..sources.tables import upsert_table
 
 
 def upsert_landed_batch(batch: DataFrame, table: str, ingested_at: _dt.datetime) -> int:
     """Flatten, dedupe (newest update per id), type, and upsert one batch; returns the version."""
-    spark = batch.sparkSession
     flat = flatten_advisories(batch.select(F.col("value").alias("json")), ingested_at)
     flat = newest_per_key(flat, "ghsa_id", ["updated_at"])        # dedupe while JSON is still text
-    typed = type_raw(flat)
-    if current_version(spark, table) is None:
-        return commit_version(typed, table)
-    return commit_version(upsert(spark.table(table), typed, "ghsa_id"), table)
+    return upsert_table(batch.sparkSession, table, type_raw(flat), "ghsa_id")
 
 
 def start_advisory_landing(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
