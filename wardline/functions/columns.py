@@ -1,7 +1,10 @@
 """Column-expression helpers.
 
-Everything here returns a ``Column`` built from ``pyspark.sql.functions``, so
-it stays inside whole-stage codegen; no Python runs per row.
+Everything here returns a ``Column`` evaluated by Spark (inside whole-stage
+codegen); no Python runs per row. When the input is a column name (or SQL
+expression text), the rule-list helpers build the whole CASE as one SQL
+expression and hand it to ``F.expr`` — a single parse on the JVM instead of
+many Python→JVM calls; given a ``Column`` they compose it with functions.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import sqltext as S
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -38,6 +43,8 @@ def date_lit(value: str | _dt.date | _dt.datetime) -> Column:
 
 def word(n: Column | str, words: Sequence[str]) -> Column:
     """``words[n % len(words)]`` — deterministic pick from a list."""
+    if isinstance(n, str):
+        return F.expr(S.word(n, words, S.SPARK))
     arr = F.array(*[F.lit(w) for w in words])
     return F.element_at(arr, (_col(n) % len(words) + 1).cast("int"))
 
@@ -46,6 +53,8 @@ def word(n: Column | str, words: Sequence[str]) -> Column:
 
 def bucketize(c: Column | str, bounds: Sequence[tuple[float, str]], default: str) -> Column:
     """First ``value <= bound`` wins; NULL and everything above → default."""
+    if isinstance(c, str):
+        return F.expr(S.bucketize(c, bounds, default))
     c = _col(c)
     expr = None
     for bound, label in bounds:
@@ -57,6 +66,8 @@ def bucketize(c: Column | str, bounds: Sequence[tuple[float, str]], default: str
 def map_values(c: Column | str, mapping: Iterable[tuple[str, object]],
                default: object | None = None) -> Column:
     """Simple CASE: equal key → value; no match → default (NULL by default)."""
+    if isinstance(c, str):
+        return F.expr(S.map_values(c, list(mapping), default))
     c = _col(c)
     expr = None
     for key, value in mapping:
@@ -67,6 +78,8 @@ def map_values(c: Column | str, mapping: Iterable[tuple[str, object]],
 
 def like_any(c: Column | str, patterns: Sequence[str]) -> Column:
     """Case-insensitive LIKE against any pattern (substring matches inside words)."""
+    if isinstance(c, str):
+        return F.expr(S.like_any(c, patterns))
     low = F.lower(_col(c))
     cond = None
     for p in patterns:
@@ -78,6 +91,8 @@ def like_any(c: Column | str, patterns: Sequence[str]) -> Column:
 def keyword_class(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]],
                   default: str | None) -> Column:
     """Searched CASE over LIKE rules; first match wins, NULL text → default."""
+    if isinstance(c, str):
+        return F.expr(S.keyword_class(c, rules, default))
     expr = None
     for label, patterns in rules:
         cond = like_any(c, patterns)
@@ -94,21 +109,27 @@ def order_rank(c: Column | str, order: Sequence[str]) -> Column:
 
 def hundredths(c: Column | str) -> Column:
     """Scores carry at most two decimals: hold them as exact integer hundredths."""
+    if isinstance(c, str):
+        return F.expr(S.hundredths(c))
     return F.round(_col(c) * 100).cast("long")
 
 
-def avg_round2(sum_hundredths: Column, n: Column) -> Column:
+def avg_round2(sum_hundredths: Column | str, n: Column | str) -> Column:
     """round(avg, 2) with halves rounded up, computed on exact integers.
 
     ``(2*s + n) div (2*n)`` is round-half-up of s/n; NULL when n is 0.
     """
+    if isinstance(sum_hundredths, str) and isinstance(n, str):
+        return F.expr(S.avg_round2(sum_hundredths, n, S.SPARK))
     num = (sum_hundredths * 2 + n).cast("decimal(38,0)")
     den = (n * 2).cast("decimal(38,0)")
     return F.when(n > 0, F.floor(num / den).cast("double") / 100.0)
 
 
-def div_round_half_up(num: Column, den: int) -> Column:
+def div_round_half_up(num: Column | str, den: int) -> Column:
     """round(num / den) for non-negative integers, halves up, as bigint."""
+    if isinstance(num, str):
+        return F.expr(S.div_round_half_up(num, den, S.SPARK))
     q = (num * 2 + den).cast("decimal(38,0)") / F.lit(2 * den).cast("decimal(38,0)")
     return F.floor(q).cast("long")
 

@@ -48,8 +48,8 @@ def mart_summary(enriched: DataFrame) -> DataFrame:
                 F.sum(F.col("is_critical").cast("long")).alias("critical_count")))
     return agg.select(
         "severity", "age_bucket", "vulnerability_category", "total_count",
-        avg_round2(F.col("_cvss_h"), F.col("_cvss_n")).alias("avg_cvss_score"),
-        avg_round2(F.col("_score_h"), F.col("total_count")).alias("avg_composite_risk_score"),
+        avg_round2("_cvss_h", "_cvss_n").alias("avg_cvss_score"),
+        avg_round2("_score_h", "total_count").alias("avg_composite_risk_score"),
         "max_composite_risk_score", "critical_count")
 
 
@@ -114,7 +114,7 @@ def mart_ecosystem_risk(enriched: DataFrame, packages: DataFrame) -> DataFrame:
         "ecosystem_name", "total_vulnerabilities",
         F.col("critical_count").cast("long").alias("critical_count"),
         F.col("high_count").cast("long").alias("high_count"),
-        avg_round2(F.col("_score_h"), F.col("_n")).alias("avg_risk_score"),
+        avg_round2("_score_h", "_n").alias("avg_risk_score"),
         "max_risk_score")
 
 
@@ -138,7 +138,7 @@ def pipeline_health(df: DataFrame, source_table: str, ts_col: str,
         F.count(F.when(ts >= now - F.expr("INTERVAL 24 HOURS"), 1)).alias("rows_last_24h"),
         F.count(F.when(ts >= now - F.expr("INTERVAL 7 DAYS"), 1)).alias("rows_last_7d"))
     hours = hour_boundaries(F.col("last_ingested_at"), now)
-    avg_daily = div_round_half_up(F.col("rows_last_7d"), 7)
+    avg_daily = div_round_half_up("rows_last_7d", 7)
     m = (m.withColumn("hours_since_last_load", hours)
           .withColumn("avg_daily_rows_7d", avg_daily)
           .withColumn("is_fresh", F.coalesce(F.col("hours_since_last_load") <= R.FRESH_HOURS, F.lit(False)))

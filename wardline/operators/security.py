@@ -18,11 +18,12 @@ from ..functions.columns import day_boundaries, date_lit, keyword_class, like_an
 
 # ------------------------------------------------------------------ queries (Q)
 
-def query_flag(c_bytes: Column, c_start: Column, c_text: Column, c_rows: Column) -> Column:
+def query_flag(c_bytes: Column, c_start: Column, c_text: Column | str, c_rows: Column) -> Column:
     lo, hi = R.WORK_HOURS
     return (F.when(c_bytes > R.LARGE_SCAN_BYTES, "large_scan_over_5gb")
             .when(~F.hour(c_start).between(lo, hi), "off_hours_access")
-            .when(like_any(c_text, R.SENSITIVE_QUERY_PATTERNS), "sensitive_column_access")
+            .when(like_any(c_text, R.SENSITIVE_QUERY_PATTERNS),
+                  "sensitive_column_access")
             .when(c_rows > R.LARGE_EXPORT_ROWS, "large_export"))
 
 
@@ -33,7 +34,7 @@ def anomalous_queries(log: DataFrame, as_of: _dt.datetime, ordered: bool = False
            .select("query_id", "user_name", "role_name", "query_text", "bytes_scanned",
                    "rows_produced", "start_time", "execution_status")
            .withColumn("flag_reason", query_flag(F.col("bytes_scanned"), F.col("start_time"),
-                                                 F.col("query_text"), F.col("rows_produced")))
+                                                 "query_text", F.col("rows_produced")))
            .where(F.col("flag_reason").isNotNull()))
     if ordered:
         out = out.orderBy(F.col("start_time").desc(), F.col("query_id"))
@@ -72,15 +73,15 @@ def role_audit(grants: DataFrame, logins: DataFrame, as_of: _dt.date) -> DataFra
 
 # ------------------------------------------------------------------ columns (P)
 
-def pii_class(name: Column) -> Column:
+def pii_class(name: Column | str) -> Column:
     return keyword_class(name, R.SENSITIVE_COLUMN_RULES, R.NOT_SENSITIVE)
 
 
 def pii_exposure(columns: DataFrame, as_of: _dt.datetime, ordered: bool = False) -> DataFrame:
     """Sensitive-looking columns and whether their name marks them as protected."""
-    cls = pii_class(F.col("column_name"))
+    cls = pii_class("column_name")
     status = (F.when(F.col("pii_classification") == R.NOT_SENSITIVE, F.lit(None).cast("string"))
-              .when(like_any(F.col("column_name"), R.PROTECTED_COLUMN_PATTERNS), R.PROTECTED)
+              .when(like_any("column_name", R.PROTECTED_COLUMN_PATTERNS), R.PROTECTED)
               .otherwise(R.EXPOSED))
     out = (columns.where(F.col("table_schema") != R.EXCLUDED_SCHEMA)
            .select(F.col("table_catalog").alias("database_name"),

@@ -17,38 +17,35 @@ from ..functions.columns import bucketize, date_lit, day_boundaries, keyword_cla
 
 def stage_advisories(raw: DataFrame, as_of: _dt.date) -> DataFrame:
     """Drop withdrawn rows, rename, lower-case severity, flag critical, age in days."""
+    cvss = F.col("cvss_score").cast("double")
     return (raw.where(F.col("withdrawn_at").isNull())
             .select(F.col("ghsa_id").alias("advisory_id"),
                     F.col("cve_id"),
                     F.col("summary"),
                     F.col("description"),
                     F.lower("severity").alias("severity"),
-                    F.col("cvss_score").cast("double").alias("cvss_score"),
+                    cvss.alias("cvss_score"),
                     F.col("published_at"),
                     F.col("updated_at"),
-                    F.col("ingested_at"))
-            .withColumn("is_critical",
-                        F.coalesce(F.col("cvss_score") >= R.CRITICAL_CVSS, F.lit(False)))
-            .withColumn("days_since_published",
-                        day_boundaries(F.col("published_at"), date_lit(as_of))))
+                    F.col("ingested_at"),
+                    F.coalesce(cvss >= R.CRITICAL_CVSS, F.lit(False)).alias("is_critical"),
+                    day_boundaries(F.col("published_at"), date_lit(as_of)).alias("days_since_published")))
 
 
-def age_bucket(days) -> "F.Column":
+def age_bucket(days: str = "days_since_published") -> "F.Column":
     return bucketize(days, R.AGE_BUCKETS, R.AGE_BUCKET_ELSE)
 
 
-def vulnerability_category(summary) -> "F.Column":
+def vulnerability_category(summary: str = "summary") -> "F.Column":
     return keyword_class(summary, R.CATEGORY_RULES, R.CATEGORY_ELSE)
 
 
 def enrich_vulnerabilities(staged: DataFrame) -> DataFrame:
     """Age bucket, its multiplier, keyword category and composite risk score."""
-    bucket = age_bucket(F.col("days_since_published"))
-    out = (staged
-           .withColumn("age_bucket", bucket)
-           .withColumn("age_risk_multiplier",
-                       map_values(F.col("age_bucket"), R.AGE_MULTIPLIERS).cast("double"))
-           .withColumn("vulnerability_category", vulnerability_category(F.col("summary"))))
-    return out.withColumn(
-        "composite_risk_score",
-        F.round(F.coalesce(F.col("cvss_score"), F.lit(0.0)) * F.col("age_risk_multiplier"), 2))
+    out = staged.select("*", age_bucket().alias("age_bucket"),
+                        vulnerability_category().alias("vulnerability_category"))
+    mult = map_values("age_bucket", R.AGE_MULTIPLIERS).cast("double")
+    score = F.round(F.coalesce(F.col("cvss_score"), F.lit(0.0)) * mult, 2)
+    cols = [c for c in staged.columns] + ["age_bucket"]
+    return out.select(*cols, mult.alias("age_risk_multiplier"), "vulnerability_category",
+                      score.alias("composite_risk_score"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from ..functions import rules as R
 from ..sources import adapters as A
 from . import catalog as C
-from . import sqlgen as S
+from ..functions import sqltext as S
 
 ORDERS_AS_OF = f"DATE '{A.ORDERS_AS_OF.isoformat()}'"
 ORDERS_AS_OF_TS = f"TIMESTAMP '{A.ORDERS_AS_OF.isoformat()} 00:00:00'"

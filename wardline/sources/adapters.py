@@ -14,6 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as S
 from ..functions.columns import word
 from ..plans.layout import spread
 
@@ -41,44 +42,47 @@ BATCH_UPDATED_SINCE = _dt.date(1999, 7, 1)
 HISTORY_FIRST_AS_OF = _dt.date(2000, 12, 31)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The read (file listing, footer) is done once per session and path."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 # ------------------------------------------------------------------ advisories
 
-def _raw_advisory_columns() -> list:
-    key = F.col("o_orderkey")
-    sev = (F.when(F.col("o_orderpriority") == "1-URGENT", "CRITICAL")
-           .when(F.col("o_orderpriority") == "2-HIGH", "HIGH")
-           .when(F.col("o_orderpriority") == "3-MEDIUM", "MEDIUM")
-           .otherwise("LOW"))
-    cvss = F.when(key % 11 == 0, F.lit(None).cast("double")).otherwise(
-        (F.floor(F.col("o_totalprice")).cast("long") % 101).cast("double") / 10.0)
+def _raw_advisory_columns() -> list[str]:
+    """The RAW advisory columns as Spark SQL expressions over ``orders``."""
     return [
-        F.concat(F.lit("ADV-"), key.cast("string")).alias("ghsa_id"),
-        F.when(key % 7 == 0, F.lit(None).cast("string")).otherwise(
-            F.concat(F.lit("CVE-"), F.year("o_orderdate").cast("string"), F.lit("-"),
-                     key.cast("string"))).alias("cve_id"),
-        F.concat(word("o_custkey", SUMMARY_WORDS), F.lit(" in module "),
-                 F.col("o_custkey").cast("string")).alias("summary"),
-        F.concat(F.lit("status "), F.col("o_orderstatus")).alias("description"),
-        sev.alias("severity"),
-        cvss.alias("cvss_score"),
-        F.lit(None).cast("string").alias("cvss_vector_string"),
-        F.col("o_orderdate").alias("published_at"),
-        F.col("o_orderdate").alias("updated_at"),
-        F.when(key % 29 == 0, F.col("o_orderdate")).alias("withdrawn_at"),
-        F.concat(F.lit("https://advisories.example/ADV-"), key.cast("string")).alias("html_url"),
-        F.lit(0).cast("long").alias("credits_count"),
-        F.lit("github_rest").alias("source_api"),
-        F.col("o_orderdate").alias("ingested_at"),
+        "concat('ADV-', CAST(o_orderkey AS STRING)) AS ghsa_id",
+        "CASE WHEN o_orderkey % 7 = 0 THEN CAST(NULL AS STRING) ELSE concat('CVE-', CAST(year(o_orderdate) AS STRING),"
+        " '-', CAST(o_orderkey AS STRING)) END AS cve_id",
+        f"concat({S.word('o_custkey', SUMMARY_WORDS, S.SPARK)}, ' in module ', CAST(o_custkey AS STRING)) AS summary",
+        "concat('status ', o_orderstatus) AS description",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'CRITICAL' WHEN '2-HIGH' THEN 'HIGH'"
+        " WHEN '3-MEDIUM' THEN 'MEDIUM' ELSE 'LOW' END AS severity",
+        "CASE WHEN o_orderkey % 11 = 0 THEN CAST(NULL AS DOUBLE)"
+        " ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 101 AS DOUBLE) / CAST(10 AS DOUBLE) END AS cvss_score",
+        "CAST(NULL AS STRING) AS cvss_vector_string",
+        "o_orderdate AS published_at",
+        "o_orderdate AS updated_at",
+        "CASE WHEN o_orderkey % 29 = 0 THEN o_orderdate END AS withdrawn_at",
+        "concat('https://advisories.example/ADV-', CAST(o_orderkey AS STRING)) AS html_url",
+        "CAST(0 AS BIGINT) AS credits_count",
+        "'github_rest' AS source_api",
+        "o_orderdate AS ingested_at",
     ]
 
 
 def raw_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW advisory rows (one per order), reference column names, lower case."""
-    return table(spark, sf_dir, "orders").select(*_raw_advisory_columns())
+    return table(spark, sf_dir, "orders").selectExpr(*_raw_advisory_columns())
 
 
 def advisory_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +106,7 @@ def advisory_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each document carries two affected packages taken from the order's own
     columns, so the nested arrays exist without any grouping.
     """
-    o = spread(table(spark, sf_dir, "orders")).select(*_raw_advisory_columns(), "o_orderkey", "o_custkey")
+    o = spread(table(spark, sf_dir, "orders")).selectExpr(*_raw_advisory_columns(), "o_orderkey", "o_custkey")
     key = F.col("o_orderkey")
     vulns = F.array(
         F.struct(F.struct(word("o_custkey", PACKAGE_ECOSYSTEMS).alias("ecosystem"),
