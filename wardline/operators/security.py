@@ -122,16 +122,18 @@ def security_summary(anomalies: DataFrame, role_risks: DataFrame, exposure: Data
                      as_of: _dt.datetime) -> DataFrame:
     """Four global counts in one row and a traffic-light status.
 
-    Each input is reduced by a global aggregate (combined map-side) to one
-    row; the three one-row frames are then cross-joined, which is a 1×1×1
-    broadcast nested loop. Exposure statuses are counted in one pass.
+    The three inputs are tagged, unioned (one narrow column each) and counted
+    by one global aggregate, combined map-side; no join is involved and the
+    exposure statuses are counted in the same pass.
     """
-    a = anomalies.agg(F.count(F.lit(1)).alias("total_anomalies"))
-    r = role_risks.agg(F.count(F.lit(1)).alias("total_role_risks"))
-    p = exposure.agg(
-        F.count(F.when(F.col("exposure_status") == R.EXPOSED, 1)).alias("total_exposed_columns"),
-        F.count(F.when(F.col("exposure_status") == R.PROTECTED, 1)).alias("total_protected_columns"))
-    row = a.crossJoin(r).crossJoin(p)
+    u = (anomalies.select(F.lit("q").alias("_src"), F.lit(None).cast("string").alias("_status"))
+         .unionByName(role_risks.select(F.lit("r").alias("_src"), F.lit(None).cast("string").alias("_status")))
+         .unionByName(exposure.select(F.lit("p").alias("_src"), F.col("exposure_status").alias("_status"))))
+    src, st = F.col("_src"), F.col("_status")
+    row = u.agg(F.count(F.when(src == "q", 1)).alias("total_anomalies"),
+                F.count(F.when(src == "r", 1)).alias("total_role_risks"),
+                F.count(F.when((src == "p") & (st == R.EXPOSED), 1)).alias("total_exposed_columns"),
+                F.count(F.when((src == "p") & (st == R.PROTECTED), 1)).alias("total_protected_columns"))
     status = (F.when((F.col("total_anomalies") == 0) & (F.col("total_role_risks") == 0)
                      & (F.col("total_exposed_columns") == 0), R.HEALTH_GREEN)
               .when((F.col("total_exposed_columns") > 0) | (F.col("total_role_risks") > 0), R.HEALTH_AMBER)

@@ -48,15 +48,19 @@ def write_text(df: DataFrame, path: str, text_col: str = "brief_text") -> None:
     df.select(F.col(text_col).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
-def materialize(df: DataFrame, layer: str, name: str, kind: str = "table") -> DataFrame:
-    """A model as a view (recomputed on read) or a table (written once, lineage cut)."""
+def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep: int = 2) -> DataFrame:
+    """A model as a view (recomputed on read) or a table (written once, lineage cut).
+
+    Tables are committed as a new version (see ``commit_version``), so a
+    failed rebuild leaves the previous model readable.
+    """
     spark = df.sparkSession
     db = ensure_schema(spark, layer)
     full = f"{db}.{name}"
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    df.write.format("parquet").mode("overwrite").saveAsTable(full)
+    commit_version(df, full, keep=keep)
     return spark.table(full)
 
 
@@ -75,12 +79,13 @@ def current_version(spark: SparkSession, name: str) -> int | None:
 
 
 def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                   bucket_by: tuple[int, str] | None = None) -> int:
+                   bucket_by: tuple[int, str] | None = None, keep: int | None = None) -> int:
     """Write ``df`` as the next version of ``name`` and repoint the view at it.
 
     ``bucket_by=(n, key)`` stores the version in ``n`` buckets sorted by
     ``key``: the next upsert or history step joins on that key without
     shuffling the stored side (only the incoming batch is shuffled).
+    ``keep`` drops all but the newest ``keep`` versions after the switch.
     """
     spark = df.sparkSession
     nxt = (current_version(spark, name) or 0) + 1
@@ -92,6 +97,9 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
         w = w.bucketBy(n, key).sortBy(key)
     w.saveAsTable(f"{name}__v{nxt}")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}__v{nxt}")
+    if keep:
+        for old in _versions(spark, name)[:-keep]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}__v{old}")
     return nxt
 
 
