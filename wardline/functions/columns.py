@@ -137,9 +137,15 @@ def div_round_half_up(num: Column | str, den: int) -> Column:
 # ---------------------------------------------------------------- time
 
 def hour_boundaries(start: Column | str, end: Column | str) -> Column:
-    """Number of hour boundaries crossed from start to end (10:59 → 11:01 is 1)."""
-    return F.timestamp_diff("HOUR", F.date_trunc("HOUR", _col(start)),
-                           F.date_trunc("HOUR", _col(end))).cast("long")
+    """Number of hour boundaries crossed from start to end (10:59 → 11:01 is 1).
+
+    Counted on the wall clock of the zone-less timestamps (calendar days × 24
+    plus the difference of the hour fields), so the session zone does not
+    enter.
+    """
+    a, b = _col(start), _col(end)
+    return (F.datediff(F.to_date(b), F.to_date(a)).cast("long") * 24
+            + (F.hour(b) - F.hour(a)).cast("long"))
 
 
 def day_boundaries(start: Column | str, end: Column | str) -> Column:
