@@ -290,3 +290,17 @@ def test_contract_rejects_wrong_types(spark):
     df = spark.createDataFrame([("x",)], "advisory_id string")
     with pytest.raises(K.ContractError):
         K.enforce_contract(df, K.CRITICAL_CONTRACT, "m")
+
+
+def test_explode_packages_from_variant(spark):
+    raw = spark.createDataFrame([("A1", '[{"package":{"ecosystem":"npm","name":"x"}}]'), ("A2", "[]")],
+                                "ghsa_id string, affected_packages string")
+    v = raw.select("ghsa_id", F.parse_json("affected_packages").alias("affected_packages"))
+    assert [(r.ghsa_id, r.ecosystem) for r in M.explode_packages(v).collect()] == [("A1", "npm")]
+
+
+def test_scale_conf_sizes_partitions():
+    from wardline.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100000
+    assert int(scale_conf(1024 ** 3, total_cores=64)["spark.sql.shuffle.partitions"]) == 192

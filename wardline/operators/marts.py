@@ -74,7 +74,7 @@ def explode_packages(raw: DataFrame, packages_col: str = "affected_packages",
     if isinstance(dtype, T.StringType):
         arr = F.from_json(col, _PACKAGE_ARRAY)
     elif isinstance(dtype, T.VariantType):
-        arr = F.from_json(F.to_json(col), _PACKAGE_ARRAY)
+        arr = F.try_variant_get(col, "$", _PACKAGE_ARRAY.simpleString())
     else:
         arr = col
     return (raw.select(F.col(id_col).alias("ghsa_id"), F.explode(arr).alias("p"))

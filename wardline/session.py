@@ -27,6 +27,31 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: float, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 ** 2,
+               shuffle_ratio: float = 0.25, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and post-shuffle partitions both aim at ``target_partition_bytes``
+    so a task's working set fits executor memory without spilling. The
+    shuffle volume is taken as ``shuffle_ratio`` of the input (column pruning
+    and map-side aggregation shrink it); the initial partition count is at
+    least 3 waves of the cluster's cores and at most ``max_shuffle_partitions``
+    (map outputs × reducers must stay manageable). AQE then coalesces small
+    partitions and splits skewed join partitions.
+    """
+    by_size = int(shuffle_ratio * input_bytes // target_partition_bytes) + 1
+    shuffle = min(max(3 * total_cores, by_size), max(max_shuffle_partitions, 3 * total_cores))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def get_session(master: str | None = None, app: str = "wardline",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
