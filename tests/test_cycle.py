@@ -58,3 +58,19 @@ def test_landing_stream_upserts(spark, scratch):
     assert t.count() == docs.count()
     assert t.groupBy("ghsa_id").count().where("count > 1").count() == 0
     assert dict(t.dtypes)["published_at"] == "timestamp_ntz"
+
+
+def test_command_line_run(spark, scratch):
+    from wardline.__main__ import main
+    landing = os.path.join(scratch, "cli_landing")
+    A.advisory_json(spark, SF_SMALL).select(F.col("json").alias("value")).write.text(landing)
+    plans = os.path.join(scratch, "plans")
+    A.plan_logs(spark, SF_SMALL).write.parquet(plans)
+    facts = main(["--landing", landing, "--as-of", "2001-08-15T00:00:00", "--since", "1998-01-01",
+                  "--plans", plans, "--skip-brief"])
+    raw = spark.table("raw.raw_github_advisories")
+    assert raw.where("lower(severity) NOT IN ('critical', 'high')").count() == 0
+    assert raw.where("updated_at < TIMESTAMP_NTZ'1998-01-01 00:00:00'").count() == 0
+    assert raw.count() > 0 and facts["cve_count"] <= raw.count()
+    assert dict(raw.dtypes)["affected_packages"] == "variant"
+    assert spark.table("marts.mart_ecosystem_risk").count() == 4

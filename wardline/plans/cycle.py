@@ -52,7 +52,8 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
               packages: DataFrame | None = None,
               query_log: DataFrame | None = None, grants: DataFrame | None = None,
               logins: DataFrame | None = None, columns: DataFrame | None = None,
-              plan_logs: DataFrame | None = None, brief_path: str | None = None) -> dict:
+              plan_logs: DataFrame | None = None, brief_path: str | None = None,
+              skip_anomaly: bool = False, skip_brief: bool = False, skip_drift: bool = False) -> dict:
     """Run the cycle once for ``as_of``; returns a few one-row facts."""
     for layer in ("intermediate", "marts", "monitoring", "security", "snapshots"):
         TB.ensure_schema(spark, layer)
@@ -79,15 +80,16 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
               .unionByName(K.expect_unique(eco, "ecosystem_name", "mart_ecosystem_risk")))
     TB.append(checks.select("*", stamp), "monitoring.dq_results")
 
-    anomalies = Z.summary_anomalies(summary, as_of)
-    TB.append(anomalies, "security.vulnerability_anomalies")
+    if not skip_anomaly:
+        TB.append(Z.summary_anomalies(summary, as_of), "security.vulnerability_anomalies")
 
     brief = B.threat_brief(summary, critical, eco, health, as_of)
-    TB.append(brief, "security.threat_briefs")
-    if brief_path:
-        TB.write_text(brief, f"{brief_path}/threat_brief_{as_of.date().isoformat()}")
+    if not skip_brief:
+        TB.append(brief, "security.threat_briefs")
+        if brief_path:
+            TB.write_text(brief, f"{brief_path}/threat_brief_{as_of.date().isoformat()}")
 
-    if plan_logs is not None:
+    if plan_logs is not None and not skip_drift:
         TB.append(D.drift_records(plan_logs).drop(*[c for c in ("run_id", "environment")
                                                    if c in plan_logs.columns]),
                   "security.infrastructure_drift")
@@ -111,7 +113,8 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
 
     row = brief.select("cve_count", "critical_count", "top_ecosystem", "pipeline_status").first()
     facts.update(row.asDict())
-    facts["anomalies"] = spark.table("security.vulnerability_anomalies").where(
-        F.col("detected_at") == ts_ntz(as_of)).count()
+    if not skip_anomaly:
+        facts["anomalies"] = spark.table("security.vulnerability_anomalies").where(
+            F.col("detected_at") == ts_ntz(as_of)).count()
     log.info("cycle %s: %s", as_of, facts)
     return facts
