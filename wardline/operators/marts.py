@@ -139,15 +139,11 @@ def pipeline_health(df: DataFrame, source_table: str, ts_col: str,
         F.count(F.when(ts >= now - F.expr("INTERVAL 7 DAYS"), 1)).alias("rows_last_7d"))
     hours = hour_boundaries(F.col("last_ingested_at"), now)
     avg_daily = div_round_half_up("rows_last_7d", 7)
-    m = (m.withColumn("hours_since_last_load", hours)
-          .withColumn("avg_daily_rows_7d", avg_daily)
-          .withColumn("is_fresh", F.coalesce(F.col("hours_since_last_load") <= R.FRESH_HOURS, F.lit(False)))
-          .withColumn("is_row_count_normal",
-                      F.coalesce(F.col("rows_last_24h") >= F.col("avg_daily_rows_7d") * R.NORMAL_VOLUME_RATIO,
-                                 F.lit(False))))
+    fresh = F.coalesce(hours <= R.FRESH_HOURS, F.lit(False))
+    normal = F.coalesce(F.col("rows_last_24h") >= avg_daily * R.NORMAL_VOLUME_RATIO, F.lit(False))
     return m.select(
         F.lit(source_table).alias("source_table"),
-        "last_ingested_at", "hours_since_last_load", "total_rows", "rows_last_24h",
-        "rows_last_7d", "avg_daily_rows_7d", "is_fresh", "is_row_count_normal",
-        _health_status(F.col("is_fresh"), F.col("is_row_count_normal")).alias("pipeline_status"),
+        "last_ingested_at", hours.alias("hours_since_last_load"), "total_rows", "rows_last_24h",
+        "rows_last_7d", avg_daily.alias("avg_daily_rows_7d"), fresh.alias("is_fresh"),
+        normal.alias("is_row_count_normal"), _health_status(fresh, normal).alias("pipeline_status"),
         now.alias("checked_at"))

@@ -26,11 +26,11 @@ class ContractError(ValueError):
 def _check_rows(df: DataFrame, model: str, test: str, counts: dict[str, "F.Column"]) -> DataFrame:
     """One scan computing several failure counts, returned as rows (model, column, test, failures)."""
     agg = df.agg(*[c.cast("long").alias(f"_f{i}") for i, c in enumerate(counts.values())])
-    pairs = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(f"_f{i}").alias("failures"))
-                      for i, name in enumerate(counts)])
-    return agg.select(F.explode(pairs).alias("r")).select(
-        F.lit(model).alias("model"), F.col("r.column_name"), F.lit(test).alias("test"),
-        F.coalesce(F.col("r.failures"), F.lit(0)).alias("failures"))
+    rows = F.array(*[F.struct(F.lit(model).alias("model"), F.lit(name).alias("column_name"),
+                              F.lit(test).alias("test"),
+                              F.coalesce(F.col(f"_f{i}"), F.lit(0).cast("long")).alias("failures"))
+                     for i, name in enumerate(counts)])
+    return agg.select(F.inline(rows))
 
 
 def expect_not_null(df: DataFrame, columns: Sequence[str], model: str = "model") -> DataFrame:
