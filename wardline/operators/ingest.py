@@ -18,15 +18,25 @@ def filter_in_ci(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     return df.where(F.lower(F.coalesce(F.col(col), F.lit(""))).isin(*[v.lower() for v in values]))
 
 
-def cap_per_group(df: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:
+def cap_per_group(df: DataFrame, group: str, order: Sequence[str], n: int, salts: int = 16) -> DataFrame:
     """At most ``n`` rows per group, the first ones by ``order``.
 
-    ``row_number() <= n`` over a window: Spark plans a partial
-    WindowGroupLimit before the shuffle, so each map task forwards at most
-    ``n`` rows per group and a hot group never lands whole in one task.
+    ``row_number() <= n`` lets Spark insert a partial WindowGroupLimit before
+    each shuffle, so map tasks forward at most ``n`` rows per group. With
+    ``salts`` > 1 the limit runs twice: first per (group, salt) where the salt
+    is a hash of the row's order key, then per group over the survivors. The
+    first n of a group are among the first n of each salt slice, so the
+    result is the same, but the last task of a hot group sees at most
+    ``n * salts`` rows instead of ``n`` per map task of the whole input.
     """
-    w = Window.partitionBy(group).orderBy(*[F.col(c) for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    keys = [F.col(c) for c in order]
+    out = df
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(*keys), F.lit(salts))
+        w1 = Window.partitionBy(F.col(group), salt).orderBy(*keys)
+        out = out.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= n).drop("_rn")
+    w = Window.partitionBy(group).orderBy(*keys)
+    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
