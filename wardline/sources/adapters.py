@@ -42,13 +42,13 @@ BATCH_UPDATED_SINCE = _dt.date(1999, 7, 1)
 HISTORY_FIRST_AS_OF = _dt.date(2000, 12, 31)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The read (file listing, footer) is done once per session and path."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)
