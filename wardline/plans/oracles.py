@@ -258,7 +258,8 @@ parsed AS (
 drift AS (
   SELECT run_id, environment, checked_at, exit_code = {R.PLAN_EXIT_DRIFT} AS drift_detected,
          {', '.join(f"CAST(coalesce(TRY_CAST(regexp_extract(stdout, {S.q(R.PLAN_SUMMARY_PATTERN)}, {i}) AS BIGINT), 0) AS BIGINT) AS resources_to_{n}" for i, n in ((1, 'add'), (2, 'change'), (3, 'destroy')))},
-         to_json({{'changed_resources': list_filter(names, lambda x, i: NOT list_contains(names[1:i-1], x))}}) AS drift_details,
+         CAST(to_json({{'changed_resources': list_filter(names, lambda x, i: NOT list_contains(names[1:i-1], x))}})
+              AS VARCHAR) AS drift_details,
          substring(stdout, 1, {R.PLAN_TEXT_LIMIT}) AS raw_plan_output
   FROM parsed)"""
 
