@@ -74,3 +74,14 @@ def test_command_line_run(spark, scratch):
     assert raw.count() > 0 and facts["cve_count"] <= raw.count()
     assert dict(raw.dtypes)["affected_packages"] == "variant"
     assert spark.table("marts.mart_ecosystem_risk").count() == 4
+
+
+def test_rerun_of_same_cycle_is_idempotent(spark, scratch):
+    from wardline.sources.tables import append_run
+    import datetime as _dt
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    append_run(df, "rerun_probe", _dt.datetime(2024, 1, 1))
+    append_run(df, "rerun_probe", _dt.datetime(2024, 1, 2))
+    append_run(df.limit(1), "rerun_probe", _dt.datetime(2024, 1, 1))     # retry of run 1 replaces it
+    got = {(str(r.run_at), r.k) for r in spark.table("rerun_probe").collect()}
+    assert got == {("2024-01-01 00:00:00", "a"), ("2024-01-02 00:00:00", "a"), ("2024-01-02 00:00:00", "b")}

@@ -71,28 +71,27 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
                                 K.HEALTH_CONTRACT, "mart_pipeline_health")
     health = TB.materialize(health, "monitoring", "mart_pipeline_health")
 
-    stamp = ts_ntz(as_of).alias("run_at")
     checks = (K.expect_not_null(enriched, ["advisory_id", "age_bucket", "age_risk_multiplier",
                                            "vulnerability_category", "composite_risk_score"],
                                 "int_vulnerabilities_enriched")
               .unionByName(K.expect_unique(enriched, "advisory_id", "int_vulnerabilities_enriched"))
               .unionByName(K.expect_in(enriched, "age_bucket", R.AGE_LABELS, "int_vulnerabilities_enriched"))
               .unionByName(K.expect_unique(eco, "ecosystem_name", "mart_ecosystem_risk")))
-    TB.append(checks.select("*", stamp), "monitoring.dq_results")
+    TB.append_run(checks, "monitoring.dq_results", as_of)
 
     if not skip_anomaly:
-        TB.append(Z.summary_anomalies(summary, as_of), "security.vulnerability_anomalies")
+        TB.append_run(Z.summary_anomalies(summary, as_of), "security.vulnerability_anomalies", as_of)
 
     brief = B.threat_brief(summary, critical, eco, health, as_of)
     if not skip_brief:
-        TB.append(brief, "security.threat_briefs")
+        TB.append_run(brief, "security.threat_briefs", as_of)
         if brief_path:
             TB.write_text(brief, f"{brief_path}/threat_brief_{as_of.date().isoformat()}")
 
     if plan_logs is not None and not skip_drift:
-        TB.append(D.drift_records(plan_logs).drop(*[c for c in ("run_id", "environment")
-                                                   if c in plan_logs.columns]),
-                  "security.infrastructure_drift")
+        TB.append_run(D.drift_records(plan_logs).drop(*[c for c in ("run_id", "environment")
+                                                       if c in plan_logs.columns]),
+                      "security.infrastructure_drift", as_of)
 
     _snapshot(spark, "snapshots.snap_ecosystem_risk", eco.select(*R.SNAP_ECOSYSTEM_COLUMNS),
               R.SNAP_ECOSYSTEM_KEY, R.SNAP_ECOSYSTEM_CHECKS, as_of)

@@ -43,6 +43,30 @@ def append(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("append").saveAsTable(name)
 
 
+def append_run(df: DataFrame, name: str, run_at, run_col: str = "run_at") -> None:
+    """Add one run's rows to a result table partitioned by run time.
+
+    Writing the same run again replaces that run's partition (dynamic
+    partition overwrite) instead of duplicating its rows, so a retried cycle
+    is idempotent; other runs are untouched.
+    """
+    from ..functions.columns import ts_ntz
+
+    out = df.withColumn(run_col, ts_ntz(run_at))
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        out.write.format("parquet").partitionBy(run_col).saveAsTable(name)
+        return
+    cols = [f.name for f in spark.table(name).schema.fields]
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        out.select(*cols).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_text(df: DataFrame, path: str, text_col: str = "brief_text") -> None:
     """Write a small text result (one row per line file) to ``path``."""
     df.select(F.col(text_col).alias("value")).coalesce(1).write.mode("overwrite").text(path)
