@@ -360,11 +360,13 @@ ORACLES.update({
        CAST(CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 0 END AS BIGINT) AS credits_count,
        {S.q(R.REST_SOURCE)} AS source_api, {ORDERS_TS} AS ingested_at
 FROM (SELECT {RAW_FULL}, o_orderkey, o_custkey FROM orders)""",
-    "explode_packages": f"""WITH d AS (SELECT 'ADV-' || o_orderkey AS ghsa_id, o_orderkey, o_custkey FROM orders
-           WHERE o_orderkey % 5 <> 0),
-p AS (SELECT ghsa_id, {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} AS ecosystem, 'pkg' || o_custkey AS package_name FROM d
+    "explode_packages": f"""WITH d AS (SELECT 'ADV-' || o_orderkey AS ghsa_id, o_orderkey, o_custkey,
+                  o_orderkey % 5 <> 0 AS has_packages FROM orders),
+p AS (SELECT ghsa_id, CASE WHEN has_packages THEN {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS ecosystem,
+             'pkg' || o_custkey AS package_name FROM d
       UNION ALL
-      SELECT ghsa_id, {S.word('o_orderkey', A.PACKAGE_ECOSYSTEMS)}, 'lib' || o_orderkey FROM d)
+      SELECT ghsa_id, CASE WHEN has_packages THEN {S.word('o_orderkey', A.PACKAGE_ECOSYSTEMS)} END,
+             'lib' || o_orderkey FROM d)
 SELECT * FROM p WHERE ecosystem IS NOT NULL AND ecosystem <> ''""",
     "unwrap_cve_pages": """SELECT 'CVE-' || year(o_orderdate) || '-' || o_orderkey || sfx AS cve_id,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS published, o_orderstatus AS vuln_status,
