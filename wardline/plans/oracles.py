@@ -493,3 +493,63 @@ SELECT * FROM snap WHERE valid_from <= {ts(C.AS_OF_READ)}
     "dq_freshness": _freshness("events", "events", "ts", EVENTS_AS_OF) + "\nUNION ALL\n"
     + _freshness("RAW_GITHUB_ADVISORIES", f"(SELECT {RAW_FULL} FROM orders)", "ingested_at", ORDERS_TS),
 })
+
+
+def _threat_brief() -> str:
+    from ..operators import brief as BR
+    eco = " || ".join("top_ecosystem" if p == "{eco}" else "CAST(top_ecosystem_critical AS VARCHAR)"
+                      if p == "{n}" else S.q(p) for p in BR.ACTION_ECOSYSTEM)
+    ts_fmt = "'%Y-%m-%d %H:%M:%S'"
+    cap = "upper(substring(coalesce(severity, 'unknown'), 1, 1)) || lower(substring(coalesce(severity, 'unknown'), 2))"
+    return f"""{BRIEF_BASE},
+tl AS (
+  SELECT coalesce(string_agg(line, chr(10) ORDER BY k1, k2), '') AS threat_lines FROM (
+    SELECT -composite_risk_score AS k1, advisory_id AS k2,
+           concat_ws(' | ', coalesce(cve_id, 'N/A'), CAST(composite_risk_score AS VARCHAR), severity,
+                     CAST(days_since_published AS VARCHAR) || ' days', vulnerability_category,
+                     substring(coalesce(summary, ''), 1, 47)) AS line
+    FROM (SELECT * FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT {R.TOP_THREATS}))),
+el AS (
+  SELECT coalesce(string_agg(line, chr(10) ORDER BY k1, k2), '') AS eco_lines FROM (
+    SELECT -avg_risk_score AS k1, ecosystem_name AS k2,
+           ecosystem_name || ' avg risk ' || CAST(avg_risk_score AS VARCHAR) || ', '
+             || CAST(critical_count AS VARCHAR) || ' critical CVEs' AS line
+    FROM (SELECT * FROM eco ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT {R.TOP_ECOSYSTEMS}))),
+sl AS (
+  SELECT coalesce(string_agg(line, chr(10) ORDER BY k1, k2), '') AS sev_lines FROM (
+    SELECT {S.order_rank('severity', R.SEVERITIES)} AS k1, severity AS k2,
+           {cap} || ' ' || CAST(CAST(sum(total_count) AS BIGINT) AS VARCHAR) AS line
+    FROM summ GROUP BY severity)),
+al AS (
+  SELECT concat_ws(chr(10),
+           CASE WHEN chronic_count > {R.CHRONIC_ACTION_MIN}
+                THEN CAST(chronic_count AS VARCHAR) || {S.q(BR.ACTION_CHRONIC)} END,
+           CASE WHEN top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN} THEN {eco} END,
+           CASE WHEN pipeline_status <> 'healthy' THEN {S.q(BR.ACTION_PIPELINE)} END,
+           {S.q(BR.ACTION_REMINDER)}) AS action_lines
+  FROM facts)
+SELECT md5('brief|' || strftime({ORDERS_TS}, {ts_fmt})) AS brief_id, {ORDERS_TS} AS generated_at,
+       total_cves AS cve_count, critical_count, top_ecosystem, pipeline_status,
+       concat_ws(chr(10),
+         'WEEKLY SECURITY THREAT BRIEF',
+         'Generated: ' || strftime({ORDERS_TS}, '%Y-%m-%d %H:%M') || ' UTC',
+         'Data as of: ' || strftime(last_ingested_at, {ts_fmt}) || ' UTC',
+         '', 'EXECUTIVE SUMMARY',
+         'Platform analyzed ' || CAST(total_rows AS VARCHAR) || ' vulnerabilities.',
+         CAST(critical_count AS VARCHAR) || ' critical threats detected across ' || CAST(eco_count AS VARCHAR)
+           || ' ecosystems.',
+         'Pipeline status: ' || pipeline_status || '.',
+         '', 'TOP 5 CRITICAL THREATS', threat_lines,
+         '', 'ECOSYSTEM RISK RANKING', eco_lines,
+         '', 'SEVERITY BREAKDOWN', sev_lines,
+         '', 'TREND INDICATORS',
+         'Age distribution: ' || CAST(new_count AS VARCHAR) || ' new / ' || CAST(recent_count AS VARCHAR)
+           || ' recent / ' || CAST(aging_count AS VARCHAR) || ' aging / ' || CAST(chronic_count AS VARCHAR)
+           || ' chronic',
+         'Highest single risk score this period: ' || CAST(max_score AS VARCHAR),
+         'Most affected ecosystem: ' || top_ecosystem,
+         '', 'RECOMMENDED ACTIONS', action_lines) AS brief_text
+FROM facts, tl, el, sl, al"""
+
+
+ORACLES["threat_brief"] = _threat_brief()
