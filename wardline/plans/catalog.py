@@ -110,6 +110,11 @@ def cve_item_view(spark: SparkSession, d: str) -> DataFrame:
         F.get_json_object("record", "$.vulnStatus").alias("vuln_status"), "fetched_at")
 
 
+def node_view(spark: SparkSession, d: str) -> DataFrame:
+    return L.unwrap_nodes(A.graphql_page_json(spark, d)).select(
+        "ghsa_id", F.get_json_object("record", "$.severity").alias("severity"), "fetched_at")
+
+
 # ------------------------------------------------------------------ ingest
 
 def listing(spark: SparkSession, d: str) -> DataFrame:
@@ -288,6 +293,7 @@ QUERIES: dict[str, Query] = {
     "flatten_advisory_json": flatten_view,
     "explode_packages": exploded_packages,
     "unwrap_cve_pages": cve_item_view,
+    "unwrap_advisory_nodes": node_view,
     "typed_load": typed_view,
     # ingest
     "severity_filter": severity_filtered,

@@ -372,6 +372,10 @@ SELECT * FROM p WHERE ecosystem IS NOT NULL AND ecosystem <> ''""",
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS published, o_orderstatus AS vuln_status,
        o_orderdate AS fetched_at
 FROM (SELECT *, '' AS sfx FROM orders UNION ALL SELECT *, '-R' AS sfx FROM orders)""",
+    "unwrap_advisory_nodes": """SELECT 'ADV-' || o_orderkey AS ghsa_id, o_orderpriority AS severity, o_orderdate AS fetched_at
+FROM orders
+UNION ALL
+SELECT 'ADV-' || o_orderkey || '-R', 'LOW', o_orderdate FROM orders""",
     "typed_load": f"""SELECT ghsa_id, published_at, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE updated_at END AS updated_at,
        withdrawn_at, {ORDERS_TS} AS ingested_at,
        CASE WHEN o_orderkey % 5 <> 0 THEN {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS first_ecosystem,

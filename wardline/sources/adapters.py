@@ -160,6 +160,23 @@ def cve_page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("fetched_at"))
 
 
+def graphql_page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed GraphQL result pages: one page per order holding two advisory nodes."""
+    o = spread(table(spark, sf_dir, "orders"))
+    k = F.col("o_orderkey").cast("string")
+
+    def node(suffix: str, severity):
+        return F.struct(F.concat(F.lit("ADV-"), k, F.lit(suffix)).alias("ghsaId"),
+                        severity.alias("severity"),
+                        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updatedAt"))
+
+    page = F.struct(F.struct((F.col("o_orderkey") % 2 == 0).alias("hasNextPage"),
+                             F.concat(F.lit("c"), k).alias("endCursor")).alias("pageInfo"),
+                    F.array(node("", F.col("o_orderpriority")), node("-R", F.lit("LOW"))).alias("nodes"))
+    return o.select(F.col("o_orderkey").alias("page_id"), F.to_json(page).alias("json"),
+                    F.col("o_orderdate").alias("fetched_at"))
+
+
 # ------------------------------------------------------------------ ingest lists
 
 def advisory_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
