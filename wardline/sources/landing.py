@@ -19,24 +19,18 @@ from ..functions.columns import ts_ntz
 S = T.StringType()
 
 PACKAGE = T.StructType([T.StructField("ecosystem", S), T.StructField("name", S)])
+# Nested arrays are read as text (a string field keeps the raw JSON of an
+# array or object), so the stored lists keep every field they arrived with.
 ADVISORY_DOC = T.StructType([
     T.StructField("ghsa_id", S), T.StructField("cve_id", S), T.StructField("summary", S),
     T.StructField("description", S), T.StructField("severity", S),
     T.StructField("cvss", T.StructType([T.StructField("score", T.DoubleType()),
                                         T.StructField("vector_string", S)])),
-    T.StructField("cwes", T.ArrayType(T.StructType([T.StructField("cwe_id", S), T.StructField("name", S)]))),
-    T.StructField("vulnerabilities", T.ArrayType(T.StructType([
-        T.StructField("package", PACKAGE), T.StructField("vulnerable_version_range", S)]))),
-    T.StructField("credits", T.ArrayType(T.StructType([T.StructField("login", S)]))),
+    T.StructField("cwes", S), T.StructField("vulnerabilities", S), T.StructField("credits", S),
     T.StructField("published_at", S), T.StructField("updated_at", S), T.StructField("withdrawn_at", S),
     T.StructField("html_url", S),
 ])
 
-GRAPHQL_NODE = T.StructType([
-    T.StructField("ghsaId", S), T.StructField("summary", S), T.StructField("description", S),
-    T.StructField("severity", S), T.StructField("publishedAt", S), T.StructField("updatedAt", S),
-    T.StructField("withdrawnAt", S),
-])
 GRAPHQL_PAGE = T.StructType([
     T.StructField("pageInfo", T.StructType([T.StructField("hasNextPage", T.BooleanType()),
                                             T.StructField("endCursor", S)])),
@@ -53,8 +47,7 @@ def flatten_advisories(docs: DataFrame, ingested_at: _dt.datetime, json_col: str
     types them.
     """
     d = F.from_json(F.col(json_col), ADVISORY_DOC)
-    empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("package", PACKAGE),
-                                                      T.StructField("vulnerable_version_range", S)])))
+    credits = F.from_json(F.col("d.credits"), "array<string>")
     return docs.select(d.alias("d"), F.col(json_col).alias("raw_json")).select(
         F.col("d.ghsa_id").alias("ghsa_id"),
         F.col("d.cve_id").alias("cve_id"),
@@ -63,15 +56,13 @@ def flatten_advisories(docs: DataFrame, ingested_at: _dt.datetime, json_col: str
         F.col("d.severity").alias("severity"),
         F.col("d.cvss.score").alias("cvss_score"),
         F.col("d.cvss.vector_string").alias("cvss_vector_string"),
-        F.to_json(F.coalesce(F.col("d.cwes"), F.array().cast("array<struct<cwe_id:string,name:string>>")))
-        .alias("cwes"),
-        F.to_json(F.coalesce(F.col("d.vulnerabilities"), empty)).alias("affected_packages"),
+        F.coalesce(F.col("d.cwes"), F.lit("[]")).alias("cwes"),
+        F.coalesce(F.col("d.vulnerabilities"), F.lit("[]")).alias("affected_packages"),
         F.col("d.published_at").alias("published_at"),
         F.col("d.updated_at").alias("updated_at"),
         F.col("d.withdrawn_at").alias("withdrawn_at"),
         F.col("d.html_url").alias("html_url"),
-        F.when(F.col("d.credits").isNull(), F.lit(0)).otherwise(F.size(F.col("d.credits")))
-        .cast("long").alias("credits_count"),
+        F.coalesce(F.size(credits), F.lit(0)).cast("long").alias("credits_count"),
         F.lit(R.REST_SOURCE).alias("source_api"),
         ts_ntz(ingested_at).alias("ingested_at"),
         F.col("raw_json"),
