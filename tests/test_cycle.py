@@ -85,3 +85,15 @@ def test_rerun_of_same_cycle_is_idempotent(spark, scratch):
     append_run(df.limit(1), "rerun_probe", _dt.datetime(2024, 1, 1))     # retry of run 1 replaces it
     got = {(str(r.run_at), r.k) for r in spark.table("rerun_probe").collect()}
     assert got == {("2024-01-01 00:00:00", "a"), ("2024-01-02 00:00:00", "a"), ("2024-01-02 00:00:00", "b")}
+
+
+def test_replayed_stream_batch_is_skipped(spark, scratch):
+    import datetime as _dt
+
+    from wardline.sources.tables import current_version
+    from wardline.streaming.landing import BATCH_PROPERTY, upsert_landed_batch
+    from wardline.sources.tables import version_property
+    docs = A.advisory_json(spark, SF_SMALL).select(F.col("json").alias("value")).limit(20)
+    v = upsert_landed_batch(docs, "replay_probe", _dt.datetime(2024, 1, 1), "ck#0")
+    assert version_property(spark, "replay_probe", BATCH_PROPERTY) == "ck#0"
+    assert current_version(spark, "replay_probe") == v

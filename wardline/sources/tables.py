@@ -103,13 +103,15 @@ def current_version(spark: SparkSession, name: str) -> int | None:
 
 
 def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                   bucket_by: tuple[int, str] | None = None, keep: int | None = None) -> int:
+                   bucket_by: tuple[int, str] | None = None, keep: int | None = None,
+                   properties: dict[str, str] | None = None) -> int:
     """Write ``df`` as the next version of ``name`` and repoint the view at it.
 
     ``bucket_by=(n, key)`` stores the version in ``n`` buckets sorted by
     ``key``: the next upsert or history step joins on that key without
     shuffling the stored side (only the incoming batch is shuffled).
     ``keep`` drops all but the newest ``keep`` versions after the switch.
+    ``properties`` are stored on the version (e.g. which stream batch wrote it).
     """
     spark = df.sparkSession
     nxt = (current_version(spark, name) or 0) + 1
@@ -120,6 +122,10 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
         n, key = bucket_by
         w = w.bucketBy(n, key).sortBy(key)
     w.saveAsTable(f"{name}__v{nxt}")
+    if properties:
+        esc = lambda x: str(x).replace("\\", "\\\\").replace("'", "\\'")
+        props = ", ".join(f"'{esc(k)}' = '{esc(v)}'" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {name}__v{nxt} SET TBLPROPERTIES ({props})")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}__v{nxt}")
     if keep:
         for old in _versions(spark, name)[:-keep]:
@@ -127,9 +133,18 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
     return nxt
 
 
+def version_property(spark: SparkSession, name: str, prop: str) -> str | None:
+    """A property of the current version of ``name`` (None when absent or unversioned)."""
+    v = current_version(spark, name)
+    if v is None:
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}__v{v}").collect()
+    return next((r.value for r in rows if r.key == prop), None)
+
+
 def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
                  update_cols: list[str] | None = None, dedupe_order: list[str] | None = None,
-                 buckets: int | None = None) -> int:
+                 buckets: int | None = None, properties: dict[str, str] | None = None) -> int:
     """Upsert ``source`` into the table ``name`` by ``key``.
 
     Tables of a format with row-level MERGE (a v2 catalog table) take a
@@ -142,7 +157,7 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
     src = newest_per_key(source, key, dedupe_order) if dedupe_order else source
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if current_version(spark, name) is None and not spark.catalog.tableExists(name):
-        return commit_version(src, name, bucket_by=(n, key))
+        return commit_version(src, name, bucket_by=(n, key), properties=properties)
     if update_cols is None and current_version(spark, name) is None:
         try:
             (src.alias("source").mergeInto(name, F.expr(f"{name}.{key} = source.{key}"))
@@ -152,7 +167,7 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
             if "MERGE" not in str(e).upper():
                 raise
     merged = upsert(spark.table(name), src, key, update_cols=update_cols)
-    return commit_version(merged, name, bucket_by=(n, key))
+    return commit_version(merged, name, bucket_by=(n, key), properties=properties)
 
 
 def read_versioned(spark: SparkSession, name: str, version: int | None = None) -> DataFrame:

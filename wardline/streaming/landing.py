@@ -4,9 +4,15 @@ The batch ingest (flatten → type → upsert by id) expressed as Structured
 Streaming: a file source over the landing folder (one JSON document per
 line), and ``foreachBatch`` applying the upsert to the versioned RAW table.
 Progress lives in the checkpoint location, so a restarted query resumes
-after the last committed batch; a batch that is retried after a failure
-re-applies the same upsert, which yields the same table (upsert twice =
-upsert once), except for the ingest stamp, which is the batch's own time.
+after the last committed batch. Each table version records the stream batch
+that wrote it; a batch replayed after a failure (written but not yet marked
+done in the checkpoint) finds its own mark and is skipped, so every batch is
+applied exactly once.
+
+Cost: on a plain Parquet table every applied batch writes a new table
+version, so run the stream with ``availableNow`` once per landing cycle (the
+surveyed system lands once a day), or point it at a table format with MERGE,
+which ``upsert_table`` uses when the table supports it.
 """
 
 from __future__ import annotations
@@ -19,29 +25,38 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import newest_per_key
 from ..sources.landing import flatten_advisories, type_raw
-from ..sources.tables import upsert_table
+from ..sources.tables import upsert_table, version_property
 
+BATCH_PROPERTY = "wardline.stream_batch"
 
-def upsert_landed_batch(batch: DataFrame, table: str, ingested_at: _dt.datetime) -> int:
+
+def upsert_landed_batch(batch: DataFrame, table: str, ingested_at: _dt.datetime,
+                        batch_token: str | None = None) -> int:
     """Flatten, dedupe (newest update per id), type, and upsert one batch; returns the version."""
     flat = flatten_advisories(batch.select(F.col("value").alias("json")), ingested_at)
     flat = newest_per_key(flat, "ghsa_id", ["updated_at"])        # dedupe while JSON is still text
-    return upsert_table(batch.sparkSession, table, type_raw(flat), "ghsa_id")
+    props = {BATCH_PROPERTY: batch_token} if batch_token else None
+    return upsert_table(batch.sparkSession, table, type_raw(flat), "ghsa_id", properties=props)
 
 
 def start_advisory_landing(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
-                           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the landing stream (``availableNow`` processes what is there and stops)."""
+                           interval: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the landing stream.
+
+    Without ``interval`` it processes what has landed and stops
+    (``availableNow``); with one (e.g. ``"1 day"``) it keeps running.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_dir)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        upsert_landed_batch(df, table, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        token = f"{checkpoint}#{batch_id}"
+        if df.isEmpty() or version_property(df.sparkSession, table, BATCH_PROPERTY) == token:
+            return                                              # nothing landed, or already applied
+        upsert_landed_batch(df, table, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), token)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
     return writer.start()
