@@ -8,7 +8,6 @@ rows meet the snapshot, in one full outer join on the key.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
