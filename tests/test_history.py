@@ -83,3 +83,16 @@ def test_snapshot_rejects_duplicate_keys(spark):
     dup = spark.createDataFrame([("x", 1), ("x", 2)], "k string, a long")
     with pytest.raises(ContractError):
         _snapshot(spark, "dup_hist", dup, "k", ["a"], _dt.datetime(2024, 1, 1))
+
+
+def test_key_states_counts_on_orders(spark):
+    import datetime as _dt
+
+    from wardline.sources import adapters as A
+    from .conftest import SF_MID
+    first = A.customer_order_stats(spark, SF_MID, A.HISTORY_FIRST_AS_OF)
+    h0 = N.scd2_initial(first, "custkey", A.HISTORY_FIRST_AS_OF)
+    now = A.customer_order_stats(spark, SF_MID, None)
+    counts = {r.state: r["count"] for r in N.key_states(h0, now, "custkey", ["order_count", "max_price"])
+              .groupBy("state").count().collect()}
+    assert counts == {"changed": 882, "new": 3, "unchanged": 615}

@@ -46,44 +46,28 @@ def scd2_check(history: DataFrame, current: DataFrame, key: str, check_cols: Seq
     Keys missing from the snapshot stay open unless ``invalidate_hard_deletes``.
     """
     t = _as_ts(as_of)
-    cols = [c for c in current.columns]
+    cols = list(current.columns)
     closed = history.where(F.col(VALID_TO).isNotNull())
-    open_ = history.where(F.col(VALID_TO).isNull())
-
-    h = open_.alias("h")
-    c = current.alias("c")
-    j = h.join(c, F.col(f"h.{key}") == F.col(f"c.{key}"), "full_outer")
-    in_h = F.col(f"h.{key}").isNotNull()
-    in_c = F.col(f"c.{key}").isNotNull()
-    changed = None
-    for col in check_cols:
-        d = ~F.col(f"h.{col}").eqNullSafe(F.col(f"c.{col}"))
-        changed = d if changed is None else (changed | d)
-    state = (F.when(in_h & in_c & changed, "changed")
-             .when(in_h & in_c, "unchanged")
-             .when(in_c, "new")
-             .otherwise("vanished"))
-    j = j.withColumn("_state", state)
-
-    hist_cols = [f"h.{x}" for x in cols] + [f"h.{VALID_FROM}", f"h.{SCD_ID}"]
-    # rows of the history side: kept open, or closed now
-    old_side = (j.where(F.col("_state").isin("changed", "unchanged", "vanished"))
-                .select(*[F.col(x) for x in hist_cols], "_state")
-                .withColumn(VALID_TO,
-                            F.when(F.col("_state") == "changed", t)
-                            .when((F.col("_state") == "vanished") & F.lit(invalidate_hard_deletes), t)
-                            .otherwise(F.lit(None).cast("timestamp_ntz")))
-                .drop("_state"))
-    # rows of the snapshot side: opened now
-    new_side = (j.where(F.col("_state").isin("changed", "new"))
-                .select(*[F.col(f"c.{x}").alias(x) for x in cols])
-                .withColumn(VALID_FROM, t)
-                .withColumn(VALID_TO, F.lit(None).cast("timestamp_ntz"))
-                .withColumn(SCD_ID, scd_id(F.col(key), t)))
+    j = _snapshot_join(history, current, key, check_cols)
+
+    state = F.col("_state")
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    # the stored row: kept open, or closed now
+    old_row = F.struct(*[F.col(f"h.{x}").alias(x) for x in cols],
+                       F.col(f"h.{VALID_FROM}").alias(VALID_FROM),
+                       F.when(state == "changed", t)
+                       .when((state == "vanished") & F.lit(invalidate_hard_deletes), t)
+                       .otherwise(null_ts).alias(VALID_TO),
+                       F.col(f"h.{SCD_ID}").alias(SCD_ID))
+    # the snapshot row: opened now
+    new_row = F.struct(*[F.col(f"c.{x}").alias(x) for x in cols], t.alias(VALID_FROM), null_ts.alias(VALID_TO),
+                       scd_id(F.col(f"c.{key}"), t).alias(SCD_ID))
+    # one pass over the join: each key emits its stored row, its new row, or both
+    rows = F.filter(F.array(F.when(state.isin("changed", "unchanged", "vanished"), old_row),
+                            F.when(state.isin("changed", "new"), new_row)),
+                    lambda r: r.isNotNull())
     order = cols + [VALID_FROM, VALID_TO, SCD_ID]
-    return (closed.select(*order)
-            .unionByName(old_side.select(*order))
-            .unionByName(new_side.select(*order)))
+    return closed.select(*order).unionByName(j.select(F.inline(rows)).select(*order))
 
 
 def as_of_view(history: DataFrame, ts) -> DataFrame:
@@ -92,8 +76,8 @@ def as_of_view(history: DataFrame, ts) -> DataFrame:
     return history.where((F.col(VALID_FROM) <= t) & (F.col(VALID_TO).isNull() | (t < F.col(VALID_TO))))
 
 
-def key_states(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[str]) -> DataFrame:
-    """Diagnostic: state of each key (changed / unchanged / new / vanished) for a snapshot."""
+def _snapshot_join(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[str]) -> DataFrame:
+    """Open history rows (alias ``h``) full-outer-joined to the snapshot (alias ``c``) with a ``_state``."""
     h = history.where(F.col(VALID_TO).isNull()).alias("h")
     c = current.alias("c")
     j = h.join(c, F.col(f"h.{key}") == F.col(f"c.{key}"), "full_outer")
@@ -102,6 +86,12 @@ def key_states(history: DataFrame, current: DataFrame, key: str, check_cols: Seq
         d = ~F.col(f"h.{col}").eqNullSafe(F.col(f"c.{col}"))
         changed = d if changed is None else (changed | d)
     in_h, in_c = F.col(f"h.{key}").isNotNull(), F.col(f"c.{key}").isNotNull()
-    return j.select(F.coalesce(F.col(f"h.{key}"), F.col(f"c.{key}")).alias(key),
-                    F.when(in_h & in_c & changed, "changed").when(in_h & in_c, "unchanged")
-                    .when(in_c, "new").otherwise("vanished").alias("state"))
+    state = (F.when(in_h & in_c & changed, "changed").when(in_h & in_c, "unchanged")
+             .when(in_c, "new").otherwise("vanished"))
+    return j.withColumn("_state", state)
+
+
+def key_states(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[str]) -> DataFrame:
+    """Diagnostic: state of each key (changed / unchanged / new / vanished) for a snapshot."""
+    j = _snapshot_join(history, current, key, check_cols)
+    return j.select(F.coalesce(F.col(f"h.{key}"), F.col(f"c.{key}")).alias(key), F.col("_state").alias("state"))
