@@ -59,7 +59,10 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
         TB.ensure_schema(spark, layer)
 
     staged = T.stage_advisories(raw, as_of.date())
-    enriched = TB.materialize(T.enrich_vulnerabilities(staged), "intermediate", "int_vulnerabilities_enriched")
+    # bucketed like the RAW table (by advisory id), so the package join is co-located
+    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), "advisory_id")
+    enriched = TB.materialize(T.enrich_vulnerabilities(staged), "intermediate", "int_vulnerabilities_enriched",
+                              bucket_by=buckets)
     if packages is None:
         packages = M.explode_packages(raw)
 

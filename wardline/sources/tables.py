@@ -72,11 +72,13 @@ def write_text(df: DataFrame, path: str, text_col: str = "brief_text") -> None:
     df.select(F.col(text_col).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
-def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep: int = 2) -> DataFrame:
+def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep: int = 2,
+                bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """A model as a view (recomputed on read) or a table (written once, lineage cut).
 
     Tables are committed as a new version (see ``commit_version``), so a
-    failed rebuild leaves the previous model readable.
+    failed rebuild leaves the previous model readable. ``bucket_by`` stores
+    the table bucketed by a key (joins on that key then skip its shuffle).
     """
     spark = df.sparkSession
     db = ensure_schema(spark, layer)
@@ -84,7 +86,7 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep:
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    commit_version(df, full, keep=keep)
+    commit_version(df, full, keep=keep, bucket_by=bucket_by)
     return spark.table(full)
 
 
