@@ -78,9 +78,12 @@ def advisory_outliers(enriched: DataFrame, packages: DataFrame, as_of: _dt.datet
                            as_of, threshold, digits)
 
 
-def anomaly_counts(anomalies: DataFrame) -> DataFrame:
-    """Outliers per group, most first."""
-    return anomalies.groupBy("ecosystem").agg(F.count(F.lit(1)).alias("anomaly_count"))
+def anomaly_counts(anomalies: DataFrame, ordered: bool = False) -> DataFrame:
+    """Outliers per group; ``ordered`` lists the most frequent first (for display)."""
+    out = anomalies.groupBy("ecosystem").agg(F.count(F.lit(1)).alias("anomaly_count"))
+    if ordered:
+        out = out.orderBy(F.col("anomaly_count").desc(), F.col("ecosystem"))
+    return out
 
 
 def group_value_outliers(df: DataFrame, partition: str, key: str, value: str,
