@@ -67,3 +67,20 @@ def test_episode_windows_are_per_slice(spark):
     p = plan(drift_episodes(drift_records(plan_logs(spark, SF_SMALL))))
     windows = re.findall(r"windowspecdefinition\(([^)]*)", p)
     assert windows and all("_b" in w or "environment" not in w for w in windows)
+
+
+def test_day_partitioned_log_is_pruned(spark, scratch):
+    import datetime as dt
+    import os
+
+    from pyspark.sql import functions as F
+
+    from wardline.operators.security import anomalous_queries
+    from wardline.sources.adapters import query_history
+    path = os.path.join(scratch, "qlog")
+    query_history(spark, SF_SMALL).withColumn("day", F.to_date("start_time")).write.partitionBy("day").parquet(path)
+    df = anomalous_queries(spark.read.parquet(path), dt.datetime(2024, 1, 31), day_col="day")
+    p = plan(df)
+    assert re.search(r"PartitionFilters: \[[^\]]*day", p)
+    full = anomalous_queries(query_history(spark, SF_SMALL), dt.datetime(2024, 1, 31))
+    assert df.count() == full.count()

@@ -68,8 +68,13 @@ def fetch_advisories(listing: DataFrame, ecosystems: Sequence[str], severities:
     return first_seen(kept, "ghsa_id", ["ecosystem_rank", "position"])
 
 
-def since(df: DataFrame, col: str, from_: _dt.date | _dt.datetime) -> DataFrame:
-    """Rows updated on or after ``from_`` (a literal bound: pushed to the scan)."""
+def since(df: DataFrame, col: str, from_: _dt.date | _dt.datetime, day_col: str | None = None) -> DataFrame:
+    """Rows updated on or after ``from_`` (a literal bound: pushed to the scan).
+
+    ``day_col`` names a day partition column to prune on as well.
+    """
+    if day_col is not None:
+        df = df.where(F.col(day_col) >= F.to_date(ts_ntz(from_)))
     return df.where(F.col(col) >= ts_ntz(from_))
 
 

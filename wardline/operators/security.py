@@ -27,9 +27,17 @@ def query_flag(c_bytes: Column, c_start: Column, c_text: Column | str, c_rows: C
             .when(c_rows > R.LARGE_EXPORT_ROWS, "large_export"))
 
 
-def anomalous_queries(log: DataFrame, as_of: _dt.datetime, ordered: bool = False) -> DataFrame:
-    """Queries of the last 7 days with their first matching risk flag."""
+def anomalous_queries(log: DataFrame, as_of: _dt.datetime, ordered: bool = False,
+                      day_col: str | None = None) -> DataFrame:
+    """Queries of the last 7 days with their first matching risk flag.
+
+    When the log is stored partitioned by day, pass ``day_col``: the same
+    window is then also stated on the partition column, so only the last
+    days' partitions are listed and read.
+    """
     since = ts_ntz(as_of) - F.expr(f"INTERVAL {R.QUERY_LOOKBACK_DAYS} DAYS")
+    if day_col is not None:
+        log = log.where(F.col(day_col) >= F.to_date(since))
     out = (log.where(F.col("start_time") >= since)
            .select("query_id", "user_name", "role_name", "query_text", "bytes_scanned",
                    "rows_produced", "start_time", "execution_status")
