@@ -96,3 +96,12 @@ def test_key_states_counts_on_orders(spark):
     counts = {r.state: r["count"] for r in N.key_states(h0, now, "custkey", ["order_count", "max_price"])
               .groupBy("state").count().collect()}
     assert counts == {"changed": 882, "new": 3, "unchanged": 615}
+
+
+def test_upsert_table_empty_source_is_noop(spark):
+    from wardline.sources.tables import current_version, upsert_table
+    name = "upsert_empty_probe"
+    upsert_table(spark, name, spark.createDataFrame([("a", 1)], "k string, v long"), "k", buckets=2)
+    v = current_version(spark, name)
+    assert upsert_table(spark, name, spark.createDataFrame([], "k string, v long"), "k", buckets=2) == v
+    assert current_version(spark, name) == v

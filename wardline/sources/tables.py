@@ -152,10 +152,13 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
     Tables of a format with row-level MERGE (a v2 catalog table) take a
     ``MERGE INTO``; the plain Parquet tables of this package take the
     set-based upsert written as a new bucketed version. Returns the new
-    version number (0 when the table merged in place).
+    version number (0 when the table merged in place). An empty source is a
+    no-op that returns the current version.
     """
     from ..operators.upsert import newest_per_key, upsert
 
+    if source.isEmpty():                       # nothing landed: no rewrite, no new version
+        return current_version(spark, name) or 0
     src = newest_per_key(source, key, dedupe_order) if dedupe_order else source
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if current_version(spark, name) is None and not spark.catalog.tableExists(name):
