@@ -9,10 +9,16 @@ that wrote it; a batch replayed after a failure (written but not yet marked
 done in the checkpoint) finds its own mark and is skipped, so every batch is
 applied exactly once.
 
-Cost: on a plain Parquet table every applied batch writes a new table
-version, so run the stream with ``availableNow`` once per landing cycle (the
-surveyed system lands once a day), or point it at a table format with MERGE,
-which ``upsert_table`` uses when the table supports it.
+Two ways to apply a batch:
+
+- ``mode="rewrite"``: upsert into a new table version per batch. Simple, but
+  on plain Parquet every batch rewrites the table, so use it with
+  ``availableNow`` once per landing cycle (the surveyed system lands once a
+  day), or with a table format that has MERGE (used when available).
+- ``mode="delta"``: merge on read. Each batch is appended to a delta table
+  (cheap; a replayed batch is harmless because reads keep one copy per key);
+  ``sources.tables.read_merged`` shows the current table and the stream
+  folds the deltas into a new base version every ``compact_every`` batches.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import newest_per_key
 from ..sources.landing import flatten_advisories, type_raw
-from ..sources.tables import upsert_table, version_property
+from ..sources.tables import append_delta, compact, delta_batches, upsert_table, version_property
 
 BATCH_PROPERTY = "wardline.stream_batch"
 
@@ -39,8 +45,15 @@ def upsert_landed_batch(batch: DataFrame, table: str, ingested_at: _dt.datetime,
     return upsert_table(batch.sparkSession, table, type_raw(flat), "ghsa_id", properties=props)
 
 
+def typed_batch(batch: DataFrame, ingested_at: _dt.datetime) -> DataFrame:
+    """A landed batch flattened, deduplicated (newest update per id) and typed."""
+    flat = flatten_advisories(batch.select(F.col("value").alias("json")), ingested_at)
+    return type_raw(newest_per_key(flat, "ghsa_id", ["updated_at"]))
+
+
 def start_advisory_landing(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
-                           interval: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                           interval: str | None = None, max_files_per_trigger: int | None = None,
+                           mode: str = "rewrite", compact_every: int = 24) -> StreamingQuery:
     """Start the landing stream.
 
     Without ``interval`` it processes what has landed and stops
@@ -52,10 +65,18 @@ def start_advisory_landing(spark: SparkSession, landing_dir: str, table: str, ch
     stream = reader.load(landing_dir)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        if df.isEmpty():
+            return
+        if mode == "delta":
+            append_delta(typed_batch(df, now), table, batch_id)
+            if delta_batches(df.sparkSession, table) >= compact_every:
+                compact(df.sparkSession, table, "ghsa_id", ["updated_at", "ingested_at"])
+            return
         token = f"{checkpoint}#{batch_id}"
-        if df.isEmpty() or version_property(df.sparkSession, table, BATCH_PROPERTY) == token:
-            return                                              # nothing landed, or already applied
-        upsert_landed_batch(df, table, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), token)
+        if version_property(df.sparkSession, table, BATCH_PROPERTY) == token:
+            return                                              # already applied before a restart
+        upsert_landed_batch(df, table, now, token)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
