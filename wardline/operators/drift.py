@@ -73,11 +73,11 @@ def drift_episodes(records: DataFrame, partition: str = "environment",
     4. global island = offset + local island − continuation; the episodes are
        a grouped aggregate over (environment, island), combined map-side.
     """
-    from ..session import checkpoint_dir
+    from ..session import checkpoint_dir, parallelism
 
     spark = records.sparkSession
     checkpoint_dir(spark)
-    n = buckets or max(8, spark.sparkContext.defaultParallelism * 2)
+    n = buckets or max(8, parallelism(spark) * 2)
     drift = F.col("drift_detected")
     r = (records.select(partition, *order, "drift_detected")
          .repartitionByRange(n, partition, *order)

@@ -26,6 +26,7 @@ from ..operators import security as SEC
 from ..operators import staging as T
 from ..operators import upsert as U
 from ..sources import adapters as A
+from ..session import session_key
 from ..sources import landing as L
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +43,7 @@ def model(fn):
     """
     @functools.wraps(fn)
     def get(spark: SparkSession, d: str):
-        key = (spark.sparkContext.applicationId, fn.__name__, d)
+        key = (session_key(spark), fn.__name__, d)
         if key not in _MODELS:
             _MODELS[key] = fn(spark, d)
         return _MODELS[key]

@@ -14,7 +14,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     least ``min_partitions`` splits (the normal case for large, many-file
     inputs) nothing is added, so no shuffle is paid at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    from ..session import parallelism
+
+    target = min_partitions or parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()      # planning metadata only, no job
+    except Exception:                           # no RDD view (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)

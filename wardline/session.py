@@ -69,13 +69,32 @@ def get_session(master: str | None = None, app: str = "wardline",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def session_key(spark: SparkSession) -> str:
+    """A stable identity of the session's application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (falls back to the shuffle partition setting)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Shared folder for lineage cuts and versioned tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
     (local tests) do we take a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
