@@ -137,3 +137,15 @@ def test_landing_stream_delta_mode(spark, scratch):
     q.awaitTermination(120)
     t = read_merged(spark, "raw_stream_delta", "ghsa_id", ["updated_at"])
     assert t.count() == docs.count()
+
+
+def test_cycle_records_every_declared_test(spark):
+    if not spark.catalog.tableExists("monitoring.dq_results"):
+        import datetime as _dt
+        run_cycle(spark, A.raw_advisories(spark, SF_SMALL), _dt.datetime(2001, 8, 15),
+                  packages=A.advisory_packages(spark, SF_SMALL))
+    res = spark.table("monitoring.dq_results")
+    runs = [r.run_at for r in res.select("run_at").distinct().collect()]
+    one = res.where(F.col("run_at") == runs[0])
+    assert one.count() == 21 + 4 + 3
+    assert one.where("failures > 0").count() == 0

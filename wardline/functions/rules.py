@@ -114,3 +114,26 @@ SNAP_HEALTH_COLUMNS = ["source_table", "pipeline_status", "total_rows", "rows_la
                        "hours_since_last_load", "is_fresh", "is_row_count_normal", "last_ingested_at"]
 SNAP_PII_CHECKS = ["exposure_status", "pii_classification"]
 SNAP_PII_COLUMNS = ["table_name", "column_name", "pii_classification", "exposure_status", "checked_at"]
+
+# --- Fixed values: declared data tests (model → columns) ---------------------
+
+NOT_NULL_TESTS = {
+    "stg_github_advisories": ["advisory_id", "severity", "published_at"],
+    "int_vulnerabilities_enriched": ["advisory_id", "age_bucket", "age_risk_multiplier",
+                                     "vulnerability_category", "composite_risk_score"],
+    "mart_vulnerability_summary": ["severity", "age_bucket", "vulnerability_category", "total_count"],
+    "mart_ecosystem_risk": ["ecosystem_name", "total_vulnerabilities"],
+    "mart_critical_vulnerabilities": ["advisory_id", "severity", "cvss_score", "composite_risk_score"],
+    "mart_pipeline_health": ["source_table", "last_ingested_at", "pipeline_status"],
+}
+UNIQUE_TESTS = {
+    "stg_github_advisories": "advisory_id",
+    "int_vulnerabilities_enriched": "advisory_id",
+    "mart_ecosystem_risk": "ecosystem_name",
+    "mart_critical_vulnerabilities": "advisory_id",
+}
+ACCEPTED_TESTS = {
+    "stg_github_advisories": ("severity", SEVERITIES),
+    "int_vulnerabilities_enriched": ("age_bucket", AGE_LABELS),
+    "mart_pipeline_health": ("pipeline_status", HEALTH_STATUSES),
+}

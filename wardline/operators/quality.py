@@ -67,6 +67,21 @@ def freshness(df: DataFrame, source: str, ts_col: str, as_of: _dt.datetime,
                     status.alias("status")))
 
 
+def declared_tests(models: dict[str, DataFrame]) -> DataFrame:
+    """Every declared not-null, unique and accepted-values test over the given models.
+
+    One small frame of (model, column_name, test, failures); each model is
+    scanned once per kind of test.
+    """
+    frames = [expect_not_null(models[m], cols, m) for m, cols in R.NOT_NULL_TESTS.items() if m in models]
+    frames += [expect_unique(models[m], key, m) for m, key in R.UNIQUE_TESTS.items() if m in models]
+    frames += [expect_in(models[m], col, vals, m) for m, (col, vals) in R.ACCEPTED_TESTS.items() if m in models]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # ------------------------------------------------------------------ contracts
 
 CRITICAL_CONTRACT = T.StructType([

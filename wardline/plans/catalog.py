@@ -262,26 +262,9 @@ def history(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ quality
 
-NOT_NULL_TESTS = {
-    "stg_github_advisories": ["advisory_id", "severity", "published_at"],
-    "int_vulnerabilities_enriched": ["advisory_id", "age_bucket", "age_risk_multiplier",
-                                     "vulnerability_category", "composite_risk_score"],
-    "mart_vulnerability_summary": ["severity", "age_bucket", "vulnerability_category", "total_count"],
-    "mart_ecosystem_risk": ["ecosystem_name", "total_vulnerabilities"],
-    "mart_critical_vulnerabilities": ["advisory_id", "severity", "cvss_score", "composite_risk_score"],
-    "mart_pipeline_health": ["source_table", "last_ingested_at", "pipeline_status"],
-}
-UNIQUE_TESTS = {
-    "stg_github_advisories": "advisory_id",
-    "int_vulnerabilities_enriched": "advisory_id",
-    "mart_ecosystem_risk": "ecosystem_name",
-    "mart_critical_vulnerabilities": "advisory_id",
-}
-ACCEPTED_TESTS = {
-    "stg_github_advisories": ("severity", R.SEVERITIES),
-    "int_vulnerabilities_enriched": ("age_bucket", R.AGE_LABELS),
-    "mart_pipeline_health": ("pipeline_status", R.HEALTH_STATUSES),
-}
+NOT_NULL_TESTS = R.NOT_NULL_TESTS
+UNIQUE_TESTS = R.UNIQUE_TESTS
+ACCEPTED_TESTS = R.ACCEPTED_TESTS
 
 
 @model

@@ -74,12 +74,10 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
                                 K.HEALTH_CONTRACT, "mart_pipeline_health")
     health = TB.materialize(health, "monitoring", "mart_pipeline_health")
 
-    checks = (K.expect_not_null(enriched, ["advisory_id", "age_bucket", "age_risk_multiplier",
-                                           "vulnerability_category", "composite_risk_score"],
-                                "int_vulnerabilities_enriched")
-              .unionByName(K.expect_unique(enriched, "advisory_id", "int_vulnerabilities_enriched"))
-              .unionByName(K.expect_in(enriched, "age_bucket", R.AGE_LABELS, "int_vulnerabilities_enriched"))
-              .unionByName(K.expect_unique(eco, "ecosystem_name", "mart_ecosystem_risk")))
+    checks = K.declared_tests({
+        "stg_github_advisories": staged, "int_vulnerabilities_enriched": enriched,
+        "mart_vulnerability_summary": summary, "mart_ecosystem_risk": eco,
+        "mart_critical_vulnerabilities": critical, "mart_pipeline_health": health})
     TB.append_run(checks, "monitoring.dq_results", as_of)
 
     if not skip_anomaly:
