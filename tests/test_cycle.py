@@ -38,6 +38,8 @@ def test_cycle_twice_builds_tables_and_history(spark, scratch):
         "exit_code != 1").count()
     assert os.path.isdir(os.path.join(scratch, "briefs", "threat_brief_2001-08-15"))
     assert f2["cve_count"] == f1["cve_count"]
+    fresh = {r.run_at.month: r.status for r in spark.table("monitoring.source_freshness").collect()}
+    assert fresh == {8: "error", 9: "error"}
 
 
 def test_landing_stream_upserts(spark, scratch):

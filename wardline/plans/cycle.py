@@ -79,6 +79,8 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
         "mart_vulnerability_summary": summary, "mart_ecosystem_risk": eco,
         "mart_critical_vulnerabilities": critical, "mart_pipeline_health": health})
     TB.append_run(checks, "monitoring.dq_results", as_of)
+    TB.append_run(K.freshness(raw, "RAW_GITHUB_ADVISORIES", "ingested_at", as_of), "monitoring.source_freshness",
+                  as_of)
 
     if not skip_anomaly:
         TB.append_run(Z.summary_anomalies(summary, as_of), "security.vulnerability_anomalies", as_of)
