@@ -105,3 +105,20 @@ def test_upsert_table_empty_source_is_noop(spark):
     v = current_version(spark, name)
     assert upsert_table(spark, name, spark.createDataFrame([], "k string, v long"), "k", buckets=2) == v
     assert current_version(spark, name) == v
+
+
+def test_failed_validation_keeps_previous_version(spark):
+    import pytest
+
+    from wardline.operators.quality import HEALTH_CONTRACT, ContractError, check_not_null
+    from wardline.sources.tables import current_version, materialize
+    good = spark.createDataFrame([("t", 1)], "source_table string, n long")
+    materialize(good, "monitoring", "validate_probe")
+    v = current_version(spark, "monitoring.validate_probe")
+    bad = spark.createDataFrame([(None, 2)], "source_table string, n long")
+    with pytest.raises(ContractError):
+        materialize(bad, "monitoring", "validate_probe",
+                    validate=lambda t: check_not_null(t, HEALTH_CONTRACT.__class__(
+                        [f for f in HEALTH_CONTRACT.fields if f.name == "source_table"]), "probe"))
+    assert current_version(spark, "monitoring.validate_probe") == v
+    assert [r.source_table for r in spark.table("monitoring.validate_probe").collect()] == ["t"]

@@ -128,6 +128,23 @@ def contract_violations(df: DataFrame, contract: T.StructType) -> list[str]:
     return problems
 
 
+def check_not_null(df: DataFrame, contract: T.StructType, model: str = "model") -> None:
+    """Raise when a NOT NULL column of the contract holds NULLs (one aggregate job)."""
+    required = [f.name for f in contract.fields if not f.nullable]
+    if required:
+        row = expect_not_null(df, required, model).where(F.col("failures") > 0).collect()
+        if row:
+            raise ContractError(f"{model}: NULL in " + ", ".join(f"{r.column_name} ({r.failures})" for r in row))
+
+
+def check_schema(df: DataFrame, contract: T.StructType, model: str = "model") -> DataFrame:
+    """Raise when names or types differ from the contract (metadata only); return the contract's column order."""
+    problems = contract_violations(df, contract)
+    if problems:
+        raise ContractError(f"{model}: " + "; ".join(problems))
+    return df.select(*[f.name for f in contract.fields])
+
+
 def enforce_contract(df: DataFrame, contract: T.StructType, model: str = "model") -> DataFrame:
     """Fail before writing when the schema differs or a NOT NULL column has NULLs.
 

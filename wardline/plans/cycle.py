@@ -66,13 +66,17 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
     if packages is None:
         packages = M.explode_packages(raw)
 
-    critical = K.enforce_contract(M.mart_critical(enriched), K.CRITICAL_CONTRACT, "mart_critical_vulnerabilities")
-    critical = TB.materialize(critical, "marts", "mart_critical_vulnerabilities")
+    # contracts: names/types checked before writing, NOT NULL checked on the written version before it
+    # becomes visible (one pass over the data instead of two)
+    critical = K.check_schema(M.mart_critical(enriched), K.CRITICAL_CONTRACT, "mart_critical_vulnerabilities")
+    critical = TB.materialize(critical, "marts", "mart_critical_vulnerabilities",
+                              validate=lambda t: K.check_not_null(t, K.CRITICAL_CONTRACT, "mart_critical_vulnerabilities"))
     summary = TB.materialize(M.mart_summary(enriched), "marts", "mart_vulnerability_summary")
     eco = TB.materialize(M.mart_ecosystem_risk(enriched, packages), "marts", "mart_ecosystem_risk")
-    health = K.enforce_contract(M.pipeline_health(raw, "RAW_GITHUB_ADVISORIES", "ingested_at", as_of),
-                                K.HEALTH_CONTRACT, "mart_pipeline_health")
-    health = TB.materialize(health, "monitoring", "mart_pipeline_health")
+    health = K.check_schema(M.pipeline_health(raw, "RAW_GITHUB_ADVISORIES", "ingested_at", as_of),
+                            K.HEALTH_CONTRACT, "mart_pipeline_health")
+    health = TB.materialize(health, "monitoring", "mart_pipeline_health",
+                            validate=lambda t: K.check_not_null(t, K.HEALTH_CONTRACT, "mart_pipeline_health"))
 
     checks = K.declared_tests({
         "stg_github_advisories": staged, "int_vulnerabilities_enriched": enriched,

@@ -73,12 +73,14 @@ def write_text(df: DataFrame, path: str, text_col: str = "brief_text") -> None:
 
 
 def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep: int = 2,
-                bucket_by: tuple[int, str] | None = None) -> DataFrame:
+                bucket_by: tuple[int, str] | None = None, validate=None) -> DataFrame:
     """A model as a view (recomputed on read) or a table (written once, lineage cut).
 
     Tables are committed as a new version (see ``commit_version``), so a
     failed rebuild leaves the previous model readable. ``bucket_by`` stores
     the table bucketed by a key (joins on that key then skip its shuffle).
+    ``validate`` (e.g. a contract) runs on the written version before it
+    becomes visible; if it raises, the version is dropped.
     """
     spark = df.sparkSession
     db = ensure_schema(spark, layer)
@@ -86,7 +88,7 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep:
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    commit_version(df, full, keep=keep, bucket_by=bucket_by)
+    commit_version(df, full, keep=keep, bucket_by=bucket_by, validate=validate)
     return spark.table(full)
 
 
@@ -106,7 +108,7 @@ def current_version(spark: SparkSession, name: str) -> int | None:
 
 def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
                    bucket_by: tuple[int, str] | None = None, keep: int | None = None,
-                   properties: dict[str, str] | None = None) -> int:
+                   properties: dict[str, str] | None = None, validate=None) -> int:
     """Write ``df`` as the next version of ``name`` and repoint the view at it.
 
     ``bucket_by=(n, key)`` stores the version in ``n`` buckets sorted by
@@ -114,6 +116,8 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
     shuffling the stored side (only the incoming batch is shuffled).
     ``keep`` drops all but the newest ``keep`` versions after the switch.
     ``properties`` are stored on the version (e.g. which stream batch wrote it).
+    ``validate(df)`` runs on the written version before the switch; if it
+    raises, the version is dropped and the previous one stays current.
     """
     spark = df.sparkSession
     nxt = (current_version(spark, name) or 0) + 1
@@ -124,6 +128,12 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
         n, key = bucket_by
         w = w.bucketBy(n, key).sortBy(key)
     w.saveAsTable(f"{name}__v{nxt}")
+    if validate is not None:
+        try:
+            validate(spark.table(f"{name}__v{nxt}"))
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {name}__v{nxt}")
+            raise
     if properties:
         esc = lambda x: str(x).replace("\\", "\\\\").replace("'", "\\'")
         props = ", ".join(f"'{esc(k)}' = '{esc(v)}'" for k, v in properties.items())
