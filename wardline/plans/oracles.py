@@ -201,7 +201,7 @@ expo AS (
 
 
 def zscore_sql(src: str, part: str, value: str, mean: str, sd: str) -> str:
-    """Window form of the z-score (the oracle states the reference's formulation)."""
+    """Window form of the z-score (the oracle states the surveyed formulation)."""
     return f"""(SELECT *, CASE WHEN {sd} IS NULL OR {sd} = 0 THEN 0.0 ELSE ({value} - {mean}) / {sd} END AS z_score
   FROM (SELECT *, avg({value}) OVER (PARTITION BY {part}) AS {mean},
                stddev_samp({value}) OVER (PARTITION BY {part}) AS {sd} FROM {src}))"""

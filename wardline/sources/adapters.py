@@ -82,7 +82,7 @@ def _raw_advisory_columns() -> list[str]:
 
 
 def raw_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW advisory rows (one per order), reference column names, lower case."""
+    """RAW advisory rows (one per order), the surveyed column names, lower case."""
     return table(spark, sf_dir, "orders").selectExpr(*_raw_advisory_columns())
 
 

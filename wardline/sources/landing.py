@@ -97,7 +97,7 @@ def type_raw(df: DataFrame, timestamp_cols=("published_at", "updated_at", "withd
     Timestamps parse with ``try_to_timestamp`` (ISO with Z, offsets and
     fractions; bad text becomes NULL) and are held zone-less in UTC. JSON
     columns become VARIANT with ``parse_json``, which fails the job on bad
-    JSON like the reference load does.
+    JSON like the surveyed load does.
     """
     out = df
     for c in timestamp_cols:
