@@ -117,7 +117,9 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
         _snapshot(spark, "snapshots.sec_pii_snapshot", pii, "pii_key", R.SNAP_PII_CHECKS, as_of)
         facts["security"] = spark.table("security.sec_summary").first().asDict()
 
-    row = brief.select("cve_count", "critical_count", "top_ecosystem", "pipeline_status").first()
+    written = (spark.table("security.threat_briefs").where(F.col("run_at") == ts_ntz(as_of))
+               if not skip_brief else brief)       # read back what was written instead of recomputing
+    row = written.select("cve_count", "critical_count", "top_ecosystem", "pipeline_status").first()
     facts.update(row.asDict())
     if not skip_anomaly:
         facts["anomalies"] = spark.table("security.vulnerability_anomalies").where(
