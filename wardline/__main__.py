@@ -3,13 +3,16 @@
     python -m wardline --landing DIR --as-of 2024-01-31T00:00:00 \\
         [--since 2024-01-01] [--severities critical,high] [--plans PATH] \\
         [--brief-dir DIR] [--skip-anomaly] [--skip-brief] [--skip-drift]
+        [--query-log PATH --grants PATH --logins PATH [--columns PATH]]
 
 Steps, as jobs on the session the command gets (or creates): landed JSON
 documents (one per line) → flatten → typed → ``updated_at >= since`` →
 severity filter → upsert into ``raw.raw_github_advisories`` → the cycle of
 ``wardline.plans.cycle`` (marts, checks, outliers, brief, drift, history).
 Plan logs (``--plans``) are Parquet with run_id, exit_code, stdout,
-checked_at. Prints the cycle's one-row facts as JSON.
+checked_at. With query, grant and login logs the security audit runs too;
+its column inventory defaults to the columns of the session catalog (the
+tables this command writes included). Prints the cycle's one-row facts as JSON.
 """
 
 from __future__ import annotations
@@ -39,6 +42,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--since", type=_dt.date.fromisoformat, help="only advisories updated on or after")
     p.add_argument("--severities", default="critical,high", help="comma-separated severities to keep")
     p.add_argument("--plans", help="Parquet plan logs for drift records")
+    p.add_argument("--query-log", help="Parquet query history for the security audit")
+    p.add_argument("--grants", help="Parquet role grants (grantee_name, role, ...)")
+    p.add_argument("--logins", help="Parquet login history (user_name, event_timestamp, is_success)")
+    p.add_argument("--columns", help="Parquet column inventory (information-schema shape); "
+                                     "default: the columns of this session's catalog")
     p.add_argument("--brief-dir", help="folder for the daily brief text")
     p.add_argument("--skip-anomaly", action="store_true")
     p.add_argument("--skip-brief", action="store_true")
@@ -69,9 +77,14 @@ def main(argv: list[str] | None = None) -> dict:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     land(spark, args.landing, args.as_of, args.since, [s.strip() for s in args.severities.split(",") if s.strip()])
-    plans = spark.read.parquet(args.plans) if args.plans else None
-    facts = run_cycle(spark, spark.table(RAW_TABLE), args.as_of, plan_logs=plans, brief_path=args.brief_dir,
-                      skip_anomaly=args.skip_anomaly, skip_brief=args.skip_brief, skip_drift=args.skip_drift)
+    read = lambda path: spark.read.parquet(path) if path else None
+    audit = {}
+    if args.query_log and args.grants and args.logins:
+        audit = {"query_log": read(args.query_log), "grants": read(args.grants), "logins": read(args.logins),
+                 "columns": read(args.columns) if args.columns else TB.column_inventory(spark)}
+    facts = run_cycle(spark, spark.table(RAW_TABLE), args.as_of, plan_logs=read(args.plans),
+                      brief_path=args.brief_dir, skip_anomaly=args.skip_anomaly, skip_brief=args.skip_brief,
+                      skip_drift=args.skip_drift, **audit)
     print(json.dumps(facts, default=str))
     return facts
 
