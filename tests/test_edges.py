@@ -304,3 +304,14 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024 ** 4, total_cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 100000
     assert int(scale_conf(1024 ** 3, total_cores=64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_type_raw_rejects_bad_json(spark):
+    from wardline.sources.landing import type_raw_with_rejects
+    df = spark.createDataFrame([("G1", "[1]", "2024-01-01T00:00:00Z"), ("G2", "{not json", "2024-01-01T00:00:00Z"),
+                                ("G3", None, "bad")], "ghsa_id string, cwes string, published_at string")
+    good, rejects = type_raw_with_rejects(df)
+    assert sorted(r.ghsa_id for r in good.collect()) == ["G1", "G3"]
+    assert [(r.ghsa_id, r.reject_reason) for r in rejects.collect()] == [("G2", "invalid JSON in cwes")]
+    assert isinstance(good.schema["cwes"].dataType, T.VariantType)
+    assert [r.published_at for r in good.orderBy("ghsa_id").collect()] == [dt.datetime(2024, 1, 1), None]

@@ -107,3 +107,29 @@ def type_raw(df: DataFrame, timestamp_cols=("published_at", "updated_at", "withd
         if c in df.columns:
             out = out.withColumn(c, F.parse_json(F.col(c)))
     return out
+
+
+def type_raw_with_rejects(df: DataFrame,
+                          timestamp_cols=("published_at", "updated_at", "withdrawn_at", "ingested_at"),
+                          json_cols=("cwes", "affected_packages", "raw_json")) -> tuple[DataFrame, DataFrame]:
+    """Like ``type_raw`` but bad JSON does not fail the job: such rows go to a reject frame.
+
+    Returns ``(typed, rejects)``; ``rejects`` keeps the original text columns
+    and names the first column that did not parse.
+    """
+    present = [c for c in json_cols if c in df.columns]
+    parsed = df.select("*", *[F.try_parse_json(F.col(c)).alias(f"_pj_{c}") for c in present])
+    bad = None
+    for c in present:
+        cond = F.col(c).isNotNull() & F.col(f"_pj_{c}").isNull()
+        bad = F.when(cond, F.lit(c)) if bad is None else bad.when(cond, F.lit(c))
+    if bad is None:
+        return type_raw(df, timestamp_cols, ()), df.limit(0).withColumn("reject_reason", F.lit(None).cast("string"))
+    marked = parsed.withColumn("_bad", bad)
+    rejects = (marked.where(F.col("_bad").isNotNull())
+               .select(*df.columns, F.concat(F.lit("invalid JSON in "), F.col("_bad")).alias("reject_reason")))
+    good = marked.where(F.col("_bad").isNull())
+    for c in present:
+        good = good.withColumn(c, F.col(f"_pj_{c}"))
+    good = good.drop("_bad", *[f"_pj_{c}" for c in present])
+    return type_raw(good, timestamp_cols, ()), rejects
