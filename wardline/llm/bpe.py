@@ -8,8 +8,8 @@ so a state is named by its token: the state of w starts as a copy of the state o
 answers single arcs from it; the answers fill a transition table. ``explicit_arcs`` builds the same automaton state
 by state and is what the tests compare with.
 
-A word is encoded by walking its symbols through the token trie from every reached position: each prefix of a word
-has one accepted tokenization, so one state per position is enough.
+A word is encoded by a walk through the automaton along arcs that spell it, found in a trie of the tokens. Each prefix
+of a word has one accepted tokenization, so a position is reached in one state only.
 """
 
 from __future__ import annotations
@@ -30,8 +30,11 @@ from pyspark.sql import functions as F
 from wardline.llm.common import steps
 
 START = -1
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
+ARC_ENTRIES = 1_000_000
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# what str.split takes for white space beyond that is left to the pattern
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class MergeAutomaton:
@@ -75,7 +78,7 @@ class MergeAutomaton:
         key = state << 32 | token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 4_000_000:
+            if len(self.table) >= ARC_ENTRIES:
                 self.table.clear()
             known = token not in self.dead and self._arc_before(state, token, len(self.born) + 1)
             self.table[key] = known
@@ -101,7 +104,8 @@ def explicit_arcs(base: list[int], merges: list[tuple[int, int, int]]) -> dict[i
 
 
 class WordBpe(dict):
-    """word → token ids, for a tokenizers file of kind BPE with word ends, lower case and byte symbols."""
+    """Text between white space → token ids, for a tokenizers file of kind BPE with word ends, lower case and byte
+    symbols."""
 
     def __init__(self, tokenizer_file: str):
         super().__init__()
@@ -113,16 +117,10 @@ class WordBpe(dict):
         if kinds != ["NFC", "Replace", "Lowercase"] or any(t["normalized"] or t["lstrip"] or t["rstrip"]
                                                           or t["single_word"] for t in added):
             raise ValueError("unsupported tokenizer file")
-        self.labels: list[str] = [""] * (1 + max([*vocab.values(), *(t["id"] for t in added)]))
-        for piece, i in vocab.items():
-            self.labels[i] = piece
-        for t in added:
-            self.labels[t["id"]] = t["content"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.automaton = MergeAutomaton(merges)
-        self.base = {p: i for p, i in vocab.items() if i not in self.automaton.born}
-        spelled: dict[int, tuple[int, ...]] = {i: (i,) for i in self.base.values()}
+        spelled = {i: (piece,) for piece, i in vocab.items() if i not in self.automaton.born}
         for u, v, w in merges:
             spelled[w] = spelled[u] + spelled[v]
         self.trie: dict = {}
@@ -137,59 +135,88 @@ class WordBpe(dict):
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(split.replace(r"[^\s", f"[^{_WHITE}"))
         self._byte_symbols = _byte_symbols()
+        self.words: dict[str, tuple[int, ...]] = {}
 
-    def _symbols(self, word: str) -> list[int]:
+    def _symbols(self, word: str) -> list[str]:
         letters = [self._byte_symbols[b] for b in word.encode("utf-8", "surrogatepass")]
         letters[-1] += self.suffix
-        return [self.base[c] for c in letters]
-
-    def walk(self, symbols: list[int]) -> tuple[int, ...]:
-        """The tokens of the one accepted path that spells ``symbols``."""
-        arc, table, trie, n = self.automaton.arc, self.automaton.table, self.trie, len(symbols)
-        reached: list[int | None] = [None] * (n + 1)
-        came: list[int] = [0] * (n + 1)
-        reached[0] = START
-        for i in range(n):
-            state = reached[i]
-            if state is None:
-                continue
-            node, j = trie, i
-            while j < n:
-                node = node.get(symbols[j])
-                if node is None:
+        return letters
+
+    def _arcs_from(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
+        """(end, token) of the tokens spelled from ``at`` on, shortest first."""
+        node, out = self.trie, []
+        for j in range(at, len(symbols)):
+            node = node.get(symbols[j])
+            if node is None:
+                break
+            token = node.get(None)
+            if token is not None:
+                out.append((j + 1, token))
+        return out
+
+    def walk(self, symbols: list[str]) -> tuple[int, ...]:
+        """The tokens of the one accepted path that spells ``symbols``: longest arcs first, back from dead ends.
+
+        A position is reached in one state only, so one that turned out a dead end is not entered again.
+        """
+        arc, known, n = self.automaton.arc, self.automaton.table.get, len(symbols)
+        state, at, path, dead = START, 0, [], set()
+        arcs = self._arcs_from(symbols, 0)
+        while at < n:
+            while arcs:
+                end, token = arcs.pop()
+                if end in dead:
+                    continue
+                fits = known(state << 32 | token)
+                if arc(state, token) if fits is None else fits:
+                    path.append((state, at, arcs))
+                    state, at = token, end
+                    arcs = self._arcs_from(symbols, at) if at < n else []
                     break
-                j += 1
-                token = node.get(None)
-                if token is not None and reached[j] is None:
-                    known = table.get(state << 32 | token)
-                    if arc(state, token) if known is None else known:
-                        reached[j], came[j] = token, i
-        out, j = [], n
-        while j > 0:
-            out.append(reached[j])
-            j = came[j]
-        return tuple(reversed(out))
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.walk(self._symbols(word))
-        if len(word) <= 64:
+            else:
+                dead.add(at)
+                state, at, arcs = path.pop()
+        return tuple(s for s, _, _ in path[1:]) + (state,)
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.walk(self._symbols(word))
+            if len(word) <= 64:
+                if len(self.words) >= CACHE_ENTRIES:
+                    self.words.clear()
+                self.words[word] = ids
+        return ids
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        ids = tuple(chain.from_iterable(map(self._word, self._words.findall(part))))
+        if len(part) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
-            self[word] = ids
+            self[part] = ids
         return ids
 
     def encode(self, text: str) -> list[tuple[int, ...]]:
-        """Token ids of one text, word by word."""
+        """Token ids of one text, in parts between white space (no word reaches over any)."""
         out: list[tuple[int, ...]] = []
         for part in self._cut_special.split(text) if "<|" in text else (text,):
             if part in self.special:
                 out.append((self.special[part],))
             else:
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out += map(self.__getitem__, self._words.findall(part))
+                out += map(self.__getitem__, (part,) if _SEPARATORS.search(part) else part.split())
         return out
 
 
+def labels(tokenizer_file: str) -> list[str]:
+    """The label of every token id."""
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = json.load(f)
+    names = {**{i: piece for piece, i in spec["model"]["vocab"].items()},
+             **{t["id"]: t["content"] for t in spec["added_tokens"]}}
+    return [names[i] for i in range(len(names))]
+
+
 def _byte_symbols() -> list[str]:
     """One printable character per byte: the printable Latin-1 ones stand for themselves, the rest follow from 256."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -232,7 +259,7 @@ def decode(encoded: DataFrame, tokenizer_file: str, keep: str = "doc_id", ids_co
     rows = encoded.select(F.col(keep).alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label = word_bpe(tokenizer_file).labels.__getitem__
+        label = labels(tokenizer_file).__getitem__
         for part in steps(batches, 1):
             texts = [" ".join(map(label, ids)) for ids in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
