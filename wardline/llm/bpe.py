@@ -31,8 +31,9 @@ from wardline.llm.common import steps
 
 START = -1
 CACHE_ENTRIES = 400_000
-ARC_ENTRIES = 1_000_000
+ARC_ENTRIES = 400_000
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_MARKS = (".", ",", "!", "?", ";", ":")
 # what str.split takes for white space beyond that is left to the pattern
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -129,30 +130,38 @@ class WordBpe(dict):
                 node = self.trie
                 for s in symbols:
                     node = node.setdefault(s, {})
-                node[None] = token
+                node[None] = ((len(symbols), token),)
+        self._gather(self.trie, ())
         self.special = {t["content"]: t["id"] for t in added}
         self._cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(split.replace(r"[^\s", f"[^{_WHITE}"))
         self._byte_symbols = _byte_symbols()
-        self.words: dict[str, tuple[int, ...]] = {}
+
+    def _gather(self, node: dict, shorter: tuple) -> None:
+        """Let every trie node hold the tokens on the way to it, longest first."""
+        node[None] = node.get(None, ()) + shorter
+        for symbol, below in node.items():
+            if symbol is not None:
+                self._gather(below, node[None])
 
     def _symbols(self, word: str) -> list[str]:
-        letters = [self._byte_symbols[b] for b in word.encode("utf-8", "surrogatepass")]
+        if word.isascii() and word.isprintable():
+            letters = list(word)
+        else:
+            letters = [self._byte_symbols[b] for b in word.encode("utf-8", "surrogatepass")]
         letters[-1] += self.suffix
         return letters
 
-    def _arcs_from(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
-        """(end, token) of the tokens spelled from ``at`` on, shortest first."""
-        node, out = self.trie, []
-        for j in range(at, len(symbols)):
-            node = node.get(symbols[j])
-            if node is None:
+    def _arcs_from(self, symbols: list[str], at: int) -> tuple[tuple[int, int], ...]:
+        """(length, token) of the tokens spelled from ``at`` on, longest first."""
+        node = self.trie
+        for symbol in symbols[at:] if at else symbols:
+            below = node.get(symbol)
+            if below is None:
                 break
-            token = node.get(None)
-            if token is not None:
-                out.append((j + 1, token))
-        return out
+            node = below
+        return node[None]
 
     def walk(self, symbols: list[str]) -> tuple[int, ...]:
         """The tokens of the one accepted path that spells ``symbols``: longest arcs first, back from dead ends.
@@ -160,36 +169,30 @@ class WordBpe(dict):
         A position is reached in one state only, so one that turned out a dead end is not entered again.
         """
         arc, known, n = self.automaton.arc, self.automaton.table.get, len(symbols)
-        state, at, path, dead = START, 0, [], set()
-        arcs = self._arcs_from(symbols, 0)
+        state, at, path, dead = START, 0, [], None
+        arcs = iter(self._arcs_from(symbols, 0))
         while at < n:
-            while arcs:
-                end, token = arcs.pop()
-                if end in dead:
+            for length, token in arcs:
+                if dead and at + length in dead:
                     continue
                 fits = known(state << 32 | token)
                 if arc(state, token) if fits is None else fits:
                     path.append((state, at, arcs))
-                    state, at = token, end
-                    arcs = self._arcs_from(symbols, at) if at < n else []
+                    state, at = token, at + length
+                    if at < n:
+                        arcs = iter(self._arcs_from(symbols, at))
                     break
             else:
+                dead = dead or set()
                 dead.add(at)
                 state, at, arcs = path.pop()
-        return tuple(s for s, _, _ in path[1:]) + (state,)
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.walk(self._symbols(word))
-            if len(word) <= 64:
-                if len(self.words) >= CACHE_ENTRIES:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
+        return (*[s for s, _, _ in path[1:]], state)
 
     def __missing__(self, part: str) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(map(self._word, self._words.findall(part))))
+        if part[-1:] in _MARKS and part[:-1].isalpha():         # two words; kept apart, the parts stay few
+            return self[part[:-1]] + self[part[-1]]
+        words = [self.walk(self._symbols(w)) for w in self._words.findall(part)]
+        ids = words[0] if len(words) == 1 else tuple(chain.from_iterable(words))
         if len(part) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
@@ -261,7 +264,9 @@ def decode(encoded: DataFrame, tokenizer_file: str, keep: str = "doc_id", ids_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = labels(tokenizer_file).__getitem__
         for part in steps(batches, 1):
-            texts = [" ".join(map(label, ids)) for ids in part.column(1).to_pylist()]
+            ids = part.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
+            ends = np.cumsum(part.column(1).value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            texts = [" ".join(map(label, ids[start:end])) for start, end in zip([0, *ends[:-1]], ends)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
                                              ["doc_id", "ids", "decoded"])
 
