@@ -104,6 +104,7 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
     place = F.struct("doc_id", "version", "first")
     repeated = (found.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("last"))
                 .where(~F.col("origin").eqNullSafe(F.col("last"))).select("h1", "h2", "origin"))
+    repeated = settle(repeated, "repeated-runs")     # an input of its own, so that a hot run's rows can be split
     again = found.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("origin")))
     covers = again.groupBy("doc_id", "version").agg(F.collect_set(F.struct("first", "n")).alias("covers"))
     covers = covers.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "covers")
