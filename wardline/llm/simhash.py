@@ -187,6 +187,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     named = named.join(least, "root").select("fp", "least")
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    named = settle(named, "components")              # an input of its own, so that a hot fingerprint can be split
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
