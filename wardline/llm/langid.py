@@ -29,6 +29,7 @@ FEATURES = SYMBOLS + SYMBOLS ** 2 + SYMBOLS ** 3
 UNDETERMINED = "und"
 PER_LANGUAGE = 300
 LANDMARKS = 64
+MAX_LANGUAGES = 500
 RIDGE = 1e-2
 _ROWS_PER_BLOCK = 16
 
@@ -123,15 +124,23 @@ def fit(sample: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge:
 
 
 def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS,
-          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on the rows for which ``usable`` holds and whose language is not null: at most ``per_language`` texts per
-    language. Null texts and texts without letters teach nothing; without any usable row the model answers ``und``."""
+          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> Model:
+    """Fit on the rows for which ``usable`` holds and whose language is not null: at most ``per_language`` texts of
+    each of the ``max_languages`` most frequent languages. Null texts and texts without letters teach nothing; without any usable row the model answers ``und``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
                        usable.alias("usable")).where("usable and lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (rows.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order))
-              .where(F.col("place") <= per_language))
-    # per_language rows per language: small by definition
+    ids = rows.select("doc_id", "lang").distinct().withColumn("at", F.xxhash64("doc_id"))
+    sizes = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    if not sizes:
+        return fit([], landmarks)
+    # hashes are even over the long range: the lowest ones, four times as many as asked for, hold the sample
+    limits = [(r["lang"], min((1 << 64) // r["count"] * 4 * per_language, (1 << 64) - 1) - (1 << 63)) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, most bigint")
+    order = Window.partitionBy("lang").orderBy("at", "doc_id")
+    picked = ids.join(F.broadcast(limits), "lang").where(F.col("at") <= F.col("most"))
+    picked = picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    picked = picked.select("doc_id", "lang", "place")
+    # at most per_language rows for each of max_languages languages
     sample = rows.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "place", "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
