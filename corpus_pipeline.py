@@ -56,7 +56,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per document: its tokens, and a digest of what they decode to."""
     path = tokenizer_path(WORD_BPE)
-    done = bpe.decode(bpe.encode(docs, path), path)
+    done = bpe.round_trip(docs, path)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -232,26 +232,42 @@ def word_bpe(tokenizer_file: str) -> WordBpe:
     return WordBpe(tokenizer_file)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], tokenizer_file: str) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) → (doc_id, ids)."""
+    bpe = word_bpe(tokenizer_file)
+    for part in steps(batches, 1):
+        words = [bpe.encode(t) for t in part.column(1).to_pylist()]
+        sizes = np.fromiter((sum(map(len, w)) for w in words), np.int64, len(words))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.fromiter(chain.from_iterable(chain.from_iterable(words)), np.int32, int(ends[-1]))
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], tokenizer_file: str) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) → (doc_id, ids, decoded)."""
+    label = labels(tokenizer_file).__getitem__
+    for part in steps(batches, 1):
+        ids = part.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(part.column(1).value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        texts = [" ".join(map(label, ids[start:end])) for start, end in zip([0, *ends[:-1]], ends)]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
+                                         ["doc_id", "ids", "decoded"])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows, rows.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for every row, whole texts, one narrow pass.
 
     ``tokenizer_file`` is readable on every executor. Null or empty text gives an empty array; repeated rows and
     null ids are kept; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = word_bpe(tokenizer_file)
-        for part in steps(batches, 1):
-            words = [bpe.encode(t) for t in part.column(1).to_pylist()]
-            sizes = np.fromiter((sum(map(len, w)) for w in words), np.int64, len(words))
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            flat = np.fromiter(chain.from_iterable(chain.from_iterable(words)), np.int32, int(ends[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
-
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, ids array<int>")
+    rows, id_type = _texts(docs, id_col, text_col)
+    return rows.mapInArrow(lambda batches: _encoded(batches, tokenizer_file), f"doc_id {id_type}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer_file: str, keep: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -260,15 +276,13 @@ def decode(encoded: DataFrame, tokenizer_file: str, keep: str = "doc_id", ids_co
     An empty or null array gives the empty string; an id that labels no arc is an error.
     """
     rows = encoded.select(F.col(keep).alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(lambda batches: _decoded(batches, tokenizer_file),
+                           f"doc_id {id_type}, ids array<int>, decoded string")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label = labels(tokenizer_file).__getitem__
-        for part in steps(batches, 1):
-            ids = part.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
-            ends = np.cumsum(part.column(1).value_lengths().to_numpy(zero_copy_only=False)).tolist()
-            texts = [" ".join(map(label, ids[start:end])) for start, end in zip([0, *ends[:-1]], ends)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
-                                             ["doc_id", "ids", "decoded"])
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, ids array<int>, decoded string")
+def round_trip(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass: (doc_id, ids, decoded)."""
+    rows, id_type = _texts(docs, id_col, text_col)
+    return rows.mapInArrow(lambda batches: _decoded(_encoded(batches, tokenizer_file), tokenizer_file),
+                           f"doc_id {id_type}, ids array<int>, decoded string")

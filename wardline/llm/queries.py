@@ -63,7 +63,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path(WORD_BPE)
-    decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    decoded = bpe.round_trip(_table(spark, sf_dir, "documents"), path)
     ids_text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(ids_text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
