@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from wardline.llm.common import steps
 
 START = -1
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 ARC_ENTRIES = 400_000
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _MARKS = (".", ",", "!", "?", ";", ":")

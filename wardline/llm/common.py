@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 _TEXTS_PER_STEP = 256
-_CHARS_PER_STEP = 4_000_000
+_CHARS_PER_STEP = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:

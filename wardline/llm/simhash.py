@@ -31,6 +31,7 @@ DISTANCE = 4
 SEED = 42
 VALUES_PER_BUCKET = 1 << 22
 LEAST_BUCKET_BITS = 5
+PASS_BITS = 2
 _HASHES_PER_STEP = 1 << 16
 
 
@@ -77,8 +78,8 @@ def _ball(radius: int) -> np.ndarray:
 
 @lru_cache(maxsize=4)
 def _bucket_tables(bits: int) -> np.ndarray:
-    """Linear map from 64 to ``bits`` bits, as one table of 256 per byte."""
-    columns = np.random.default_rng(SEED).integers(1, 1 << max(bits, 1), 64, np.int64) if bits else np.zeros(64, np.int64)
+    """Linear map from 64 to ``bits`` bits, as one table of 256 per byte; fewer bits are the low ones of more."""
+    columns = np.random.default_rng(SEED).integers(0, 1 << 48, 64, np.int64) & ((1 << bits) - 1)
     tables = np.zeros((8, 256), np.int64)
     for byte in range(8):
         for value in range(256):
@@ -112,27 +113,35 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _collide(fps: np.ndarray, bucket: int, bits: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside one bucket: each fingerprint that collides with another, and the smallest one it is tied to."""
+    """Links inside one bucket: each fingerprint that collides with another, and the smallest one it is tied to.
+
+    The bucket's values are gone through in ``1 << PASS_BITS`` parts, of which one is held at a time.
+    """
     ball = _ball(distance // 2)
-    where = _bucket(ball, bits)
+    finer = bits + PASS_BITS
+    where = _bucket(ball, finer)
     order = np.argsort(where, kind="stable")
-    starts = np.searchsorted(where[order], np.arange((1 << bits) + 1))
+    masks, kinds = ball[order], where[order]
     fps = np.unique(fps)
     unsigned = fps.view(np.uint64)
-    shift = _bucket(unsigned, bits) ^ bucket
-    counts = starts[shift + 1] - starts[shift]
-    owner = np.repeat(np.arange(len(fps)), counts)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts[shift], counts)
-    values = unsigned[owner] ^ ball[order[place]]
-    by_value = np.argsort(values)
-    same = np.flatnonzero(values[by_value[1:]] == values[by_value[:-1]])
-    a, b = owner[by_value[same]], owner[by_value[same + 1]]
-    if len(a):
-        pairs = np.unique(np.minimum(a, b) * len(fps) + np.maximum(a, b))
-        a, b = pairs // len(fps), pairs % len(fps)
-        near = np.bitwise_count(unsigned[a] ^ unsigned[b]) <= distance
-        a, b = a[near], b[near]
-    root = _roots(len(fps), a, b)
+    home = _bucket(unsigned, finer)
+    links = [np.zeros(0, np.int64)]
+    for part in range(1 << PASS_BITS):
+        shift = home ^ (bucket | part << bits)
+        start = np.searchsorted(kinds, shift, "left")
+        counts = np.searchsorted(kinds, shift, "right") - start
+        owner = np.repeat(np.arange(len(fps), dtype=np.int32), counts)
+        place = np.arange(len(owner)) + np.repeat(start - np.cumsum(counts) + counts, counts)
+        values = unsigned[owner] ^ masks[place]
+        del place
+        by_value = np.argsort(values)
+        same = np.flatnonzero(values[by_value[1:]] == values[by_value[:-1]])
+        a, b = owner[by_value[same]].astype(np.int64), owner[by_value[same + 1]].astype(np.int64)
+        links.append(np.unique(np.minimum(a, b) * len(fps) + np.maximum(a, b)))
+    pairs = np.unique(np.concatenate(links))
+    a, b = pairs // max(1, len(fps)), pairs % max(1, len(fps))
+    near = np.bitwise_count(unsigned[a] ^ unsigned[b]) <= distance
+    root = _roots(len(fps), a[near], b[near])
     tied = np.flatnonzero(root != np.arange(len(fps)))
     return fps[tied], fps[root[tied]]
 
