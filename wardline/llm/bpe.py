@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import steps
+from wardline.llm.common import map_texts, steps
 
 START = -1
 CACHE_ENTRIES = 300_000
@@ -242,6 +242,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], tokenizer_file: str) -> Iterator
         flat = np.fromiter(chain.from_iterable(chain.from_iterable(words)), np.int32, int(ends[-1]))
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
         yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+    bpe.clear()             # workers outlive their tasks
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], tokenizer_file: str) -> Iterator[pa.RecordBatch]:
@@ -267,7 +268,7 @@ def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     null ids are kept; other columns are not read.
     """
     rows, id_type = _texts(docs, id_col, text_col)
-    return rows.mapInArrow(lambda batches: _encoded(batches, tokenizer_file), f"doc_id {id_type}, ids array<int>")
+    return map_texts(rows, lambda batches: _encoded(batches, tokenizer_file), f"doc_id {id_type}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer_file: str, keep: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -277,12 +278,12 @@ def decode(encoded: DataFrame, tokenizer_file: str, keep: str = "doc_id", ids_co
     """
     rows = encoded.select(F.col(keep).alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(lambda batches: _decoded(batches, tokenizer_file),
+    return map_texts(rows, lambda batches: _decoded(batches, tokenizer_file),
                            f"doc_id {id_type}, ids array<int>, decoded string")
 
 
 def round_trip(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``decode(encode(docs))`` in one pass: (doc_id, ids, decoded)."""
     rows, id_type = _texts(docs, id_col, text_col)
-    return rows.mapInArrow(lambda batches: _decoded(_encoded(batches, tokenizer_file), tokenizer_file),
+    return map_texts(rows, lambda batches: _decoded(_encoded(batches, tokenizer_file), tokenizer_file),
                            f"doc_id {id_type}, ids array<int>, decoded string")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_BATCH = 500
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _TEXTS_PER_STEP = 256
 _CHARS_PER_STEP = 1_000_000
 
@@ -43,6 +45,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_texts(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches fit for rows that hold whole texts.
+
+    Spark's default of 10,000 rows a batch can be gigabytes of long texts, in the JVM and in Python; the session's
+    setting is lowered to ``ROWS_PER_BATCH`` where it is higher.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_ROWS)) > ROWS_PER_BATCH:
+        conf.set(_BATCH_ROWS, str(ROWS_PER_BATCH))
+    return df.mapInArrow(run, schema)
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of bounded total text size, so that memory does not follow the batch size."""
     for batch in batches:

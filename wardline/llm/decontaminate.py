@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import settle, steps
+from wardline.llm.common import map_texts, settle, steps
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -211,7 +211,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, lea
     found = None
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id", "text")
-        part = rows.mapInArrow(_finder([tuple(r) for r in own.collect()], width, radius, least), schema)
+        part = map_texts(rows, _finder([tuple(r) for r in own.collect()], width, radius, least), schema)
         found = part if found is None else found.union(part)
     return found
 

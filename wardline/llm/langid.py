@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wardline.llm.common import steps
+from wardline.llm.common import map_texts, steps
 
 SYMBOLS = 64
 FEATURES = SYMBOLS + SYMBOLS ** 2 + SYMBOLS ** 3
@@ -150,7 +150,7 @@ def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, lan
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int32()))],
                                              ["lang", "place", "grams"])
 
-    got = (sample.mapInArrow(grams, "lang string, place int, grams array<int>").where(F.size("grams") > 0)
+    got = (map_texts(sample, grams, "lang string, place int, grams array<int>").where(F.size("grams") > 0)
            .dropDuplicates(["lang", "place"]).collect())
     got.sort(key=lambda r: (r["lang"], r["place"]))
     return fit([(r["lang"], np.array(r["grams"], np.int64)) for r in got], landmarks)
@@ -173,4 +173,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
             yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, pa.string()), pa.array(scores)],
                                              [*names, "lang_pred", "score"])
 
-    return kept.mapInArrow(run, schema)
+    return map_texts(kept, run, schema)

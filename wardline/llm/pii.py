@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import steps
+from wardline.llm.common import map_texts, steps
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = KINDS[:4]
@@ -151,7 +151,7 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spans, _ARROW_SPANS)], ["doc_id", "spans"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"doc_id {id_type}, spans {_SPAN}")
+    return map_texts(rows, scan, f"doc_id {id_type}, spans {_SPAN}")
 
 
 def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "<{}>") -> DataFrame:
@@ -183,7 +183,7 @@ def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "<{}>") -
             columns[at] = pa.array([clean(t) for t in part.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)
 
 
 def span_text(spans: Column) -> Column:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import settle, steps
+from wardline.llm.common import map_texts, settle, steps
 from wardline.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], ["doc_id", "fp"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, fp bigint")
+    return map_texts(rows, run, f"doc_id {id_type}, fp bigint")
 
 
 @lru_cache(maxsize=4)

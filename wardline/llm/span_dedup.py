@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import settle, steps
+from wardline.llm.common import map_texts, settle, steps
 
 SENTENCES = 2
 WORDS = 12
@@ -99,7 +99,7 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
                 [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(at), part.column(2).take(at),
                  pa.array(p[:, 0]), pa.array(p[:, 1])], ["h1", "h2", "doc_id", "version", "first", "n"])
 
-    found = rows.mapInArrow(spans, f"h1 bigint, h2 bigint, doc_id {id_type}, version bigint, first int, n int")
+    found = map_texts(rows, spans, f"h1 bigint, h2 bigint, doc_id {id_type}, version bigint, first int, n int")
     found = settle(found, "sentence-runs")
     place = F.struct("doc_id", "version", "first")
     repeated = (found.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("last"))
@@ -119,5 +119,5 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
                 [part.column(0), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
                 ["doc_id", "text", "n_sentences", "n_removed"])
 
-    return marked.select("doc_id", "text", "covers").mapInArrow(
-        clean, f"doc_id {id_type}, text string, n_sentences bigint, n_removed bigint")
+    return map_texts(marked.select("doc_id", "text", "covers"), clean,
+                     f"doc_id {id_type}, text string, n_sentences bigint, n_removed bigint")

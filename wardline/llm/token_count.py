@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import steps
+from wardline.llm.common import map_texts, steps
 
 SPACE = "▁"
 CACHE_ENTRIES = 400_000
@@ -133,4 +133,4 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, id_col: st
                                              ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return map_texts(rows, run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean")

@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import new_folder, settle, steps
+from wardline.llm.common import map_texts, new_folder, settle, steps
 
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 18
@@ -183,7 +183,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "records": [count]})
 
-    listed = marked.select("page_id", "url", "payload", "sha1", "first").mapInArrow(run, "path string, records bigint")
+    listed = map_texts(marked.select("page_id", "url", "payload", "sha1", "first"), run, "path string, records bigint")
     return settle(listed, "archives")
 
 
