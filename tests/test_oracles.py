@@ -42,7 +42,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from wardline.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
@@ -68,7 +69,7 @@ def test_threat_brief_row(spark):
     rows = E.queries()["threat_brief"](spark, SF_SMALL).collect()
     assert len(rows) == 1
     text = rows[0].brief_text
-    assert "TOP 5 CRITICAL THREATS" in text and "RECOMMENDED ACTIONS" in text
+    assert "Highest scores" in text and "Next steps" in text
     assert rows[0].cve_count > 0
 
 

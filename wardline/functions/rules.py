@@ -91,13 +91,11 @@ ECOSYSTEM_ACTION_MIN = 5       # action when top ecosystem critical count > this
 
 PLAN_SUMMARY_PATTERN = r"Plan:\s*(\d+) to add,\s*(\d+) to change,\s*(\d+) to destroy"
 PLAN_RESOURCE_PATTERN = r"^\s*[#~+\-]\s+([\w.]+)\s+will be"
-PLAN_TEXT_LIMIT = 16000
 PLAN_EXIT_ERROR = 1
 PLAN_EXIT_DRIFT = 2
 
 # --- Fixed values: ingest ----------------------------------------------------
 
-SUMMARY_LIMIT = 2000
 REST_SOURCE = "github_rest"
 UNKNOWN_ID = "UNKNOWN"
 PAGE_SIZE = 100

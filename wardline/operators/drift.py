@@ -46,7 +46,7 @@ def drift_records(plans: DataFrame) -> DataFrame:
         (F.col("exit_code") == R.PLAN_EXIT_DRIFT).alias("drift_detected"),
         "resources_to_add", "resources_to_change", "resources_to_destroy",
         F.to_json(F.struct(F.col("changed_resources"))).alias("drift_details"),
-        F.substring(F.col("stdout"), 1, R.PLAN_TEXT_LIMIT).alias("raw_plan_output"))
+        F.col("stdout").alias("raw_plan_output"))
 
 
 def drift_episodes(records: DataFrame, partition: str = "environment",
@@ -73,11 +73,11 @@ def drift_episodes(records: DataFrame, partition: str = "environment",
     4. global island = offset + local island − continuation; the episodes are
        a grouped aggregate over (environment, island), combined map-side.
     """
-    from ..session import checkpoint_dir, parallelism
+    from ..session import checkpoint_dir
 
     spark = records.sparkSession
     checkpoint_dir(spark)
-    n = buckets or max(8, parallelism(spark) * 2)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     drift = F.col("drift_detected")
     r = (records.select(partition, *order, "drift_detected")
          .repartitionByRange(n, partition, *order)

@@ -59,12 +59,14 @@ def ecosystem_listing(df: DataFrame, ecosystems: Sequence[str], eco_col: str = "
 
 
 def fetch_advisories(listing: DataFrame, ecosystems: Sequence[str], severities: Sequence[str],
-                     pages: int, page_size: int) -> DataFrame:
-    """The REST fetch as a job: cap each ecosystem's listing (pages × page size),
-    then the severity filter, then first-seen dedupe in ecosystem-list order."""
+                     limit: int | None = None) -> DataFrame:
+    """The fetch as a job: the severity filter over the whole listing, then first-seen
+    dedupe in ecosystem-list order. ``limit`` keeps only the first rows of each
+    ecosystem's listing, for a caller that asks for a page limit."""
     lst = ecosystem_listing(listing, ecosystems)
-    capped = cap_per_group(lst, "ecosystem", ["position"], pages * page_size)
-    kept = filter_in_ci(capped, "severity", severities)
+    if limit is not None:
+        lst = cap_per_group(lst, "ecosystem", ["position"], limit)
+    kept = filter_in_ci(lst, "severity", severities)
     return first_seen(kept, "ghsa_id", ["ecosystem_rank", "position"])
 
 

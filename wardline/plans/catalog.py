@@ -8,7 +8,6 @@ lists, caps) are the fixed fixture values of ``wardline.sources.adapters``.
 from __future__ import annotations
 
 import datetime as _dt
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,29 +25,10 @@ from ..operators import security as SEC
 from ..operators import staging as T
 from ..operators import upsert as U
 from ..sources import adapters as A
-from ..session import session_key
 from ..sources import landing as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODELS: dict[tuple[str, str, str], object] = {}
-
-
-def model(fn):
-    """Define an intermediate model once per session and input folder.
-
-    Like a view of the surveyed layers: the DataFrame (a plan, not data) is
-    built and analyzed once and reused by every query that reads it; each
-    query still executes its whole plan from the input files.
-    """
-    @functools.wraps(fn)
-    def get(spark: SparkSession, d: str):
-        key = (session_key(spark), fn.__name__, d)
-        if key not in _MODELS:
-            _MODELS[key] = fn(spark, d)
-        return _MODELS[key]
-    return get
-
 ORDERS_AS_OF_TS = _dt.datetime.combine(A.ORDERS_AS_OF, _dt.time())
 Z_DIGITS = 6
 # Fetch settings of the ingest run: ecosystems in list order, severities, pages.
@@ -61,45 +41,37 @@ AS_OF_READ = _dt.date(2001, 1, 15)
 
 # ------------------------------------------------------------------ advisories
 
-@model
 def staged(spark: SparkSession, d: str) -> DataFrame:
     return T.stage_advisories(A.raw_advisories(spark, d), A.ORDERS_AS_OF)
 
 
-@model
 def enriched(spark: SparkSession, d: str) -> DataFrame:
     return T.enrich_vulnerabilities(staged(spark, d))
 
 
-@model
 def critical(spark: SparkSession, d: str) -> DataFrame:
     return M.mart_critical(enriched(spark, d))
 
 
-@model
 def summary(spark: SparkSession, d: str) -> DataFrame:
     return M.mart_summary(enriched(spark, d))
 
 
-@model
 def ecosystem_risk(spark: SparkSession, d: str) -> DataFrame:
     return M.mart_ecosystem_risk(enriched(spark, d), A.advisory_packages(spark, d))
 
 
-@model
 def advisory_health(spark: SparkSession, d: str) -> DataFrame:
     return M.pipeline_health(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at",
                              ORDERS_AS_OF_TS)
 
 
-@model
 def events_health(spark: SparkSession, d: str) -> DataFrame:
     return M.pipeline_health(A.table(spark, d, "events"), "events", "ts", A.EVENTS_AS_OF)
 
 
 # ------------------------------------------------------------------ landing
 
-@model
 def flattened(spark: SparkSession, d: str) -> DataFrame:
     return L.flatten_advisories(A.advisory_json(spark, d), ORDERS_AS_OF_TS)
 
@@ -128,7 +100,6 @@ def typed_view(spark: SparkSession, d: str) -> DataFrame:
         F.variant_get("raw_json", "$.cvss.score", "double").alias("raw_cvss_score"))
 
 
-@model
 def cve_items(spark: SparkSession, d: str) -> DataFrame:
     return L.unwrap_cves(A.cve_page_json(spark, d))
 
@@ -146,7 +117,6 @@ def node_view(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ ingest
 
-@model
 def listing(spark: SparkSession, d: str) -> DataFrame:
     return I.ecosystem_listing(A.advisory_listing(spark, d), A.EVENT_ECOSYSTEMS)
 
@@ -160,17 +130,14 @@ def capped(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fetched(spark: SparkSession, d: str) -> DataFrame:
-    return I.fetch_advisories(A.advisory_listing(spark, d), A.EVENT_ECOSYSTEMS, FETCH_SEVERITIES,
-                              FETCH_PAGES, R.PAGE_SIZE)
+    return I.fetch_advisories(A.advisory_listing(spark, d), A.EVENT_ECOSYSTEMS, FETCH_SEVERITIES)
 
 
-@model
 def upsert_target(spark: SparkSession, d: str) -> DataFrame:
     raw = A.raw_advisories(spark, d)
     return raw.where(F.col("updated_at") < F.lit(A.TARGET_LOADED_BEFORE.isoformat()).cast("timestamp_ntz"))
 
 
-@model
 def upsert_batch(spark: SparkSession, d: str) -> DataFrame:
     """Re-fetched advisories: everything updated since a date, with new scores."""
     raw = I.since(A.raw_advisories(spark, d), "updated_at", A.BATCH_UPDATED_SINCE)
@@ -198,17 +165,14 @@ def records_merged(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ security
 
-@model
 def anomalous(spark: SparkSession, d: str) -> DataFrame:
     return SEC.anomalous_queries(A.query_history(spark, d), A.EVENTS_AS_OF)
 
 
-@model
 def roles(spark: SparkSession, d: str) -> DataFrame:
     return SEC.role_audit(A.grants_to_users(spark, d), A.login_history(spark, d), A.ORDERS_AS_OF)
 
 
-@model
 def exposure(spark: SparkSession, d: str) -> DataFrame:
     return SEC.pii_exposure(A.column_listing(spark, d), A.EVENTS_AS_OF)
 
@@ -219,7 +183,6 @@ def sec_summary(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ outliers
 
-@model
 def summary_outliers(spark: SparkSession, d: str) -> DataFrame:
     return Z.summary_anomalies(summary(spark, d), ORDERS_AS_OF_TS, digits=Z_DIGITS)
 
@@ -241,7 +204,6 @@ def threat_brief(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ drift
 
-@model
 def drift(spark: SparkSession, d: str) -> DataFrame:
     return D.drift_records(A.plan_logs(spark, d))
 
@@ -252,7 +214,6 @@ HISTORY_KEY = "custkey"
 HISTORY_CHECKS = ["order_count", "max_price"]
 
 
-@model
 def history(spark: SparkSession, d: str) -> DataFrame:
     first = A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF)
     h0 = N.scd2_initial(first, HISTORY_KEY, A.HISTORY_FIRST_AS_OF)
@@ -267,7 +228,6 @@ UNIQUE_TESTS = R.UNIQUE_TESTS
 ACCEPTED_TESTS = R.ACCEPTED_TESTS
 
 
-@model
 def models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     s = staged(spark, d)
     e = T.enrich_vulnerabilities(s)

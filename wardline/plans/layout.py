@@ -14,9 +14,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     least ``min_partitions`` splits (the normal case for large, many-file
     inputs) nothing is added, so no shuffle is paid at scale.
     """
-    from ..session import parallelism
-
-    target = min_partitions or parallelism(df.sparkSession)
+    target = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
         splits = df.rdd.getNumPartitions()      # planning metadata only, no job
     except Exception:                           # no RDD view (e.g. Spark Connect): leave as is

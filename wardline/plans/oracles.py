@@ -260,7 +260,7 @@ drift AS (
          {', '.join(f"CAST(coalesce(TRY_CAST(regexp_extract(stdout, {S.q(R.PLAN_SUMMARY_PATTERN)}, {i}) AS BIGINT), 0) AS BIGINT) AS resources_to_{n}" for i, n in ((1, 'add'), (2, 'change'), (3, 'destroy')))},
          CAST(to_json({{'changed_resources': list_filter(names, lambda x, i: NOT list_contains(names[1:i-1], x))}})
               AS VARCHAR) AS drift_details,
-         substring(stdout, 1, {R.PLAN_TEXT_LIMIT}) AS raw_plan_output
+         stdout AS raw_plan_output
   FROM parsed)"""
 
 SNAP = f"""first_snap AS (
@@ -334,22 +334,20 @@ FROM (SELECT max({col}) AS max_loaded_at,
 
 
 def _brief_actions() -> str:
-    from ..operators import brief as BR
-    eco = " || ".join("top_ecosystem" if p == "{eco}" else "CAST(top_ecosystem_critical AS VARCHAR)"
-                      if p == "{n}" else S.q(p) for p in BR.ACTION_ECOSYSTEM)
     return f"""{BRIEF_BASE},
 acts AS (
-  SELECT 1 AS n, CAST(chronic_count AS VARCHAR) || {S.q(BR.ACTION_CHRONIC)} AS action
+  SELECT 1 AS n, CAST(chronic_count AS VARCHAR) || ' advisories are open for over a year; schedule their fixes first.' AS action
   FROM facts WHERE chronic_count > {R.CHRONIC_ACTION_MIN}
-  UNION ALL SELECT 2, {eco} FROM facts WHERE top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN}
-  UNION ALL SELECT 3, {S.q(BR.ACTION_PIPELINE)} FROM facts WHERE pipeline_status <> 'healthy'
-  UNION ALL SELECT 4, {S.q(BR.ACTION_REMINDER)} FROM facts)
+  UNION ALL SELECT 2, 'Check what depends on ' || top_ecosystem || ': it has '
+         || CAST(top_ecosystem_critical AS VARCHAR) || ' critical advisories.' FROM facts WHERE top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN}
+  UNION ALL SELECT 3, 'Loads are late or uneven; look at the ingest job before relying on these figures.' FROM facts WHERE pipeline_status <> 'healthy'
+  UNION ALL SELECT 4, 'Run the data tests before the next brief.' FROM facts)
 SELECT CAST(row_number() OVER (ORDER BY n) AS BIGINT) AS action_no, action FROM acts"""
 
 
 ORACLES.update({
     # ---------------------------------------------------------------- sources
-    "flatten_advisory_json": f"""SELECT ghsa_id, cve_id, substring(coalesce(summary, ''), 1, {R.SUMMARY_LIMIT}) AS summary,
+    "flatten_advisory_json": f"""SELECT ghsa_id, cve_id, coalesce(summary, '') AS summary,
        description, severity, cvss_score,
        CASE WHEN cvss_score IS NOT NULL THEN 'CVSS:3.1/AV:N/S:' || severity END AS cvss_vector_string,
        CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS cwe_count,
@@ -385,11 +383,10 @@ FROM (SELECT {RAW_FULL}, o_orderkey, o_custkey FROM orders)""",
     # ---------------------------------------------------------------- ingest
     "severity_filter": f"WITH {LISTING}\nSELECT * FROM lst WHERE {SEVERITY_IN}",
     "cap_per_ecosystem": f"WITH {LISTING},\n{CAPPED}\nSELECT * FROM capped",
-    "first_seen_dedupe": f"""WITH {LISTING},
-{CAPPED}
+    "first_seen_dedupe": f"""WITH {LISTING}
 SELECT ecosystem, position, ghsa_id, severity, updated_at, ecosystem_rank FROM (
   SELECT *, row_number() OVER (PARTITION BY ghsa_id ORDER BY ecosystem_rank, position) AS rn
-  FROM capped WHERE {SEVERITY_IN}) WHERE rn = 1""",
+  FROM lst WHERE {SEVERITY_IN}) WHERE rn = 1""",
     "incremental_since": f"SELECT * FROM (SELECT {RAW_FULL} FROM orders) WHERE updated_at >= {ts(A.BATCH_UPDATED_SINCE)}",
     "incremental_window": f"""SELECT * FROM (SELECT {RAW_FULL} FROM orders)
 WHERE published_at >= {ts(C.WINDOW_LO)} AND published_at <= {ts(C.WINDOW_HI)}""",
@@ -500,9 +497,6 @@ SELECT * FROM snap WHERE valid_from <= {ts(C.AS_OF_READ)}
 
 
 def _threat_brief() -> str:
-    from ..operators import brief as BR
-    eco = " || ".join("top_ecosystem" if p == "{eco}" else "CAST(top_ecosystem_critical AS VARCHAR)"
-                      if p == "{n}" else S.q(p) for p in BR.ACTION_ECOSYSTEM)
     ts_fmt = "'%Y-%m-%d %H:%M:%S'"
     cap = "upper(substring(coalesce(severity, 'unknown'), 1, 1)) || lower(substring(coalesce(severity, 'unknown'), 2))"
     return f"""{BRIEF_BASE},
@@ -511,7 +505,7 @@ tl AS (
     SELECT -composite_risk_score AS k1, advisory_id AS k2,
            concat_ws(' | ', coalesce(cve_id, 'N/A'), CAST(composite_risk_score AS VARCHAR), severity,
                      CAST(days_since_published AS VARCHAR) || ' days', vulnerability_category,
-                     substring(coalesce(summary, ''), 1, 47)) AS line
+                     coalesce(summary, '')) AS line
     FROM (SELECT * FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT {R.TOP_THREATS}))),
 el AS (
   SELECT coalesce(string_agg(line, chr(10) ORDER BY k1, k2), '') AS eco_lines FROM (
@@ -527,32 +521,33 @@ sl AS (
 al AS (
   SELECT concat_ws(chr(10),
            CASE WHEN chronic_count > {R.CHRONIC_ACTION_MIN}
-                THEN CAST(chronic_count AS VARCHAR) || {S.q(BR.ACTION_CHRONIC)} END,
-           CASE WHEN top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN} THEN {eco} END,
-           CASE WHEN pipeline_status <> 'healthy' THEN {S.q(BR.ACTION_PIPELINE)} END,
-           {S.q(BR.ACTION_REMINDER)}) AS action_lines
+                THEN CAST(chronic_count AS VARCHAR) || ' advisories are open for over a year; schedule their fixes first.' END,
+           CASE WHEN top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN} THEN 'Check what depends on ' || top_ecosystem || ': it has '
+                  || CAST(top_ecosystem_critical AS VARCHAR) || ' critical advisories.' END,
+           CASE WHEN pipeline_status <> 'healthy' THEN 'Loads are late or uneven; look at the ingest job before relying on these figures.' END,
+           'Run the data tests before the next brief.') AS action_lines
   FROM facts)
 SELECT md5('brief|' || strftime({ORDERS_TS}, {ts_fmt})) AS brief_id, {ORDERS_TS} AS generated_at,
        total_cves AS cve_count, critical_count, top_ecosystem, pipeline_status,
        concat_ws(chr(10),
-         'WEEKLY SECURITY THREAT BRIEF',
-         'Generated: ' || strftime({ORDERS_TS}, '%Y-%m-%d %H:%M') || ' UTC',
-         'Data as of: ' || strftime(last_ingested_at, {ts_fmt}) || ' UTC',
-         '', 'EXECUTIVE SUMMARY',
-         'Platform analyzed ' || CAST(total_rows AS VARCHAR) || ' vulnerabilities.',
-         CAST(critical_count AS VARCHAR) || ' critical threats detected across ' || CAST(eco_count AS VARCHAR)
-           || ' ecosystems.',
-         'Pipeline status: ' || pipeline_status || '.',
-         '', 'TOP 5 CRITICAL THREATS', threat_lines,
-         '', 'ECOSYSTEM RISK RANKING', eco_lines,
-         '', 'SEVERITY BREAKDOWN', sev_lines,
-         '', 'TREND INDICATORS',
-         'Age distribution: ' || CAST(new_count AS VARCHAR) || ' new / ' || CAST(recent_count AS VARCHAR)
+         'Threat brief',
+         'Written ' || strftime({ORDERS_TS}, '%Y-%m-%d %H:%M') || ' UTC',
+         'Newest data ' || strftime(last_ingested_at, {ts_fmt}) || ' UTC',
+         '', 'Overview',
+         'Advisories loaded: ' || CAST(total_rows AS VARCHAR),
+         CAST(critical_count AS VARCHAR) || ' critical, in ' || CAST(eco_count AS VARCHAR)
+           || ' ecosystems',
+         'Load state: ' || pipeline_status,
+         '', 'Highest scores', threat_lines,
+         '', 'Ecosystems by average score', eco_lines,
+         '', 'Counts by severity', sev_lines,
+         '', 'Age and peaks',
+         'By age: ' || CAST(new_count AS VARCHAR) || ' new / ' || CAST(recent_count AS VARCHAR)
            || ' recent / ' || CAST(aging_count AS VARCHAR) || ' aging / ' || CAST(chronic_count AS VARCHAR)
            || ' chronic',
-         'Highest single risk score this period: ' || CAST(max_score AS VARCHAR),
-         'Most affected ecosystem: ' || top_ecosystem,
-         '', 'RECOMMENDED ACTIONS', action_lines) AS brief_text
+         'Peak score: ' || CAST(max_score AS VARCHAR),
+         'First ecosystem: ' || top_ecosystem,
+         '', 'Next steps', action_lines) AS brief_text
 FROM facts, tl, el, sl, al"""
 
 
