@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import SparkSession
 
 from .operators import ingest as I
-from .operators.upsert import newest_per_key
+from .operators.landing import land_advisories
 from .plans.cycle import run_cycle
 from .session import BASE_CONF, checkpoint_dir
 from .sources import landing as L
 from .sources import tables as TB
 
 RAW_TABLE = "raw.raw_github_advisories"
+REJECT_TABLE = "raw.github_advisories_rejects"
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -58,13 +59,9 @@ def land(spark: SparkSession, landing: str, as_of: _dt.datetime, since: _dt.date
          severities: list[str]) -> int:
     """Landed documents → RAW upsert; returns the RAW table version."""
     docs = spark.read.text(landing).select(F.col("value").alias("json"))
-    flat = L.flatten_advisories(docs, as_of)
-    flat = I.filter_in_ci(flat, "severity", severities)
-    flat = newest_per_key(flat, "ghsa_id", ["updated_at"])
-    typed = L.type_raw(flat)
-    if since is not None:
-        typed = I.since(typed, "updated_at", since)
+    typed, rejects = land_advisories(docs, as_of, severities, since)
     TB.ensure_schema(spark, "raw")
+    TB.append_run(rejects, REJECT_TABLE, as_of)
     return TB.upsert_table(spark, RAW_TABLE, typed, "ghsa_id")
 
 

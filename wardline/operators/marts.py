@@ -55,10 +55,6 @@ def mart_summary(enriched: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- packages
 
-_PACKAGE_ARRAY = T.ArrayType(T.StructType([
-    T.StructField("package", T.StructType([
-        T.StructField("ecosystem", T.StringType()),
-        T.StructField("name", T.StringType())]))]))
 
 
 def explode_packages(raw: DataFrame, packages_col: str = "affected_packages",
@@ -72,11 +68,16 @@ def explode_packages(raw: DataFrame, packages_col: str = "affected_packages",
     dtype = raw.schema[packages_col].dataType
     col = F.col(packages_col)
     if isinstance(dtype, T.StringType):
-        arr = F.from_json(col, _PACKAGE_ARRAY)
-    elif isinstance(dtype, T.VariantType):
-        arr = F.try_variant_get(col, "$", _PACKAGE_ARRAY.simpleString())
-    else:
-        arr = col
+        # element by element: one odd element does not take the others with it
+        each = raw.select(F.col(id_col).alias("ghsa_id"), F.explode(F.from_json(col, "array<string>")).alias("p"))
+        return each.select("ghsa_id", F.get_json_object("p", "$.package.ecosystem").alias("ecosystem"),
+                           F.get_json_object("p", "$.package.name").alias("package_name"))
+    if isinstance(dtype, T.VariantType):
+        each = raw.select(F.col(id_col).alias("ghsa_id"),
+                          F.explode(F.try_variant_get(col, "$", "array<variant>")).alias("p"))
+        return each.select("ghsa_id", F.try_variant_get("p", "$.package.ecosystem", "string").alias("ecosystem"),
+                           F.try_variant_get("p", "$.package.name", "string").alias("package_name"))
+    arr = col
     return (raw.select(F.col(id_col).alias("ghsa_id"), F.explode(arr).alias("p"))
             .select("ghsa_id",
                     F.col("p.package.ecosystem").alias("ecosystem"),

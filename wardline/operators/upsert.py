@@ -27,8 +27,18 @@ def newest_per_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFr
     """One row per key: the greatest by ``order_cols`` (then by all other columns)."""
     rest = [c for c in df.columns if c != key and c not in order_cols]
     packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in rest])
-    best = df.groupBy(key).agg(F.max(packed).alias("_b"))
-    return best.select(*[F.col(key) if c == key else F.col(f"_b.{c}").alias(c) for c in df.columns])
+    best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(packed).alias("_b"))
+    best = best.select(*[F.col(key) if c == key else F.col(f"_b.{c}").alias(c) for c in df.columns])
+    return best.unionByName(df.where(F.col(key).isNull()))      # a missing key is no key: such rows stay apart
+
+
+def unique_or_fail(df: DataFrame, key: str) -> DataFrame:
+    """``df`` unchanged; the job fails if two rows share a key (rows without a key may repeat)."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    one = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.any_value(row).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    message = F.concat(F.lit(f"several source rows for {key} "), F.col(key).cast("string"))
+    one = one.where(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
+    return one.select(*[F.col(f"_b.{c}").alias(c) for c in df.columns]).unionByName(df.where(F.col(key).isNull()))
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str,
@@ -36,6 +46,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
            dedupe_order: Sequence[str] | None = None) -> DataFrame:
     """MERGE source into target on ``key``.
 
+    Source rows that share a key fail the job, unless ``dedupe_order`` says
+    which of them is the newest. Source rows without a key match nothing and
+    are all inserted.
+
     ``update_cols`` lists the columns a match replaces (default: all non-key
     columns); the others keep the target's value on a match. An empty source
     leaves the target unchanged.
@@ -44,6 +58,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
     src = source.select(*cols)
     if dedupe_order:
         src = newest_per_key(src, key, dedupe_order)
+    else:
+        src = unique_or_fail(src, key)
     if update_cols is None or set(update_cols) >= set(c for c in cols if c != key):
         kept = target.join(src.select(key), key, "left_anti")
         return kept.unionByName(src)
@@ -76,11 +92,12 @@ def upsert_records(target: DataFrame, records: DataFrame, id_col: str, as_of: _d
     from ``id_expr`` (default: the record's ``id`` field, else 'UNKNOWN').
     ``loaded_at`` is ``as_of`` for every inserted or updated row; rows the
     batch does not touch keep theirs. Several records with one id keep the
-    newest fetch.
+    newest fetch; records without one are all kept, as 'UNKNOWN'.
     """
     ident = id_expr if id_expr is not None else record_id(F.col("record"))
-    src = records.select(ident.alias(id_col), F.col("record"), F.col("fetched_at"),
+    src = records.select(F.nullif(ident, F.lit(R.UNKNOWN_ID)).alias(id_col), F.col("record"), F.col("fetched_at"),
                          ts_ntz(as_of).alias("loaded_at"))
-    src = newest_per_key(src, id_col, ["fetched_at"])
-    kept = target.select(id_col, "record", "fetched_at", "loaded_at").join(src.select(id_col), id_col, "left_anti")
+    src = newest_per_key(src, id_col, ["fetched_at"]).withColumn(id_col, F.coalesce(id_col, F.lit(R.UNKNOWN_ID)))
+    named = src.where(F.col(id_col) != R.UNKNOWN_ID)
+    kept = target.select(id_col, "record", "fetched_at", "loaded_at").join(named.select(id_col), id_col, "left_anti")
     return kept.unionByName(src)

@@ -42,7 +42,7 @@ def flatten_advisories(docs: DataFrame, ingested_at: _dt.datetime, json_col: str
     """REST advisory JSON → the 17-column RAW advisory row.
 
     Null-safe nested CVSS fields, package and CWE arrays default to empty
-    lists, credits counted, summary cut to 2000 characters, raw payload kept,
+    lists, credits counted, summary and raw payload kept whole,
     and source/ingest stamps added. Timestamps stay text here; ``type_raw``
     types them.
     """
@@ -51,7 +51,7 @@ def flatten_advisories(docs: DataFrame, ingested_at: _dt.datetime, json_col: str
     return docs.select(d.alias("d"), F.col(json_col).alias("raw_json")).select(
         F.col("d.ghsa_id").alias("ghsa_id"),
         F.col("d.cve_id").alias("cve_id"),
-        F.substring(F.coalesce(F.col("d.summary"), F.lit("")), 1, R.SUMMARY_LIMIT).alias("summary"),
+        F.coalesce(F.col("d.summary"), F.lit("")).alias("summary"),
         F.col("d.description").alias("description"),
         F.col("d.severity").alias("severity"),
         F.col("d.cvss.score").alias("cvss_score"),
@@ -109,6 +109,16 @@ def type_raw(df: DataFrame, timestamp_cols=("published_at", "updated_at", "withd
     return out
 
 
+def split_unparsable(df: DataFrame, json_cols=("cwes", "affected_packages", "raw_json")) -> tuple[DataFrame, DataFrame]:
+    """(rows whose JSON columns all parse, the others with ``reject_reason``), both with the text as it came."""
+    bad = F.lit(None).cast("string")
+    for c in reversed([c for c in json_cols if c in df.columns]):
+        wrong = F.col(c).isNotNull() & F.try_parse_json(F.col(c)).isNull()
+        bad = F.when(wrong, F.lit(f"invalid JSON in {c}")).otherwise(bad)
+    marked = df.withColumn("reject_reason", bad)
+    return marked.where("reject_reason is null").drop("reject_reason"), marked.where("reject_reason is not null")
+
+
 def type_raw_with_rejects(df: DataFrame,
                           timestamp_cols=("published_at", "updated_at", "withdrawn_at", "ingested_at"),
                           json_cols=("cwes", "affected_packages", "raw_json")) -> tuple[DataFrame, DataFrame]:
@@ -117,19 +127,5 @@ def type_raw_with_rejects(df: DataFrame,
     Returns ``(typed, rejects)``; ``rejects`` keeps the original text columns
     and names the first column that did not parse.
     """
-    present = [c for c in json_cols if c in df.columns]
-    parsed = df.select("*", *[F.try_parse_json(F.col(c)).alias(f"_pj_{c}") for c in present])
-    bad = None
-    for c in present:
-        cond = F.col(c).isNotNull() & F.col(f"_pj_{c}").isNull()
-        bad = F.when(cond, F.lit(c)) if bad is None else bad.when(cond, F.lit(c))
-    if bad is None:
-        return type_raw(df, timestamp_cols, ()), df.limit(0).withColumn("reject_reason", F.lit(None).cast("string"))
-    marked = parsed.withColumn("_bad", bad)
-    rejects = (marked.where(F.col("_bad").isNotNull())
-               .select(*df.columns, F.concat(F.lit("invalid JSON in "), F.col("_bad")).alias("reject_reason")))
-    good = marked.where(F.col("_bad").isNull())
-    for c in present:
-        good = good.withColumn(c, F.col(f"_pj_{c}"))
-    good = good.drop("_bad", *[f"_pj_{c}" for c in present])
-    return type_raw(good, timestamp_cols, ()), rejects
+    good, rejects = split_unparsable(df, json_cols)
+    return type_raw(good, timestamp_cols, json_cols), rejects
