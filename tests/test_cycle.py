@@ -1,4 +1,4 @@
-"""End-to-end cycle and the streaming landing, on the smallest driver tables."""
+"""End-to-end cycle and command line, on the smallest driver tables."""
 
 import datetime as dt
 import os
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from wardline.plans.cycle import run_cycle
 from wardline.sources import adapters as A
-from wardline.streaming.landing import start_advisory_landing
 
 from .conftest import SF_SMALL
 
@@ -42,26 +41,6 @@ def test_cycle_twice_builds_tables_and_history(spark, scratch):
     assert fresh == {8: "error", 9: "error"}
 
 
-def test_landing_stream_upserts(spark, scratch):
-    landing = os.path.join(scratch, "landing")
-    docs = A.advisory_json(spark, SF_SMALL)
-    docs.where("doc_id < 'ADV-5'").select(F.col("json").alias("value")).write.text(os.path.join(landing, "b1"))
-    q = start_advisory_landing(spark, os.path.join(landing, "*"), "raw_stream_advisories",
-                               os.path.join(scratch, "ckpt"))
-    q.awaitTermination(120)
-    first = spark.table("raw_stream_advisories").count()
-    assert first == docs.where("doc_id < 'ADV-5'").count()
-    # second landing file re-sends some docs and adds new ones
-    docs.where("doc_id >= 'ADV-4'").select(F.col("json").alias("value")).write.text(os.path.join(landing, "b2"))
-    q = start_advisory_landing(spark, os.path.join(landing, "*"), "raw_stream_advisories",
-                               os.path.join(scratch, "ckpt"))
-    q.awaitTermination(120)
-    t = spark.table("raw_stream_advisories")
-    assert t.count() == docs.count()
-    assert t.groupBy("ghsa_id").count().where("count > 1").count() == 0
-    assert dict(t.dtypes)["published_at"] == "timestamp_ntz"
-
-
 def test_command_line_run(spark, scratch):
     from wardline.__main__ import main
     landing = os.path.join(scratch, "cli_landing")
@@ -89,58 +68,6 @@ def test_rerun_of_same_cycle_is_idempotent(spark, scratch):
     assert got == {("2024-01-01 00:00:00", "a"), ("2024-01-02 00:00:00", "a"), ("2024-01-02 00:00:00", "b")}
 
 
-def test_replayed_stream_batch_is_skipped(spark, scratch):
-    import datetime as _dt
-
-    from wardline.sources.tables import current_version
-    from wardline.streaming.landing import BATCH_PROPERTY, upsert_landed_batch
-    from wardline.sources.tables import version_property
-    docs = A.advisory_json(spark, SF_SMALL).select(F.col("json").alias("value")).limit(20)
-    v = upsert_landed_batch(docs, "replay_probe", _dt.datetime(2024, 1, 1), "ck#0")
-    assert version_property(spark, "replay_probe", BATCH_PROPERTY) == "ck#0"
-    assert current_version(spark, "replay_probe") == v
-
-
-def test_merge_on_read_deltas_and_compaction(spark, scratch):
-    import datetime as _dt
-
-    from wardline.sources.tables import compact, delta_batches, read_merged
-    from wardline.streaming.landing import typed_batch
-    docs = A.advisory_json(spark, SF_SMALL).select(F.col("json").alias("value"))
-    name = "raw_delta_probe"
-    from wardline.sources.tables import append_delta
-    b0 = typed_batch(docs.where("doc_id < 'ADV-5'"), _dt.datetime(2024, 1, 1))
-    b1 = typed_batch(docs.where("doc_id >= 'ADV-4'"), _dt.datetime(2024, 1, 2))
-    append_delta(b0, name, 0)
-    append_delta(b1, name, 1)
-    append_delta(b1, name, 1)                      # a replayed batch
-    assert delta_batches(spark, name) == 2
-    merged = read_merged(spark, name, "ghsa_id", ["updated_at", "ingested_at"])
-    assert merged.count() == docs.count()
-    assert merged.groupBy("ghsa_id").count().where("count > 1").count() == 0
-    # re-sent docs carry the later batch's ingest stamp
-    assert merged.where("ghsa_id = 'ADV-40'").first().ingested_at == _dt.datetime(2024, 1, 2)
-    v = compact(spark, name, "ghsa_id", ["updated_at", "ingested_at"], buckets=4)
-    assert v == 1 and delta_batches(spark, name) == 0
-    assert spark.table(name).count() == docs.count()
-    append_delta(b0, name, 2)                      # later batch on top of the base
-    again = read_merged(spark, name, "ghsa_id", ["updated_at", "ingested_at"])
-    assert again.count() == docs.count()
-    assert again.where("ghsa_id = 'ADV-40'").first().ingested_at == _dt.datetime(2024, 1, 1)
-
-
-def test_landing_stream_delta_mode(spark, scratch):
-    from wardline.sources.tables import read_merged
-    landing = os.path.join(scratch, "landing_delta")
-    docs = A.advisory_json(spark, SF_SMALL)
-    docs.select(F.col("json").alias("value")).write.text(os.path.join(landing, "b1"))
-    q = start_advisory_landing(spark, os.path.join(landing, "*"), "raw_stream_delta",
-                               os.path.join(scratch, "ckpt_delta"), mode="delta", compact_every=1)
-    q.awaitTermination(120)
-    t = read_merged(spark, "raw_stream_delta", "ghsa_id", ["updated_at"])
-    assert t.count() == docs.count()
-
-
 def test_cycle_records_every_declared_test(spark):
     if not spark.catalog.tableExists("monitoring.dq_results"):
         import datetime as _dt

@@ -221,7 +221,7 @@ def test_first_seen_prefers_list_order(spark):
     lst = spark.createDataFrame([("npm", 1, "G1", "critical"), ("pip", 5, "G1", "high"),
                                  ("pip", 6, "G2", None)],
                                 "ecosystem string, position int, ghsa_id string, severity string")
-    out = I.fetch_advisories(lst, ["pip", "npm"], ["critical", "high"], 2, 100).collect()
+    out = I.fetch_advisories(lst, ["pip", "npm"], ["critical", "high"]).collect()
     assert [(r.ghsa_id, r.ecosystem) for r in out] == [("G1", "pip")]
 
 
@@ -299,13 +299,6 @@ def test_explode_packages_from_variant(spark):
     assert [(r.ghsa_id, r.ecosystem) for r in M.explode_packages(v).collect()] == [("A1", "npm")]
 
 
-def test_scale_conf_sizes_partitions():
-    from wardline.session import scale_conf
-    c = scale_conf(100 * 1024 ** 4, total_cores=8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 100000
-    assert int(scale_conf(1024 ** 3, total_cores=64)["spark.sql.shuffle.partitions"]) == 192
-
-
 def test_type_raw_rejects_bad_json(spark):
     from wardline.sources.landing import type_raw_with_rejects
     df = spark.createDataFrame([("G1", "[1]", "2024-01-01T00:00:00Z"), ("G2", "{not json", "2024-01-01T00:00:00Z"),

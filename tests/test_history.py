@@ -53,11 +53,11 @@ def test_as_of_view(spark):
 def test_versioned_commit_reads_old_while_writing_new(spark):
     name = "hist_versions"
     v1 = TB.commit_version(spark.createDataFrame([("a", 1)], "k string, v long"), name)
-    cur = TB.read_versioned(spark, name)
+    cur = spark.table(name)
     v2 = TB.commit_version(cur.union(spark.createDataFrame([("b", 2)], "k string, v long")), name)
     assert (v1, v2) == (1, 2)
-    assert sorted(r.k for r in TB.read_versioned(spark, name).collect()) == ["a", "b"]
-    assert [r.k for r in TB.read_versioned(spark, name, 1).collect()] == ["a"]
+    assert sorted(r.k for r in spark.table(name).collect()) == ["a", "b"]
+    assert [r.k for r in spark.table(f"{name}__v1").collect()] == ["a"]
 
 
 def test_upsert_table_versions_and_bucketed_layout(spark):

@@ -27,31 +27,6 @@ BASE_CONF = {
 }
 
 
-def scale_conf(input_bytes: float, total_cores: int,
-               target_partition_bytes: int = 256 * 1024 ** 2,
-               shuffle_ratio: float = 0.25, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
-    """Partition sizing for a cluster run over ``input_bytes`` of input.
-
-    Scan splits and post-shuffle partitions both aim at ``target_partition_bytes``
-    so a task's working set fits executor memory without spilling. The
-    shuffle volume is taken as ``shuffle_ratio`` of the input (column pruning
-    and map-side aggregation shrink it); the initial partition count is at
-    least 3 waves of the cluster's cores and at most ``max_shuffle_partitions``
-    (map outputs × reducers must stay manageable). AQE then coalesces small
-    partitions and splits skewed join partitions.
-    """
-    by_size = int(shuffle_ratio * input_bytes // target_partition_bytes) + 1
-    shuffle = min(max(3 * total_cores, by_size), max(max_shuffle_partitions, 3 * total_cores))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    }
-
-
 def get_session(master: str | None = None, app: str = "wardline",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
@@ -69,27 +44,11 @@ def get_session(master: str | None = None, app: str = "wardline",
     return spark
 
 
-def session_key(spark: SparkSession) -> str:
-    """A stable identity of the session's application (for per-session caches)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Task slots of the cluster (falls back to the shuffle partition setting)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """Shared folder for lineage cuts and versioned tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we take a fresh scratch folder.
+    The cluster names it in ``spark.checkpoint.dir``; only a local session
+    may leave that unset and gets a fresh scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -100,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="wardline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

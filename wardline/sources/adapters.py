@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions import sqltext as S
 from ..functions.columns import word
 from ..plans.layout import spread
-from ..session import session_key
 
 # Fixture vocabularies (our own test inputs, not rules of the workload).
 SUMMARY_WORDS = ["SQL Injection", "Remote code", "Resource use", "Privilege gain",
@@ -43,17 +42,9 @@ BATCH_UPDATED_SINCE = _dt.date(1999, 7, 1)
 HISTORY_FIRST_AS_OF = _dt.date(2000, 12, 31)
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The read (file listing, footer) is done once per session and path."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (session_key(spark), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ------------------------------------------------------------------ advisories

@@ -102,8 +102,12 @@ def _versions(spark: SparkSession, name: str) -> list[int]:
 
 
 def current_version(spark: SparkSession, name: str) -> int | None:
-    v = _versions(spark, name)
-    return v[-1] if v else None
+    """The version that readers of ``name`` see: the one its view selects from."""
+    if not spark.catalog.tableExists(name):
+        return None
+    text = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "View Text"]
+    found = re.search(r"__v(\d+)\s*$", text[0]) if text else None
+    return int(found.group(1)) if found else None
 
 
 def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
@@ -120,7 +124,9 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
     raises, the version is dropped and the previous one stays current.
     """
     spark = df.sparkSession
-    nxt = (current_version(spark, name) or 0) + 1
+    nxt = max(_versions(spark, name), default=0) + 1     # an interrupted commit may have left a higher one
+    if bucket_by:                                        # one file per bucket, not one per task and bucket
+        df = df.repartition(*bucket_by)
     w = df.write.format("parquet").mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -140,20 +146,12 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
         spark.sql(f"ALTER TABLE {name}__v{nxt} SET TBLPROPERTIES ({props})")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}__v{nxt}")
     if keep:
-        for old in _versions(spark, name)[:-keep]:
+        # what an interrupted commit left behind, and all but the newest versions
+        for old in [v for v in _versions(spark, name) if v < nxt][:max(0, len(_versions(spark, name)) - keep)]:
             spark.sql(f"DROP TABLE IF EXISTS {name}__v{old}")
     return nxt
 
 
-def version_property(spark: SparkSession, name: str, prop: str) -> str | None:
-    """A property of the current version of ``name`` (None when absent or unversioned)."""
-    v = current_version(spark, name)
-    if v is None:
-        return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}__v{v}").collect()
-    return next((r.value for r in rows if r.key == prop), None)
-
-
 def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
                  update_cols: list[str] | None = None, dedupe_order: list[str] | None = None,
                  buckets: int | None = None, properties: dict[str, str] | None = None) -> int:
@@ -165,30 +163,28 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
     version number (0 when the table merged in place). An empty source is a
     no-op that returns the current version.
     """
-    from ..operators.upsert import newest_per_key, upsert
+    from ..operators.upsert import newest_per_key, unique_or_fail, upsert
 
     if source.isEmpty():                       # nothing landed: no rewrite, no new version
         return current_version(spark, name) or 0
     src = newest_per_key(source, key, dedupe_order) if dedupe_order else source
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if current_version(spark, name) is None and not spark.catalog.tableExists(name):
-        return commit_version(src, name, bucket_by=(n, key), properties=properties)
-    if update_cols is None and current_version(spark, name) is None:
-        try:
-            (src.alias("source").mergeInto(name, F.expr(f"{name}.{key} = source.{key}"))
-             .whenMatched().updateAll().whenNotMatched().insertAll().merge())
-            return 0
-        except Exception as e:  # the table format has no row-level MERGE
-            if "MERGE" not in str(e).upper():
-                raise
+        first = src if dedupe_order else unique_or_fail(src, key)
+        return commit_version(first, name, bucket_by=(n, key), properties=properties)
+    if update_cols is None and _merges(spark, name):
+        (src.alias("source").mergeInto(name, F.expr(f"{name}.{key} = source.{key}"))
+         .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+        return 0
     merged = upsert(spark.table(name), src, key, update_cols=update_cols)
-    return commit_version(merged, name, bucket_by=(n, key), properties=properties)
+    return commit_version(merged, name, bucket_by=(n, key), keep=2, properties=properties)
 
 
-def read_versioned(spark: SparkSession, name: str, version: int | None = None) -> DataFrame:
-    if version is None:
-        return spark.table(name)
-    return spark.table(f"{name}__v{version}")
+def _merges(spark: SparkSession, name: str) -> bool:
+    """Whether the table's format has a row-level MERGE: none of Spark's own file formats and no view has."""
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    return (rows.get("Type", "").upper() != "VIEW"
+            and rows.get("Provider", "").lower() not in ("", "parquet", "orc", "csv", "json", "text", "avro", "hive"))
 
 
 # ------------------------------------------------------------------ metadata
@@ -202,71 +198,9 @@ def column_inventory(spark: SparkSession, catalog_name: str = "spark_catalog") -
     rows = []
     for db in spark.catalog.listDatabases():
         for t in spark.catalog.listTables(db.name):
-            if t.isTemporary:
+            if t.isTemporary or re.search(r"__v\d+$", t.name):      # a version is seen through its view
                 continue
             for c in spark.catalog.listColumns(f"{db.name}.{t.name}"):
                 rows.append((catalog_name, db.name, t.name, c.name, c.dataType))
     schema = "table_catalog string, table_schema string, table_name string, column_name string, data_type string"
     return spark.createDataFrame(rows, schema)
-
-
-# ------------------------------------------------------------------ merge on read
-
-DELTA_SUFFIX = "__delta"
-SEQ = "_seq"
-
-
-def append_delta(df: DataFrame, name: str, seq: int) -> None:
-    """Append one batch of rows for ``name`` to its delta table, tagged with ``seq``.
-
-    Appends are cheap (no rewrite of the base). A replayed batch appends the
-    same rows again with the same ``seq``; reads keep one copy, so replays
-    change nothing.
-    """
-    df.withColumn(SEQ, F.lit(seq).cast("long")).write.format("parquet").mode("append") \
-        .partitionBy(SEQ).saveAsTable(f"{name}{DELTA_SUFFIX}")
-
-
-def read_merged(spark: SparkSession, name: str, key: str, order: list[str]) -> DataFrame:
-    """The table as of its last delta: base rows not replaced, plus the newest delta row per key.
-
-    The base is stored bucketed by ``key``, so only the (small) delta side is
-    shuffled for the anti-join; newer batches win, then ``order`` decides
-    inside a batch.
-    """
-    from pyspark.sql import Window
-
-    delta_name = f"{name}{DELTA_SUFFIX}"
-    has_base = current_version(spark, name) is not None
-    if not spark.catalog.tableExists(delta_name):
-        return spark.table(name)
-    # each batch holds a key at most once (batches are deduplicated before they
-    # are appended), so a key has at most one row per waiting batch: the
-    # window per key is bounded by the number of batches, and it orders on
-    # (seq, order) only, so VARIANT payload columns may ride along
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in [SEQ, *order]])
-    delta = (spark.table(delta_name).withColumn("_rn", F.row_number().over(w))
-             .where(F.col("_rn") == 1).drop("_rn", SEQ))
-    if not has_base:
-        return delta
-    base = spark.table(name)
-    return base.join(delta.select(key), key, "left_anti").unionByName(delta.select(*base.columns))
-
-
-def compact(spark: SparkSession, name: str, key: str, order: list[str], buckets: int | None = None) -> int | None:
-    """Fold the delta table into a new bucketed base version, then drop the deltas."""
-    delta_name = f"{name}{DELTA_SUFFIX}"
-    if not spark.catalog.tableExists(delta_name):
-        return current_version(spark, name)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = commit_version(read_merged(spark, name, key, order), name, bucket_by=(n, key), keep=2)
-    spark.sql(f"DROP TABLE IF EXISTS {delta_name}")
-    return v
-
-
-def delta_batches(spark: SparkSession, name: str) -> int:
-    """Number of batches waiting in the delta table (a listing of its partitions)."""
-    delta_name = f"{name}{DELTA_SUFFIX}"
-    if not spark.catalog.tableExists(delta_name):
-        return 0
-    return spark.sql(f"SHOW PARTITIONS {delta_name}").count()
