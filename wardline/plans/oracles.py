@@ -3,15 +3,51 @@
 The driver tables are pre-registered as views (orders, lineitem, part,
 customer, events, ...). Each statement re-derives its inputs with the same
 fixture expressions as ``wardline.sources.adapters`` and then states the
-operator in plain SQL. Column names and types match the Spark results.
+operator in plain SQL: rules, thresholds and formulas are written out here,
+not taken from the operators, so that a wrong one cannot pass on both sides.
+Column names and types match the Spark results.
 """
 
 from __future__ import annotations
 
-from ..functions import rules as R
 from ..sources import adapters as A
 from . import catalog as C
-from ..functions import sqltext as S
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def pick(number: str, words: list[str]) -> str:
+    """The fixture word that ``number`` selects, counting round."""
+    return f"list_extract([{', '.join(map(quoted, words))}], CAST(1 + ({number}) % {len(words)} AS BIGINT))"
+
+
+def mean2(column: str) -> str:
+    """Average of a column with two decimals at most, rounded half up to two: whole hundredths throughout."""
+    total = f"CAST(sum(CAST({column} AS DECIMAL(18, 2))) * 100 AS HUGEINT)"
+    return f"CAST((2 * {total} + count({column})) // (2 * nullif(count({column}), 0)) AS DOUBLE) / 100"
+
+
+# fixed values: the surveyed rules, in the order they are evaluated
+AGE_BUCKET = """CASE WHEN days_since_published <= 30 THEN 'new' WHEN days_since_published <= 90 THEN 'recent'
+              WHEN days_since_published <= 365 THEN 'aging' ELSE 'chronic' END"""
+AGE_MULTIPLIER = """CAST(CASE age_bucket WHEN 'new' THEN 1.0 WHEN 'recent' THEN 1.2 WHEN 'aging' THEN 1.5
+                    WHEN 'chronic' THEN 2.0 END AS DOUBLE)"""
+CATEGORY = """CASE WHEN summary ILIKE '%injection%' OR summary ILIKE '%rce%' OR summary ILIKE '%remote code%' THEN 'code_execution'
+                    WHEN summary ILIKE '%privilege%' OR summary ILIKE '%escalation%' THEN 'privilege_escalation'
+                    WHEN summary ILIKE '%disclosure%' OR summary ILIKE '%exposure%' OR summary ILIKE '%leak%' THEN 'data_exposure'
+                    WHEN summary ILIKE '%bypass%' OR summary ILIKE '%authentication%' THEN 'auth_bypass'
+                    WHEN summary ILIKE '%traversal%' OR summary ILIKE '%path%' THEN 'path_traversal'
+                    ELSE 'other' END"""
+COLUMN_CLASS = """CASE WHEN column_name ILIKE '%email%' THEN 'PII_EMAIL' WHEN column_name ILIKE '%phone%' THEN 'PII_PHONE'
+                    WHEN column_name ILIKE '%ssn%' THEN 'PII_SSN' WHEN column_name ILIKE '%password%' THEN 'CREDENTIAL'
+                    WHEN column_name ILIKE '%secret%' THEN 'CREDENTIAL' WHEN column_name ILIKE '%address%' THEN 'PII_ADDRESS'
+                    WHEN column_name ILIKE '%dob%' THEN 'PII_DOB' WHEN column_name ILIKE '%birth%' THEN 'PII_DOB'
+                    WHEN column_name ILIKE '%credit_card%' THEN 'PII_PAYMENT' WHEN column_name ILIKE '%salary%' THEN 'PII_FINANCIAL'
+                    WHEN column_name ILIKE '%income%' THEN 'PII_FINANCIAL' ELSE 'NOT_SENSITIVE' END"""
+PLAN_RESOURCE = r"'^\s*[#~+\-]\s+([\w.]+)\s+will be'"
+PLAN_COUNTS = r"'Plan:\s*(\d+) to add,\s*(\d+) to change,\s*(\d+) to destroy'"
 
 ORDERS_AS_OF = f"DATE '{A.ORDERS_AS_OF.isoformat()}'"
 ORDERS_AS_OF_TS = f"TIMESTAMP '{A.ORDERS_AS_OF.isoformat()} 00:00:00'"
@@ -23,7 +59,7 @@ RAW_FULL = f"""
     'ADV-' || o_orderkey AS ghsa_id,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL
          ELSE 'CVE-' || year(o_orderdate) || '-' || o_orderkey END AS cve_id,
-    {S.word('o_custkey', A.SUMMARY_WORDS)} || ' in module ' || o_custkey AS summary,
+    {pick('o_custkey', A.SUMMARY_WORDS)} || ' in module ' || o_custkey AS summary,
     'status ' || o_orderstatus AS description,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'CRITICAL' WHEN '2-HIGH' THEN 'HIGH'
          WHEN '3-MEDIUM' THEN 'MEDIUM' ELSE 'LOW' END AS severity,
@@ -43,35 +79,35 @@ RAW = f"raw AS (SELECT {RAW_FULL} FROM orders)"
 STG = f"""stg AS (
   SELECT ghsa_id AS advisory_id, cve_id, summary, description, lower(severity) AS severity,
          CAST(cvss_score AS DOUBLE) AS cvss_score, published_at, updated_at, ingested_at,
-         coalesce(cvss_score >= {R.CRITICAL_CVSS}, false) AS is_critical,
+         coalesce(cvss_score >= 9.0, false) AS is_critical,
          CAST(date_diff('day', CAST(published_at AS DATE), {ORDERS_AS_OF}) AS BIGINT) AS days_since_published
   FROM raw WHERE withdrawn_at IS NULL)"""
 
 ENR = f"""bkt AS (
-  SELECT *, {S.bucketize('days_since_published', R.AGE_BUCKETS, R.AGE_BUCKET_ELSE)} AS age_bucket FROM stg),
+  SELECT *, {AGE_BUCKET} AS age_bucket FROM stg),
 enr AS (
   SELECT *, round(coalesce(cvss_score, 0.0) * age_risk_multiplier, 2) AS composite_risk_score
-  FROM (SELECT *, {S.map_values('age_bucket', R.AGE_MULTIPLIERS)} AS age_risk_multiplier,
-               {S.keyword_class('summary', R.CATEGORY_RULES, R.CATEGORY_ELSE)} AS vulnerability_category
+  FROM (SELECT *, {AGE_MULTIPLIER} AS age_risk_multiplier,
+               {CATEGORY} AS vulnerability_category
         FROM bkt))"""
 
 ADVISORY_BASE = f"WITH {RAW},\n{STG},\n{ENR}"
 
 PACKAGES = f"""pkg AS (
-  SELECT 'ADV-' || l_orderkey AS ghsa_id, {S.word('p_size', A.PACKAGE_ECOSYSTEMS)} AS ecosystem,
+  SELECT 'ADV-' || l_orderkey AS ghsa_id, {pick('p_size', A.PACKAGE_ECOSYSTEMS)} AS ecosystem,
          p_name AS package_name
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 CRITICAL = f"""crit AS (
   SELECT advisory_id, cve_id, summary, severity, cvss_score, composite_risk_score, age_bucket,
          days_since_published, vulnerability_category, published_at
-  FROM enr WHERE composite_risk_score >= {R.CRITICAL_MART_SCORE})"""
+  FROM enr WHERE composite_risk_score >= 9.0)"""
 
 SUMMARY = f"""summ AS (
   SELECT severity, age_bucket, vulnerability_category,
          count(*) AS total_count,
-         {S.avg_round2(f"sum({S.hundredths('cvss_score')})", 'count(cvss_score)')} AS avg_cvss_score,
-         {S.avg_round2(f"sum({S.hundredths('composite_risk_score')})", 'count(*)')} AS avg_composite_risk_score,
+         {mean2('cvss_score')} AS avg_cvss_score,
+         {mean2('composite_risk_score')} AS avg_composite_risk_score,
          max(composite_risk_score) AS max_composite_risk_score,
          CAST(sum(CAST(is_critical AS INTEGER)) AS BIGINT) AS critical_count
   FROM enr GROUP BY severity, age_bucket, vulnerability_category)"""
@@ -85,7 +121,7 @@ eco AS (
          count(DISTINCT advisory_id) AS total_vulnerabilities,
          CAST(sum(CASE WHEN severity = 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS critical_count,
          CAST(sum(CASE WHEN severity = 'high' THEN 1 ELSE 0 END) AS BIGINT) AS high_count,
-         {S.avg_round2(f"sum({S.hundredths('composite_risk_score')})", 'count(*)')} AS avg_risk_score,
+         {mean2('composite_risk_score')} AS avg_risk_score,
          max(composite_risk_score) AS max_risk_score
   FROM flat GROUP BY ecosystem_name)"""
 
@@ -100,11 +136,11 @@ def health_sql(source_name: str, table_sql: str, ts_col: str, as_of: str) -> str
          count(CASE WHEN {ts_col} >= {as_of} - INTERVAL 7 DAY THEN 1 END) AS rows_last_7d
   FROM {table_sql}),
 health_f AS (
-  SELECT *, coalesce(hours_since_last_load <= {R.FRESH_HOURS}, false) AS is_fresh,
-         coalesce(rows_last_24h >= avg_daily_rows_7d * {R.NORMAL_VOLUME_RATIO}, false) AS is_row_count_normal
-  FROM (SELECT *, {S.div_round_half_up('rows_last_7d', 7)} AS avg_daily_rows_7d FROM health_m)),
+  SELECT *, coalesce(hours_since_last_load <= 25, false) AS is_fresh,
+         coalesce(rows_last_24h >= avg_daily_rows_7d * 0.5, false) AS is_row_count_normal
+  FROM (SELECT *, CAST(round(rows_last_7d / 7.0) AS BIGINT) AS avg_daily_rows_7d FROM health_m)),
 health AS (
-  SELECT {S.q(source_name)} AS source_table, last_ingested_at, hours_since_last_load, total_rows,
+  SELECT {quoted(source_name)} AS source_table, last_ingested_at, hours_since_last_load, total_rows,
          rows_last_24h, rows_last_7d, avg_daily_rows_7d, is_fresh, is_row_count_normal,
          CASE WHEN is_fresh AND is_row_count_normal THEN 'healthy'
               WHEN is_fresh AND NOT is_row_count_normal THEN 'low_volume_warning'
@@ -140,8 +176,8 @@ LISTING = f"""lst AS (
               WHEN value >= 300 THEN 'CRITICAL' WHEN value >= 100 THEN 'High'
               WHEN value >= 20 THEN 'moderate' ELSE 'low' END AS severity,
          ts AS updated_at,
-         CAST({S.order_rank('event_type', A.EVENT_ECOSYSTEMS)} AS INTEGER) AS ecosystem_rank
-  FROM events WHERE event_type IN ({', '.join(S.q(e) for e in A.EVENT_ECOSYSTEMS)}))"""
+         CAST(list_position([{', '.join(map(quoted, A.EVENT_ECOSYSTEMS))}], event_type) AS INTEGER) AS ecosystem_rank
+  FROM events WHERE event_type IN ({', '.join(map(quoted, A.EVENT_ECOSYSTEMS))}))"""
 
 SEVERITY_IN = "lower(coalesce(severity, '')) IN ('critical', 'high')"
 
@@ -152,21 +188,21 @@ CAPPED = """capped AS (
 
 QLOG = f"""qlog AS (
   SELECT event_id AS query_id, CAST(user_id AS VARCHAR) AS user_name, upper(event_type) AS role_name,
-         {S.word('user_id', A.QUERY_TEXTS)} AS query_text,
+         {pick('user_id', A.QUERY_TEXTS)} AS query_text,
          CAST(floor(value * 20000000) AS BIGINT) AS bytes_scanned,
          CAST(floor(value * 5000) AS BIGINT) AS rows_produced,
          ts AS start_time, 'SUCCESS' AS execution_status
-  FROM events WHERE ts >= {EVENTS_AS_OF} - INTERVAL {R.QUERY_LOOKBACK_DAYS} DAY),
+  FROM events WHERE ts >= {EVENTS_AS_OF} - INTERVAL 7 DAY),
 anom AS (
   SELECT * FROM (
-    SELECT *, CASE WHEN bytes_scanned > {R.LARGE_SCAN_BYTES} THEN 'large_scan_over_5gb'
-                   WHEN hour(start_time) NOT BETWEEN {R.WORK_HOURS[0]} AND {R.WORK_HOURS[1]} THEN 'off_hours_access'
-                   WHEN {S.like_any('query_text', R.SENSITIVE_QUERY_PATTERNS)} THEN 'sensitive_column_access'
-                   WHEN rows_produced > {R.LARGE_EXPORT_ROWS} THEN 'large_export' END AS flag_reason
+    SELECT *, CASE WHEN bytes_scanned > 5368709120 THEN 'large_scan_over_5gb'
+                   WHEN hour(start_time) NOT BETWEEN 6 AND 22 THEN 'off_hours_access'
+                   WHEN query_text ILIKE '%password%' OR query_text ILIKE '%secret%' OR query_text ILIKE '%ssn%' THEN 'sensitive_column_access'
+                   WHEN rows_produced > 1000000 THEN 'large_export' END AS flag_reason
     FROM qlog) WHERE flag_reason IS NOT NULL)"""
 
 ROLES = f"""grants AS (
-  SELECT c_name AS grantee_name, {S.word('c_nationkey', A.GRANT_ROLES)} AS role FROM customer),
+  SELECT c_name AS grantee_name, {pick('c_nationkey', A.GRANT_ROLES)} AS role FROM customer),
 logins AS (
   SELECT c_name AS user_name, o_orderdate AS event_timestamp,
          CASE WHEN o_orderstatus = 'P' THEN 'NO' ELSE 'YES' END AS is_success
@@ -175,29 +211,29 @@ last_login AS (
   SELECT user_name, max(event_timestamp) AS last_login FROM logins WHERE is_success = 'YES' GROUP BY user_name),
 audit AS (
   SELECT * FROM (
-    SELECT *, CASE WHEN granted_role IN ({', '.join(S.q(r) for r in R.ADMIN_ROLES)})
-                        AND days_since_login > {R.ADMIN_UNUSED_DAYS} THEN 'admin_role_unused_30_days'
-                   WHEN days_since_login > {R.USER_INACTIVE_DAYS} THEN 'user_inactive_90_days'
-                   WHEN granted_role = {S.q(R.REVIEW_ROLE)} THEN 'accountadmin_flag_review' END AS risk_flag
+    SELECT *, CASE WHEN granted_role IN ('SYSADMIN', 'ACCOUNTADMIN')
+                        AND days_since_login > 30 THEN 'admin_role_unused_30_days'
+                   WHEN days_since_login > 90 THEN 'user_inactive_90_days'
+                   WHEN granted_role = 'ACCOUNTADMIN' THEN 'accountadmin_flag_review' END AS risk_flag
     FROM (SELECT g.grantee_name AS user_name, g.role AS granted_role, l.last_login,
                  CAST(date_diff('day', CAST(l.last_login AS DATE), {ORDERS_AS_OF}) AS BIGINT) AS days_since_login
           FROM grants g LEFT JOIN last_login l ON g.grantee_name = l.user_name))
   WHERE risk_flag IS NOT NULL)"""
 
 EXPOSURE = f"""cols AS (
-  SELECT 'ANALYTICS' AS table_catalog, {S.word('p_size', A.COLUMN_SCHEMAS)} AS table_schema,
-         p_type AS table_name, {S.word('p_partkey', A.COLUMN_NAMES)} || '_' || p_partkey AS column_name,
-         {S.word('p_partkey', A.DATA_TYPES)} AS data_type
+  SELECT 'ANALYTICS' AS table_catalog, {pick('p_size', A.COLUMN_SCHEMAS)} AS table_schema,
+         p_type AS table_name, {pick('p_partkey', A.COLUMN_NAMES)} || '_' || p_partkey AS column_name,
+         {pick('p_partkey', A.DATA_TYPES)} AS data_type
   FROM part),
 expo AS (
-  SELECT *, CASE WHEN pii_classification = {S.q(R.NOT_SENSITIVE)} THEN NULL
-                 WHEN {S.like_any('column_name', R.PROTECTED_COLUMN_PATTERNS)} THEN {S.q(R.PROTECTED)}
-                 ELSE {S.q(R.EXPOSED)} END AS exposure_status,
+  SELECT *, CASE WHEN pii_classification = 'NOT_SENSITIVE' THEN NULL
+                 WHEN column_name ILIKE '%email%' OR column_name ILIKE '%phone%' OR column_name ILIKE '%ssn%' OR column_name ILIKE '%address%' THEN 'PROTECTED'
+                 ELSE 'EXPOSED - ACTION REQUIRED' END AS exposure_status,
          {EVENTS_AS_OF} AS checked_at
   FROM (SELECT table_catalog AS database_name, table_schema AS schema_name, table_name, column_name, data_type,
-               {S.keyword_class('column_name', R.SENSITIVE_COLUMN_RULES, R.NOT_SENSITIVE)} AS pii_classification
-        FROM cols WHERE table_schema <> {S.q(R.EXCLUDED_SCHEMA)})
-  WHERE pii_classification <> {S.q(R.NOT_SENSITIVE)})"""
+               {COLUMN_CLASS} AS pii_classification
+        FROM cols WHERE table_schema <> 'INFORMATION_SCHEMA')
+  WHERE pii_classification <> 'NOT_SENSITIVE')"""
 
 
 def zscore_sql(src: str, part: str, value: str, mean: str, sd: str) -> str:
@@ -213,9 +249,9 @@ SUMMARY_ANOM = f"""sanom AS (
   SELECT severity || '_' || age_bucket || '_' || vulnerability_category AS advisory_id,
          vulnerability_category AS ecosystem, avg_composite_risk_score AS composite_risk_score,
          round(ecosystem_mean, 6) AS ecosystem_mean, round(ecosystem_stddev, 6) AS ecosystem_stddev,
-         round(z_score, 6) AS z_score, {S.q(R.OUTLIER_LABEL)} AS anomaly_type, {ORDERS_TS} AS detected_at
+         round(z_score, 6) AS z_score, 'statistical_outlier' AS anomaly_type, {ORDERS_TS} AS detected_at
   FROM {zscore_sql('summ', 'vulnerability_category', 'avg_composite_risk_score', 'ecosystem_mean', 'ecosystem_stddev')}
-  WHERE abs(z_score) > {R.Z_THRESHOLD})"""
+  WHERE abs(z_score) > 2.0)"""
 
 ADV_HEALTH = health_sql("RAW_GITHUB_ADVISORIES", "raw", "ingested_at", ORDERS_TS)
 
@@ -229,7 +265,7 @@ facts AS (
          c.max_score, h.pipeline_status, h.total_rows, h.last_ingested_at
   FROM (SELECT CAST(coalesce(sum(total_count), 0) AS BIGINT) AS total_cves,
                CAST(coalesce(sum(critical_count), 0) AS BIGINT) AS critical_count,
-               {', '.join(f"CAST(coalesce(sum(CASE WHEN age_bucket = {S.q(a)} THEN total_count END), 0) AS BIGINT) AS {a}_count" for a in R.AGE_LABELS)}
+               {', '.join(f"CAST(coalesce(sum(total_count) FILTER (WHERE age_bucket = '{a}'), 0) AS BIGINT) AS {a}_count" for a in ('new', 'recent', 'aging', 'chronic'))}
         FROM summ) s,
        (SELECT count(DISTINCT ecosystem_name) AS eco_count FROM eco) e,
        (SELECT coalesce(max(composite_risk_score), 0.0) AS max_score FROM crit) c,
@@ -252,12 +288,12 @@ DRIFT = f"""plans AS (
   FROM orders),
 parsed AS (
   SELECT *, list_filter(list_transform(string_split_regex(stdout, '\\r\\n|\\r|\\n'),
-                                       lambda l: regexp_extract(l, {S.q(R.PLAN_RESOURCE_PATTERN)}, 1)),
+                                       lambda l: regexp_extract(l, {PLAN_RESOURCE}, 1)),
                         lambda x: x <> '') AS names
-  FROM plans WHERE exit_code <> {R.PLAN_EXIT_ERROR}),
+  FROM plans WHERE exit_code <> 1),
 drift AS (
-  SELECT run_id, environment, checked_at, exit_code = {R.PLAN_EXIT_DRIFT} AS drift_detected,
-         {', '.join(f"CAST(coalesce(TRY_CAST(regexp_extract(stdout, {S.q(R.PLAN_SUMMARY_PATTERN)}, {i}) AS BIGINT), 0) AS BIGINT) AS resources_to_{n}" for i, n in ((1, 'add'), (2, 'change'), (3, 'destroy')))},
+  SELECT run_id, environment, checked_at, exit_code = 2 AS drift_detected,
+         {', '.join(f"CAST(coalesce(TRY_CAST(regexp_extract(stdout, {PLAN_COUNTS}, {i}) AS BIGINT), 0) AS BIGINT) AS resources_to_{n}" for i, n in ((1, 'add'), (2, 'change'), (3, 'destroy')))},
          CAST(to_json({{'changed_resources': list_filter(names, lambda x, i: NOT list_contains(names[1:i-1], x))}})
               AS VARCHAR) AS drift_details,
          stdout AS raw_plan_output
@@ -300,35 +336,51 @@ MODEL_CTES = {
 }
 MODELS_BASE = f"{ADVISORY_BASE},\n{CRITICAL},\n{SUMMARY},\n{PACKAGES},\n{ECO},\n{ADV_HEALTH}"
 
+# fixed values: the declared data tests
+NOT_NULL = {
+    "stg_github_advisories": ["advisory_id", "severity", "published_at"],
+    "int_vulnerabilities_enriched": ["advisory_id", "age_bucket", "age_risk_multiplier", "vulnerability_category",
+                                     "composite_risk_score"],
+    "mart_vulnerability_summary": ["severity", "age_bucket", "vulnerability_category", "total_count"],
+    "mart_ecosystem_risk": ["ecosystem_name", "total_vulnerabilities"],
+    "mart_critical_vulnerabilities": ["advisory_id", "severity", "cvss_score", "composite_risk_score"],
+    "mart_pipeline_health": ["source_table", "last_ingested_at", "pipeline_status"],
+}
+UNIQUE = {"stg_github_advisories": "advisory_id", "int_vulnerabilities_enriched": "advisory_id",
+          "mart_ecosystem_risk": "ecosystem_name", "mart_critical_vulnerabilities": "advisory_id"}
+ACCEPTED = {"stg_github_advisories": ("severity", ["critical", "high", "medium", "low"]),
+            "int_vulnerabilities_enriched": ("age_bucket", ["new", "recent", "aging", "chronic"]),
+            "mart_pipeline_health": ("pipeline_status", ["healthy", "low_volume_warning", "stale", "unknown"])}
+
 
 def _dq_not_null() -> str:
-    parts = [f"SELECT {S.q(m)} AS model, {S.q(c)} AS column_name, 'not_null' AS test, "
+    parts = [f"SELECT {quoted(m)} AS model, {quoted(c)} AS column_name, 'not_null' AS test, "
              f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {MODEL_CTES[m]}"
-             for m, cols in C.NOT_NULL_TESTS.items() for c in cols]
+             for m, cols in NOT_NULL.items() for c in cols]
     return f"{MODELS_BASE}\n" + "\nUNION ALL\n".join(parts)
 
 
 def _dq_unique() -> str:
-    parts = [f"SELECT {S.q(m)} AS model, {S.q(k)} AS column_name, 'unique' AS test, "
+    parts = [f"SELECT {quoted(m)} AS model, {quoted(k)} AS column_name, 'unique' AS test, "
              f"(SELECT count(*) FROM (SELECT {k} FROM {MODEL_CTES[m]} WHERE {k} IS NOT NULL "
              f"GROUP BY {k} HAVING count(*) > 1)) AS failures"
-             for m, k in C.UNIQUE_TESTS.items()]
+             for m, k in UNIQUE.items()]
     return f"{MODELS_BASE}\n" + "\nUNION ALL\n".join(parts)
 
 
 def _dq_accepted() -> str:
-    parts = [f"SELECT {S.q(m)} AS model, {S.q(c)} AS column_name, 'accepted_values' AS test, "
-             f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(S.q(v) for v in vals)})) "
+    parts = [f"SELECT {quoted(m)} AS model, {quoted(c)} AS column_name, 'accepted_values' AS test, "
+             f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(map(quoted, vals))})) "
              f"AS BIGINT) AS failures FROM {MODEL_CTES[m]}"
-             for m, (c, vals) in C.ACCEPTED_TESTS.items()]
+             for m, (c, vals) in ACCEPTED.items()]
     return f"{MODELS_BASE}\n" + "\nUNION ALL\n".join(parts)
 
 
 def _freshness(source: str, table_sql: str, col: str, as_of: str) -> str:
-    return f"""SELECT {S.q(source)} AS source_table, max_loaded_at, age_seconds,
+    return f"""SELECT {quoted(source)} AS source_table, max_loaded_at, age_seconds,
        CASE WHEN max_loaded_at IS NULL THEN 'error'
-            WHEN age_seconds > {R.FRESHNESS_ERROR_HOURS * 3600} THEN 'error'
-            WHEN age_seconds > {R.FRESHNESS_WARN_HOURS * 3600} THEN 'warn' ELSE 'pass' END AS status
+            WHEN age_seconds > 172800 THEN 'error'
+            WHEN age_seconds > 86400 THEN 'warn' ELSE 'pass' END AS status
 FROM (SELECT max({col}) AS max_loaded_at,
              CAST(date_sub('second', max({col}), {as_of}) AS BIGINT) AS age_seconds FROM {table_sql})"""
 
@@ -337,9 +389,9 @@ def _brief_actions() -> str:
     return f"""{BRIEF_BASE},
 acts AS (
   SELECT 1 AS n, CAST(chronic_count AS VARCHAR) || ' advisories are open for over a year; schedule their fixes first.' AS action
-  FROM facts WHERE chronic_count > {R.CHRONIC_ACTION_MIN}
+  FROM facts WHERE chronic_count > 10
   UNION ALL SELECT 2, 'Check what depends on ' || top_ecosystem || ': it has '
-         || CAST(top_ecosystem_critical AS VARCHAR) || ' critical advisories.' FROM facts WHERE top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN}
+         || CAST(top_ecosystem_critical AS VARCHAR) || ' critical advisories.' FROM facts WHERE top_ecosystem_critical > 5
   UNION ALL SELECT 3, 'Loads are late or uneven; look at the ingest job before relying on these figures.' FROM facts WHERE pipeline_status <> 'healthy'
   UNION ALL SELECT 4, 'Run the data tests before the next brief.' FROM facts)
 SELECT CAST(row_number() OVER (ORDER BY n) AS BIGINT) AS action_no, action FROM acts"""
@@ -356,14 +408,14 @@ ORACLES.update({
        CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE strftime(updated_at, {ISO}) END AS updated_at,
        strftime(withdrawn_at, {ISO}) AS withdrawn_at, html_url,
        CAST(CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 0 END AS BIGINT) AS credits_count,
-       {S.q(R.REST_SOURCE)} AS source_api, {ORDERS_TS} AS ingested_at
+       'github_rest' AS source_api, {ORDERS_TS} AS ingested_at
 FROM (SELECT {RAW_FULL}, o_orderkey, o_custkey FROM orders)""",
     "explode_packages": f"""WITH d AS (SELECT 'ADV-' || o_orderkey AS ghsa_id, o_orderkey, o_custkey,
                   o_orderkey % 5 <> 0 AS has_packages FROM orders),
-p AS (SELECT ghsa_id, CASE WHEN has_packages THEN {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS ecosystem,
+p AS (SELECT ghsa_id, CASE WHEN has_packages THEN {pick('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS ecosystem,
              'pkg' || o_custkey AS package_name FROM d
       UNION ALL
-      SELECT ghsa_id, CASE WHEN has_packages THEN {S.word('o_orderkey', A.PACKAGE_ECOSYSTEMS)} END,
+      SELECT ghsa_id, CASE WHEN has_packages THEN {pick('o_orderkey', A.PACKAGE_ECOSYSTEMS)} END,
              'lib' || o_orderkey FROM d)
 SELECT * FROM p WHERE ecosystem IS NOT NULL AND ecosystem <> ''""",
     "unwrap_cve_pages": """SELECT 'CVE-' || year(o_orderdate) || '-' || o_orderkey || sfx AS cve_id,
@@ -376,7 +428,7 @@ UNION ALL
 SELECT 'ADV-' || o_orderkey || '-R', 'LOW', o_orderdate FROM orders""",
     "typed_load": f"""SELECT ghsa_id, published_at, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE updated_at END AS updated_at,
        withdrawn_at, {ORDERS_TS} AS ingested_at,
-       CASE WHEN o_orderkey % 5 <> 0 THEN {S.word('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS first_ecosystem,
+       CASE WHEN o_orderkey % 5 <> 0 THEN {pick('o_custkey', A.PACKAGE_ECOSYSTEMS)} END AS first_ecosystem,
        CASE WHEN o_orderkey % 3 = 0 THEN 'CWE-79' END AS first_cwe,
        cvss_score AS raw_cvss_score
 FROM (SELECT {RAW_FULL}, o_orderkey, o_custkey FROM orders)""",
@@ -419,13 +471,13 @@ FROM (SELECT *, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS phone FROM customer
 SELECT {EVENTS_AS_OF} AS report_generated_at, a.total_anomalies, r.total_role_risks,
        p.total_exposed_columns, p.total_protected_columns,
        CASE WHEN a.total_anomalies = 0 AND r.total_role_risks = 0 AND p.total_exposed_columns = 0
-                 THEN {S.q(R.HEALTH_GREEN)}
-            WHEN p.total_exposed_columns > 0 OR r.total_role_risks > 0 THEN {S.q(R.HEALTH_AMBER)}
-            ELSE {S.q(R.HEALTH_RED)} END AS security_health_status
+                 THEN 'GREEN - No issues detected'
+            WHEN p.total_exposed_columns > 0 OR r.total_role_risks > 0 THEN 'AMBER - Issues require attention'
+            ELSE 'RED - Immediate action required' END AS security_health_status
 FROM (SELECT count(*) AS total_anomalies FROM anom) a,
      (SELECT count(*) AS total_role_risks FROM audit) r,
-     (SELECT count(*) FILTER (WHERE exposure_status = {S.q(R.EXPOSED)}) AS total_exposed_columns,
-             count(*) FILTER (WHERE exposure_status = {S.q(R.PROTECTED)}) AS total_protected_columns FROM expo) p""",
+     (SELECT count(*) FILTER (WHERE exposure_status = 'EXPOSED - ACTION REQUIRED') AS total_exposed_columns,
+             count(*) FILTER (WHERE exposure_status = 'PROTECTED') AS total_protected_columns FROM expo) p""",
     # ---------------------------------------------------------------- outliers
     "zscore_outliers": f"""WITH g AS (
   SELECT event_type, user_id,
@@ -434,7 +486,7 @@ FROM (SELECT count(*) AS total_anomalies FROM anom) a,
 SELECT event_type, user_id, avg_value, round(mean_value, 6) AS mean_value,
        round(stddev_value, 6) AS stddev_value, round(z_score, 6) AS z_score
 FROM {zscore_sql('g', 'event_type', 'avg_value', 'mean_value', 'stddev_value')}
-WHERE abs(z_score) > {R.Z_THRESHOLD}""",
+WHERE abs(z_score) > 2.0""",
     "summary_anomalies": f"{ADVISORY_BASE},\n{SUMMARY},\n{SUMMARY_ANOM}\nSELECT * FROM sanom",
     "anomaly_counts": f"""{ADVISORY_BASE},\n{SUMMARY},\n{SUMMARY_ANOM}
 SELECT ecosystem, count(*) AS anomaly_count FROM sanom GROUP BY ecosystem""",
@@ -443,17 +495,17 @@ pairs AS (SELECT DISTINCT ghsa_id, ecosystem AS ecosystem_name FROM pkg WHERE ec
 aj AS (SELECT e.advisory_id, e.composite_risk_score, p.ecosystem_name FROM enr e JOIN pairs p ON p.ghsa_id = e.advisory_id)
 SELECT advisory_id, ecosystem_name AS ecosystem, composite_risk_score, round(ecosystem_mean, 6) AS ecosystem_mean,
        round(ecosystem_stddev, 6) AS ecosystem_stddev, round(z_score, 6) AS z_score,
-       {S.q(R.OUTLIER_LABEL)} AS anomaly_type, {ORDERS_TS} AS detected_at
+       'statistical_outlier' AS anomaly_type, {ORDERS_TS} AS detected_at
 FROM {zscore_sql('aj', 'ecosystem_name', 'composite_risk_score', 'ecosystem_mean', 'ecosystem_stddev')}
-WHERE abs(z_score) > {R.Z_THRESHOLD}""",
+WHERE abs(z_score) > 2.0""",
     # ---------------------------------------------------------------- brief
     "brief_top_threats": f"""{ADVISORY_BASE},\n{CRITICAL}
 SELECT advisory_id, cve_id, summary, severity, cvss_score, composite_risk_score, age_bucket,
        days_since_published, vulnerability_category
-FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT {R.TOP_THREATS}""",
+FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT 5""",
     "brief_top_ecosystems": f"""{ADVISORY_BASE},\n{PACKAGES},\n{ECO}
 SELECT ecosystem_name, avg_risk_score, critical_count, total_vulnerabilities
-FROM eco ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT {R.TOP_ECOSYSTEMS}""",
+FROM eco ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT 3""",
     "brief_severity": f"""{ADVISORY_BASE},\n{SUMMARY}
 SELECT severity, CAST(sum(total_count) AS BIGINT) AS total, CAST(sum(critical_count) AS BIGINT) AS critical_sum
 FROM summ GROUP BY severity""",
@@ -461,7 +513,7 @@ FROM summ GROUP BY severity""",
 SELECT age_bucket, CAST(sum(total_count) AS BIGINT) AS total FROM summ GROUP BY age_bucket""",
     "brief_facts": f"""{BRIEF_BASE}
 SELECT total_cves, critical_count, eco_count, top_ecosystem, top_ecosystem_critical, max_score,
-       {', '.join(f'{a}_count' for a in R.AGE_LABELS)}, pipeline_status, total_rows, last_ingested_at
+       new_count, recent_count, aging_count, chronic_count, pipeline_status, total_rows, last_ingested_at
 FROM facts""",
     "brief_actions": _brief_actions(),
     # ---------------------------------------------------------------- drift
@@ -506,23 +558,23 @@ tl AS (
            concat_ws(' | ', coalesce(cve_id, 'N/A'), CAST(composite_risk_score AS VARCHAR), severity,
                      CAST(days_since_published AS VARCHAR) || ' days', vulnerability_category,
                      coalesce(summary, '')) AS line
-    FROM (SELECT * FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT {R.TOP_THREATS}))),
+    FROM (SELECT * FROM crit ORDER BY composite_risk_score DESC NULLS LAST, advisory_id LIMIT 5))),
 el AS (
   SELECT coalesce(string_agg(line, chr(10) ORDER BY k1, k2), '') AS eco_lines FROM (
     SELECT -avg_risk_score AS k1, ecosystem_name AS k2,
            ecosystem_name || ' avg risk ' || CAST(avg_risk_score AS VARCHAR) || ', '
              || CAST(critical_count AS VARCHAR) || ' critical CVEs' AS line
-    FROM (SELECT * FROM eco ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT {R.TOP_ECOSYSTEMS}))),
+    FROM (SELECT * FROM eco ORDER BY avg_risk_score DESC NULLS LAST, ecosystem_name LIMIT 3))),
 sl AS (
   SELECT coalesce(string_agg(line, chr(10) ORDER BY k1, k2), '') AS sev_lines FROM (
-    SELECT {S.order_rank('severity', R.SEVERITIES)} AS k1, severity AS k2,
+    SELECT coalesce(list_position(['critical', 'high', 'medium', 'low'], severity), 5) AS k1, severity AS k2,
            {cap} || ' ' || CAST(CAST(sum(total_count) AS BIGINT) AS VARCHAR) AS line
     FROM summ GROUP BY severity)),
 al AS (
   SELECT concat_ws(chr(10),
-           CASE WHEN chronic_count > {R.CHRONIC_ACTION_MIN}
+           CASE WHEN chronic_count > 10
                 THEN CAST(chronic_count AS VARCHAR) || ' advisories are open for over a year; schedule their fixes first.' END,
-           CASE WHEN top_ecosystem_critical > {R.ECOSYSTEM_ACTION_MIN} THEN 'Check what depends on ' || top_ecosystem || ': it has '
+           CASE WHEN top_ecosystem_critical > 5 THEN 'Check what depends on ' || top_ecosystem || ': it has '
                   || CAST(top_ecosystem_critical AS VARCHAR) || ' critical advisories.' END,
            CASE WHEN pipeline_status <> 'healthy' THEN 'Loads are late or uneven; look at the ingest job before relying on these figures.' END,
            'Run the data tests before the next brief.') AS action_lines
