@@ -4,10 +4,10 @@ The surveyed job uses whole-partition window aggregates (AVG/STDDEV OVER
 PARTITION BY category). A window puts every row of a category into one task,
 and a category may hold a third of all rows. Here the statistics are a
 grouped aggregate instead (partial aggregation map-side, one small row per
-category) joined back on the category with a NULL-safe key. The join side is
-tiny, so AQE turns it into a broadcast at runtime after measuring it; if it is
-not tiny it stays a shuffle join, which AQE splits when skewed. The result is
-the same as the window's.
+category), copied once per salt and joined back on category and salt. A hot
+category is thus dealt over ``STAT_SALTS`` tasks even if the join shuffles;
+AQE may still broadcast the statistics after measuring them. The result is the
+same as the window's.
 """
 
 from __future__ import annotations
@@ -16,11 +16,15 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from ..functions import rules as R
 from ..functions.columns import ts_ntz
 
 
+STAT_SALTS = 64
+
+
 def _r(c: Column, digits: int | None) -> Column:
     return F.round(c, digits) if digits is not None else c
 
@@ -29,8 +33,13 @@ def zscore(df: DataFrame, partition: str, value: str, mean_col: str = "mean",
            stddev_col: str = "stddev", z_col: str = "z_score") -> DataFrame:
     """Add partition mean, sample stddev and z (0.0 when stddev is NULL or 0)."""
     stats = (df.groupBy(F.col(partition).alias("_zkey"))
-             .agg(F.avg(value).alias(mean_col), F.stddev_samp(value).alias(stddev_col)))
-    j = df.join(stats, df[partition].eqNullSafe(stats["_zkey"])).drop("_zkey")
+             .agg(F.avg(value).alias(mean_col), F.stddev_samp(value).alias(stddev_col))
+             .withColumn("_zpart", F.explode(F.sequence(F.lit(0), F.lit(STAT_SALTS - 1)))))
+    # the salt follows from the row's values, so a repeated task deals its rows the same way
+    hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    dealt = df.withColumn("_zsalt", F.pmod(F.xxhash64(*hashed), F.lit(STAT_SALTS)).cast("int"))
+    j = dealt.join(stats, (F.col("_zsalt") == F.col("_zpart")) & F.col(partition).eqNullSafe(F.col("_zkey")))
+    j = j.drop("_zkey", "_zpart", "_zsalt")
     sd = F.col(stddev_col)
     z = (F.when(sd.isNull() | (sd == 0), F.lit(0.0))
          .otherwise((F.col(value) - F.col(mean_col)) / sd))
