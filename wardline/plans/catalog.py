@@ -26,6 +26,7 @@ from ..operators import staging as T
 from ..operators import upsert as U
 from ..sources import adapters as A
 from ..sources import landing as L
+from .layout import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,13 +191,13 @@ def summary_outliers(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------ brief
 
 def brief_facts(spark: SparkSession, d: str) -> DataFrame:
-    e = enriched(spark, d)
-    return B.brief_facts(M.mart_summary(e), M.mart_critical(e),
-                         M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)), advisory_health(spark, d))
+    e = written(enriched(spark, d), "enriched")
+    return B.brief_facts(M.mart_summary(e), M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
+                         advisory_health(spark, d))
 
 
 def threat_brief(spark: SparkSession, d: str) -> DataFrame:
-    e = enriched(spark, d)
+    e = written(enriched(spark, d), "enriched")
     return B.threat_brief(M.mart_summary(e), M.mart_critical(e),
                           M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
                           advisory_health(spark, d), ORDERS_AS_OF_TS)
@@ -230,9 +231,9 @@ ACCEPTED_TESTS = R.ACCEPTED_TESTS
 
 def models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     s = staged(spark, d)
-    e = T.enrich_vulnerabilities(s)
+    e = written(T.enrich_vulnerabilities(s), "enriched")
     return {
-        "stg_github_advisories": s,
+        "stg_github_advisories": e.select(*s.columns),      # enrichment adds columns to every staged row
         "int_vulnerabilities_enriched": e,
         "mart_vulnerability_summary": M.mart_summary(e),
         "mart_ecosystem_risk": M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),

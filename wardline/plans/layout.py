@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from ..session import checkpoint_dir
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back.
+
+    For a model with several consumers in one query: they read its files with
+    only the columns they need, instead of each computing it from the source.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
+    path = f"{base.rstrip('/')}/wardline-models/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster when the input has too few splits.
