@@ -102,6 +102,7 @@ PAGE_SIZE = 100
 
 # --- Fixed values: history snapshots (key, checked columns) -----------------
 
+SNAP_TIME = "snapshotted_at"
 SNAP_ECOSYSTEM_KEY = "ecosystem_name"
 SNAP_ECOSYSTEM_CHECKS = ["total_vulnerabilities", "critical_count", "avg_risk_score", "max_risk_score"]
 SNAP_ECOSYSTEM_COLUMNS = ["ecosystem_name", "total_vulnerabilities", "critical_count", "high_count",

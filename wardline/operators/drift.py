@@ -34,7 +34,7 @@ def parse_plans(df: DataFrame, text_col: str = "stdout") -> DataFrame:
 
 
 def drift_records(plans: DataFrame) -> DataFrame:
-    """Records of successful plan runs: drift flag, counts, details JSON, cut text.
+    """Records of successful plan runs: drift flag, counts, details JSON, whole text.
 
     Runs that errored (exit 1) leave no record.
     """

@@ -20,10 +20,11 @@ def land_advisories(docs: DataFrame, as_of: _dt.datetime, severities: Sequence[s
     Documents that do not parse are rejects and are told apart before any
     filter. Of several documents with an id the one updated last stays, by
     its parsed time (time zones count, an unreadable time is the oldest);
-    documents without an id all stay. ``from_`` then drops older updates.
+    documents without an id all stay. The severities and ``from_`` then apply to
+    what stayed, so an older version never stands in for a newer one.
     """
     good, rejects = L.split_unparsable(L.flatten_advisories(docs, as_of))
-    good = filter_in_ci(good, "severity", severities)
     good = good.withColumn("updated_at", F.try_to_timestamp("updated_at").cast("timestamp_ntz"))
-    typed = L.type_raw(newest_per_key(good, "ghsa_id", ["updated_at"]))
+    newest = newest_per_key(good, "ghsa_id", ["updated_at"])
+    typed = L.type_raw(filter_in_ci(newest, "severity", severities))
     return (typed if from_ is None else since(typed, "updated_at", from_)), rejects

@@ -96,13 +96,17 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
             TB.write_text(brief, f"{brief_path}/threat_brief_{as_of.date().isoformat()}")
 
     if plan_logs is not None and not skip_drift:
-        TB.append_run(D.drift_records(plan_logs).drop(*[c for c in ("run_id", "environment")
-                                                       if c in plan_logs.columns]),
-                      "security.infrastructure_drift", as_of)
-
-    _snapshot(spark, "snapshots.snap_ecosystem_risk", eco.select(*R.SNAP_ECOSYSTEM_COLUMNS),
+        TB.append_run(D.drift_records(plan_logs), "security.infrastructure_drift", as_of)
+        if {"run_id", "environment"} <= set(plan_logs.columns):
+            # a plan run read again in a later cycle is one run
+            stored = spark.table("security.infrastructure_drift").select(
+                "environment", "checked_at", "run_id", "drift_detected").distinct()
+            TB.materialize(D.drift_episodes(stored), "security", "drift_episodes")
+
+    taken = ts_ntz(as_of).alias(R.SNAP_TIME)
+    _snapshot(spark, "snapshots.snap_ecosystem_risk", eco.select(*R.SNAP_ECOSYSTEM_COLUMNS, taken),
               R.SNAP_ECOSYSTEM_KEY, R.SNAP_ECOSYSTEM_CHECKS, as_of)
-    _snapshot(spark, "snapshots.snap_pipeline_health", health.select(*R.SNAP_HEALTH_COLUMNS),
+    _snapshot(spark, "snapshots.snap_pipeline_health", health.select(*R.SNAP_HEALTH_COLUMNS, taken),
               R.SNAP_HEALTH_KEY, R.SNAP_HEALTH_CHECKS, as_of)
 
     facts = {}
