@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.columns import ts_ntz
 from ..operators import brief as B
 from ..operators import drift as D
 from ..operators import history as N
 from ..operators import ingest as I
+from ..operators import landing as LA
 from ..operators import marts as M
 from ..operators import outliers as Z
 from ..operators import quality as K
@@ -32,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 ORDERS_AS_OF_TS = _dt.datetime.combine(A.ORDERS_AS_OF, _dt.time())
 Z_DIGITS = 6
+LOW_Z = 1.5                    # some advisories of the fixture stand out this far, none at the usual bound
 # Fetch settings of the ingest run: ecosystems in list order, severities, pages.
 FETCH_SEVERITIES = ["critical", "high"]
 FETCH_PAGES = 2
@@ -134,6 +137,16 @@ def fetched(spark: SparkSession, d: str) -> DataFrame:
     return I.fetch_advisories(A.advisory_listing(spark, d), A.EVENT_ECOSYSTEMS, FETCH_SEVERITIES)
 
 
+def landed(spark: SparkSession, d: str) -> DataFrame:
+    typed, _ = LA.land_advisories(A.repeated_advisory_json(spark, d), ORDERS_AS_OF_TS, FETCH_SEVERITIES)
+    return typed.select("ghsa_id", "cve_id", "severity", "cvss_score", "published_at", "updated_at", "withdrawn_at")
+
+
+def landing_rejects(spark: SparkSession, d: str) -> DataFrame:
+    _, rejects = LA.land_advisories(A.repeated_advisory_json(spark, d), ORDERS_AS_OF_TS, FETCH_SEVERITIES)
+    return rejects.select(F.regexp_extract("raw_json", '"ghsa_id":"([^"]*)"', 1).alias("named"), "reject_reason")
+
+
 def upsert_target(spark: SparkSession, d: str) -> DataFrame:
     raw = A.raw_advisories(spark, d)
     return raw.where(F.col("updated_at") < F.lit(A.TARGET_LOADED_BEFORE.isoformat()).cast("timestamp_ntz"))
@@ -222,6 +235,43 @@ def history(spark: SparkSession, d: str) -> DataFrame:
     return N.scd2_check(h0, now, HISTORY_KEY, HISTORY_CHECKS, A.ORDERS_AS_OF)
 
 
+def history_with_deletes(spark: SparkSession, d: str) -> DataFrame:
+    """The later snapshot holds only customers with an order since a date; the others' rows are closed."""
+    h0 = N.scd2_initial(A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF), HISTORY_KEY, A.HISTORY_FIRST_AS_OF)
+    now = A.customer_order_stats(spark, d, None, since=A.BATCH_UPDATED_SINCE)
+    return N.scd2_check(h0, now, HISTORY_KEY, HISTORY_CHECKS, A.ORDERS_AS_OF, invalidate_hard_deletes=True)
+
+
+def _two_snapshots(first: DataFrame, now: DataFrame, key: str, checks: list[str]) -> DataFrame:
+    at = lambda df, when: df.withColumn(R.SNAP_TIME, ts_ntz(when))
+    h0 = N.scd2_initial(at(first, A.HISTORY_FIRST_AS_OF), key, A.HISTORY_FIRST_AS_OF)
+    return N.scd2_check(h0, at(now, A.ORDERS_AS_OF), key, checks, A.ORDERS_AS_OF)
+
+
+def snap_ecosystem(spark: SparkSession, d: str) -> DataFrame:
+    """The ecosystem mart over the advisories published before a date, then over all of them."""
+    e = written(enriched(spark, d), "enriched")
+    packages = A.advisory_packages(spark, d)
+    before = e.where(F.col("published_at") < ts_ntz(A.TARGET_LOADED_BEFORE))
+    first, now = (M.mart_ecosystem_risk(x, packages).select(*R.SNAP_ECOSYSTEM_COLUMNS) for x in (before, e))
+    return _two_snapshots(first, now, R.SNAP_ECOSYSTEM_KEY, R.SNAP_ECOSYSTEM_CHECKS)
+
+
+def snap_health(spark: SparkSession, d: str) -> DataFrame:
+    first, now = (M.pipeline_health(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at", when)
+                  .select(*R.SNAP_HEALTH_COLUMNS)
+                  for when in (_dt.datetime.combine(A.HISTORY_FIRST_AS_OF, _dt.time()), ORDERS_AS_OF_TS))
+    return _two_snapshots(first, now, R.SNAP_HEALTH_KEY, R.SNAP_HEALTH_CHECKS)
+
+
+def snap_exposure(spark: SparkSession, d: str) -> DataFrame:
+    """The exposure list before and after every schema but RAW joined the inventory."""
+    pii = exposure(spark, d).select(F.concat_ws("|", "column_name", "table_name", "schema_name").alias("pii_key"),
+                                    "schema_name", *R.SNAP_PII_COLUMNS)
+    first = pii.where(F.col("schema_name") == A.COLUMN_SCHEMAS[0])
+    return _two_snapshots(first, pii, "pii_key", R.SNAP_PII_CHECKS)
+
+
 # ------------------------------------------------------------------ quality
 
 NOT_NULL_TESTS = R.NOT_NULL_TESTS
@@ -264,6 +314,14 @@ def dq_accepted(spark: SparkSession, d: str) -> DataFrame:
     return _union([K.expect_in(m[name], col, vals, name) for name, (col, vals) in ACCEPTED_TESTS.items()])
 
 
+def dq_listing(spark: SparkSession, d: str) -> DataFrame:
+    """The kinds of declared test over the advisory listing as it comes, which fails them."""
+    listed = A.advisory_listing(spark, d).withColumn("severity", F.lower("severity"))
+    return _union([K.expect_not_null(listed, ["ghsa_id", "severity", "updated_at"], "listing"),
+                   K.expect_unique(listed, "ghsa_id", "listing"),
+                   K.expect_in(listed, "severity", R.SEVERITIES, "listing")])
+
+
 def dq_freshness(spark: SparkSession, d: str) -> DataFrame:
     return K.freshness(A.table(spark, d, "events"), "events", "ts", A.EVENTS_AS_OF).unionByName(
         K.freshness(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at", ORDERS_AS_OF_TS))
@@ -285,6 +343,8 @@ QUERIES: dict[str, Query] = {
     "incremental_since": lambda s, d: I.since(A.raw_advisories(s, d), "updated_at", A.BATCH_UPDATED_SINCE),
     "incremental_window": lambda s, d: I.between_optional(A.raw_advisories(s, d), "published_at",
                                                           WINDOW_LO, WINDOW_HI),
+    "land_advisories": landed,
+    "landing_rejects": landing_rejects,
     "upsert_merge": upsert_merged,
     "upsert_records": records_merged,
     # staging and marts
@@ -307,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "anomaly_counts": lambda s, d: Z.anomaly_counts(summary_outliers(s, d)),
     "advisory_outliers": lambda s, d: Z.advisory_outliers(enriched(s, d), A.advisory_packages(s, d),
                                                           ORDERS_AS_OF_TS, digits=Z_DIGITS),
+    "advisory_outliers_low": lambda s, d: Z.advisory_outliers(enriched(s, d), A.advisory_packages(s, d),
+                                                              ORDERS_AS_OF_TS, threshold=LOW_Z, digits=Z_DIGITS),
     # brief
     "brief_top_threats": lambda s, d: B.top_threats(critical(s, d)),
     "brief_top_ecosystems": lambda s, d: B.top_ecosystems(ecosystem_risk(s, d)),
@@ -320,10 +382,15 @@ QUERIES: dict[str, Query] = {
     "drift_episodes": lambda s, d: D.drift_episodes(drift(s, d)),
     # history
     "scd2_snapshot": history,
+    "scd2_hard_deletes": history_with_deletes,
+    "snap_ecosystem_risk": snap_ecosystem,
+    "snap_pipeline_health": snap_health,
+    "snap_pii_exposure": snap_exposure,
     "scd2_as_of": lambda s, d: N.as_of_view(history(s, d), AS_OF_READ),
     # quality
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted,
+    "dq_listing": dq_listing,
     "dq_freshness": dq_freshness,
 }

@@ -604,3 +604,98 @@ FROM facts, tl, el, sl, al"""
 
 
 ORACLES["threat_brief"] = _threat_brief()
+
+
+def snapshots_sql(first: str, now: str, key: str, columns: list[str], checks: list[str], delete: bool = False) -> str:
+    """Type-2 history after a first and a second snapshot, both given as SELECTs."""
+    t0, t1 = ts(A.HISTORY_FIRST_AS_OF), ORDERS_TS
+    differs = " OR ".join(f"f.{c} IS DISTINCT FROM n.{c}" for c in checks)
+    gone = t1 if delete else "CAST(NULL AS TIMESTAMP)"
+    of = lambda t: ", ".join(f"{t}.{c}" for c in columns)
+    return f"""WITH f AS ({first}), n AS ({now}),
+versions AS (
+  SELECT {of('f')}, {t0} AS valid_from, CASE WHEN n.{key} IS NULL THEN {gone} WHEN {differs} THEN {t1} END AS valid_to
+  FROM f LEFT JOIN n ON f.{key} = n.{key}
+  UNION ALL
+  SELECT {of('n')}, {t1}, CAST(NULL AS TIMESTAMP) FROM n LEFT JOIN f ON f.{key} = n.{key}
+  WHERE f.{key} IS NULL OR {differs})
+SELECT *, md5(CAST({key} AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR)) AS scd_id FROM versions"""
+
+
+def _customers_sql(where: str) -> str:
+    return f"""SELECT o_custkey AS custkey, count(*) AS order_count, max(o_totalprice) AS max_price,
+       max(o_orderdate) AS last_order_date FROM orders WHERE {where} GROUP BY o_custkey"""
+
+
+def _ecosystem_sql(before: str | None, when: str) -> str:
+    cut = f"WHERE published_at < {before}" if before else ""
+    return f"""{ADVISORY_BASE}, enr_all AS (SELECT * FROM enr {cut}),
+{PACKAGES},
+{ECO.replace("FROM enr e", "FROM enr_all e")}
+SELECT ecosystem_name, total_vulnerabilities, critical_count, high_count, avg_risk_score, max_risk_score,
+       {when} AS snapshotted_at FROM eco"""
+
+
+HEALTH_SNAP = ["source_table", "pipeline_status", "total_rows", "rows_last_24h", "rows_last_7d", "hours_since_last_load",
+               "is_fresh", "is_row_count_normal", "last_ingested_at", "snapshotted_at"]
+
+
+def _health_snap_sql(when: str) -> str:
+    return f"""WITH {RAW}, {health_sql("RAW_GITHUB_ADVISORIES", "raw", "ingested_at", when)}
+SELECT {", ".join(HEALTH_SNAP[:-1])}, {when} AS snapshotted_at FROM health"""
+
+
+def _exposure_snap_sql(where: str, when: str) -> str:
+    return f"""WITH {EXPOSURE}
+SELECT concat_ws('|', column_name, table_name, schema_name) AS pii_key, schema_name, table_name, column_name,
+       pii_classification, exposure_status, checked_at, {when} AS snapshotted_at FROM expo WHERE {where}"""
+
+
+FIRST_TS = ts(A.HISTORY_FIRST_AS_OF)
+LANDED_DOCS = f"""docs AS (SELECT {RAW_FULL}, o_orderkey FROM orders),
+versions AS (
+  SELECT ghsa_id, cve_id, severity, cvss_score, published_at,
+         CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE updated_at END AS updated_at, withdrawn_at, o_orderkey FROM docs
+  UNION ALL
+  SELECT ghsa_id, cve_id, 'CRITICAL', cvss_score, published_at, TIMESTAMP '1989-12-31 19:00:00', withdrawn_at, o_orderkey FROM docs)"""
+
+ORACLES.update({
+    "scd2_hard_deletes": snapshots_sql(
+        _customers_sql(f"o_orderdate <= {FIRST_TS}"), _customers_sql(f"o_orderdate >= {ts(A.BATCH_UPDATED_SINCE)}"),
+        "custkey", ["custkey", "order_count", "max_price", "last_order_date"], ["order_count", "max_price"], delete=True),
+    "snap_ecosystem_risk": snapshots_sql(
+        _ecosystem_sql(ts(A.TARGET_LOADED_BEFORE), FIRST_TS), _ecosystem_sql(None, ORDERS_TS), "ecosystem_name",
+        ["ecosystem_name", "total_vulnerabilities", "critical_count", "high_count", "avg_risk_score", "max_risk_score",
+         "snapshotted_at"],
+        ["total_vulnerabilities", "critical_count", "avg_risk_score", "max_risk_score"]),
+    "snap_pipeline_health": snapshots_sql(
+        _health_snap_sql(FIRST_TS), _health_snap_sql(ORDERS_TS), "source_table", HEALTH_SNAP,
+        ["pipeline_status", "total_rows", "hours_since_last_load"]),
+    "snap_pii_exposure": snapshots_sql(
+        _exposure_snap_sql("schema_name = 'RAW'", FIRST_TS), _exposure_snap_sql("true", ORDERS_TS), "pii_key",
+        ["pii_key", "schema_name", "table_name", "column_name", "pii_classification", "exposure_status", "checked_at",
+         "snapshotted_at"], ["exposure_status", "pii_classification"]),
+    "advisory_outliers_low": ORACLES["advisory_outliers"].replace("abs(z_score) > 2.0", "abs(z_score) > 1.5"),
+    "dq_listing": f"""WITH l AS (
+  SELECT 'ADV-' || user_id AS ghsa_id, ts AS updated_at,
+         CASE WHEN contains(props, '"k": 0}}') THEN NULL WHEN value >= 300 THEN 'critical' WHEN value >= 100 THEN 'high'
+              WHEN value >= 20 THEN 'moderate' ELSE 'low' END AS severity
+  FROM events)
+SELECT 'listing' AS model, 'ghsa_id' AS column_name, 'not_null' AS test, count(*) FILTER (WHERE ghsa_id IS NULL) AS failures FROM l
+UNION ALL SELECT 'listing', 'severity', 'not_null', count(*) FILTER (WHERE severity IS NULL) FROM l
+UNION ALL SELECT 'listing', 'updated_at', 'not_null', count(*) FILTER (WHERE updated_at IS NULL) FROM l
+UNION ALL SELECT 'listing', 'ghsa_id', 'unique',
+  (SELECT count(*) FROM (SELECT ghsa_id FROM l WHERE ghsa_id IS NOT NULL GROUP BY ghsa_id HAVING count(*) > 1))
+UNION ALL SELECT 'listing', 'severity', 'accepted_values',
+  count(*) FILTER (WHERE severity NOT IN ('critical', 'high', 'medium', 'low')) FROM l""",
+    "land_advisories": f"""WITH {LANDED_DOCS},
+newest AS (SELECT * EXCLUDE (o_orderkey) FROM (
+  SELECT *, row_number() OVER (PARTITION BY ghsa_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM versions) WHERE rn = 1),
+nameless AS (SELECT NULL AS ghsa_id, cve_id, severity, cvss_score, published_at,
+                    CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE updated_at END AS updated_at, withdrawn_at
+             FROM docs WHERE o_orderkey % 3 = 0)
+SELECT * EXCLUDE (rn) FROM newest WHERE severity IN ('CRITICAL', 'HIGH')
+UNION ALL SELECT * FROM nameless WHERE severity IN ('CRITICAL', 'HIGH')""",
+    "landing_rejects": """SELECT 'ADV-' || o_orderkey AS named, 'invalid JSON in raw_json' AS reject_reason
+FROM orders WHERE o_orderkey % 4 = 0""",
+})

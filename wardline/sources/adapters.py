@@ -127,6 +127,19 @@ def advisory_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("ghsa_id").alias("doc_id"), F.to_json(doc).alias("json"))
 
 
+def repeated_advisory_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed documents with what a feed adds: each a second time as an older version with a time zone and
+    another severity, some without an id, and one broken document for every fourth."""
+    docs = advisory_json(spark, sf_dir).select("doc_id", "json")
+    number = F.substring("doc_id", 5, 20).cast("long")
+    older = F.regexp_replace("json", '"updated_at":"[^"]*"', '"updated_at":"1990-01-01T00:30:00+05:30"')
+    older = F.regexp_replace(older, '"severity":"[A-Z]*"', '"severity":"CRITICAL"')
+    broken = F.when(number % 4 == 0, F.expr("substring(json, 1, length(json) - 1)"))
+    nameless = F.when(number % 3 == 0, F.regexp_replace("json", '"ghsa_id":"[^"]*",', ""))
+    each = F.array(F.col("json"), older, broken, nameless)
+    return docs.select(F.explode(F.filter(each, lambda j: j.isNotNull())).alias("json"))
+
+
 def cve_page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed CVE result pages: one page per order holding two CVE items.
 
@@ -281,9 +294,12 @@ def plan_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ history
 
-def customer_order_stats(spark: SparkSession, sf_dir: str, up_to: _dt.date | None) -> DataFrame:
-    """Per-customer order count and max price, optionally up to a date."""
+def customer_order_stats(spark: SparkSession, sf_dir: str, up_to: _dt.date | None,
+                         since: _dt.date | None = None) -> DataFrame:
+    """Per-customer order count and max price, optionally up to or from a date."""
     o = table(spark, sf_dir, "orders")
+    if since is not None:
+        o = o.where(F.col("o_orderdate") >= F.lit(since.isoformat()).cast("timestamp_ntz"))
     if up_to is not None:
         o = o.where(F.col("o_orderdate") <= F.lit(up_to.isoformat()).cast("timestamp_ntz"))
     return (o.groupBy("o_custkey")
