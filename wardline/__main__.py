@@ -1,14 +1,19 @@
-"""Command line: land advisories, upsert RAW, run one full cycle.
+"""Command line: land advisories and CVE or advisory pages, upsert RAW, run one full cycle.
 
     python -m wardline --landing DIR --as-of 2024-01-31T00:00:00 \\
         [--since 2024-01-01] [--severities critical,high] [--plans PATH] \\
         [--brief-dir DIR] [--skip-anomaly] [--skip-brief] [--skip-drift]
         [--query-log PATH --grants PATH --logins PATH [--columns PATH]]
+        [--cves DIR [--modified-since DATE] [--modified-until DATE] [--published-since DATE] [--published-until DATE]]
+        [--nodes DIR]
 
 Steps, as jobs on the session the command gets (or creates): landed JSON
 documents (one per line) → flatten → typed → ``updated_at >= since`` →
 severity filter → upsert into ``raw.raw_github_advisories`` → the cycle of
 ``wardline.plans.cycle`` (marts, checks, outliers, brief, drift, history).
+CVE result pages (``--cves``) and pages of advisory nodes (``--nodes``), one
+JSON page per line, are upserted record by record into ``raw.raw_nvd_cves``
+and ``raw.raw_advisory_records``.
 Plan logs (``--plans``) are Parquet with run_id, exit_code, stdout,
 checked_at. With query, grant and login logs the security audit runs too;
 its column inventory defaults to the columns of the session catalog (the
@@ -25,8 +30,9 @@ import sys
 from pyspark.sql import functions as F
 from pyspark.sql import SparkSession
 
-from .operators import ingest as I
-from .operators.landing import land_advisories
+from .operators import upsert as U
+from .operators.landing import land_advisories, land_records
+from .functions.columns import ts_ntz
 from .plans.cycle import run_cycle
 from .session import BASE_CONF, checkpoint_dir
 from .sources import landing as L
@@ -34,6 +40,8 @@ from .sources import tables as TB
 
 RAW_TABLE = "raw.raw_github_advisories"
 REJECT_TABLE = "raw.github_advisories_rejects"
+CVE_TABLE = "raw.raw_nvd_cves"
+NODE_TABLE = "raw.raw_advisory_records"
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -48,6 +56,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--logins", help="Parquet login history (user_name, event_timestamp, is_success)")
     p.add_argument("--columns", help="Parquet column inventory (information-schema shape); "
                                      "default: the columns of this session's catalog")
+    p.add_argument("--cves", help="folder of CVE result pages, one JSON page per line")
+    p.add_argument("--nodes", help="folder of pages of advisory nodes, one JSON page per line")
+    for name in ("modified", "published"):
+        p.add_argument(f"--{name}-since", type=_dt.date.fromisoformat, help=f"only CVEs {name} on or after")
+        p.add_argument(f"--{name}-until", type=_dt.date.fromisoformat, help=f"only CVEs {name} up to this time")
     p.add_argument("--brief-dir", help="folder for the daily brief text")
     p.add_argument("--skip-anomaly", action="store_true")
     p.add_argument("--skip-brief", action="store_true")
@@ -65,6 +78,19 @@ def land(spark: SparkSession, landing: str, as_of: _dt.datetime, since: _dt.date
     return TB.upsert_table(spark, RAW_TABLE, typed, "ghsa_id")
 
 
+def land_pages(spark: SparkSession, pages: str, table: str, id_col: str, as_of: _dt.datetime, unwrap, id_field: str = "id",
+               bounds: dict[str, tuple] | None = None) -> int:
+    """Landed result pages → record upsert into ``table``; returns its version. Unreadable pages go to a reject table."""
+    read = spark.read.text(pages).select(F.col("value").alias("json"), ts_ntz(as_of).alias("fetched_at"))
+    records, rejects = land_records(read, unwrap, bounds)
+    TB.ensure_schema(spark, "raw")
+    TB.append_run(rejects, f"{table}_rejects", as_of)
+    stored = (spark.table(table) if TB.current_version(spark, table) is not None else spark.createDataFrame(
+        [], f"{id_col} string, record string, fetched_at timestamp_ntz, loaded_at timestamp_ntz"))
+    merged = U.upsert_records(stored, records, id_col, as_of, U.record_id(F.col("record"), id_field))
+    return TB.commit_version(merged, table, bucket_by=(int(spark.conf.get("spark.sql.shuffle.partitions")), id_col), keep=2)
+
+
 def main(argv: list[str] | None = None) -> dict:
     args = parse_args(argv)
     builder = SparkSession.builder.appName("wardline")
@@ -74,7 +100,13 @@ def main(argv: list[str] | None = None) -> dict:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     land(spark, args.landing, args.as_of, args.since, [s.strip() for s in args.severities.split(",") if s.strip()])
-    read = lambda path: spark.read.parquet(path) if path else None
+    if args.cves:
+        land_pages(spark, args.cves, CVE_TABLE, "cve_id", args.as_of, L.unwrap_cves,
+                   bounds={"lastModified": (args.modified_since, args.modified_until),
+                           "published": (args.published_since, args.published_until)})
+    if args.nodes:
+        land_pages(spark, args.nodes, NODE_TABLE, "ghsa_id", args.as_of, L.unwrap_nodes, id_field="ghsaId")
+    read = lambda path: TB.read_source(spark, path=path) if path else None
     audit = {}
     if args.query_log and args.grants and args.logins:
         audit = {"query_log": read(args.query_log), "grants": read(args.grants), "logins": read(args.logins),

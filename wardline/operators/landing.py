@@ -1,15 +1,15 @@
-"""Landed advisory documents → the batch that is merged into RAW, and what could not be read."""
+"""Landed documents and result pages → the batch that is merged into RAW, and what could not be read."""
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import landing as L
-from .ingest import filter_in_ci, since
+from .ingest import between_optional, filter_in_ci, since
 from .upsert import newest_per_key
 
 
@@ -28,3 +28,19 @@ def land_advisories(docs: DataFrame, as_of: _dt.datetime, severities: Sequence[s
     newest = newest_per_key(good, "ghsa_id", ["updated_at"])
     typed = L.type_raw(filter_in_ci(newest, "severity", severities))
     return (typed if from_ is None else since(typed, "updated_at", from_)), rejects
+
+
+def land_records(pages: DataFrame, unwrap: Callable[[DataFrame], DataFrame],
+                 bounds: dict[str, tuple] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, rejected pages) of result pages (json, fetched_at); ``unwrap`` turns pages into records.
+
+    Pages that do not parse are rejects. ``bounds`` gives closed ranges (either end may be None) on time fields of
+    the record; under a bound a record without a readable time is left out.
+    """
+    parses = F.try_parse_json("json").isNotNull()
+    records = unwrap(pages.where(parses))
+    for field, (low, high) in (bounds or {}).items():
+        if low is not None or high is not None:
+            at = F.try_to_timestamp(F.get_json_object("record", f"$.{field}")).cast("timestamp_ntz")
+            records = between_optional(records.withColumn("_at", at), "_at", low, high).drop("_at")
+    return records, pages.where(~parses).withColumn("reject_reason", F.lit("invalid JSON"))

@@ -258,8 +258,9 @@ def snap_ecosystem(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snap_health(spark: SparkSession, d: str) -> DataFrame:
-    first, now = (M.pipeline_health(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at", when)
-                  .select(*R.SNAP_HEALTH_COLUMNS)
+    # one row each, written as in the cycle: the join on the source's name is then one of two columns, not of constants
+    first, now = (written(M.pipeline_health(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at", when)
+                          .select(*R.SNAP_HEALTH_COLUMNS), "health")
                   for when in (_dt.datetime.combine(A.HISTORY_FIRST_AS_OF, _dt.time()), ORDERS_AS_OF_TS))
     return _two_snapshots(first, now, R.SNAP_HEALTH_KEY, R.SNAP_HEALTH_CHECKS)
 

@@ -21,7 +21,7 @@ LAYERS = {"raw": "raw", "staging": "staging", "intermediate": "intermediate",
           "marts": "marts", "security": "security", "snapshots": "snapshots"}
 
 
-def read_source(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
+def read_source(spark: SparkSession, name: str | None = None, path: str | None = None) -> DataFrame:
     """A landed table by catalog name, or Parquet files at ``path``."""
     return spark.read.parquet(path) if path else spark.table(name)
 
@@ -32,15 +32,10 @@ def ensure_schema(spark: SparkSession, layer: str) -> str:
     return db
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = ()) -> None:
     """Create an empty Parquet table with ``schema`` when it does not exist."""
     if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
-
-
-def append(df: DataFrame, name: str) -> None:
-    """Append rows to a result table (created on first use)."""
-    df.write.format("parquet").mode("append").saveAsTable(name)
+        spark.createDataFrame([], schema).write.format("parquet").partitionBy(*partition_by).saveAsTable(name)
 
 
 def append_run(df: DataFrame, name: str, run_at, run_col: str = "run_at") -> None:
@@ -54,9 +49,7 @@ def append_run(df: DataFrame, name: str, run_at, run_col: str = "run_at") -> Non
 
     out = df.withColumn(run_col, ts_ntz(run_at))
     spark = df.sparkSession
-    if not spark.catalog.tableExists(name):
-        out.write.format("parquet").partitionBy(run_col).saveAsTable(name)
-        return
+    ensure_table(spark, name, out.schema, (run_col,))
     cols = [f.name for f in spark.table(name).schema.fields]
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
