@@ -36,6 +36,11 @@ def test_cycle_twice_builds_tables_and_history(spark, scratch):
     assert spark.table("security.infrastructure_drift").count() == 2 * A.plan_logs(spark, d).where(
         "exit_code != 1").count()
     assert os.path.isdir(os.path.join(scratch, "briefs", "threat_brief_2001-08-15"))
+    # the stored plan runs of both cycles are the same runs: their episodes are those of one of them
+    from wardline.operators.drift import drift_episodes, drift_records
+    once = drift_episodes(drift_records(A.plan_logs(spark, d)))
+    assert sorted(spark.table("security.drift_episodes").collect()) == sorted(once.collect())
+    assert {"snapshotted_at"} <= set(snap.columns) and {"snapshotted_at"} <= set(eco.columns)
     assert f2["cve_count"] == f1["cve_count"]
     fresh = {r.run_at.month: r.status for r in spark.table("monitoring.source_freshness").collect()}
     assert fresh == {8: "error", 9: "error"}

@@ -93,3 +93,37 @@ def test_fetch_reads_the_whole_listing(spark):
     listing = spark.createDataFrame(rows, "ecosystem string, position int, ghsa_id string, severity string")
     assert I.fetch_advisories(listing, ["pip"], ["high"]).count() == 700
     assert I.fetch_advisories(listing, ["pip"], ["high"], limit=200).count() == 200
+
+
+def test_pages_are_landed_and_upserted_record_by_record(spark, scratch):
+    import os
+
+    from wardline.__main__ import land_pages
+
+    def page(name, *lines):
+        path = os.path.join(scratch, name)
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+        return path
+
+    item = '{"cve": {"id": "%s", "published": "%s", "n": %d}}'
+    first = page("cves1", '{"vulnerabilities": [' + item % ("C1", "2024-01-01T00:00:00.000", 1) + ", "
+                 + item % ("C2", "2023-01-01T00:00:00.000", 1) + ', {"n": 9}]}', "{broken")
+    later = page("cves2", '{"vulnerabilities": [' + item % ("C1", "2024-01-01T00:00:00.000", 2) + ", "
+                 + item % ("C3", "2020-01-01T00:00:00.000", 2) + "]}")
+    table = "raw.page_probe"
+    land_pages(spark, first, table, "cve_id", AS_OF, L.unwrap_cves)
+    land_pages(spark, later, table, "cve_id", dt.datetime(2024, 2, 2), L.unwrap_cves,
+               bounds={"published": (dt.date(2023, 1, 1), None), "lastModified": (None, None)})
+    got = {(r["cve_id"], r["n"], r["loaded_at"].day)
+           for r in spark.table(table).withColumn("n", F.get_json_object("record", "$.n")).collect()}
+    assert got == {("C1", "2", 2), ("C2", "1", 1), ("UNKNOWN", "9", 1)}
+    assert [r["json"] for r in spark.table(table + "_rejects").collect()] == ["{broken"]
+    nodes = page("nodes", '{"nodes": [{"ghsaId": "G1", "severity": "LOW"}, {"ghsaId": "G2"}]}')
+    land_pages(spark, nodes, "raw.node_probe", "ghsa_id", AS_OF, L.unwrap_nodes, id_field="ghsaId")
+    assert {r["ghsa_id"] for r in spark.table("raw.node_probe").collect()} == {"G1", "G2"}
+
+
+def test_an_older_version_does_not_stand_in_for_a_newer_one(spark):
+    docs = [_doc("G1", "2024-01-01T00:00:00Z", "CRITICAL"), _doc("G1", "2024-01-02T00:00:00Z", "low")]
+    typed, _ = land_advisories(spark.createDataFrame([(d,) for d in docs], "json string"), AS_OF, ["critical"])
+    assert typed.count() == 0

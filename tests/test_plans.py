@@ -84,3 +84,27 @@ def test_day_partitioned_log_is_pruned(spark, scratch):
     assert re.search(r"PartitionFilters: \[[^\]]*day", p)
     full = anomalous_queries(query_history(spark, SF_SMALL), dt.datetime(2024, 1, 31))
     assert df.count() == full.count()
+
+
+@pytest.mark.parametrize("key", ["threat_brief", "brief_facts", "brief_actions", "dq_not_null", "dq_unique"])
+def test_models_with_several_consumers_are_written_once(plans, key):
+    # the orders are read once for the written table and at most once more (health looks at withdrawn rows too)
+    scans = re.findall(r"Location: [^\n]*?/([a-z]+)\.parquet\]", plans[key])
+    assert scans and scans.count("orders") <= 1 and scans.count("lineitem") <= 1, scans
+
+
+def test_statistics_are_joined_on_group_and_salt(plans):
+    for key in ("zscore_outliers", "advisory_outliers"):
+        assert re.search(r"pmod\(xxhash64\(", plans[key]), key
+
+
+def test_hot_group_statistics_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    from wardline.operators.outliers import zscore
+    rows = spark.range(3000).select(F.when(F.col("id") % 10 < 9, "hot").alias("g"), (F.col("id") % 7).cast("double").alias("v"))
+    got = zscore(rows, "g", "v")
+    assert got.columns == ["g", "v", "mean", "stddev", "z_score"] and got.count() == 3000
+    want = {r.g: (r.m, r.s) for r in rows.groupBy("g").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s")).collect()}
+    for r in got.select("g", "mean", "stddev").distinct().collect():
+        assert abs(r["mean"] - want[r.g][0]) < 1e-12 and abs(r.stddev - want[r.g][1]) < 1e-12

@@ -211,9 +211,8 @@ def brief_facts(spark: SparkSession, d: str) -> DataFrame:
 
 def threat_brief(spark: SparkSession, d: str) -> DataFrame:
     e = written(enriched(spark, d), "enriched")
-    return B.threat_brief(M.mart_summary(e), M.mart_critical(e),
-                          M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
-                          advisory_health(spark, d), ORDERS_AS_OF_TS)
+    eco = written(M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)), "ecosystem-risk")
+    return B.threat_brief(M.mart_summary(e), M.mart_critical(e), eco, advisory_health(spark, d), ORDERS_AS_OF_TS)
 
 
 # ------------------------------------------------------------------ drift
