@@ -141,6 +141,43 @@ def test_span_dedup_passage_inside_sentences_and_odd_rows(spark):
     assert span_dedup.dedup_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def every_run_dedup(texts):
+    """Texts without the sentences of any run, of any length, that occurred before; nothing shared with ``runs``."""
+    seen, out = set(), []
+    for text in texts:
+        spans = span_dedup.sentences(text)
+        parts = [tuple(text[s:e].lower().split()) for s, e in spans]
+        gone = set()
+        for first in range(len(parts)):
+            for end in range(first + 2, len(parts) + 1):
+                run = tuple(parts[first:end])
+                if sum(map(len, run)) >= 12:
+                    if run in seen:
+                        gone.update(range(first, end))
+                    seen.add(run)
+        out.append("".join(text[s:e] for i, (s, e) in enumerate(spans) if i not in gone))
+    return out
+
+
+def test_span_dedup_removes_every_repeated_run(spark):
+    rng = random.Random(11)
+
+    def sentence(n):
+        return " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(10**6)) for _ in range(n)) + ". "
+
+    tail = "".join(map(sentence, (10, 12, 2, 2)))                     # the short end is in no run from its start
+    texts = [sentence(9) + tail, tail, sentence(7) + tail + sentence(8), tail.upper()]
+    for _ in range(60):
+        parts = [sentence(rng.choice((1, 2, 3, 5, 10, 12))) for _ in range(rng.randint(1, 9))]
+        texts += ["".join(parts), sentence(3) + "".join(parts[rng.randrange(len(parts)):]) + sentence(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in span_dedup.dedup_spans(docs).collect()}
+    want = every_run_dedup(texts)
+    assert want[1] == want[3] == "" and sum(t != w for t, w in zip(texts, want)) > 20
+    short = {i for i, t in enumerate(texts) if len(span_dedup.sentences(t)) < 2 or len(t.split()) < 12}
+    assert all(got[i] == want[i] for i in range(len(texts)) if i not in short)
+
+
 def plain_leaks(docs, items):
     out = set()
     words = {i: [w.decode() for w in split(t)] for i, t in docs.items() if t}

@@ -1,8 +1,9 @@
 """Substring dedup over sliding sentence spans.
 
-From every sentence a run of consecutive sentences is hashed: the shortest of at least ``sentences`` sentences and
-``words`` words. Runs are joined globally on their 128-bit hash; all but the first occurrence (by id, then place)
-are repeats, and sentences that a repeat covers are removed.
+At every sentence two runs of consecutive sentences are hashed, the shortest of at least ``sentences`` sentences and
+``words`` words that starts there and the shortest that ends there: together they cover every sentence of every longer
+repeated run. Runs are joined globally on their 128-bit hash; all but the first occurrence (by id, then place) are
+repeats, and sentences that a repeat covers are removed.
 
 Sentences end at . ! or ? before white space, or at a line end. They are compared in lower case with white space
 collapsed. A text too short for a run is one run as a whole if it has enough words.
@@ -35,8 +36,8 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in zip(starts, ends) if e > s]
 
 
-def runs(counts: list[int], least_sentences: int = SENTENCES, least_words: int = WORDS) -> list[tuple[int, int]]:
-    """(first, number) of the run from each sentence that has one, given the sentences' numbers of words."""
+def _shortest(counts: list[int], least_sentences: int, least_words: int) -> list[tuple[int, int]]:
+    """(first, number) of the shortest run from each sentence that has one."""
     out, end, held = [], 0, 0
     for i in range(len(counts)):
         while end < len(counts) and (end - i < least_sentences or held < least_words):
@@ -46,11 +47,18 @@ def runs(counts: list[int], least_sentences: int = SENTENCES, least_words: int =
             break
         out.append((i, end - i))
         held -= counts[i]
-    if not out and sum(counts) >= least_words:
-        out.append((0, len(counts)))
     return out
 
 
+def runs(counts: list[int], least_sentences: int = SENTENCES, least_words: int = WORDS) -> list[tuple[int, int]]:
+    """(first, number) of the shortest runs that start and that end at each sentence, given the sentences' numbers of words."""
+    out = set(_shortest(counts, least_sentences, least_words))
+    out.update((len(counts) - i - n, n) for i, n in _shortest(counts[::-1], least_sentences, least_words))
+    if not out and sum(counts) >= least_words:
+        out.add((0, len(counts)))
+    return sorted(out)
+
+
 def _hashed(text: str, least_sentences: int, least_words: int) -> tuple[list[bytes], list[tuple[int, int]]]:
     parts = [text[s:e].lower().split() for s, e in sentences(text)]
     spans = runs(list(map(len, parts)), least_sentences, least_words)
