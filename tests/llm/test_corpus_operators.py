@@ -178,6 +178,29 @@ def test_span_dedup_removes_every_repeated_run(spark):
     assert all(got[i] == want[i] for i in range(len(texts)) if i not in short)
 
 
+@pytest.mark.parametrize("script", ["spaced", "unspaced"])
+def test_span_dedup_passages_across_and_inside_sentences(spark, script):
+    rng, glue, texts, passages = random.Random(13), " " if script == "spaced" else "", [], []
+
+    def words(n):
+        return [f"w{fresh.pop()}" if glue else chr(fresh.pop()) for _ in range(n)]
+
+    for k in range(60):
+        fresh = rng.sample(range(0x4E00, 0x9F00), 400)                  # no word twice in a pair of texts
+        passage = words(rng.randint(50, 90))
+        shown = list(passage)
+        for i in rng.sample(range(len(shown)), (0, 1, 4)[k % 3]):        # no mark; one; several
+            shown[i] += (". " if k % 2 else ", ") if glue else ("。" if k % 2 else "、")
+        passages.append((passage, ends := [words(rng.randint(0, 40)) for _ in range(4)]))
+        texts += [glue.join([*ends[0], *shown, *ends[1]]), glue.join([*ends[2], *shown, *ends[3]]) + "."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in span_dedup.dedup_spans(docs).collect()}
+    for k, (passage, ends) in enumerate(passages):
+        assert got[2 * k] == texts[2 * k] and all(w in got[2 * k + 1] for w in ends[2] + ends[3])
+        left = [i for i, w in enumerate(passage) if w in got[2 * k + 1]]
+        assert all(i < span_dedup.PIECE or i >= len(passage) - span_dedup.PIECE for i in left), (k, left)
+
+
 def plain_leaks(docs, items):
     out = set()
     words = {i: [w.decode() for w in split(t)] for i, t in docs.items() if t}

@@ -5,8 +5,12 @@ At every sentence two runs of consecutive sentences are hashed, the shortest of
 repeated run. Runs are joined globally on their 128-bit hash; all but the first occurrence (by id, then place) are
 repeats, and sentences that a repeat covers are removed.
 
-Sentences end at . ! or ? before white space, or at a line end. They are compared in lower case with white space
-collapsed. A text too short for a run is one run as a whole if it has enough words.
+Sentences end at . ! or ? before white space, at the stops of other scripts, or at a line end. Where ``PIECE`` word
+borders follow one another without a sentence end, the sentence is cut at the least of them: at a comma or the like if
+there is one, by a hash of the two words otherwise. The cut depends on these words only, so equal passages are cut alike
+except for at most ``PIECE`` words at their ends, whatever sentences they lie in, and no piece has more than ``PIECE``
+words. A piece counts as a sentence. Pieces are compared in lower case with white space collapsed; in scripts without
+spaces each character is a word. A text too short for a run is one run as a whole if it has enough words.
 """
 
 from __future__ import annotations
@@ -24,16 +28,62 @@ from wardline.llm.common import map_texts, settle, steps
 
 SENTENCES = 2
 WORDS = 12
-_END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*")
+PIECE = 16
+_END = re.compile(r"[.!?]+[\"')\]]*\s+|[。！？．｡؟۔।॥]+[\"')\]」』）】”’»]*\s*|\s*\n\s*")
+_UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(r"\S+")
+_WORD_OR_CHARACTER = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
+_COMMAS = frozenset(",;:，、；：،؛")
+
+
+def _words(text: str) -> tuple[list[str], re.Pattern]:
+    """The words of ``text`` in lower case, and the pattern that finds their places."""
+    if text.isascii() or not _HAS_UNSPACED.search(text):
+        return text.lower().split(), _WORD
+    return _WORD_OR_CHARACTER.findall(text.lower()), _WORD_OR_CHARACTER
+
+
+def _cuts(words: list[str]) -> list[int]:
+    """Numbers of the words before which a sentence is cut: the last least border of every ``PIECE`` successive ones."""
+    hashes = [0]
+    for before, after in zip(words, words[1:]):
+        value = xxhash.xxh3_64_intdigest(f"{before} {after}".encode("utf-8", "surrogatepass"))
+        hashes.append(value if before[-1] in _COMMAS else value | 1 << 64)
+    out, best = [], 0
+    for first in range(1, len(words) - PIECE + 1):
+        newest = first + PIECE - 1
+        if best < first:
+            best = min(range(newest, first - 1, -1), key=hashes.__getitem__)
+        elif hashes[newest] <= hashes[best]:
+            best = newest
+        if not out or out[-1] != best:
+            out.append(best)
+    return out
+
+
+def _pieces(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words) of each piece; together they make up the text."""
+    start = 0
+    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
+        if end == start:
+            continue
+        words, pattern = _words(text[start:end])
+        if len(words) > PIECE:
+            cuts = _cuts(words)
+            places = [m.start() for m in pattern.finditer(text, start, end)]
+            borders = [start, *(places[i] for i in cuts), end]
+            for s, e, i, j in zip(borders, borders[1:], [0, *cuts], [*cuts, len(words)]):
+                yield s, e, words[i:j]
+        else:
+            yield start, end, words
+        start = end
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of each sentence; together they make up the text. White space after a sentence belongs to it."""
-    ends = [m.end() for m in _END.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    starts = [0, *ends[:-1]]
-    return [(s, e) for s, e in zip(starts, ends) if e > s]
+    """(start, end) of each sentence, or piece of a long one; together they make up the text. White space after a
+    sentence belongs to it."""
+    return [(s, e) for s, e, _ in _pieces(text)]
 
 
 def _shortest(counts: list[int], least_sentences: int, least_words: int) -> list[tuple[int, int]]:
@@ -60,7 +110,7 @@ def runs(counts: list[int], least_sentences: int = SENTENCES, least_words: int =
 
 
 def _hashed(text: str, least_sentences: int, least_words: int) -> tuple[list[bytes], list[tuple[int, int]]]:
-    parts = [text[s:e].lower().split() for s, e in sentences(text)]
+    parts = [words for _, _, words in _pieces(text)]
     spans = runs(list(map(len, parts)), least_sentences, least_words)
     digests = [xxhash.xxh3_128_digest(" ".join(p).encode("utf-8", "surrogatepass")) for p in parts]
     return [xxhash.xxh3_128_digest(b"".join(digests[i:i + n])) for i, n in spans], spans
@@ -79,7 +129,8 @@ def remove_sentences(text: str, covered: list[tuple[int, int]]) -> tuple[str, in
 
 def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_sentences, n_removed) for every row, ``text`` without the sentences of repeated runs.
+    """(doc_id, text, n_sentences, n_removed) for every row, ``text`` without the sentences of repeated runs; pieces of
+    long sentences count one each.
 
     A row counts as the document (id, text): rows repeated with the same id and text are one document and are all
     treated alike; the same id with another text is another document. The first occurrence of a run has the smallest
