@@ -100,6 +100,22 @@ def test_ann_recall_scores_and_ties(spark, size):
     assert hits / (20 * len(range(0, size, 20))) >= 0.9 and set(got["query_id"]) == set(range(0, size, 20))
 
 
+@pytest.mark.parametrize("noise", [1e-5, 1e-4])
+def test_ann_recall_in_a_jittered_group(spark, noise):
+    rng, size = np.random.default_rng(5), 3000
+    x = rng.standard_normal((size, 16))
+    x[::3] = rng.standard_normal(16) + noise * rng.standard_normal((size // 3, 16))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(table, F.col("vec_id") % 30 == 0, k=20, least_reach=60).toPandas()
+    hits, queries = 0, range(0, size, 30)
+    for q in queries:
+        near = ((x - x[q]) ** 2).sum(axis=1)                            # unit vectors: nearest first
+        near[q] = np.inf
+        hits += len(set(np.argsort(near)[:20]) & set(got.loc[got["query_id"] == q, "vec_id"]))
+    assert hits / (20 * len(queries)) >= 0.9
+
+
 def test_ann_empty_and_few(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.search(spark.createDataFrame([], schema), F.lit(True)).count() == 0

@@ -5,8 +5,9 @@ A query descends to its place in each array, where the longest shared prefixes a
 together: the prefix length is lowered until the trees hold, on average, ``reach`` vectors that share it. Those are
 scored exactly.
 
-On Spark a tree's array is sorted by range and cut into blocks of equal rank ranges. A query goes to the blocks that
-its window overlaps; a block reports how many of its entries share each prefix length and the best scored ones for
+On Spark a tree's array is sorted by range and cut into blocks of equal rank ranges. Equal labels are ordered by a hash
+that differs from tree to tree, so that each tree has other neighbours beside a query. A query goes to the blocks that
+its window overlaps, which reaches over all entries with the query's full label; a block reports how many of its entries share each prefix length and the best scored ones for
 each. Blocks, and the queries sent to one copy of a block, are bounded, so no task follows the table.
 
 Identical vectors are one entry: a class named by its smallest id, with its ``k + 1`` smallest ids (no query can
@@ -133,7 +134,8 @@ def _search_forest(classes: DataFrame, dim: int, size: int, reach: int, trees: i
     entries = classes.select("class_id", "embedding", "is_query").mapInArrow(label, _ENTRY.format(id="bigint"))
     # labels are unsigned: their sign bit is flipped for sorting
     entries = entries.withColumn("label", F.col("label").bitwiseXOR(F.lit(-(1 << 63))))
-    ordered = entries.repartitionByRange("tree", "label", "class_id").sortWithinPartitions("tree", "label", "class_id")
+    order = ["tree", "label", F.xxhash64("tree", "class_id"), "class_id"]
+    ordered = entries.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, after, part = -1, 0, TaskContext.get().partitionId()
@@ -153,34 +155,42 @@ def _search_forest(classes: DataFrame, dim: int, size: int, reach: int, trees: i
         "tree", "slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     ranked = ordered.join(F.broadcast(offsets), ["tree", "slice"]).select(
         "tree", "label", "class_id", "is_query", (F.col("at") + F.col("offset")).alias("place"))
-    ranked = ranked.join(classes.select("class_id", "embedding"), "class_id")
 
     window = min(size, 2 * reach)
     blocks = (size - 1) // BLOCK
-    per_block = max(1, int(classes.where("is_query").count() * min(1.0, (BLOCK + 2 * window) / size)))
+    # runs of one label that a window may not span: at most size / window a tree
+    equal = ranked.groupBy("tree", "label").agg(F.min("place").alias("run_first"), F.max("place").alias("run_last"))
+    equal = settle(equal.where(F.col("run_last") - F.col("run_first") > window), "equal-labels")
+    longest = equal.agg(F.max(F.col("run_last") - F.col("run_first"))).first()[0] or 0
+    ranked = ranked.join(F.broadcast(equal), ["tree", "label"], "left").select(
+        "tree", "label", "class_id", "is_query", "place",
+        F.least(F.col("place") - window, F.col("run_first")).alias("lo"),
+        F.greatest(F.col("place") + window, F.col("run_last")).alias("hi"))
+    ranked = ranked.join(classes.select("class_id", "embedding"), "class_id")
+    per_block = max(1, int(classes.where("is_query").count() * min(1.0, (BLOCK + 2 * max(window, longest)) / size)))
     copies = max(1, -(-per_block // QUERIES_PER_COPY))
     copy = F.pmod(F.xxhash64("class_id"), F.lit(copies)).cast("int")
     index = ranked.select("tree", F.floor(F.col("place") / BLOCK).cast("long").alias("block"),
                           F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), F.lit(False).alias("asks"),
-                          "label", "class_id", "place", "embedding")
-    first = F.greatest(F.lit(0), F.floor((F.col("place") - window) / BLOCK)).cast("long")
-    last = F.least(F.lit(blocks), F.floor((F.col("place") + window) / BLOCK)).cast("long")
+                          "label", "class_id", "place", F.col("place").alias("lo"), F.col("place").alias("hi"), "embedding")
+    first = F.greatest(F.lit(0), F.floor(F.col("lo") / BLOCK)).cast("long")
+    last = F.least(F.lit(blocks), F.floor(F.col("hi") / BLOCK)).cast("long")
     queries = ranked.where("is_query").select("tree", F.explode(F.sequence(first, last)).alias("block"),
                                               copy.alias("copy"), F.lit(True).alias("asks"), "label", "class_id",
-                                              "place", "embedding")
+                                              "place", "lo", "hi", "embedding")
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         asks = table.column("asks").to_numpy()
         labels = table.column("label").to_numpy().view(np.uint64)
-        ids, places = table.column("class_id").to_numpy(), table.column("place").to_numpy()
+        ids, places, lows, highs = (table.column(c).to_numpy() for c in ("class_id", "place", "lo", "hi"))
         x = _matrix(table.column("embedding").combine_chunks(), dim)
         order = np.flatnonzero(~asks)
         order = order[np.argsort(places[order])]
         labels_in, ids_in, places_in, x_in = labels[order], ids[order], places[order], x[order]
         out_query, out_counts, out_hits = [], [], []
         for q in np.flatnonzero(asks):
-            lo, hi = np.searchsorted(places_in, [places[q] - window, places[q] + window + 1])
+            lo, hi = np.searchsorted(places_in, [lows[q], highs[q] + 1])
             if lo == hi:
                 continue
             shared = _shared(labels_in[lo:hi], labels[q])
