@@ -50,6 +50,15 @@ def test_pii_added_kinds_need_check_and_context():
     assert pii.find_spans("my ssn 123-45-6789") and not pii.find_spans("part 123-45-6789")
 
 
+def test_pii_ibans_behind_other_codes(spark):
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text, want in [(f"{one} {two}", [one, two]), (f"AB12 CD34 {two}", [two]), (f"{two} {one} {two}", [two, one, two]),
+                       (f"XX00 1111 2222 3333 4444 {one},{two}", [one, two]), (f"aAB12 {two}", [two]), (f"x{two}", [])]:
+        assert [text[s:e] for k, s, e, _ in pii.find_spans(text) if k == "iban"] == want, text
+    docs = spark.createDataFrame([(1, f"{one} {two}")], "doc_id long, text string")
+    assert pii.redact(docs).first()["text"] == "<IBAN> <IBAN>"
+
+
 def test_pii_odd_rows(spark):
     found = pii.pii_spans(odd_docs(spark)).collect()
     assert len(found) == len(ODD) + 3

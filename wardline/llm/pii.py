@@ -95,16 +95,20 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        if m.start() and text[m.start() - 1].isalnum():
-            continue
-        body = m.group()
-        # text after the number may have been taken too: the longest prefix that passes counts
-        for end in range(len(body), 14, -1):
-            code = body[:end].replace(" ", "")
-            if body[end - 1] != " " and 15 <= len(code) <= 34 and mod97(code):
-                yield m.start(), m.start() + end
-                break
+    # tried at every place that no letter or digit precedes, but not within a confirmed number
+    m = _IBAN.search(text)
+    while m:
+        after = m.start() + 1
+        if not (m.start() and text[m.start() - 1].isalnum()):
+            body = m.group()
+            # text after the number may have been taken too: the longest prefix that passes counts
+            for end in range(len(body), 14, -1):
+                code = body[:end].replace(" ", "")
+                if body[end - 1] != " " and 15 <= len(code) <= 34 and mod97(code):
+                    after = m.start() + end
+                    yield m.start(), after
+                    break
+        m = _IBAN.search(text, after)
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:
