@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import bpe, decontaminate, langid, pii, simhash
@@ -26,21 +26,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each SimHash group.
+    """Keeps one row of each SimHash group: that with the smallest doc_id, null ids last.
 
-    Rows that repeat an id are one document: it stays if any of them stands for its group, and then as its least row.
+    Rows are documents of their own, whether their ids are null or repeated: each has a key, written once, of its id, a
+    digest of its columns and a number that tells equal rows apart. Of equal ids the smallest digest stays.
     """
-    found = simhash.near_duplicates(docs, words=4, distance=4)
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stands"), F.count(F.lit(1)).alias("n"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id"))
-    kept = docs.join(settle(ids.where("not stands").select("_id"), "copies"), same, "left_anti")
-    repeated = settle(ids.where("stands and n > 1").select("_id"), "repeated-ids")
-    if repeated.isEmpty():
-        return kept
-    least = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    several = kept.join(repeated, same, "left_semi").withColumn("_at", F.row_number().over(least)).where("_at = 1")
-    return kept.join(repeated, same, "left_anti").unionByName(several.drop("_at"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*docs.columns).alias("digest"),
+                   F.monotonically_increasing_id().alias("at"))
+    keyed = settle(docs.withColumn("_row", key), "keyed-rows")
+    found = simhash.near_duplicates(keyed, words=4, distance=4, id_col="_row")
+    copies = found.where("doc_id.at <> component_id.at").select(F.col("doc_id.at").alias("_at"))
+    return keyed.join(copies, F.col("_row.at") == F.col("_at"), "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -320,3 +320,25 @@ def test_pipeline_stages_keep_columns_and_odd_rows(spark):
         left = docs.collect()
         assert [r["doc_id"] for r in left] == ([4] if table.count() else [])
         assert all("<EMAIL>" in r["text"] and r["n_chars"] == len(r["text"]) for r in left)
+
+
+def test_pipeline_judges_rows_not_ids(spark):
+    rng = random.Random(17)
+    prose = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(8)]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def table(rows):
+        return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema).repartition(3)
+
+    def left(docs):
+        return sorted((r["doc_id"] or -1, r["text"]) for r in docs.collect())
+
+    rows = [(None, prose[0]), (None, prose[1]), (None, prose[1]), (None, prose[2]), (1, prose[2]), (7, prose[3]), (9, prose[3]),
+            (3, prose[4]), (7, prose[4]), (8, prose[5]), (8, prose[6]), (8, prose[6])]
+    got = corpus_pipeline.drop_near_duplicates(spark, table(rows), SF)
+    assert got.columns == table(rows).columns and left(got) == sorted([
+        (-1, prose[0]), (-1, prose[1]), (1, prose[2]), (7, prose[3]), (3, prose[4]), (8, prose[5]), (8, prose[6])])
+    rows = [(None, prose[0]), (None, f"{prose[1]} {item} {prose[2]}"), (7, item), (7, prose[3]), (8, prose[4]), (8, prose[4])]
+    assert left(corpus_pipeline.drop_leaks(spark, table(rows), SF)) == sorted(
+        [(-1, prose[0]), (7, prose[3]), (8, prose[4]), (8, prose[4])])

@@ -203,54 +203,78 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, lea
     block, and nothing of them is shuffled.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where(
-        "item_id is not null and text is not null")
-    blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, item_id bigint, first_word bigint, n_words bigint, distance bigint, similarity double")
+    names = ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
     found = None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id", "text")
-        part = map_texts(rows, _finder([tuple(r) for r in own.collect()], width, radius, least), schema)
+    for items in _item_blocks(benchmark, item_col, item_text_col, block_chars):
+        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            known = Items(items, width, radius)
+            for part in steps(batches, 1):
+                owner, out = _find(known, part.column(1).to_pylist(), least)
+                if out:
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)),
+                                                      *(pa.array(c, t) for c, t in zip(zip(*out), types))], names)
+
+        part = map_texts(rows, run, schema)
         found = part if found is None else found.union(part)
     return found
 
 
-def _finder(items: list[tuple[int, str]], width: int, radius: int, least: float):
-    names = ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Items(items, width, radius)
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-        for part in steps(batches, 1):
-            owner: list[int] = []
-            out: list[tuple] = []
-            texts = [normal(t) for t in part.column(1).to_pylist()]
-            data = np.frombuffer(b"\n".join(texts), np.uint8)
-            starts, ends = word_bounds(data)
-            words = _word_hashes(data, starts, ends)
-            edges = np.cumsum([0] + [len(t) + 1 for t in texts])
-            first = np.searchsorted(starts, edges)
-            # all documents at once; shingles over a document's end are looked at only in short documents' own pass
-            near = known.hits(_shingle_hashes(words, width)) if len(words) >= width else np.zeros(0, np.int64)
-            rows = np.unique(np.searchsorted(first, near, "right") - 1)
-            short = np.flatnonzero(np.diff(first) < width)
-            for row in np.union1d(rows, short[np.diff(first)[short] > 0]).tolist():
-                lo, hi = first[row], first[row + 1]
-                hashes = _shingle_hashes(words[lo:hi], width)
-                hits = known.hits(hashes)
-                if len(hits):
-                    got = known.search(texts[row], starts[lo:hi] - edges[row], ends[lo:hi] - edges[row], hashes, hits, least)
-                    owner += [row] * len(got)
-                    out += got
-            if out:
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)),
-                                                  *(pa.array(c, t) for c, t in zip(zip(*out), types))], names)
-
-    return run
-
-
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns pass through."""
-    bad = settle(leaks(docs, benchmark, **parameters).select("doc_id").distinct(), "leaks")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_chars: int) -> Iterator[list[tuple]]:
+    """The items in blocks of about ``block_chars`` characters; one empty block, if there are none."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where(
+        "item_id is not null and text is not null")
+    blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id", "text")
+        yield [tuple(r) for r in own.collect()]
+
+
+def _find(known: Items, texts: list[str | None], least: float) -> tuple[list[int], list[tuple]]:
+    """Number of the text, and what ``Items.search`` tells, for every item found."""
+    owner: list[int] = []
+    out: list[tuple] = []
+    width = known.width
+    texts = [normal(t or "") for t in texts]
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    starts, ends = word_bounds(data)
+    words = _word_hashes(data, starts, ends)
+    edges = np.cumsum([0] + [len(t) + 1 for t in texts])
+    first = np.searchsorted(starts, edges)
+    # all documents at once; shingles over a document's end are looked at only in short documents' own pass
+    near = known.hits(_shingle_hashes(words, width)) if len(words) >= width else np.zeros(0, np.int64)
+    rows = np.unique(np.searchsorted(first, near, "right") - 1)
+    short = np.flatnonzero(np.diff(first) < width)
+    for row in np.union1d(rows, short[np.diff(first)[short] > 0]).tolist():
+        lo, hi = first[row], first[row + 1]
+        hashes = _shingle_hashes(words[lo:hi], width)
+        hits = known.hits(hashes)
+        if len(hits):
+            got = known.search(texts[row], starts[lo:hi] - edges[row], ends[lo:hi] - edges[row], hashes, hits, least)
+            owner += [row] * len(got)
+            out += got
+    return owner, out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, least: float = SIMILARITY,
+                  radius: int = RADIUS, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                  block_chars: int = ITEM_BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; all columns pass through.
+
+    Each row is judged by its own text, in one narrow pass per item block; ids are not read, so null and repeated ones
+    do no harm.
+    """
+    at = docs.columns.index(text_col)
+    for items in _item_blocks(benchmark, item_col, item_text_col, block_chars):
+        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            known = Items(items, width, radius)
+            for part in steps(batches, at):
+                owner, _ = _find(known, part.column(at).to_pylist(), least)
+                clean = np.ones(part.num_rows, bool)
+                clean[owner] = False
+                yield part.filter(pa.array(clean))
+
+        docs = map_texts(docs, run, docs.schema)
+    return docs
