@@ -259,6 +259,24 @@ def test_decontamination_equals_every_window(spark):
     assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {*docs, 900, 901, 902} - {d for d, _ in want}
 
 
+def test_decontamination_short_items_and_items_without_id(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = {n: " ".join(rng.choices(vocabulary, k=n)) for n in range(1, 9)}
+    docs = {d: " ".join(rng.choices(vocabulary, k=d % 40)) + " " + items[1 + d % 8] * (d % 3) for d in range(200)}
+    table = spark.createDataFrame([*docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([*items.items()], "item_id long, text string")
+    got = decontaminate.leaks(table, bench, block_chars=40).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted(plain_leaks(docs, items))
+    for r in got:
+        if r["item_id"] < 5:
+            assert split(docs[r["doc_id"]])[r["first_word"]:][:r["n_words"]] == split(items[r["item_id"]])
+    nameless = bench.where("item_id in (2, 7)").withColumn("item_id", F.lit(None).cast("long"))
+    want = sorted(d for d, i in plain_leaks(docs, items) if i in (2, 7))
+    got = decontaminate.leaks(table, nameless, block_chars=10).collect()
+    assert sorted(r["doc_id"] for r in got) == want and {r["item_id"] for r in got} == {None}
+
+
 def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 1 << 63, 200, np.int64).astype(np.uint64)

@@ -133,10 +133,12 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str]], width: int = SHINGLE_WORDS, radius: int = RADIUS):
         self.width = width
-        self.words: dict[int, list[tuple[int, list[bytes]]]] = {}
+        self.words: dict[int, list[tuple[tuple[int, int], list[bytes]]]] = {}
+        self.short: dict[int, dict[int, list[tuple[tuple[int, int], list[bytes]]]]] = {}     # size → hash → items
         prints: dict[int, list[int]] = {}
         owners: dict[int, set[int]] = {}
-        for item_id, text in items:
+        for number, (item_id, text) in enumerate(items):
+            name = (0, item_id) if item_id is not None else (1, number)
             raw = normal(text)
             data = np.frombuffer(raw, np.uint8)
             starts, ends = word_bounds(data)
@@ -144,7 +146,11 @@ class Items:
                 continue
             size = len(starts)
             hashes = _shingle_hashes(_word_hashes(data, starts, ends), width)
-            self.words.setdefault(size, []).append((item_id, [raw[s:e] for s, e in zip(starts, ends)]))
+            item = (name, [raw[s:e] for s, e in zip(starts, ends)])
+            if size < width:
+                self.short.setdefault(size, {}).setdefault(int(hashes[0]), []).append(item)
+                continue
+            self.words.setdefault(size, []).append(item)
             prints.setdefault(size, []).append(int(simhash_windows(hashes, len(hashes))[0]))
             for h in hashes.tolist():
                 owners.setdefault(h, set()).add(size)
@@ -160,8 +166,8 @@ class Items:
         return at[np.isin(hashes[at], self.known)] if len(at) else at
 
     def search(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, hits: np.ndarray,
-               least: float) -> list[tuple[int, int, int, int, float]]:
-        """(item_id, first word, words, distance, similarity): the best window of each item found in one document.
+               least: float) -> dict[tuple[int, int], tuple[int, int, int, float]]:
+        """Item → (first word, words, distance, similarity): the best window of each item found in one document.
 
         ``hashes`` are the document's shingle hashes, ``hits`` the places among them that belong to an item.
         """
@@ -169,7 +175,7 @@ class Items:
         for at in hits.tolist():
             for size in self.sizes[int(hashes[at])]:
                 wanted.setdefault(size, []).append(at)
-        best: dict[int, tuple[int, int, int, float]] = {}
+        best: dict[tuple[int, int], tuple[int, int, int, float]] = {}
         for size, places in wanted.items():
             width = min(max(1, size - self.width + 1), len(hashes))
             reach = np.zeros(len(hashes) - width + 2, np.int64)      # window starts that hold a hit
@@ -183,12 +189,12 @@ class Items:
             known = self.words[size]
             for w, i, distance in zip(*(x.tolist() for x in self.index[size].near(shown))):
                 first = int(windows[w])
-                item_id, item = known[i]
+                name, item = known[i]
                 words = [raw[s:e] for s, e in zip(starts[first:first + size], ends[first:first + size])]
                 alike = similarity(words, item, self.width)
-                if alike >= least and (item_id not in best or (-alike, first) < (-best[item_id][3], best[item_id][0])):
-                    best[item_id] = (first, len(words), distance, alike)
-        return [(item_id, *found) for item_id, found in sorted(best.items())]
+                if alike >= least and (name not in best or (-alike, first) < (-best[name][3], best[name][0])):
+                    best[name] = (first, len(words), distance, alike)
+        return best
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, least: float = SIMILARITY,
@@ -196,10 +202,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, lea
           item_text_col: str = "text", block_chars: int = ITEM_BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, distance, similarity): one row per document and item it holds.
 
-    Of several windows the most similar is given, the first on ties. Documents and items that are null, empty or
-    without words match nothing; an item with fewer words than a shingle is one shingle and matches equal documents
-    only. Repeated document rows give
-    repeated results, repeated items are searched each. Other columns are not read. Documents are read once per item
+    Of several windows the most similar is given, the first on ties. Documents and items whose text is null, empty or
+    without words match nothing; an item with fewer words than a shingle is found where just its words stand. Repeated
+    document rows give repeated results, repeated items are searched each; items without an id are items of their own,
+    given with a null item_id. Other columns are not read. Documents are read once per item
     block, and nothing of them is shuffled.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -225,17 +231,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, lea
 def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_chars: int) -> Iterator[list[tuple]]:
     """The items in blocks of about ``block_chars`` characters; one empty block, if there are none."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where(
-        "item_id is not null and text is not null")
+        "text is not null")
     blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
     for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id", "text")
+        name = F.coalesce("item_id", F.xxhash64("text"))
+        own = items.where(F.pmod(F.xxhash64(name), F.lit(blocks)) == block).orderBy("item_id", "text")
         yield [tuple(r) for r in own.collect()]
 
 
 def _find(known: Items, texts: list[str | None], least: float) -> tuple[list[int], list[tuple]]:
-    """Number of the text, and what ``Items.search`` tells, for every item found."""
-    owner: list[int] = []
-    out: list[tuple] = []
+    """Number of the text and (item_id, first word, words, distance, similarity) for every item found."""
+    found: dict[int, dict] = {}
     width = known.width
     texts = [normal(t or "") for t in texts]
     data = np.frombuffer(b"\n".join(texts), np.uint8)
@@ -243,19 +249,29 @@ def _find(known: Items, texts: list[str | None], least: float) -> tuple[list[int
     words = _word_hashes(data, starts, ends)
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
     first = np.searchsorted(starts, edges)
-    # all documents at once; shingles over a document's end are looked at only in short documents' own pass
+    # all documents at once; shingles over a document's end are looked at only in its own pass
     near = known.hits(_shingle_hashes(words, width)) if len(words) >= width else np.zeros(0, np.int64)
-    rows = np.unique(np.searchsorted(first, near, "right") - 1)
-    short = np.flatnonzero(np.diff(first) < width)
-    for row in np.union1d(rows, short[np.diff(first)[short] > 0]).tolist():
+    for row in np.unique(np.searchsorted(first, near, "right") - 1).tolist():
         lo, hi = first[row], first[row + 1]
+        if hi - lo < width:
+            continue
         hashes = _shingle_hashes(words[lo:hi], width)
         hits = known.hits(hashes)
         if len(hits):
-            got = known.search(texts[row], starts[lo:hi] - edges[row], ends[lo:hi] - edges[row], hashes, hits, least)
-            owner += [row] * len(got)
-            out += got
-    return owner, out
+            found[row] = known.search(texts[row], starts[lo:hi] - edges[row], ends[lo:hi] - edges[row], hashes, hits, least)
+    for size, wanted in known.short.items():         # items under a shingle: equal runs of their own length
+        hashes = _shingle_hashes(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+        for at in np.flatnonzero(np.isin(hashes, np.array(list(wanted), np.uint64))).tolist():
+            row = int(np.searchsorted(first, at, "right")) - 1
+            if at + size > first[row + 1]:
+                continue
+            shown = [data[s:e].tobytes() for s, e in zip(starts[at:at + size], ends[at:at + size])]
+            place, best = int(at - first[row]), found.setdefault(row, {})
+            for name, item in wanted[int(hashes[at])]:
+                if item == shown and (name not in best or (-1.0, place) < (-best[name][3], best[name][0])):
+                    best[name] = (place, size, 0, 1.0)
+    rows = [(row, (None if name[0] else name[1], *window)) for row in sorted(found) for name, window in sorted(found[row].items())]
+    return [row for row, _ in rows], [told for _, told in rows]
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, least: float = SIMILARITY,
