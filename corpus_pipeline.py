@@ -14,14 +14,22 @@ from wardline.llm import bpe, decontaminate, langid, pii, simhash
 from wardline.llm.common import new_folder, settle
 from wardline.llm.queries import WORD_BPE, tokenizer_path
 
-LEAST_LANGUAGE_SCORE = 0.3
+LEAST_LANGUAGE_GAIN = 1 / 15      # of the way from a score of 1 / languages, which every text reaches, to 1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a determinable language: null or letterless text, or a score under the least one."""
+    """Drops documents without a determinable language: null or letterless text, or a score under the least one.
+
+    The least score follows the number of languages. Where no row is labelled nothing can be told, and all documents
+    with letters stay.
+    """
     model = langid.train(docs, usable=F.lit(True))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    chance = 1 / len(model.languages)
+    least = chance + LEAST_LANGUAGE_GAIN * (1 - chance)
     scored = langid.predict(docs, model)
-    kept = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    kept = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= least - 1e-9)
     return scored.where(kept).select(*docs.columns)
 
 

@@ -360,3 +360,18 @@ def test_pipeline_judges_rows_not_ids(spark):
     rows = [(None, prose[0]), (None, f"{prose[1]} {item} {prose[2]}"), (7, item), (7, prose[3]), (8, prose[4]), (8, prose[4])]
     assert left(corpus_pipeline.drop_leaks(spark, table(rows), SF)) == sorted(
         [(-1, prose[0]), (7, prose[3]), (8, prose[4]), (8, prose[4])])
+
+
+def test_pipeline_language_score_follows_the_number_of_languages(spark):
+    rng = random.Random(19)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    letters = ["abcdefg", "hijklmn", "opqrstu", "vwxyzäö"]
+
+    def left(languages, labelled):
+        rows = [(k * 100 + i, " ".join("".join(rng.choices(letters[k], k=5)) for _ in range(30)), f"l{k}" if labelled else None, "s", 1)
+                for k in range(languages) for i in range(20)]
+        table = spark.createDataFrame([*rows, (9000, "12 34", None, "s", 1), (9001, None, None, "s", 1)], schema)
+        kept = corpus_pipeline.identify_language(spark, table, SF)
+        return kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows}
+
+    assert left(1, True) and left(4, True) and left(3, False)
