@@ -36,15 +36,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each SimHash group: that with the smallest doc_id, null ids last.
 
-    Rows are documents of their own, whether their ids are null or repeated: each has a key, written once, of its id, a
-    digest of its columns and a number that tells equal rows apart. Of equal ids the smallest digest stays.
+    Rows are documents of their own, whether their ids are null or repeated: each goes by its id and a 128-bit digest of
+    its columns. Of equal ids the smallest digest stays; wholly equal rows are in one group, and one of them stays.
     """
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*docs.columns).alias("digest"),
-                   F.monotonically_increasing_id().alias("at"))
-    keyed = settle(docs.withColumn("_row", key), "keyed-rows")
+    content = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]      # hashes pass over nulls
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*content).alias("h1"),
+                   F.xxhash64(F.lit(1), *content).alias("h2"))
+    keyed = docs.withColumn("_row", key)
     found = simhash.near_duplicates(keyed, words=4, distance=4, id_col="_row")
-    copies = found.where("doc_id.at <> component_id.at").select(F.col("doc_id.at").alias("_at"))
-    return keyed.join(copies, F.col("_row.at") == F.col("_at"), "left_anti").select(*docs.columns)
+    rows = found.groupBy("doc_id").agg(F.first("component_id").alias("stands_for"), F.count(F.lit(1)).alias("n"))
+    rows = rows.select("doc_id.no_id", F.col("doc_id.h1").alias("_h1"), F.col("doc_id.h2").alias("_h2"),
+                       F.expr("doc_id.h1 = stands_for.h1 and doc_id.h2 = stands_for.h2").alias("stands"), "n")
+    same = (F.col("_row.h1") == F.col("_h1")) & (F.col("_row.h2") == F.col("_h2"))     # the digest covers the id
+    rows = settle(rows.where("not stands or n > 1"), "copies")
+    kept = keyed.join(rows.where("not stands"), same, "left_anti")
+    repeated = rows.where("stands")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["_row"])
+    return kept.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
