@@ -87,7 +87,8 @@ def _numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
 def number_turns(turns: DataFrame) -> DataFrame:
     """(conv_id, number, c1, c2, words): turns in order, null first; equal turns by their digest, equal rows one after
     the other."""
-    rows = turns.withColumn("row", F.monotonically_increasing_id())       # equal rows may go to different slices
+    # digests are taken once, not again for the sample that cuts the slices; equal rows may go to different slices
+    rows = settle(turns.withColumn("row", F.monotonically_increasing_id()), "turns")
     numbered = _numbered(rows, [F.col(c) for c in ("turn", "c1", "c2", "row")], "numbered-turns")
     return numbered.select("conv_id", F.col("place").alias("number"), "c1", "c2", "words")
 
