@@ -8,7 +8,7 @@ fixed size, a partition one stretch of it; the filter is all that is ever sent t
 shorter ones in it have survived, order by order.
 
 Second pass. What passes the filter is counted exactly, by its words: in each task by numbers that stand for them, then
-globally by the phrase. So neither hashes that meet nor a filter that is full change a result, they only cost time.
+by the phrase in its hash partition. So neither hashes that meet nor a filter that is full change a result, they only cost time.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ FILTER_BITS = 27
 MASS_PER_PARTITION = 1 << 23
 LEAST_PARTITION_BITS, MOST_PARTITION_BITS = 5, 20
 HASHES_PER_FLUSH = 1 << 22
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 8_000_000
 SALTS = 64
 LEVELS = ((1,), (2,), (3, 4, 5))        # orders dealt in one pass over the texts
 BORDER = 0                              # number and hash of the border between pieces
@@ -212,9 +212,8 @@ def survivors(texts: DataFrame, orders: tuple[int, ...], filters: dict, threshol
     return bytes(whole)
 
 
-def _local_counts(numbers: np.ndarray, fits: dict[int, np.ndarray], spelled: list[bytes]
-                  ) -> Iterator[tuple[int, list[str], np.ndarray]]:
-    """(n, phrases, counts) of the places that fit, told apart by their words' numbers: an n-gram is the pair of its
+def _local_counts(numbers: np.ndarray, fits: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, first places, counts) of the phrases that fit, told apart by their words' numbers: an n-gram is the pair of its
     first n-1 words, by the number they got as a phrase, and its last word."""
     known = numbers
     for n in sorted(fits):
@@ -223,32 +222,53 @@ def _local_counts(numbers: np.ndarray, fits: dict[int, np.ndarray], spelled: lis
             known = known[:size] << 32 | numbers[n - 1:n - 1 + size]
         at = np.flatnonzero(fits[n])
         _, first, number, counts = np.unique(known[at], return_index=True, return_inverse=True, return_counts=True)
-        places = at[first].tolist()
-        yield n, [b" ".join(map(spelled.__getitem__, numbers[p:p + n])).decode("utf-8", "surrogatepass") for p in places], counts
+        yield n, at[first], counts
         known = np.zeros(len(known), np.int64)
         known[at] = number
 
 
-def exact_counts(texts: DataFrame, filters: dict, longest: int) -> DataFrame:
-    """(lang, phrase, n, f): all occurrences of what passes the filters, and as n = 0 and phrase '' those of all words."""
+def exact_counts(texts: DataFrame, filters: dict, longest: int, threshold: int, partition_bits: int) -> DataFrame:
+    """(lang, phrase, n, f): phrases that occur ``threshold`` times, and as n = 0 and phrase '' the number of words.
+
+    What a task has counted goes to the phrases' hash partitions as one list each.
+    """
+    shift = np.uint64(64 - partition_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = {n: _read_filter(f) for n, f in filters.items()}
         for lang, some in _by_lang(batches):
             words = Words()
             numbers = word_numbers(some, words)
-            fits = {n: f for n, _, f in _places(numbers, words, lang, bits, longest)}
-            phrases, orders, counts = [""], [np.zeros(1, np.int32)], [np.array([(numbers != BORDER).sum()])]
-            for n, names, found in _local_counts(numbers, fits, words.spelled):
-                phrases += names
-                orders.append(np.full(len(names), n, np.int32))
+            orders = {n: (hashes, fits) for n, hashes, fits in _places(numbers, words, lang, bits, longest)}
+            total = np.array([(numbers != BORDER).sum()])
+            phrases, parts, sizes, counts = [""], [np.zeros(1, np.int64)], [np.zeros(1, np.int32)], [total]
+            for n, places, found in _local_counts(numbers, {n: fits for n, (_, fits) in orders.items()}):
+                phrases += [b" ".join(map(words.spelled.__getitem__, numbers[p:p + n])).decode("utf-8", "surrogatepass")
+                            for p in places.tolist()]
+                parts.append((orders[n][0][places] >> shift).astype(np.int64))
+                sizes.append(np.full(len(places), n, np.int32))
                 counts.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                 pa.array(np.concatenate(orders)), pa.array(np.concatenate(counts), pa.int64())], ["lang", "phrase", "n", "f"])
-
-    found = map_texts(texts, count, "lang string, phrase string, n int, f bigint")
-    return found.groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f"))
+            part = np.concatenate(parts)
+            order = np.argsort(part, kind="stable")
+            names, first = np.unique(part[order], return_index=True)
+            ends = pa.array([*first.tolist(), len(part)], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(column).take(pa.array(order)))
+                     for column in (phrases, np.concatenate(sizes), np.concatenate(counts))]
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([lang] * len(names), pa.string()), *lists],
+                                             ["part", "lang", "phrases", "sizes", "counts"])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).combine_chunks() for c in ("phrases", "sizes", "counts")}
+        owner = np.repeat(np.arange(table.num_rows), columns["sizes"].value_lengths().to_numpy(zero_copy_only=False))
+        rows = pa.table({"lang": table.column("lang").combine_chunks().take(pa.array(owner)),
+                         "phrase": columns["phrases"].flatten(), "n": columns["sizes"].flatten(), "f": columns["counts"].flatten()})
+        sums = rows.group_by(["lang", "phrase", "n"], use_threads=False).aggregate([("f", "sum")]).rename_columns(
+            {"f_sum": "f"}).select(["lang", "phrase", "n", "f"])
+        enough = pa.compute.or_(pa.compute.equal(sums.column("n"), 0), pa.compute.greater_equal(sums.column("f"), threshold))
+        return sums.filter(enough)
+
+    found = map_texts(texts, count, "part bigint, lang string, phrases array<string>, sizes array<int>, counts array<bigint>")
+    return found.groupBy("part").applyInArrow(add_up, "lang string, phrase string, n int, f bigint")
 
 
 def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
@@ -267,8 +287,7 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
         if orders:
             found = spark.sparkContext.broadcast(survivors(texts, orders, filters, threshold, bits, filter_bits))
             filters |= dict.fromkeys(orders, found)
-    counted = exact_counts(texts, filters, longest)
-    return settle(counted.where((F.col("n") == 0) | (F.col("f") >= threshold)), "phrase-counts")
+    return settle(exact_counts(texts, filters, longest, threshold, bits), "phrase-counts")
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, top: int = TOP) -> DataFrame:
