@@ -22,16 +22,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import map_texts, steps
 
 NONE = -1
-MOST_STATES = 250_000
+MOST_STATES = 400_000
 MOST_PAIRS = 500_000
-CACHE_ENTRIES = 200_000
-CACHED_BYTES = 64
+CACHE_ENTRIES = 300_000
+CACHED_BYTES = 48
 REPLACEMENT = "\ufffd"
 
 
@@ -80,6 +81,8 @@ class ByteBpe(dict):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.words = re.compile(pin_classes(pattern))
+        self.plain_words = regex.compile(pattern)
+        self.beyond_plain = re.compile(f"[{chr(_first_difference())}-\U0010ffff]")
         self.below: dict[int, int] = {}         # place in the trie << 8 | byte → place
         self.spelled: list[int] = [NONE]
         inner = {0}
@@ -125,8 +128,6 @@ class ByteBpe(dict):
     def _apart(self, left: bytes, right: bytes) -> bool:
         """Merges the two until a pair over their border joins (False) or none can (True)."""
         rank = self.ranks.get
-        if left + right in self.ranks and len(left) == len(right) == 1:
-            return False
         parts = [left[i:i + 1] for i in range(len(left))] + [right[i:i + 1] for i in range(len(right))]
         border = len(left) - 1                  # number of the pair over the border
         none = len(self.ranks) + 1 << 20
@@ -199,7 +200,8 @@ class ByteBpe(dict):
 
     def encode(self, text: str) -> Iterable[tuple[int, ...]]:
         """Token ids of one text, word by word."""
-        return map(self.__getitem__, self.words.findall(text))
+        words = self.words if self.beyond_plain.search(text) else self.plain_words
+        return map(self.__getitem__, words.findall(text))
 
 
 @lru_cache(maxsize=1)
@@ -221,6 +223,16 @@ def _classes() -> dict[str, str]:
     return out
 
 
+@lru_cache(maxsize=1)
+def _first_difference() -> int:
+    """The first code point that this process's regular expressions put in other classes than the library's do."""
+    found = 0x10ffff
+    for name, ranges in _classes().items():
+        own, pinned = regex.compile(name), re.compile(f"[{ranges}]")
+        found = next((c for c in range(found) if bool(own.match(chr(c))) != bool(pinned.match(chr(c)))), found)
+    return found
+
+
 def pin_classes(pattern: str) -> str:
     r"""``pattern`` with \p{L}, \p{N}, \s and \S written out as ranges."""
     classes = _classes()
@@ -339,8 +351,6 @@ def _encoded(batches: Iterator[pa.RecordBatch], rank_file: str, pattern: str) ->
             sizes.append(len(ids))
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(packs, pa.binary())],
                                          ["doc_id", "n_tokens", "ids"])
-    bpe.clear()             # workers outlive their tasks
-    bpe.reset()
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], rank_file: str, at: int) -> Iterator[pa.RecordBatch]:
