@@ -4,10 +4,12 @@ Two 64-bit fingerprints at most ``distance`` bits apart meet in a value that is
 each. Every distinct fingerprint emits all values in its ball of that radius (2,081 for four bits); values are
 dealt to buckets, equal values collide, and colliding fingerprints are verified and linked.
 
-The bucket of a value is a linear function of its bits, so the values that a fingerprint sends to one bucket follow
-from the fingerprint alone. What goes through the shuffle is therefore one fingerprint per bucket it reaches,
-packed per task and bucket, and each bucket writes out the values of its own. The number of buckets follows the
-number of fingerprints, so that a bucket holds about ``VALUES_PER_BUCKET`` values at any size.
+The bucket of a value folds its bits: every bucket bit is the exclusive or of some of them, each value bit is part of
+one at most. The values that a fingerprint sends to one bucket follow from the fingerprint alone, and with b bucket bits
+a ball of radius 2 reaches 1 + b + b (b - 1) / 2 buckets only. What goes through the shuffle is therefore one
+fingerprint per bucket it reaches, packed per task and bucket, and each bucket writes out the values of its own. The
+number of buckets follows the number of fingerprints, so that a bucket holds about ``VALUES_PER_BUCKET`` values at any
+size.
 """
 
 from __future__ import annotations
@@ -78,8 +80,9 @@ def _ball(radius: int) -> np.ndarray:
 
 @lru_cache(maxsize=4)
 def _bucket_tables(bits: int) -> np.ndarray:
-    """Linear map from 64 to ``bits`` bits, as one table of 256 per byte; fewer bits are the low ones of more."""
-    columns = np.random.default_rng(SEED).integers(0, 1 << 48, 64, np.int64) & ((1 << bits) - 1)
+    """Linear map from 64 to ``bits`` + ``PASS_BITS`` bits, as one table of 256 per byte: bit i goes to bit i modulo
+    their number. The low ``bits`` name the bucket, the others a part of it."""
+    columns = [1 << i % (bits + PASS_BITS) for i in range(64)]
     tables = np.zeros((8, 256), np.int64)
     for byte in range(8):
         for value in range(256):
@@ -90,6 +93,12 @@ def _bucket_tables(bits: int) -> np.ndarray:
 
 
 def _bucket(values: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each value."""
+    return _part(values, bits) & ((1 << bits) - 1)
+
+
+def _part(values: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket and, in the bits above, the part of it."""
     tables = _bucket_tables(bits)
     out = np.zeros(len(values), np.int64)
     for byte in range(8):
@@ -118,13 +127,12 @@ def _collide(fps: np.ndarray, bucket: int, bits: int, distance: int) -> tuple[np
     The bucket's values are gone through in ``1 << PASS_BITS`` parts, of which one is held at a time.
     """
     ball = _ball(distance // 2)
-    finer = bits + PASS_BITS
-    where = _bucket(ball, finer)
+    where = _part(ball, bits)
     order = np.argsort(where, kind="stable")
     masks, kinds = ball[order], where[order]
     fps = np.unique(fps)
     unsigned = fps.view(np.uint64)
-    home = _bucket(unsigned, finer)
+    home = _part(unsigned, bits)
     links = [np.zeros(0, np.int64)]
     for part in range(1 << PASS_BITS):
         shift = home ^ (bucket | part << bits)
