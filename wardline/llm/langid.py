@@ -163,14 +163,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
     replaced. Repeated rows stay; an empty table gives an empty result.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score")]
-    kept = docs.select(F.col(text_col).alias("_scored_text"), *names)
-    schema = StructType([f for f in kept.schema.fields if f.name != "_scored_text"])
-    schema = schema.add("lang_pred", "string").add("score", "double")
+    kept = docs.select(F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    schema = StructType([kept.schema["row"]]).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches, 0):
             found, scores = model.score(part.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, pa.string()), pa.array(scores)],
-                                             [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.string()), pa.array(scores)],
+                                             ["row", "lang_pred", "score"])
 
-    return map_texts(kept, run, schema)
+    return map_texts(kept, run, schema).select("row.*", "lang_pred", "score")
