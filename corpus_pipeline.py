@@ -37,24 +37,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one row of each SimHash group: that with the smallest doc_id, null ids last.
 
     Rows are documents of their own, whether their ids are null or repeated: each goes by its id and a 128-bit digest of
-    its columns. Of equal ids the smallest digest stays; wholly equal rows are in one group, and one of them stays.
+    its columns. Of equal ids the smallest digest stays; wholly equal rows are in one group, and one of them stays. Texts
+    meet the decisions in one join, of the same kind at every size. Columns may have any names.
     """
-    content = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]      # hashes pass over nulls
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    content = [*columns, *(c.isNull() for c in columns)]      # hashes pass over nulls
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*content).alias("h1"),
                    F.xxhash64(F.lit(1), *content).alias("h2"))
-    keyed = docs.withColumn("_row", key)
-    found = simhash.near_duplicates(keyed, words=4, distance=4, id_col="_row")
-    rows = found.groupBy("doc_id").agg(F.first("component_id").alias("stands_for"), F.count(F.lit(1)).alias("n"))
-    rows = rows.select("doc_id.no_id", F.col("doc_id.h1").alias("_h1"), F.col("doc_id.h2").alias("_h2"),
-                       F.expr("doc_id.h1 = stands_for.h1 and doc_id.h2 = stands_for.h2").alias("stands"), "n")
-    same = (F.col("_row.h1") == F.col("_h1")) & (F.col("_row.h2") == F.col("_h2"))     # the digest covers the id
+    keyed = docs.select(F.struct(*columns).alias("doc"), key.alias("row"))
+    found = simhash.near_duplicates(keyed, words=4, distance=4, id_col="row", text_col="doc.text")
+    rows = found.groupBy("doc_id").agg(F.min("component_id").alias("stands_for"), F.count(F.lit(1)).alias("n"))
+    rows = rows.select("doc_id.h1", "doc_id.h2", (F.col("doc_id") == F.col("stands_for")).alias("stands"), "n")
     rows = settle(rows.where("not stands or n > 1"), "copies")
-    kept = keyed.join(rows.where("not stands"), same, "left_anti")
-    repeated = rows.where("stands")
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(repeated, same, "left_semi").dropDuplicates(["_row"])
-    return kept.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
+    placed = keyed.select("doc", "row.h1", "row.h2").join(rows.hint("merge"), ["h1", "h2"], "left")
+    kept = placed.where("stands is null or stands")
+    kept = settle(kept.select("doc", "h1", "h2", F.coalesce("n", F.lit(1)).alias("n")), "kept-documents")
+    once = kept.where("n > 1").dropDuplicates(["h1", "h2"])   # combined in each task before it is shuffled
+    return kept.where("n = 1").unionByName(once).select("doc.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
