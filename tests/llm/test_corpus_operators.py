@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import random
+import re
 
 import numpy as np
 import pytest
@@ -51,6 +52,16 @@ def test_simhash_links_equal_all_pairs(spark):
     assert found == brute_components(signed, near)
 
 
+def test_simhash_ball_reaches_few_even_buckets():
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 1 << 63, 200_000, np.int64).view(np.uint64)
+    for bits in (5, 9, 13):
+        reach = np.unique(simhash._bucket(simhash._ball(2), bits))
+        assert len(reach) == 1 + bits + bits * (bits - 1) // 2
+        sizes = np.bincount(simhash._bucket(fps, bits), minlength=1 << bits)
+        assert sizes.max() < 2 * len(fps) / (1 << bits) + 60
+
+
 def test_simhash_query(spark):
     got = QUERIES["op5_simhash"](spark, SF).toPandas().set_index("doc_id")
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
@@ -157,6 +168,51 @@ def test_span_dedup_passage_inside_sentences_and_odd_rows(spark):
     assert span_dedup.dedup_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def plain_sentences(text):
+    """The cut as the module words it, border by border: nothing shared with it but the hash."""
+    out, start = [], 0
+    ends = [m.end() for m in re.finditer(r"[.!?]+[\"')\]]*\s+|\s*\n\s*", text)] + [len(text)]
+    for end in ends:
+        places = [start + m.start() for m in re.finditer(r"\S+", text[start:end])]
+        words = text[start:end].lower().split()
+        rank = {i: (words[i - 1][-1] not in ",;:", xxhash.xxh3_64_intdigest(f"{words[i - 1]} {words[i]}".encode()), -i)
+                for i in range(1, len(words))}
+        cuts = {min(range(i, i + 14), key=rank.__getitem__) for i in range(1, len(words) - 13)} if len(words) > 14 else set()
+        borders = [start, *(places[i] for i in sorted(cuts)), end]
+        out += [(a, b) for a, b in zip(borders, borders[1:]) if b > a]
+        start = end
+    return out
+
+
+def test_span_dedup_against_own_cut_and_all_runs(spark):
+    """At the production parameters: every run of 2 sentences and 24 words that occurred before goes, no other sentence."""
+    rng = random.Random(23)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(10**5)) + rng.choice(["", "", "", ",", ".", ";"])
+    shared = [" ".join(word() for _ in range(n)) for n in (20, 40, 60, 90, 200)]
+    texts = []
+    for _ in range(80):
+        own = [" ".join(word() for _ in range(rng.randint(5, 80))) for _ in range(3)]
+        texts.append(rng.choice([" ", "\n"]).join([own[0], rng.choice(shared), own[1], *rng.choices([own[2], shared[1]], k=1)]))
+    texts += [shared[3], shared[4] + " end", texts[0], "\n" + texts[1].upper()]
+    seen, want = set(), []
+    for text in texts:
+        spans = plain_sentences(text)
+        parts = [tuple(text[s:e].lower().split()) for s, e in spans]
+        gone, new = set(), set()
+        for first in range(len(parts)):
+            for end in range(first + 2, len(parts) + 1):
+                if sum(map(len, parts[first:end])) >= 24:
+                    run = tuple(parts[first:end])
+                    if run in seen or run in new:
+                        gone.update(range(first, end))
+                    new.add(run)
+        seen |= new
+        want.append(("".join(text[s:e] for i, (s, e) in enumerate(spans) if i not in gone), len(spans), len(gone)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["text"], r["n_sentences"], r["n_removed"]) for r in span_dedup.dedup_spans(docs).collect()}
+    assert got == dict(enumerate(want)) and sum(w[2] > 0 for w in want) > 30
+
+
 def every_run_dedup(texts):
     """Texts without the sentences of any run, of any length, that occurred before; nothing shared with ``runs``."""
     seen, out = set(), []
@@ -187,7 +243,7 @@ def test_span_dedup_removes_every_repeated_run(spark):
         parts = [sentence(rng.choice((1, 2, 3, 5, 10, 12))) for _ in range(rng.randint(1, 9))]
         texts += ["".join(parts), sentence(3) + "".join(parts[rng.randrange(len(parts)):]) + sentence(2)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in span_dedup.dedup_spans(docs).collect()}
+    got = {r["doc_id"]: r["text"] for r in span_dedup.dedup_spans(docs, least_words=12).collect()}
     want = every_run_dedup(texts)
     assert want[1] == want[3] == "" and sum(t != w for t, w in zip(texts, want)) > 20
     short = {i for i, t in enumerate(texts) if len(span_dedup.sentences(t)) < 2 or len(t.split()) < 12}

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from wardline.llm.common import map_texts, settle, steps
 
 SENTENCES = 2
-WORDS = 12
-PIECE = 16
+WORDS = 24              # a passage of 50 words holds them in whole pieces wherever it starts: 50 - 2 (PIECE - 1)
+PIECE = 14
+WHOLE = -1              # the place of the row that tells a document's number of sentences
 _END = re.compile(r"[.!?]+[\"')\]]*\s+|[。！？．｡؟۔।॥]+[\"')\]」』）】”’»]*\s*|\s*\n\s*")
 _UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
@@ -109,11 +110,12 @@ def runs(counts: list[int], least_sentences: int = SENTENCES, least_words: int =
     return sorted(out)
 
 
-def _hashed(text: str, least_sentences: int, least_words: int) -> tuple[list[bytes], list[tuple[int, int]]]:
+def _hashed(text: str, least_sentences: int, least_words: int) -> tuple[list[bytes], list[tuple[int, int]], int]:
+    """Hashes and places of the runs of a text, and its number of sentences."""
     parts = [words for _, _, words in _pieces(text)]
     spans = runs(list(map(len, parts)), least_sentences, least_words)
     digests = [xxhash.xxh3_128_digest(" ".join(p).encode("utf-8", "surrogatepass")) for p in parts]
-    return [xxhash.xxh3_128_digest(b"".join(digests[i:i + n])) for i, n in spans], spans
+    return [xxhash.xxh3_128_digest(b"".join(digests[i:i + n])) for i, n in spans], spans, len(parts)
 
 
 def remove_sentences(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
@@ -147,10 +149,10 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
             places: list[tuple[int, int]] = []
             owner = np.zeros(part.num_rows, np.int64)
             for row, text in enumerate(part.column(1).to_pylist()):
-                h, p = _hashed(text, least_sentences, least_words) if text else ([], [])
-                hashes += h
-                places += p
-                owner[row] = len(p)
+                h, p, n = _hashed(text, least_sentences, least_words) if text else ([], [], 0)
+                hashes += [*h, bytes(16)]
+                places += [*p, (WHOLE, n)]
+                owner[row] = len(p) + 1
             at = pa.array(np.repeat(np.arange(part.num_rows), owner))
             h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
             p = np.array(places, np.int32).reshape(-1, 2)
@@ -160,23 +162,30 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
 
     found = map_texts(rows, spans, f"h1 bigint, h2 bigint, doc_id {id_type}, version bigint, first int, n int")
     found = settle(found, "sentence-runs")
+    runs_found = found.where(F.col("first") >= 0)
     place = F.struct("doc_id", "version", "first")
-    repeated = (found.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("last"))
-                .where(~F.col("origin").eqNullSafe(F.col("last"))).select("h1", "h2", "origin"))
+    repeated = (runs_found.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("times"))
+                .where("times > 1").select("h1", "h2", "origin"))
     repeated = settle(repeated, "repeated-runs")     # an input of its own, so that a hot run's rows can be split
-    again = found.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("origin")))
-    covers = again.groupBy("doc_id", "version").agg(F.collect_set(F.struct("first", "n")).alias("covers"))
-    covers = covers.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "covers")
+    again = runs_found.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("origin")))
+    # one row a document: its number of sentences and its covers, of which there are no more than it has runs
+    known = again.select("doc_id", "version", "first", "n").union(
+        found.where(F.col("first") == WHOLE).select("doc_id", "version", "first", "n"))
+    covers = known.groupBy("doc_id", "version").agg(
+        F.max(F.when(F.col("first") == WHOLE, F.col("n"))).alias("total"),
+        F.collect_set(F.when(F.col("first") >= 0, F.struct("first", "n"))).alias("covers"))
+    covers = covers.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "total", "covers")
     marked = rows.join(covers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Only texts with covers are cut again."""
         for part in steps(batches, 1):
-            done = [(None, 0, 0) if t is None else remove_sentences(t, [(c["first"], c["n"]) for c in cs or ()])
-                    for t, cs in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
+            done = [remove_sentences(t, [(c["first"], c["n"]) for c in cs]) if cs else (t, n or 0, 0)
+                    for t, cs, n in zip(*(part.column(c).to_pylist() for c in (1, 2, 3)))]
             texts, total, removed = zip(*done)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
                 ["doc_id", "text", "n_sentences", "n_removed"])
 
-    return map_texts(marked.select("doc_id", "text", "covers"), clean,
+    return map_texts(marked.select("doc_id", "text", "covers", "total"), clean,
                      f"doc_id {id_type}, text string, n_sentences bigint, n_removed bigint")
