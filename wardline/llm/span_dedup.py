@@ -2,7 +2,7 @@
 
 At every sentence two runs of consecutive sentences are hashed, the shortest of at least ``sentences`` sentences and
 ``words`` words that starts there and the shortest that ends there: together they cover every sentence of every longer
-repeated run. Runs are joined globally on their 128-bit hash; all but the first occurrence (by id, then place) are
+repeated run. Runs are joined globally on their hash of 96 bits; all but the first occurrence (by id, then place) are
 repeats, and sentences that a repeat covers are removed.
 
 Sentences end at . ! or ? before white space, at the stops of other scripts, or at a line end. Where ``PIECE`` word
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import map_texts, settle, steps
+from wardline.llm.common import map_texts, new_folder, remove, settle, steps
 
 SENTENCES = 2
 WORDS = 24              # a passage of 50 words holds them in whole pieces wherever it starts: 50 - 2 (PIECE - 1)
@@ -154,14 +154,16 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
                 places += [*p, (WHOLE, n)]
                 owner[row] = len(p) + 1
             at = pa.array(np.repeat(np.arange(part.num_rows), owner))
-            h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            h = np.frombuffer(b"".join(hashes), [("h1", np.int64), ("h2", np.int32), ("more", np.int32)])
             p = np.array(places, np.int32).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(at), part.column(2).take(at),
+                [pa.array(h["h1"].copy()), pa.array(h["h2"].copy()), part.column(0).take(at), part.column(2).take(at),
                  pa.array(p[:, 0]), pa.array(p[:, 1])], ["h1", "h2", "doc_id", "version", "first", "n"])
 
-    found = map_texts(rows, spans, f"h1 bigint, h2 bigint, doc_id {id_type}, version bigint, first int, n int")
-    found = settle(found, "sentence-runs")
+    found = map_texts(rows, spans, f"h1 bigint, h2 int, doc_id {id_type}, version bigint, first int, n int")
+    path = new_folder(docs.sparkSession, "sentence-runs")
+    found.write.parquet(path)
+    found = docs.sparkSession.read.schema(found.schema).parquet(path)
     runs_found = found.where(F.col("first") >= 0)
     place = F.struct("doc_id", "version", "first")
     repeated = (runs_found.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("times"))
@@ -175,6 +177,8 @@ def dedup_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words:
         F.max(F.when(F.col("first") == WHOLE, F.col("n"))).alias("total"),
         F.collect_set(F.when(F.col("first") >= 0, F.struct("first", "n"))).alias("covers"))
     covers = covers.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "total", "covers")
+    covers = settle(covers, "covers")
+    remove(docs.sparkSession, path)
     marked = rows.join(covers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
