@@ -38,13 +38,6 @@ _WORD_OR_CHARACTER = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 _COMMAS = frozenset(",;:，、；：،؛")
 
 
-def _words(text: str) -> tuple[list[str], re.Pattern]:
-    """The words of ``text`` in lower case, and the pattern that finds their places."""
-    if text.isascii() or not _HAS_UNSPACED.search(text):
-        return text.lower().split(), _WORD
-    return _WORD_OR_CHARACTER.findall(text.lower()), _WORD_OR_CHARACTER
-
-
 def _cuts(words: list[str]) -> list[int]:
     """Numbers of the words before which a sentence is cut: the last least border of every ``PIECE`` successive ones."""
     hashes = [0]
@@ -64,12 +57,15 @@ def _cuts(words: list[str]) -> list[int]:
 
 
 def _pieces(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of each piece; together they make up the text."""
+    """(start, end, words) of each piece, words in lower case; together they make up the text."""
+    unspaced = not text.isascii() and _HAS_UNSPACED.search(text) is not None
+    pattern = _WORD_OR_CHARACTER if unspaced else _WORD
     start = 0
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         if end == start:
             continue
-        words, pattern = _words(text[start:end])
+        part = text[start:end].lower()
+        words = pattern.findall(part) if unspaced else part.split()
         if len(words) > PIECE:
             cuts = _cuts(words)
             places = [m.start() for m in pattern.finditer(text, start, end)]
@@ -114,8 +110,9 @@ def _hashed(text: str, least_sentences: int, least_words: int) -> tuple[list[byt
     """Hashes and places of the runs of a text, and its number of sentences."""
     parts = [words for _, _, words in _pieces(text)]
     spans = runs(list(map(len, parts)), least_sentences, least_words)
-    digests = [xxhash.xxh3_128_digest(" ".join(p).encode("utf-8", "surrogatepass")) for p in parts]
-    return [xxhash.xxh3_128_digest(b"".join(digests[i:i + n])) for i, n in spans], spans, len(parts)
+    digest = xxhash.xxh3_128_digest
+    digests = b"".join([digest(" ".join(p).encode("utf-8", "surrogatepass")) for p in parts])
+    return [digest(digests[16 * i:16 * (i + n)]) for i, n in spans], spans, len(parts)
 
 
 def remove_sentences(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
