@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,16 +146,34 @@ def check_schema(df: DataFrame, contract: T.StructType, model: str = "model") ->
 
 
 def enforce_contract(df: DataFrame, contract: T.StructType, model: str = "model") -> DataFrame:
-    """Fail before writing when the schema differs or a NOT NULL column has NULLs.
+    """Fail before writing when the schema differs or a NOT NULL column has NULLs (one aggregate job)."""
+    out = check_schema(df, contract, model)
+    check_not_null(out, contract, model)
+    return out
+
 
-    The NULL check is one aggregate job over the required columns.
+class ObservedContract:
+    """A contract that the write itself checks: NULLs of the required columns are counted in the pass that writes.
+
+    ``watch`` checks names and types and adds the counts to the frame to be written; after the write ``nulls`` has
+    them and ``verify`` raises if there are any. The written data is not read for it.
     """
-    problems = contract_violations(df, contract)
-    if problems:
-        raise ContractError(f"{model}: " + "; ".join(problems))
-    required = [f.name for f in contract.fields if not f.nullable]
-    if required:
-        row = expect_not_null(df, required, model).where(F.col("failures") > 0).collect()
-        if row:
-            raise ContractError(f"{model}: NULL in " + ", ".join(f"{r.column_name} ({r.failures})" for r in row))
-    return df.select(*[f.name for f in contract.fields])
+
+    def __init__(self, contract: T.StructType, model: str):
+        self.contract, self.model = contract, model
+        self.required = [f.name for f in contract.fields if not f.nullable]
+        self._observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        out = check_schema(df, self.contract, self.model)
+        counts = [F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in self.required]
+        return out.observe(self._observation, *counts) if counts else out
+
+    def nulls(self) -> dict[str, int]:
+        """Column → NULLs written. Waits for the write."""
+        return {c: self._observation.get[c] for c in self.required} if self.required else {}
+
+    def verify(self) -> None:
+        found = {c: n for c, n in self.nulls().items() if n}
+        if found:
+            raise ContractError(f"{self.model}: NULL in " + ", ".join(f"{c} ({n})" for c, n in found.items()))

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ..functions import rules as R
 from ..functions.columns import ts_ntz
@@ -28,7 +29,8 @@ from ..operators import staging as T
 from ..operators import upsert as U
 from ..sources import adapters as A
 from ..sources import landing as L
-from .layout import written
+from ..sources import parts as P
+from .layout import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +43,7 @@ FETCH_PAGES = 2
 WINDOW_LO = _dt.date(1997, 1, 1)
 WINDOW_HI = _dt.date(1997, 12, 31)
 AS_OF_READ = _dt.date(2001, 1, 15)
+UPSERT_PARTS = 16
 
 
 # ------------------------------------------------------------------ advisories
@@ -161,8 +164,13 @@ def upsert_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def upsert_merged(spark: SparkSession, d: str) -> DataFrame:
-    return U.upsert(upsert_target(spark, d), upsert_batch(spark, d), "ghsa_id",
-                    dedupe_order=["updated_at", "ingested_at"])
+    """The target stored in parts, the batch upserted into it, and what is stored then."""
+    path = new_folder(spark, "upsert-target")
+    target = upsert_target(spark, d)
+    for batch in (target, upsert_batch(spark, d)):
+        P.upsert_parts(spark, path, batch, "ghsa_id", parts=UPSERT_PARTS, dedupe_order=["updated_at", "ingested_at"])
+    stored = T_.StructType([*target.schema.fields, T_.StructField(P.KEY_PART, T_.IntegerType())])
+    return P.read_parts(spark, path, stored, [P.KEY_PART]).drop(P.KEY_PART)
 
 
 def records_merged(spark: SparkSession, d: str) -> DataFrame:
@@ -227,24 +235,30 @@ HISTORY_KEY = "custkey"
 HISTORY_CHECKS = ["order_count", "max_price"]
 
 
+def _stored(spark: SparkSession, snapshots: list[tuple[DataFrame, object]], key: str, checks: list[str],
+            invalidate_hard_deletes: bool = False) -> DataFrame:
+    """The history that these snapshots (rows, time) leave in storage, read back."""
+    path = new_folder(spark, "history")
+    for rows, at in snapshots:
+        P.snapshot_parts(spark, path, rows, key, checks, at, invalidate_hard_deletes)
+    return P.history_parts(spark, path, N.scd2_initial(snapshots[0][0], key, snapshots[0][1]).schema)
+
+
 def history(spark: SparkSession, d: str) -> DataFrame:
-    first = A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF)
-    h0 = N.scd2_initial(first, HISTORY_KEY, A.HISTORY_FIRST_AS_OF)
-    now = A.customer_order_stats(spark, d, None)
-    return N.scd2_check(h0, now, HISTORY_KEY, HISTORY_CHECKS, A.ORDERS_AS_OF)
+    return _stored(spark, [(A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF), A.HISTORY_FIRST_AS_OF),
+                           (A.customer_order_stats(spark, d, None), A.ORDERS_AS_OF)], HISTORY_KEY, HISTORY_CHECKS)
 
 
 def history_with_deletes(spark: SparkSession, d: str) -> DataFrame:
     """The later snapshot holds only customers with an order since a date; the others' rows are closed."""
-    h0 = N.scd2_initial(A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF), HISTORY_KEY, A.HISTORY_FIRST_AS_OF)
-    now = A.customer_order_stats(spark, d, None, since=A.BATCH_UPDATED_SINCE)
-    return N.scd2_check(h0, now, HISTORY_KEY, HISTORY_CHECKS, A.ORDERS_AS_OF, invalidate_hard_deletes=True)
+    return _stored(spark, [(A.customer_order_stats(spark, d, A.HISTORY_FIRST_AS_OF), A.HISTORY_FIRST_AS_OF),
+                           (A.customer_order_stats(spark, d, None, since=A.BATCH_UPDATED_SINCE), A.ORDERS_AS_OF)],
+                   HISTORY_KEY, HISTORY_CHECKS, invalidate_hard_deletes=True)
 
 
 def _two_snapshots(first: DataFrame, now: DataFrame, key: str, checks: list[str]) -> DataFrame:
-    at = lambda df, when: df.withColumn(R.SNAP_TIME, ts_ntz(when))
-    h0 = N.scd2_initial(at(first, A.HISTORY_FIRST_AS_OF), key, A.HISTORY_FIRST_AS_OF)
-    return N.scd2_check(h0, at(now, A.ORDERS_AS_OF), key, checks, A.ORDERS_AS_OF)
+    at = lambda df, when: (df.withColumn(R.SNAP_TIME, ts_ntz(when)), when)
+    return _stored(now.sparkSession, [at(first, A.HISTORY_FIRST_AS_OF), at(now, A.ORDERS_AS_OF)], key, checks)
 
 
 def snap_ecosystem(spark: SparkSession, d: str) -> DataFrame:
@@ -322,6 +336,23 @@ def dq_listing(spark: SparkSession, d: str) -> DataFrame:
                    K.expect_in(listed, "severity", R.SEVERITIES, "listing")])
 
 
+LISTING_CONTRACT = T_.StructType([T_.StructField("ghsa_id", T_.StringType(), False),
+                                  T_.StructField("severity", T_.StringType(), False),
+                                  T_.StructField("updated_at", T_.TimestampNTZType(), False)])
+
+
+def dq_contract(spark: SparkSession, d: str) -> DataFrame:
+    """NULLs under a contract, as the writes count them: a mart that keeps its contract, a listing that breaks its own."""
+    found = []
+    for model, rows, contract in (
+            ("mart_critical_vulnerabilities", critical(spark, d), K.CRITICAL_CONTRACT),
+            ("listing", A.advisory_listing(spark, d).select(*LISTING_CONTRACT.names), LISTING_CONTRACT)):
+        watched = K.ObservedContract(contract, model)
+        written(watched.watch(rows), model)
+        found += [(model, column, n) for column, n in watched.nulls().items()]
+    return spark.createDataFrame(found, "model string, column_name string, failures long")
+
+
 def dq_freshness(spark: SparkSession, d: str) -> DataFrame:
     return K.freshness(A.table(spark, d, "events"), "events", "ts", A.EVENTS_AS_OF).unionByName(
         K.freshness(A.raw_advisories(spark, d), "RAW_GITHUB_ADVISORIES", "ingested_at", ORDERS_AS_OF_TS))
@@ -392,5 +423,6 @@ QUERIES: dict[str, Query] = {
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted,
     "dq_listing": dq_listing,
+    "dq_contract": dq_contract,
     "dq_freshness": dq_freshness,
 }

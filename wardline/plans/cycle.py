@@ -26,26 +26,24 @@ from ..operators import outliers as Z
 from ..operators import quality as K
 from ..operators import security as SEC
 from ..operators import staging as T
+from ..sources import parts as P
 from ..sources import tables as TB
 
 log = logging.getLogger(__name__)
 
 
 def _snapshot(spark: SparkSession, name: str, current: DataFrame, key: str, checks: list[str],
-              as_of: _dt.datetime) -> int:
-    """Apply a check-strategy snapshot to the versioned history ``name``.
+              as_of: _dt.datetime) -> None:
+    """Apply a check-strategy snapshot to the stored history ``name``.
 
     The snapshot must be unique on its key (checked first: a duplicate key
-    would open two versions at once). History versions are bucketed by key.
+    would open two versions at once). The history grows by its changes (``parts.snapshot_parts``).
     """
     dups = K.expect_unique(current, key, name).first().failures
     if dups:
         raise K.ContractError(f"{name}: {dups} duplicate values of {key} in the snapshot")
-    bucket = (int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-    if TB.current_version(spark, name) is None:
-        return TB.commit_version(N.scd2_initial(current, key, as_of), name, bucket_by=bucket)
-    hist = spark.table(name)
-    return TB.commit_version(N.scd2_check(hist, current, key, checks, as_of), name, bucket_by=bucket)
+    P.snapshot_parts(spark, TB.parts_path(spark, name), current, key, checks, as_of)
+    TB.parts_view(spark, name, [*current.columns, N.VALID_FROM, N.VALID_TO, N.SCD_ID])
 
 
 def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
@@ -66,17 +64,13 @@ def run_cycle(spark: SparkSession, raw: DataFrame, as_of: _dt.datetime,
     if packages is None:
         packages = M.explode_packages(raw)
 
-    # contracts: names/types checked before writing, NOT NULL checked on the written version before it
-    # becomes visible (one pass over the data instead of two)
-    critical = K.check_schema(M.mart_critical(enriched), K.CRITICAL_CONTRACT, "mart_critical_vulnerabilities")
-    critical = TB.materialize(critical, "marts", "mart_critical_vulnerabilities",
-                              validate=lambda t: K.check_not_null(t, K.CRITICAL_CONTRACT, "mart_critical_vulnerabilities"))
+    # contracts: names/types checked before writing, NULLs counted by the write; nothing is read for them
+    critical = TB.materialize(M.mart_critical(enriched), "marts", "mart_critical_vulnerabilities",
+                              contract=K.ObservedContract(K.CRITICAL_CONTRACT, "mart_critical_vulnerabilities"))
     summary = TB.materialize(M.mart_summary(enriched), "marts", "mart_vulnerability_summary")
     eco = TB.materialize(M.mart_ecosystem_risk(enriched, packages), "marts", "mart_ecosystem_risk")
-    health = K.check_schema(M.pipeline_health(raw, "RAW_GITHUB_ADVISORIES", "ingested_at", as_of),
-                            K.HEALTH_CONTRACT, "mart_pipeline_health")
-    health = TB.materialize(health, "monitoring", "mart_pipeline_health",
-                            validate=lambda t: K.check_not_null(t, K.HEALTH_CONTRACT, "mart_pipeline_health"))
+    health = TB.materialize(M.pipeline_health(raw, "RAW_GITHUB_ADVISORIES", "ingested_at", as_of), "monitoring",
+                            "mart_pipeline_health", contract=K.ObservedContract(K.HEALTH_CONTRACT, "mart_pipeline_health"))
 
     checks = K.declared_tests({
         "stg_github_advisories": staged, "int_vulnerabilities_enriched": enriched,

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared checkpoint folder."""
+    base = checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
+    return f"{base.rstrip('/')}/wardline-models/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read back.
 
@@ -16,8 +22,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     only the columns they need, instead of each computing it from the source.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
-    path = f"{base.rstrip('/')}/wardline-models/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

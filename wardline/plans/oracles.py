@@ -688,6 +688,16 @@ UNION ALL SELECT 'listing', 'ghsa_id', 'unique',
   (SELECT count(*) FROM (SELECT ghsa_id FROM l WHERE ghsa_id IS NOT NULL GROUP BY ghsa_id HAVING count(*) > 1))
 UNION ALL SELECT 'listing', 'severity', 'accepted_values',
   count(*) FILTER (WHERE severity NOT IN ('critical', 'high', 'medium', 'low')) FROM l""",
+    "dq_contract": f"""{ADVISORY_BASE},\n{CRITICAL},
+l AS (SELECT 'ADV-' || user_id AS ghsa_id, ts AS updated_at,
+             CASE WHEN contains(props, '"k": 0}}') THEN NULL ELSE 'some' END AS severity FROM events)
+SELECT 'listing' AS model, 'ghsa_id' AS column_name, count(*) FILTER (WHERE ghsa_id IS NULL) AS failures FROM l
+UNION ALL SELECT 'listing', 'severity', count(*) FILTER (WHERE severity IS NULL) FROM l
+UNION ALL SELECT 'listing', 'updated_at', count(*) FILTER (WHERE updated_at IS NULL) FROM l
+UNION ALL SELECT 'mart_critical_vulnerabilities', c, 0 FROM (SELECT unnest(['advisory_id', 'severity', 'cvss_score',
+  'composite_risk_score', 'age_bucket']) AS c)
+  WHERE NOT EXISTS (SELECT 1 FROM crit WHERE advisory_id IS NULL OR severity IS NULL OR cvss_score IS NULL
+                    OR composite_risk_score IS NULL OR age_bucket IS NULL)""",
     "land_advisories": f"""WITH {LANDED_DOCS},
 newest AS (SELECT * EXCLUDE (o_orderkey) FROM (
   SELECT *, row_number() OVER (PARTITION BY ghsa_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM versions) WHERE rn = 1),

@@ -66,14 +66,15 @@ def write_text(df: DataFrame, path: str, text_col: str = "brief_text") -> None:
 
 
 def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep: int = 2,
-                bucket_by: tuple[int, str] | None = None, validate=None) -> DataFrame:
+                bucket_by: tuple[int, str] | None = None, validate=None, contract=None) -> DataFrame:
     """A model as a view (recomputed on read) or a table (written once, lineage cut).
 
     Tables are committed as a new version (see ``commit_version``), so a
     failed rebuild leaves the previous model readable. ``bucket_by`` stores
     the table bucketed by a key (joins on that key then skip its shuffle).
-    ``validate`` (e.g. a contract) runs on the written version before it
-    becomes visible; if it raises, the version is dropped.
+    ``contract`` (``quality.ObservedContract``) is checked in the pass that
+    writes, ``validate`` on the written version before it becomes visible; if
+    either raises, the version is dropped.
     """
     spark = df.sparkSession
     db = ensure_schema(spark, layer)
@@ -81,7 +82,7 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table", keep:
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    commit_version(df, full, keep=keep, bucket_by=bucket_by, validate=validate)
+    commit_version(df, full, keep=keep, bucket_by=bucket_by, validate=validate, contract=contract)
     return spark.table(full)
 
 
@@ -105,18 +106,20 @@ def current_version(spark: SparkSession, name: str) -> int | None:
 
 def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
                    bucket_by: tuple[int, str] | None = None, keep: int | None = None,
-                   properties: dict[str, str] | None = None, validate=None) -> int:
+                   validate=None, contract=None) -> int:
     """Write ``df`` as the next version of ``name`` and repoint the view at it.
 
     ``bucket_by=(n, key)`` stores the version in ``n`` buckets sorted by
     ``key``: the next upsert or history step joins on that key without
     shuffling the stored side (only the incoming batch is shuffled).
     ``keep`` drops all but the newest ``keep`` versions after the switch.
-    ``properties`` are stored on the version (e.g. which stream batch wrote it).
-    ``validate(df)`` runs on the written version before the switch; if it
-    raises, the version is dropped and the previous one stays current.
+    ``contract`` counts its NULLs in the pass that writes; ``validate(df)``
+    runs on the written version before the switch. If either raises, the
+    version is dropped and the previous one stays current.
     """
     spark = df.sparkSession
+    if contract is not None:
+        df = contract.watch(df)
     nxt = max(_versions(spark, name), default=0) + 1     # an interrupted commit may have left a higher one
     if bucket_by:                                        # one file per bucket, not one per task and bucket
         df = df.repartition(*bucket_by)
@@ -127,16 +130,14 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
         n, key = bucket_by
         w = w.bucketBy(n, key).sortBy(key)
     w.saveAsTable(f"{name}__v{nxt}")
-    if validate is not None:
-        try:
+    try:
+        if contract is not None:
+            contract.verify()
+        if validate is not None:
             validate(spark.table(f"{name}__v{nxt}"))
-        except Exception:
-            spark.sql(f"DROP TABLE IF EXISTS {name}__v{nxt}")
-            raise
-    if properties:
-        esc = lambda x: str(x).replace("\\", "\\\\").replace("'", "\\'")
-        props = ", ".join(f"'{esc(k)}' = '{esc(v)}'" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {name}__v{nxt} SET TBLPROPERTIES ({props})")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {name}__v{nxt}")
+        raise
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}__v{nxt}")
     if keep:
         # what an interrupted commit left behind, and all but the newest versions
@@ -147,7 +148,7 @@ def commit_version(df: DataFrame, name: str, partition_by: list[str] | None = No
 
 def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
                  update_cols: list[str] | None = None, dedupe_order: list[str] | None = None,
-                 buckets: int | None = None, properties: dict[str, str] | None = None) -> int:
+                 buckets: int | None = None) -> int:
     """Upsert ``source`` into the table ``name`` by ``key``.
 
     Tables of a format with row-level MERGE (a v2 catalog table) take a
@@ -164,13 +165,13 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: str,
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if current_version(spark, name) is None and not spark.catalog.tableExists(name):
         first = src if dedupe_order else unique_or_fail(src, key)
-        return commit_version(first, name, bucket_by=(n, key), properties=properties)
+        return commit_version(first, name, bucket_by=(n, key))
     if update_cols is None and _merges(spark, name):
         (src.alias("source").mergeInto(name, F.expr(f"{name}.{key} = source.{key}"))
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return 0
     merged = upsert(spark.table(name), src, key, update_cols=update_cols)
-    return commit_version(merged, name, bucket_by=(n, key), keep=2, properties=properties)
+    return commit_version(merged, name, bucket_by=(n, key), keep=2)
 
 
 def _merges(spark: SparkSession, name: str) -> bool:
@@ -180,6 +181,18 @@ def _merges(spark: SparkSession, name: str) -> bool:
             and rows.get("Provider", "").lower() not in ("", "parquet", "orc", "csv", "json", "text", "avro", "hive"))
 
 
+def parts_path(spark: SparkSession, name: str) -> str:
+    """Where the table in parts ``name`` (see ``sources.parts``) keeps its files: in the folder of its schema."""
+    db, _, base = name.rpartition(".")
+    return f"{spark.catalog.getDatabase(db or 'default').locationUri}/{base}__parts"
+
+
+def parts_view(spark: SparkSession, name: str, columns: list[str]) -> None:
+    """A view over a table in parts, without the part columns. Redefined after each change, as its files change."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM parquet.`{parts_path(spark, name)}`")
+
+
 # ------------------------------------------------------------------ metadata
 
 def column_inventory(spark: SparkSession, catalog_name: str = "spark_catalog") -> DataFrame:
