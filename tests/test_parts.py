@@ -99,3 +99,74 @@ def test_contract_is_checked_by_the_write(spark):
     empty = K.ObservedContract(contract, "probe")
     TB.materialize(good.where("false"), "marts", "observed_empty", contract=empty)
     assert empty.nulls() == {"k": 0}
+
+
+def test_landing_parses_once_and_rejects_what_is_no_object(spark):
+    import json
+
+    from wardline.operators.landing import land_advisories
+    from wardline.sources import landing as L
+    doc = lambda **f: json.dumps({"severity": "HIGH", "updated_at": "2024-01-02T00:00:00Z", **f})
+    texts = [doc(ghsa_id="A", cvss={"score": 9.1}), doc(ghsa_id="A", updated_at="2024-01-02T05:00:00+04:00", summary="newest"),
+             doc(ghsa_id="B", updated_at="no time"), doc(), doc(), doc(ghsa_id="C", severity="low"), doc(ghsa_id=7, cwes=None, credits=[1, 2]),
+             "5", "[1, 2]", '"text"', "null", "true", "{broken", "", None, "  \t{}", doc(ghsa_id={"x": 1}, cvss=3)]
+    typed, rejects = land_advisories(spark.createDataFrame([(t,) for t in texts], "json string"), dt.datetime(2024, 2, 1), ["high"])
+    assert [(f.name, f.dataType) for f in typed.schema] == [(f.name, f.dataType) for f in L.RAW_ADVISORY]
+    rows = typed.collect()
+    assert sorted((r.ghsa_id or "", r.summary) for r in rows) == [
+        ("", ""), ("", ""), ("7", ""), ("A", "newest"), ("B", ""), ('{"x":1}', "")]
+    seven = next(r for r in rows if r.ghsa_id == "7")
+    assert seven.credits_count == 2 and str(seven.cwes) == "[]"
+    got = sorted((r.raw_json or "", r.reject_reason) for r in rejects.collect())
+    assert got == sorted([(t, "no object in raw_json") for t in ("5", "[1, 2]", '"text"', "null", "true")]
+                         + [(t or "", "invalid JSON in raw_json") for t in ("{broken", "", None)])
+    both = L.parse_documents(spark.createDataFrame([(t,) for t in texts[:4]], "json string"))
+    plan = L.typed_advisories(both, dt.datetime(2024, 2, 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(json#") == 1
+
+
+def test_landing_the_same_documents_again_changes_no_row(spark, scratch, monkeypatch):
+    import wardline.__main__ as command
+    from wardline.__main__ import land
+    from wardline.sources import adapters as A
+
+    from .conftest import SF_SMALL
+    RAW_TABLE = "raw.landed_twice"
+    monkeypatch.setattr(command, "RAW_TABLE", RAW_TABLE)
+    folder = os.path.join(scratch, "docs")
+    A.advisory_json(spark, SF_SMALL).select(F.col("json").alias("value")).write.text(folder)
+    at = dt.datetime(2001, 8, 15)
+    land(spark, folder, at, None, ["critical", "high"])
+    columns = ["ghsa_id", "severity", "updated_at", "ingested_at"]
+    first = sorted(map(str, spark.table(RAW_TABLE).select(*columns).collect()))
+    assert first and len(land(spark, folder, at, None, ["critical", "high"])) > 0
+    assert sorted(map(str, spark.table(RAW_TABLE).select(*columns).collect())) == first
+    before = files(TB.parts_path(spark, RAW_TABLE))
+    assert land(spark, folder, at, None, ["none such"]) == [] and files(TB.parts_path(spark, RAW_TABLE)) == before
+
+
+def test_first_positions_of_any_number(spark):
+    from wardline.operators.ingest import first_per_group
+    rows = [("a", i * 7919 % 5000 - 100, f"r{i}") for i in range(3000)] + [("b", 5, f"same{i}") for i in range(50)]
+    rows += [("c", None, "none"), ("c", 2**62, "far"), ("c", -2**62, "near"), (None, 1, "x"), (None, 2, "y"), ("d", 9, "twin"), ("d", 9, "twin")]
+    df = spark.createDataFrame(rows, "g string, position long, note string").repartition(6)
+    for n, bins in ((1, 1024), (40, 1024), (2500, 64), (10_000, 1024)):
+        got = first_per_group(df, "g", "position", n, bins).collect()
+        by = {}
+        for r in got:
+            by.setdefault(r.g, []).append(r)
+        for g in {r[0] for r in rows}:
+            mine = sorted(((-2**63 if p is None else p) for k, p, _ in rows if k == g))[:n]
+            assert sorted(-2**63 if r.position is None else r.position for r in by[g])[:n] == mine
+            if g != "d":                                # equal rows are not told apart
+                assert len(by[g]) == len(mine)
+    plan = first_per_group(df, "g", "position", 40)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert first_per_group(df.where("false"), "g", "position", 3).count() == 0
+
+
+def test_third_decimals_count(spark):
+    from wardline.operators.outliers import group_value_outliers
+    rows = [("p", k, 1.0) for k in range(30)] + [("p", 99, 1.004), ("p", 99, 1.005)]
+    got = group_value_outliers(spark.createDataFrame(rows, "part string, k long, value double"), "part", "k", "value").collect()
+    assert [(r.k, round(r.avg_value, 6)) for r in got] == [(99, 1.0045)]

@@ -36,9 +36,11 @@ from .functions.columns import ts_ntz
 from .plans.cycle import run_cycle
 from .session import BASE_CONF, checkpoint_dir
 from .sources import landing as L
+from .sources import parts as P
 from .sources import tables as TB
 
 RAW_TABLE = "raw.raw_github_advisories"
+RAW_PARTS = 64                 # of the stored table: the same in every run
 REJECT_TABLE = "raw.github_advisories_rejects"
 CVE_TABLE = "raw.raw_nvd_cves"
 NODE_TABLE = "raw.raw_advisory_records"
@@ -69,13 +71,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def land(spark: SparkSession, landing: str, as_of: _dt.datetime, since: _dt.date | None,
-         severities: list[str]) -> int:
-    """Landed documents → RAW upsert; returns the RAW table version."""
+         severities: list[str]) -> list[int]:
+    """Landed documents → RAW upsert; returns the parts of RAW that were rewritten."""
     docs = spark.read.text(landing).select(F.col("value").alias("json"))
     typed, rejects = land_advisories(docs, as_of, severities, since)
     TB.ensure_schema(spark, "raw")
     TB.append_run(rejects, REJECT_TABLE, as_of)
-    return TB.upsert_table(spark, RAW_TABLE, typed, "ghsa_id")
+    path = TB.parts_path(spark, RAW_TABLE)
+    P.ensure_parts(spark, path, L.RAW_ADVISORY)
+    rewritten = P.upsert_parts(spark, path, typed, "ghsa_id", parts=RAW_PARTS)
+    TB.parts_view(spark, RAW_TABLE, L.RAW_ADVISORY.names)
+    return rewritten
 
 
 def land_pages(spark: SparkSession, pages: str, table: str, id_col: str, as_of: _dt.datetime, unwrap, id_field: str = "id",

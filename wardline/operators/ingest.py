@@ -9,8 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from ..functions.columns import order_rank, ts_ntz
+from ..plans.layout import written
 
 
 def filter_in_ci(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
@@ -39,6 +41,57 @@ def cap_per_group(df: DataFrame, group: str, order: Sequence[str], n: int, salts
     return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def first_per_group(df: DataFrame, group: str, position: str, n: int, bins: int = 1024) -> DataFrame:
+    """At most ``n`` rows per group, the first ones by the whole number ``position``, for any ``n``.
+
+    No group is sorted. The value of the n-th position is found by counting: each round cuts the open range of
+    a group's positions into ``bins`` equal parts, counts rows in them (combined in each task) and goes on in the part that
+    holds the n-th row; the range shrinks by ``bins`` each time, so a few scans of two columns do. The rows then follow
+    from a filter. Of rows with the same position as the n-th, those with the smaller content hash stay, found in the same
+    way, and of wholly equal rows any. Rows without a position come first, as they sort first. Null is a group.
+    """
+    at = F.coalesce(F.col(position).cast("long"), F.lit(-2**63))
+    content = F.xxhash64(*[f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)
+                           and not isinstance(f.dataType, VariantType)])
+    by_position = _nth_value(df.select(F.col(group).alias("g"), at.alias("x")), n, bins)
+    bound = by_position.select(F.col("g").alias("_g"), F.col("cut").alias("_cut"), (F.lit(n) - F.col("before")).alias("_left"))
+    marked = df.join(bound, F.col(group).eqNullSafe(F.col("_g")))
+    sure = marked.where(at < F.col("_cut"))
+    tied = marked.where(at == F.col("_cut")).withColumn("_x", content)
+    ties = _nth_value(tied.select(F.col("_g").alias("g"), F.col("_x").alias("x"), "_left"), None, bins)
+    last = ties.select(F.col("g").alias("_tg"), F.col("cut").alias("_tcut"))
+    tied = tied.join(last, F.col("_g").eqNullSafe(F.col("_tg"))).where(F.col("_x") <= F.col("_tcut"))
+    return sure.select(*df.columns).unionByName(tied.select(*df.columns))
+
+
+def _nth_value(rows: DataFrame, n: int | None, bins: int) -> DataFrame:
+    """(g, cut, before): the value of the n-th smallest ``x`` of each group and how many are smaller; the greatest value
+    and 0 where a group has no more. ``n`` None: the number is the rows' own ``_left``."""
+    number = F.lit(n) if n is not None else F.max("_left")
+    wide = lambda c: F.col(c).cast("decimal(38,0)")
+    state = written(rows.groupBy("g").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("rows"),
+                                          number.cast("long").alias("n"))
+                    .withColumn("n", F.least("n", "rows")).withColumn("before", F.lit(0).cast("long"))
+                    # a group that is wanted whole is cut at its end
+                    .withColumn("lo", F.when(F.col("n") == F.col("rows"), F.col("hi")).otherwise(F.col("lo"))), "ranges")
+    while not state.where("lo < hi").isEmpty():
+        width = F.ceil((wide("hi") - wide("lo") + 1) / bins)
+        opened = state.where("lo < hi").select(F.col("g").alias("_g"), "lo", "hi", "n", "before", width.alias("width"))
+        met = rows.select("g", "x").join(opened, F.col("g").eqNullSafe(F.col("_g")) & F.col("x").between(F.col("lo"), F.col("hi")))
+        part = F.expr("cast((cast(x as decimal(38,0)) - cast(lo as decimal(38,0))) div width as long)")
+        counts = met.groupBy("g", "lo", "hi", "n", "before", "width", part.alias("part")).agg(F.count(F.lit(1)).alias("c"))
+        so_far = Window.partitionBy("g").orderBy("part")                  # at most ``bins`` rows a group
+        counts = counts.withColumn("upto", F.col("before") + F.sum("c").over(so_far)).where("upto >= n")
+        first = counts.groupBy("g", "lo", "hi", "n", "width").agg(F.min(F.struct("part", "upto", "c")).alias("f"))
+        start = wide("lo") + F.col("f.part") * F.col("width")
+        narrowed = first.select("g", start.cast("long").alias("lo"),
+                                F.least(wide("hi"), start + F.col("width") - 1).cast("long").alias("hi"), "n",
+                                (F.col("f.upto") - F.col("f.c")).alias("before"))
+        state = written(narrowed.unionByName(state.where("lo = hi").drop("rows"), allowMissingColumns=True)
+                        .select("g", "lo", "hi", "n", "before"), "ranges")
+    return state.select("g", F.col("lo").alias("cut"), "before")
+
+
 def first_seen(df: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
     """Keep, per key, the row that comes first by ``order`` (not an arbitrary one).
 

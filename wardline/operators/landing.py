@@ -8,26 +8,32 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.layout import written
 from ..sources import landing as L
 from .ingest import between_optional, filter_in_ci, since
-from .upsert import newest_per_key
 
 
 def land_advisories(docs: DataFrame, as_of: _dt.datetime, severities: Sequence[str],
                     from_: _dt.date | None = None) -> tuple[DataFrame, DataFrame]:
-    """(typed batch, rejects) of JSON documents.
+    """(typed batch, rejects) of JSON documents; each document is parsed once and the typed rows are written once.
 
-    Documents that do not parse are rejects and are told apart before any
+    Documents that are no JSON object are rejects (raw_json, reject_reason) and are told apart before any
     filter. Of several documents with an id the one updated last stays, by
-    its parsed time (time zones count, an unreadable time is the oldest);
-    documents without an id all stay. The severities and ``from_`` then apply to
+    its parsed time (time zones count, an unreadable time is the oldest), of
+    equal times the last one in the input; which one that is follows from ids,
+    times and positions alone. Documents without an id all stay. The severities and ``from_`` then apply to
     what stayed, so an older version never stands in for a newer one.
     """
-    good, rejects = L.split_unparsable(L.flatten_advisories(docs, as_of))
-    good = good.withColumn("updated_at", F.try_to_timestamp("updated_at").cast("timestamp_ntz"))
-    newest = newest_per_key(good, "ghsa_id", ["updated_at"])
-    typed = L.type_raw(filter_in_ci(newest, "severity", severities))
-    return (typed if from_ is None else since(typed, "updated_at", from_)), rejects
+    typed = L.typed_advisories(L.parse_documents(docs), as_of)
+    landed = written(typed.withColumn("position", F.monotonically_increasing_id()), "landed")
+    rejects = landed.where("reject_reason is not null").select(F.col("json").alias("raw_json"), "reject_reason")
+    good = landed.where("reject_reason is null")
+    named = good.where("ghsa_id is not null").select("ghsa_id", "updated_at", "position")
+    newest = named.groupBy("ghsa_id").agg(F.max(F.struct("updated_at", "position")).alias("last"))
+    stays = newest.select(F.col("last.position").alias("position"))
+    batch = good.where("ghsa_id is not null").join(stays, "position", "left_semi").unionByName(good.where("ghsa_id is null"))
+    batch = filter_in_ci(batch, "severity", severities).select(*L.RAW_ADVISORY.names)
+    return (batch if from_ is None else since(batch, "updated_at", from_)), rejects
 
 
 def land_records(pages: DataFrame, unwrap: Callable[[DataFrame], DataFrame],

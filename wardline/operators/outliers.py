@@ -99,14 +99,12 @@ def group_value_outliers(df: DataFrame, partition: str, key: str, value: str,
                          threshold: float = R.Z_THRESHOLD, digits: int | None = None) -> DataFrame:
     """Average ``value`` per (partition, key), then z-score the averages per partition.
 
-    ``value`` is taken to carry two decimals, so the group average is the
-    exact integer-hundredths sum divided once.
+    Values are added as decimals with six places, so a group's sum is exact and the same in any order.
     """
     avg = (df.groupBy(partition, key)
-           .agg(F.sum(F.round(F.col(value) * 100).cast("long")).alias("_s"),
-                F.count(value).alias("_n"))
+           .agg(F.sum(F.col(value).cast("decimal(24,6)")).alias("_s"), F.count(value).alias("_n"))
            .where(F.col("_n") > 0)
-           .select(partition, key, (F.col("_s") / (F.col("_n") * 100.0)).alias("avg_value")))
+           .select(partition, key, (F.col("_s").cast("double") / F.col("_n")).alias("avg_value")))
     scored = zscore(avg, partition, "avg_value", "mean_value", "stddev_value")
     return (scored.where(F.abs(F.col("z_score")) > threshold)
             .select(partition, key, "avg_value",

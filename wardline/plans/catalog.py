@@ -44,6 +44,7 @@ WINDOW_LO = _dt.date(1997, 1, 1)
 WINDOW_HI = _dt.date(1997, 12, 31)
 AS_OF_READ = _dt.date(2001, 1, 15)
 UPSERT_PARTS = 16
+FIRST_POSITIONS = 100_000
 
 
 # ------------------------------------------------------------------ advisories
@@ -99,7 +100,7 @@ def exploded_packages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def typed_view(spark: SparkSession, d: str) -> DataFrame:
-    t = L.type_raw(flattened(spark, d))
+    t = L.typed_advisories(L.parse_documents(A.advisory_json(spark, d)), ORDERS_AS_OF_TS)
     return t.select(
         "ghsa_id", "published_at", "updated_at", "withdrawn_at", "ingested_at",
         F.variant_get("affected_packages", "$[0].package.ecosystem", "string").alias("first_ecosystem"),
@@ -293,17 +294,20 @@ UNIQUE_TESTS = R.UNIQUE_TESTS
 ACCEPTED_TESTS = R.ACCEPTED_TESTS
 
 
-def models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    s = staged(spark, d)
-    e = written(T.enrich_vulnerabilities(s), "enriched")
-    return {
-        "stg_github_advisories": e.select(*s.columns),      # enrichment adds columns to every staged row
-        "int_vulnerabilities_enriched": e,
-        "mart_vulnerability_summary": M.mart_summary(e),
-        "mart_ecosystem_risk": M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
-        "mart_critical_vulnerabilities": M.mart_critical(e),
-        "mart_pipeline_health": advisory_health(spark, d),
+def models(spark: SparkSession, d: str, names) -> dict[str, DataFrame]:
+    """The named models. The enriched table is written once if several marts are built from it, as the cycle does."""
+    of_enriched = {"int_vulnerabilities_enriched", "mart_vulnerability_summary", "mart_ecosystem_risk",
+                   "mart_critical_vulnerabilities"} & set(names)
+    e = written(enriched(spark, d), "enriched") if len(of_enriched - {"int_vulnerabilities_enriched"}) > 1 else enriched(spark, d)
+    build = {
+        "stg_github_advisories": lambda: staged(spark, d),
+        "int_vulnerabilities_enriched": lambda: e,
+        "mart_vulnerability_summary": lambda: M.mart_summary(e),
+        "mart_ecosystem_risk": lambda: M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
+        "mart_critical_vulnerabilities": lambda: M.mart_critical(e),
+        "mart_pipeline_health": lambda: advisory_health(spark, d),
     }
+    return {name: build[name]() for name in names}
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -314,17 +318,17 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
-    m = models(spark, d)
+    m = models(spark, d, NOT_NULL_TESTS)
     return _union([K.expect_not_null(m[name], cols, name) for name, cols in NOT_NULL_TESTS.items()])
 
 
 def dq_unique(spark: SparkSession, d: str) -> DataFrame:
-    m = models(spark, d)
+    m = models(spark, d, UNIQUE_TESTS)
     return _union([K.expect_unique(m[name], key, name) for name, key in UNIQUE_TESTS.items()])
 
 
 def dq_accepted(spark: SparkSession, d: str) -> DataFrame:
-    m = models(spark, d)
+    m = models(spark, d, ACCEPTED_TESTS)
     return _union([K.expect_in(m[name], col, vals, name) for name, (col, vals) in ACCEPTED_TESTS.items()])
 
 
@@ -370,6 +374,7 @@ QUERIES: dict[str, Query] = {
     # ingest
     "severity_filter": severity_filtered,
     "cap_per_ecosystem": capped,
+    "first_positions": lambda s, d: I.first_per_group(listing(s, d), "ecosystem", "position", FIRST_POSITIONS),
     "first_seen_dedupe": fetched,
     "incremental_since": lambda s, d: I.since(A.raw_advisories(s, d), "updated_at", A.BATCH_UPDATED_SINCE),
     "incremental_window": lambda s, d: I.between_optional(A.raw_advisories(s, d), "published_at",

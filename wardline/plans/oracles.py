@@ -481,7 +481,7 @@ FROM (SELECT count(*) AS total_anomalies FROM anom) a,
     # ---------------------------------------------------------------- outliers
     "zscore_outliers": f"""WITH g AS (
   SELECT event_type, user_id,
-         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (count(value) * CAST(100.0 AS DOUBLE)) AS avg_value
+         CAST(sum(CAST(value AS DECIMAL(24, 6))) AS DOUBLE) / count(value) AS avg_value
   FROM events GROUP BY event_type, user_id HAVING count(value) > 0)
 SELECT event_type, user_id, avg_value, round(mean_value, 6) AS mean_value,
        round(stddev_value, 6) AS stddev_value, round(z_score, 6) AS z_score
@@ -688,6 +688,9 @@ UNION ALL SELECT 'listing', 'ghsa_id', 'unique',
   (SELECT count(*) FROM (SELECT ghsa_id FROM l WHERE ghsa_id IS NOT NULL GROUP BY ghsa_id HAVING count(*) > 1))
 UNION ALL SELECT 'listing', 'severity', 'accepted_values',
   count(*) FILTER (WHERE severity NOT IN ('critical', 'high', 'medium', 'low')) FROM l""",
+    "first_positions": f"""WITH {LISTING}
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ecosystem ORDER BY position) AS rn FROM lst)
+WHERE rn <= 100000""",
     "dq_contract": f"""{ADVISORY_BASE},\n{CRITICAL},
 l AS (SELECT 'ADV-' || user_id AS ghsa_id, ts AS updated_at,
              CASE WHEN contains(props, '"k": 0}}') THEN NULL ELSE 'some' END AS severity FROM events)

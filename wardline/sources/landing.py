@@ -38,6 +38,57 @@ GRAPHQL_PAGE = T.StructType([
 ])
 
 
+# RAW.RAW_GITHUB_ADVISORIES, declared: what is stored does not depend on what the first batch holds
+RAW_ADVISORY = T.StructType([
+    T.StructField("ghsa_id", S), T.StructField("cve_id", S), T.StructField("summary", S), T.StructField("description", S),
+    T.StructField("severity", S), T.StructField("cvss_score", T.DoubleType()), T.StructField("cvss_vector_string", S),
+    T.StructField("cwes", T.VariantType()), T.StructField("affected_packages", T.VariantType()),
+    T.StructField("published_at", T.TimestampNTZType()), T.StructField("updated_at", T.TimestampNTZType()),
+    T.StructField("withdrawn_at", T.TimestampNTZType()), T.StructField("html_url", S),
+    T.StructField("credits_count", T.LongType()), T.StructField("source_api", S),
+    T.StructField("ingested_at", T.TimestampNTZType()), T.StructField("raw_json", T.VariantType()),
+])
+
+
+def parse_documents(docs: DataFrame, json_col: str = "json") -> DataFrame:
+    """(json, doc, reject_reason): each document parsed once, to VARIANT.
+
+    A document that is no JSON, and JSON that is no object, is a reject with its reason.
+    """
+    parsed = docs.select(F.col(json_col).alias("json"), F.try_parse_json(json_col).alias("doc"))
+    # JSON that starts with a brace and parses is an object
+    reason = (F.when(F.col("doc").isNull(), F.lit("invalid JSON in raw_json"))
+              .when(~F.col("json").rlike(r"^[ \t\r\n]*\{"), F.lit("no object in raw_json")))
+    return parsed.withColumn("reject_reason", reason)
+
+
+def typed_advisories(parsed: DataFrame, ingested_at: _dt.datetime) -> DataFrame:
+    """Parsed documents (``parse_documents``) → RAW advisory rows as declared, with reject_reason and, for rejects, json.
+
+    The same columns as ``type_raw(flatten_advisories(...))`` from one parse: fields come out of the VARIANT. Where
+    text is declared any value counts as its text, an object as its JSON; what does not fit another type is NULL.
+    """
+    doc = F.col("doc")
+    text = lambda path: F.try_variant_get(doc, path, "string")
+    time = lambda path: F.try_to_timestamp(text(path)).cast("timestamp_ntz")
+
+    def array(path: str):
+        found = F.try_variant_get(doc, path, "variant")
+        return F.when(found.isNull() | F.is_variant_null(found), F.parse_json(F.lit("[]"))).otherwise(found)
+
+    credits = F.size(F.try_variant_get(doc, "$.credits", "array<variant>")).cast("long")
+    return parsed.select(
+        text("$.ghsa_id").alias("ghsa_id"), text("$.cve_id").alias("cve_id"),
+        F.coalesce(text("$.summary"), F.lit("")).alias("summary"), text("$.description").alias("description"),
+        text("$.severity").alias("severity"), F.try_variant_get(doc, "$.cvss.score", "double").alias("cvss_score"),
+        text("$.cvss.vector_string").alias("cvss_vector_string"), array("$.cwes").alias("cwes"),
+        array("$.vulnerabilities").alias("affected_packages"), time("$.published_at").alias("published_at"),
+        time("$.updated_at").alias("updated_at"), time("$.withdrawn_at").alias("withdrawn_at"),
+        text("$.html_url").alias("html_url"), F.coalesce(F.greatest(credits, F.lit(0)), F.lit(0)).cast("long").alias("credits_count"),
+        F.lit(R.REST_SOURCE).alias("source_api"), ts_ntz(ingested_at).alias("ingested_at"), doc.alias("raw_json"),
+        "reject_reason", F.when(F.col("reject_reason").isNotNull(), F.col("json")).alias("json"))
+
+
 def flatten_advisories(docs: DataFrame, ingested_at: _dt.datetime, json_col: str = "json") -> DataFrame:
     """REST advisory JSON → the 17-column RAW advisory row.
 

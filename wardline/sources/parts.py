@@ -63,11 +63,19 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType, by: list[st
     return spark.read.schema(schema).parquet(path)
 
 
+def ensure_parts(spark: SparkSession, path: str, schema: T.StructType, part: str = KEY_PART) -> None:
+    """Where nothing is stored yet, one empty part with the declared columns, so that readers find them."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place) or not any(f.getPath().getName().startswith(f"{part}=") for f in files.listStatus(place)):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{part}=0")
+
+
 # ------------------------------------------------------------------ upsert
 
 def _key_part(schema: T.StructType, key: str, parts: int):
     """Part of a row: by its key; rows without one are dealt by their contents, so they are no hot part."""
-    plain = [f.name for f in schema.fields if isinstance(f.dataType, T.AtomicType) and f.name != KEY_PART]
+    plain = [f.name for f in schema.fields if isinstance(f.dataType, T.AtomicType) and f.name != KEY_PART
+             and not isinstance(f.dataType, T.VariantType)]
     return F.pmod(F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(key)), F.xxhash64(*plain)), F.lit(parts)).cast("int")
 
 
