@@ -170,3 +170,22 @@ def test_third_decimals_count(spark):
     rows = [("p", k, 1.0) for k in range(30)] + [("p", 99, 1.004), ("p", 99, 1.005)]
     got = group_value_outliers(spark.createDataFrame(rows, "part string, k long, value double"), "part", "k", "value").collect()
     assert [(r.k, round(r.avg_value, 6)) for r in got] == [(99, 1.0045)]
+
+
+def test_plan_output_files_become_drift_records(spark, scratch):
+    from wardline.operators.drift import drift_records
+    from wardline.sources import landing as L
+    outputs = {"prod/run-1.txt": "  # aws_s3_bucket.logs will be updated in-place\n\x1b[1mPlan:\x1b[0m 1 to add, 2 to change, 0 to destroy.\n",
+               "prod/run 2.txt": "No changes. Your infrastructure matches the configuration.\n", "dev/run-3": "╷ Error: no credentials\n",
+               "dev/run.4.log": "# x.y will be destroyed\nPlan: 0 to add, 0 to change, 1 to destroy.\n"}
+    for name, text in outputs.items():
+        os.makedirs(os.path.join(scratch, os.path.dirname(name)), exist_ok=True)
+        with open(os.path.join(scratch, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    files = L.plan_files(spark, scratch)
+    assert sorted((r.environment, r.run_id, r.exit_code) for r in files.collect()) == [
+        ("dev", "run-3", 1), ("dev", "run.4", 2), ("prod", "run 2", 0), ("prod", "run-1", 2)]
+    found = {r.run_id: r for r in drift_records(files).collect()}
+    assert set(found) == {"run-1", "run 2", "run.4"}
+    assert found["run-1"].drift_detected and not found["run 2"].drift_detected and found["run.4"].drift_detected
+    assert all(r.checked_at is not None for r in found.values())

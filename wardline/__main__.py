@@ -1,7 +1,7 @@
 """Command line: land advisories and CVE or advisory pages, upsert RAW, run one full cycle.
 
     python -m wardline --landing DIR --as-of 2024-01-31T00:00:00 \\
-        [--since 2024-01-01] [--severities critical,high] [--plans PATH] \\
+        [--since 2024-01-01] [--severities critical,high] [--plans PATH | --plan-files DIR] \\
         [--brief-dir DIR] [--skip-anomaly] [--skip-brief] [--skip-drift]
         [--query-log PATH --grants PATH --logins PATH [--columns PATH]]
         [--cves DIR [--modified-since DATE] [--modified-until DATE] [--published-since DATE] [--published-until DATE]]
@@ -15,7 +15,7 @@ CVE result pages (``--cves``) and pages of advisory nodes (``--nodes``), one
 JSON page per line, are upserted record by record into ``raw.raw_nvd_cves``
 and ``raw.raw_advisory_records``.
 Plan logs (``--plans``) are Parquet with run_id, exit_code, stdout,
-checked_at. With query, grant and login logs the security audit runs too;
+checked_at; ``--plan-files`` takes the outputs themselves. With query, grant and login logs the security audit runs too;
 its column inventory defaults to the columns of the session catalog (the
 tables this command writes included). Prints the cycle's one-row facts as JSON.
 """
@@ -53,6 +53,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--since", type=_dt.date.fromisoformat, help="only advisories updated on or after")
     p.add_argument("--severities", default="critical,high", help="comma-separated severities to keep")
     p.add_argument("--plans", help="Parquet plan logs for drift records")
+    p.add_argument("--plan-files", help="folder of plan outputs, one text file a run, a folder per environment")
     p.add_argument("--query-log", help="Parquet query history for the security audit")
     p.add_argument("--grants", help="Parquet role grants (grantee_name, role, ...)")
     p.add_argument("--logins", help="Parquet login history (user_name, event_timestamp, is_success)")
@@ -117,7 +118,8 @@ def main(argv: list[str] | None = None) -> dict:
     if args.query_log and args.grants and args.logins:
         audit = {"query_log": read(args.query_log), "grants": read(args.grants), "logins": read(args.logins),
                  "columns": read(args.columns) if args.columns else TB.column_inventory(spark)}
-    facts = run_cycle(spark, spark.table(RAW_TABLE), args.as_of, plan_logs=read(args.plans),
+    plan_logs = L.plan_files(spark, args.plan_files) if args.plan_files else read(args.plans)
+    facts = run_cycle(spark, spark.table(RAW_TABLE), args.as_of, plan_logs=plan_logs,
                       brief_path=args.brief_dir, skip_anomaly=args.skip_anomaly, skip_brief=args.skip_brief,
                       skip_drift=args.skip_drift, **audit)
     print(json.dumps(facts, default=str))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,3 +180,21 @@ def type_raw_with_rejects(df: DataFrame,
     """
     good, rejects = split_unparsable(df, json_cols)
     return type_raw(good, timestamp_cols, json_cols), rejects
+
+
+def plan_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of plan outputs, one text file a run → (run_id, environment, exit_code, stdout, checked_at).
+
+    The run id is the file's name without its last ending, the environment its folder, the time that of the file. The
+    exit code is read off the output, as a plan with detailed exit codes gives it: 1 if a line starts with an error, 2 if
+    there are changes, else 0. Files are read whole and in the tasks; none is opened by the driver.
+    """
+    path = F.col("_metadata.file_path")
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    text = F.regexp_replace("value", r"\x1b\[[0-9;]*m", "")                      # colours
+    code = (F.when(text.rlike(r"(?m)^(\S\s+)?Error:"), 1).when(text.rlike(r"(?m)^Plan: \d+ to add, \d+ to change, \d+ to destroy"), 2)
+            .otherwise(0))
+    return files.select(F.url_decode(F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)).alias("run_id"),
+                        F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)).alias("environment"),
+                        code.cast("int").alias("exit_code"), text.alias("stdout"),
+                        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("checked_at"))
