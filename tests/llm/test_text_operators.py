@@ -185,3 +185,18 @@ def docs_usable():
     from pyspark.sql import functions as F
 
     return F.lit(True)
+
+
+def test_bpe_long_word_takes_linear_time():
+    """Ten times the word, about ten times the work: no step looks further ahead than the longest token."""
+    import time
+    coder = bpe.word_bpe(tokenizer_path(WORD_BPE))
+    word = "".join(chr(97 + i * i * 7 % 26) for i in range(300_000))
+
+    def seconds(n):
+        start = time.perf_counter()
+        coder.walk(coder._symbols(word[:n]))
+        return time.perf_counter() - start
+
+    seconds(30_000)
+    assert seconds(300_000) < 40 * max(seconds(30_000), 0.02)

@@ -132,6 +132,7 @@ class WordBpe(dict):
                     node = node.setdefault(s, {})
                 node[None] = ((len(symbols), token),)
         self._gather(self.trie, ())
+        self.longest = max(map(len, spelled.values()))
         self.special = {t["content"]: t["id"] for t in added}
         self._cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -156,7 +157,7 @@ class WordBpe(dict):
     def _arcs_from(self, symbols: list[str], at: int) -> tuple[tuple[int, int], ...]:
         """(length, token) of the tokens spelled from ``at`` on, longest first."""
         node = self.trie
-        for symbol in symbols[at:] if at else symbols:
+        for symbol in symbols[at:at + self.longest]:
             below = node.get(symbol)
             if below is None:
                 break
