@@ -298,9 +298,11 @@ def models(spark: SparkSession, d: str, names) -> dict[str, DataFrame]:
     """The named models. The enriched table is written once if several marts are built from it, as the cycle does."""
     of_enriched = {"int_vulnerabilities_enriched", "mart_vulnerability_summary", "mart_ecosystem_risk",
                    "mart_critical_vulnerabilities"} & set(names)
-    e = written(enriched(spark, d), "enriched") if len(of_enriched - {"int_vulnerabilities_enriched"}) > 1 else enriched(spark, d)
+    s = staged(spark, d)
+    several = len(of_enriched - {"int_vulnerabilities_enriched"}) > 1
+    e = written(T.enrich_vulnerabilities(s), "enriched") if several else T.enrich_vulnerabilities(s)
     build = {
-        "stg_github_advisories": lambda: staged(spark, d),
+        "stg_github_advisories": lambda: e.select(*s.columns) if several else s,     # enrichment keeps every staged row
         "int_vulnerabilities_enriched": lambda: e,
         "mart_vulnerability_summary": lambda: M.mart_summary(e),
         "mart_ecosystem_risk": lambda: M.mart_ecosystem_risk(e, A.advisory_packages(spark, d)),
