@@ -1,8 +1,10 @@
 """Operators that work row by row, against plain versions of their contract and against the public libraries."""
 
 import re
+import unicodedata
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -187,6 +189,30 @@ def docs_usable():
     return F.lit(True)
 
 
+def test_bpe_normalizes_and_cuts_every_code_point_as_the_library():
+    from tokenizers import Tokenizer
+
+    ref, coder = Tokenizer.from_file(tokenizer_path(WORD_BPE)), bpe.word_bpe(tokenizer_path(WORD_BPE))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 512):
+        text = "\n".join(f"a{c}7{c}!{c}{c}" for c in map(chr, points[i:i + 512]))
+        normal = ref.normalizer.normalize_str(text)
+        want = [normal[start:end] for _, (start, end) in ref.pre_tokenizer.pre_tokenize_str(normal)]
+        assert coder.words(coder.normal(text)) == want, hex(points[i])
+
+
+def test_bpe_agrees_with_the_library_on_characters_of_other_unicode_versions():
+    from tokenizers import Tokenizer
+
+    ref, coder = Tokenizer.from_file(tokenizer_path(WORD_BPE)), bpe.word_bpe(tokenizer_path(WORD_BPE))
+    pick = np.random.default_rng(3)
+    pool = [c for c in map(chr, range(0x32000)) if unicodedata.category(c) == "Cn" or unicodedata.combining(c)]
+    pool = [pool[i] for i in pick.choice(len(pool), 3000)] + [*"aJÉΣ 1!İ"] * 300
+    for _ in range(4000):
+        text = "".join(pool[i] for i in pick.integers(0, len(pool), pick.integers(1, 9)))
+        assert [t for part in coder.encode(text) for t in part] == ref.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_bpe_long_word_takes_linear_time():
     """Ten times the word, about ten times the work: no step looks further ahead than the longest token."""
     import time

@@ -10,6 +10,10 @@ by state and is what the tests compare with.
 
 A word is encoded by a walk through the automaton along arcs that spell it, found in a trie of the tokens. Each prefix
 of a word has one accepted tokenization, so a position is reached in one state only.
+
+Letter classes and normal forms follow the Unicode versions of the tokenizers library. ``LibraryClasses`` finds the
+characters on which they may differ from this Python's: texts with one of them are normalized by the library's
+normalizer, and each such character is put to its pre-tokenizer once to learn its class.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -104,6 +108,56 @@ def explicit_arcs(base: list[int], merges: list[tuple[int, int, int]]) -> dict[i
     return states
 
 
+class LibraryClasses:
+    """Characters that the tokenizers library and this Python may take differently.
+
+    These are the ones that Python's Unicode version does not assign, marks that the library does not put in order, and
+    parts of characters that it does not compose.
+    """
+
+    LETTER, NUMBER, OTHER = "\u0436", "1", "\u2026"          # plain characters of each class, to split words by
+    LAST_MARK, LAST_CLASS = "\u0345", 240                    # the mark that is ordered behind all others
+
+    def __init__(self, tokenizer_file: str):
+        from tokenizers.normalizers import NFC
+
+        self._file = tokenizer_file
+        self._stand_ins: dict[int, str] = {}
+        composed, every = NFC().normalize_str, range(0x110000)
+        self._differs = np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in every), bool, len(every))
+        for c in map(chr, np.flatnonzero(~self._differs)):
+            if 0 < unicodedata.combining(c) < self.LAST_CLASS and composed(self.LAST_MARK + c)[-1:] != self.LAST_MARK:
+                self._differs[ord(c)] = True
+            apart = unicodedata.normalize("NFD", c) if unicodedata.decomposition(c)[:1] not in ("", "<") else c
+            if apart != c and not (composed(apart) == composed(c) == unicodedata.normalize("NFC", c)):
+                self._differs[[ord(c), *map(ord, apart)]] = True
+
+    @cached_property
+    def _library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._file)
+
+    def has_any(self, text: str) -> bool:
+        if text.isascii():
+            return False
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return bool(self._differs[points].any())
+
+    def normalized(self, text: str) -> str:
+        return self._library.normalizer.normalize_str(text)
+
+    def stand_in(self, text: str) -> str:
+        """``text`` with a plain character of the same class for each that differs, place by place."""
+        for c in set(text):
+            if self._differs[ord(c)] and ord(c) not in self._stand_ins:
+                words = self._library.pre_tokenizer.pre_tokenize_str
+                alike = (self.LETTER if len(words("b" + c)) == 1 else
+                         self.OTHER if len(words("!" + c)) == 1 else self.NUMBER)
+                self._stand_ins[ord(c)] = alike
+        return text.translate(self._stand_ins)
+
+
 class WordBpe(dict):
     """Text between white space → token ids, for a tokenizers file of kind BPE with word ends, lower case and byte
     symbols."""
@@ -138,6 +192,7 @@ class WordBpe(dict):
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(split.replace(r"[^\s", f"[^{_WHITE}"))
         self._byte_symbols = _byte_symbols()
+        self._classes = LibraryClasses(tokenizer_file)
 
     def _gather(self, node: dict, shorter: tuple) -> None:
         """Let every trie node hold the tokens on the way to it, longest first."""
@@ -192,7 +247,7 @@ class WordBpe(dict):
     def __missing__(self, part: str) -> tuple[int, ...]:
         if part[-1:] in _MARKS and part[:-1].isalpha():         # two words; kept apart, the parts stay few
             return self[part[:-1]] + self[part[-1]]
-        words = [self.walk(self._symbols(w)) for w in self._words.findall(part)]
+        words = [self.walk(self._symbols(w)) for w in self.words(part)]
         ids = words[0] if len(words) == 1 else tuple(chain.from_iterable(words))
         if len(part) <= 64:
             if len(self) >= CACHE_ENTRIES:
@@ -200,6 +255,16 @@ class WordBpe(dict):
             self[part] = ids
         return ids
 
+    def normal(self, text: str) -> str:
+        if self._classes.has_any(text):
+            return self._classes.normalized(text)
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def words(self, part: str) -> list[str]:
+        if self._classes.has_any(part):
+            return [part[m.start():m.end()] for m in self._words.finditer(self._classes.stand_in(part))]
+        return self._words.findall(part)
+
     def encode(self, text: str) -> list[tuple[int, ...]]:
         """Token ids of one text, in parts between white space (no word reaches over any)."""
         out: list[tuple[int, ...]] = []
@@ -207,7 +272,7 @@ class WordBpe(dict):
             if part in self.special:
                 out.append((self.special[part],))
             else:
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                part = self.normal(part)
                 out += map(self.__getitem__, (part,) if _SEPARATORS.search(part) else part.split())
         return out
 
