@@ -4,13 +4,21 @@ Patterns give the base spans (assign, access, hex). Long runs of token character
 battery in the encoding they seem to have (hex, base32, lower-case alphanumeric, base64): chi-squared uniformity of
 the alphabet, a runs test about the middle of the alphabet, and lag-one serial correlation. The smallest of the
 three p-values, times three, tells how badly a token fails to be random. The Benjamini-Hochberg procedure, run over
-all tokens of the same encoding and length class, decides which tokens are not random; the others are reported as
-``random``. p-values are counted on a grid of hundredths of a decade, so the procedure needs a small table of counts
-and no global sort.
+all tokens of the same encoding and length class, decides which tokens are not random.
+
+A token that passes may still be a name, too short to fail. So each survivor also needs evidence against being one:
+its symbols must be less likely than those of names are. The procedure runs a second time, over the survivors of an
+encoding and length class with these p-values; only what it rejects as a name is reported as ``random``, so wrong
+reports are bounded as a share of the reports, and lengths at which nothing can be told report nothing.
+
+p-values are counted on a grid of hundredths of a decade, so the procedures need small tables of counts and no global
+sort.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +45,15 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 
+# fixed values: letters of English text per 10,000, most frequent first
+LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
+LETTER_SHARES = (1270, 906, 817, 751, 697, 675, 633, 609, 599, 425, 403, 278, 276, 241, 236, 223, 202, 197, 193, 149, 98,
+                 77, 15, 15, 10, 7)
+# names: so much of them letters (a tenth of these evenly), digits and signs; words repeat letters, so scores spread more
+# than those of independent symbols would
+NAME_LETTERS, NAME_DIGITS, NAME_SIGNS, EVEN, OVERSPREAD = 0.82, 0.08, 0.10, 0.1, 1.5
+SIGNS = "-_/+"
+
 
 def _matches(text: Column, pattern: str, kind: str, least_body: int = 0, keep_token: bool = False) -> Column:
     """Array of (kind, i, gap, len, ok, token): the i-th match, what lies between it and the one before, in code points."""
@@ -99,23 +116,54 @@ def with_battery(tokens: DataFrame, token: str = "token") -> DataFrame:
     variance = expected * (expected - 1) / (n - 1)
     runs_z = F.when(variance > 0, (turns - expected) / F.sqrt(variance)).otherwise(37.0)
 
-    mean = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x) / n
-    centred = F.transform("_v", lambda x: x - F.col("_mean"))
-    power = F.aggregate("_c", F.lit(0.0), lambda a, x: a + x * x)
-    lagged = F.aggregate(F.zip_with(F.slice("_c", 1, F.col("symbols") - 1), F.slice("_c", 2, F.col("symbols") - 1),
-                                    lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    serial_z = F.when(power > 0, lagged / power * F.sqrt(n)).otherwise(37.0)
+    # from sums of whole numbers: a mean used inside a lambda would be taken anew for every symbol
+    total = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x)
+    squared = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x)
+    products = F.aggregate(F.zip_with(F.slice("_v", 1, F.col("symbols") - 1), F.slice("_v", 2, F.col("symbols") - 1),
+                                      lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    rows = rows.withColumn("_sums", F.struct(total.alias("s"), squared.alias("q"), products.alias("p")))
+    mean = F.col("_sums.s") / n
+    ends = F.get("_v", F.lit(0)) + F.get("_v", F.col("symbols") - 1)
+    power = F.col("_sums.q") - n * mean * mean
+    lagged = F.col("_sums.p") - mean * (2 * F.col("_sums.s") - ends) + (n - 1) * mean * mean
+    serial_z = F.when(power > 0.5 / n, lagged / power * F.sqrt(n)).otherwise(37.0)
 
-    rows = rows.withColumn("_mean", mean).withColumn("_c", centred)
     least = F.least(_upper_tail(chi_z), _two_sided(runs_z), _two_sided(serial_z))
-    return rows.withColumn("p", F.least(F.lit(1.0), 3 * least)).drop("_plain", "_alphabet", "_k", "_v", "_mean", "_c")
+    return rows.withColumn("p", F.least(F.lit(1.0), 3 * least)).drop("_plain", "_alphabet", "_k", "_v", "_sums")
+
+
+def _name_scores() -> tuple[str, list[float], float, float]:
+    """Symbols, the logarithm of each one's share in names, and mean and deviation of these logarithms in names."""
+    whole = sum(LETTER_SHARES)
+    shares = [NAME_LETTERS * ((1 - EVEN) * x / whole + EVEN / len(LETTERS)) for x in LETTER_SHARES]
+    shares += [NAME_DIGITS / 10] * 10 + [NAME_SIGNS / len(SIGNS)] * len(SIGNS)
+    logs = [math.log(x) for x in shares]
+    mean = sum(x * y for x, y in zip(shares, logs))
+    return LETTERS + "0123456789" + SIGNS, logs, mean, math.sqrt(sum(x * (y - mean) ** 2 for x, y in zip(shares, logs)))
+
+
+def with_name_p(tokens: DataFrame, token: str = "token") -> DataFrame:
+    """``tokens`` with name_p, the p-value of the string column ``token`` against being a name: how seldom a name of its
+    length is as unlikely."""
+    symbols, logs, mean, deviation = _name_scores()
+    table = F.array(*map(F.lit, logs))
+    rows = tokens.withColumn("_plain", F.regexp_replace(F.lower(token), "=+$", ""))
+    score = F.aggregate(F.split("_plain", ""), F.lit(0.0),
+                        lambda a, c: a + F.coalesce(F.get(table, F.position(c, F.lit(symbols)) - 1), F.lit(mean)))
+    n = F.length("_plain").cast("double")
+    rows = rows.withColumn("_z", (mean * n - score) / (OVERSPREAD * deviation * F.sqrt(n)))
+    return rows.withColumn("name_p", _upper_tail(F.col("_z"))).drop("_plain", "_z")
+
+
+def _cell(p: Column) -> Column:
+    return F.least(F.floor(-F.log10(F.greatest(p, F.lit(10.0 ** -DECADES))) * GRID), F.lit(DECADES * GRID))
 
 
-def not_random_from(cells: DataFrame, fdr: float = FDR) -> DataFrame:
+def rejected_from(cells: DataFrame, fdr: float = FDR) -> DataFrame:
     """Benjamini-Hochberg per stratum on counted p-values.
 
     ``cells`` has (stratum, cell, n): n tokens whose p-value is at most 10^(-cell / GRID). Returns (stratum, least):
-    tokens with a cell of at least ``least`` are rejected as not random; strata without a rejection are absent.
+    tokens with a cell of at least ``least`` are rejected; strata without a rejection are absent.
     """
     upward = Window.partitionBy("stratum").orderBy(F.col("cell").desc())
     ranked = cells.select("stratum", "cell", F.sum("n").over(upward).alias("at_most"),
@@ -138,18 +186,24 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = rows.select("row", "doc_id", F.explode_outer(every).alias("m")).select("row", "doc_id", "m.*")
     so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("len")).over(so_far)
-    tested = with_battery(found)
-    cell = F.least(F.floor(-F.log10(F.greatest("p", F.lit(10.0 ** -DECADES))) * GRID), F.lit(DECADES * GRID))
+    tested = with_name_p(with_battery(found))
     stratum = F.concat_ws("/", "encoding", F.floor(F.log2("symbols")))
     random = F.col("kind") == KINDS.index("random")
     spans = tested.select("row", "doc_id", "kind", "ok", (end - F.col("len")).alias("start"), end.alias("end"),
-                          F.when(random, stratum).alias("stratum"), F.when(random, cell).alias("cell"))
+                          F.when(random, stratum).alias("stratum"), F.when(random, _cell(F.col("p"))).alias("cell"),
+                          F.when(random, _cell(F.col("name_p"))).alias("name_cell"))
     spans = settle(spans, "secret-spans")
 
-    cells = spans.where("stratum is not null").groupBy("stratum", "cell").agg(F.count(F.lit(1)).alias("n"))
-    limits = not_random_from(cells, fdr)                 # at most one row per encoding and power of two of the length
-    judged = spans.join(F.broadcast(limits), "stratum", "left")
-    keep = F.col("ok") & (F.col("stratum").isNull() | F.col("least").isNull() | (F.col("cell") < F.col("least")))
+    tokens = spans.where("stratum is not null")
+    cells = tokens.groupBy("stratum", "cell").agg(F.count(F.lit(1)).alias("n"))
+    unfit = rejected_from(cells, fdr).withColumnRenamed("least", "unfit")   # one row per encoding and power of two at most
+    survives = F.col("unfit").isNull() | (F.col("cell") < F.col("unfit"))
+    left = tokens.join(F.broadcast(unfit), "stratum", "left").where(survives)
+    named = left.groupBy("stratum", F.col("name_cell").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    unnamed = rejected_from(named, fdr).withColumnRenamed("least", "unnamed")
+    judged = spans.join(F.broadcast(unfit), "stratum", "left").join(F.broadcast(unnamed), "stratum", "left")
+    random = survives & F.coalesce(F.col("name_cell") >= F.col("unnamed"), F.lit(False))
+    keep = F.col("ok") & (F.col("stratum").isNull() | random)
     span = F.struct(F.col("start").cast("int").alias("start"), F.col("kind"), F.col("end").cast("int").alias("end"))
     return judged.groupBy("row", "doc_id").agg(
         F.array_sort(F.collect_list(F.when(keep, span))).alias("spans")).select("doc_id", "spans")
