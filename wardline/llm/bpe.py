@@ -123,9 +123,13 @@ class LibraryClasses:
 
         self._file = tokenizer_file
         self._stand_ins: dict[int, str] = {}
-        composed, every = NFC().normalize_str, range(0x110000)
-        self._differs = np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in every), bool, len(every))
-        for c in map(chr, np.flatnonzero(~self._differs)):
+        composed = NFC().normalize_str
+        self._differs = np.zeros(0x110000, bool)
+        for first in range(0, 0x110000, 0x10000):
+            plane = range(first, first + 0x10000)
+            used = unicodedata.category(chr(first)) != "Cn"         # else the library is asked about the whole plane
+            self._differs[first:plane.stop] = [unicodedata.category(chr(c)) == "Cn" for c in plane] if used else True
+        for c in map(chr, np.flatnonzero(~self._differs[:0xF0000])):        # private use beyond
             if 0 < unicodedata.combining(c) < self.LAST_CLASS and composed(self.LAST_MARK + c)[-1:] != self.LAST_MARK:
                 self._differs[ord(c)] = True
             apart = unicodedata.normalize("NFD", c) if unicodedata.decomposition(c)[:1] not in ("", "<") else c
@@ -261,7 +265,7 @@ class WordBpe(dict):
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def words(self, part: str) -> list[str]:
-        if self._classes.has_any(part):
+        if not part.isalpha() and self._classes.has_any(part):          # letters of this Python are the library's
             return [part[m.start():m.end()] for m in self._words.finditer(self._classes.stand_in(part))]
         return self._words.findall(part)
 
